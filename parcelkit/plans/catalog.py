@@ -280,3 +280,103 @@ FROM g"""
 @register("lead_by_neighborhood", with_views([H] + NBH, LEAD_SQL))
 def q_lead_by_neighborhood(spark, sf):
     return _lead_summary(houses_in_neighborhoods(spark, sf))
+
+
+# ========================================== step 3: overlay + match table
+
+def match_table_df(spark, sf) -> DataFrame:
+    from ..operators import areal
+    nb, tr = inputs.neighborhoods(spark, sf), inputs.tracts(spark, sf)
+    tid = S.pick_tract_id(tr.attrs)
+    return areal.match_table(nb.edges, nb.measures, nb.attrs.select("gid", F.col("name").alias("neighborhood")),
+                             tr.edges, tr.measures, tr.attrs.select("gid", F.col(tid).cast("string").alias("tract_id")))
+
+
+MATCH_CTES = f""", {O.overlay_ctes('fx_nbh_edge', 'fx_tract_edge', 'ov')},
+mt AS (SELECT n.name AS neighborhood, CAST(t.GEOID AS VARCHAR) AS tract_id, o.inter_area AS intersection_area_m2,
+              a.area AS neighborhood_area_m2, b.area AS tract_area_m2,
+              CASE WHEN a.area > 0 THEN o.inter_area / a.area ELSE 0e0 END AS frac_of_neighborhood,
+              CASE WHEN b.area > 0 THEN o.inter_area / b.area ELSE 0e0 END AS frac_of_tract
+       FROM ov o JOIN ov_pa a ON a.gid = o.a_gid JOIN ov_pb b ON b.gid = o.b_gid
+       JOIN fx_nbh n ON n.gid = o.a_gid JOIN fx_tract t ON t.gid = o.b_gid)"""
+
+
+@register("match_table", with_views(NBH + TR, MATCH_CTES + """
+SELECT neighborhood, tract_id, round(intersection_area_m2, 3) AS intersection_area_m2,
+       round(neighborhood_area_m2, 3) AS neighborhood_area_m2, round(tract_area_m2, 3) AS tract_area_m2,
+       round(frac_of_neighborhood, 6) AS frac_of_neighborhood, round(frac_of_tract, 6) AS frac_of_tract
+FROM mt ORDER BY neighborhood, frac_of_neighborhood DESC"""))
+def q_match_table(spark, sf):
+    from ..operators import areal
+    m = areal.sort_matches(match_table_df(spark, sf))
+    return m.select("neighborhood", "tract_id",
+                    *[F.round(c, 3).alias(c) for c in ("intersection_area_m2", "neighborhood_area_m2", "tract_area_m2")],
+                    *[F.round(c, 6).alias(c) for c in ("frac_of_neighborhood", "frac_of_tract")])
+
+
+RACE_KEYS = ["white", "black", "hispanic", "asian", "native", "hipi"]
+RACE_SRC = {"total": "totalE", "white": "WhiteE", "black": "BlackE", "hispanic": "HispanicE",
+            "asian": "AsianE", "native": "NativeE", "hipi": "HIPIE"}
+
+
+def _r6(df: DataFrame, key: str) -> DataFrame:
+    return df.select(key, *[F.round(c, 6).alias(c) for c in df.columns if c != key])
+
+
+@register("race_from_matches", with_views(NBH + TR, MATCH_CTES + ",\nj AS (SELECT m.neighborhood, m.frac_of_tract AS f, "
+                                            + ", ".join(f"t.{v}" for v in RACE_SRC.values()) + """
+  FROM mt m LEFT JOIN fx_tract t ON m.tract_id = CAST(t.GEOID AS VARCHAR)),
+g AS (SELECT neighborhood, sum(coalesce(CAST(totalE AS DOUBLE), 0) * coalesce(f, 0)) AS tot, """
+                                            + ", ".join(f"sum(coalesce(CAST({RACE_SRC[k]} AS DOUBLE), 0) * coalesce(f, 0)) AS s_{k}"
+                                                        for k in RACE_KEYS) + """
+  FROM j GROUP BY neighborhood)
+SELECT neighborhood AS name, """ + ", ".join(f"round(coalesce(s_{k} / nullif(tot, 0), 0), 6) AS pct_{k}" for k in RACE_KEYS)
+                                            + " FROM g"))
+def q_race_from_matches(spark, sf):
+    from ..operators import areal
+    tr = inputs.tracts(spark, sf).attrs
+    counts = S.pick_race_counts(tr)
+    r = areal.race_shares_from_matches(match_table_df(spark, sf), tr, S.pick_tract_id(tr), counts, "name")
+    return _r6(r, "name")
+
+
+@register("race_pct_fallback", with_views(NBH + TR, MATCH_CTES + """,
+j AS (SELECT m.neighborhood, m.frac_of_tract AS f, t.Pwhite, t.Pblack
+  FROM mt m LEFT JOIN fx_tract t ON m.tract_id = CAST(t.GEOID AS VARCHAR))
+SELECT neighborhood AS name,
+  round(sum(coalesce(Pwhite, 0) * coalesce(f, 0)) / greatest(sum(coalesce(f, 0)), 1e-9), 6) AS pct_white,
+  round(sum(coalesce(Pblack, 0) * coalesce(f, 0)) / greatest(sum(coalesce(f, 0)), 1e-9), 6) AS pct_black
+FROM j GROUP BY neighborhood"""))
+def q_race_pct_fallback(spark, sf):
+    from ..operators import areal
+    tr = inputs.tracts(spark, sf).attrs
+    pcols = [c for c in S.RACE_PCT_COLUMNS if c in tr.columns]
+    r = areal.pct_fallback_from_matches(match_table_df(spark, sf), tr, S.pick_tract_id(tr), pcols, "name")
+    return _r6(r, "name")
+
+
+INCOME_SQL = MATCH_CTES + """,
+j AS (SELECT m.neighborhood, coalesce(m.frac_of_tract, 0) AS f, t.avg_income, CAST(t.Households AS DOUBLE) AS hh
+  FROM mt m LEFT JOIN fx_tract t ON m.tract_id = CAST(t.GEOID AS VARCHAR))
+SELECT neighborhood AS name,
+  round(sum(coalesce(avg_income, 0) * {w}) / greatest(sum({w}), 1e-9), 6) AS avg_income
+FROM j GROUP BY neighborhood"""
+
+
+def _income(spark, sf, weighted: bool) -> DataFrame:
+    from ..operators import areal
+    tr = inputs.tracts(spark, sf).attrs
+    inc = S.pick_income_columns(tr)
+    w = S.pick_weight_column(tr) if weighted else None
+    r = areal.weighted_mean_from_matches(match_table_df(spark, sf), tr, S.pick_tract_id(tr), inc, w, "name")
+    return _r6(r, "name")
+
+
+@register("income_from_matches", with_views(NBH + TR, INCOME_SQL.format(w="coalesce(hh, 0) * f")))
+def q_income_from_matches(spark, sf):
+    return _income(spark, sf, True)
+
+
+@register("income_area_only", with_views(NBH + TR, INCOME_SQL.format(w="f")))
+def q_income_area_only(spark, sf):
+    return _income(spark, sf, False)

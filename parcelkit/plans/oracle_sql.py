@@ -96,3 +96,42 @@ def mercator_forward(lon: str, lat: str) -> tuple[str, str]:
     R = MERCATOR_R
     return (f"({dbl(R)} * radians({lon}))",
             f"({dbl(R)} * ln(tan({dbl(3.141592653589793 / 4)} + radians({lat}) / 2e0)))")
+
+
+def bbox_area_cte(edge_view: str, name: str) -> str:
+    """``name(gid, xmin, ymin, xmax, ymax, area)`` by shoelace around the bbox corner."""
+    return f"""{name}_bb AS (SELECT gid, min(x1) AS xmin, min(y1) AS ymin, max(x1) AS xmax, max(y1) AS ymax
+                FROM {edge_view} GROUP BY gid),
+{name} AS (SELECT b.gid, b.xmin, b.ymin, b.xmax, b.ymax,
+       sum((e.x1 - b.xmin) * (e.y2 - b.ymin) - (e.x2 - b.xmin) * (e.y1 - b.ymin)) / 2 AS area
+       FROM {edge_view} e JOIN {name}_bb b ON e.gid = b.gid GROUP BY b.gid, b.xmin, b.ymin, b.xmax, b.ymax)"""
+
+
+def overlay_ctes(edges_a: str, edges_b: str, prefix: str = "ov") -> str:
+    """Brute-force exact overlay: every bbox-overlapping polygon pair, every
+    edge pair with a shared x-range, signed trapezoid integrals; result
+    ``{prefix}(a_gid, b_gid, inter_area)`` keeping pieces above 1e-9 of the
+    smaller area. Also defines ``{prefix}_pa`` / ``{prefix}_pb`` areas."""
+    p = prefix
+    return f"""{bbox_area_cte(edges_a, p + '_pa')},
+{bbox_area_cte(edges_b, p + '_pb')},
+{p}_pr AS (SELECT a.gid AS a_gid, b.gid AS b_gid, greatest(a.xmin, b.xmin) AS ox, greatest(a.ymin, b.ymin) AS oy
+           FROM {p}_pa a JOIN {p}_pb b ON a.xmin <= b.xmax AND b.xmin <= a.xmax AND a.ymin <= b.ymax AND b.ymin <= a.ymax),
+{p}_ep AS (SELECT r.a_gid, r.b_gid, greatest(least(ea.x1, ea.x2), least(eb.x1, eb.x2)) - r.ox AS u0,
+                  least(greatest(ea.x1, ea.x2), greatest(eb.x1, eb.x2)) - r.ox AS u1,
+                  ea.x1 - r.ox AS ax1, ea.y1 - r.oy AS ay1, ea.x2 - r.ox AS ax2, ea.y2 - r.oy AS ay2,
+                  eb.x1 - r.ox AS bx1, eb.y1 - r.oy AS by1, eb.x2 - r.ox AS bx2, eb.y2 - r.oy AS by2
+           FROM {p}_pr r JOIN {edges_a} ea ON ea.gid = r.a_gid JOIN {edges_b} eb ON eb.gid = r.b_gid
+           WHERE ea.x1 <> ea.x2 AND eb.x1 <> eb.x2
+             AND greatest(least(ea.x1, ea.x2), least(eb.x1, eb.x2)) < least(greatest(ea.x1, ea.x2), greatest(eb.x1, eb.x2))),
+{p}_ev AS (SELECT a_gid, b_gid, u1 - u0 AS w,
+                  ay1 + (u0 - ax1) * (ay2 - ay1) / (ax2 - ax1) AS f0, ay1 + (u1 - ax1) * (ay2 - ay1) / (ax2 - ax1) AS f1,
+                  by1 + (u0 - bx1) * (by2 - by1) / (bx2 - bx1) AS g0, by1 + (u1 - bx1) * (by2 - by1) / (bx2 - bx1) AS g1,
+                  (CASE WHEN ax1 > ax2 THEN 1e0 ELSE -1e0 END) * (CASE WHEN bx1 > bx2 THEN 1e0 ELSE -1e0 END) AS s
+           FROM {p}_ep),
+{p}_raw AS (SELECT a_gid, b_gid, sum(s * w * ((f0 + f1 + g0 + g1) / 4 -
+                 CASE WHEN (f0 - g0) * (f1 - g1) >= 0 THEN (abs(f0 - g0) + abs(f1 - g1)) / 4
+                      ELSE ((f0 - g0) * (f0 - g0) + (f1 - g1) * (f1 - g1)) / (4 * (abs(f0 - g0) + abs(f1 - g1))) END)) AS inter_area
+            FROM {p}_ev GROUP BY a_gid, b_gid),
+{p} AS (SELECT r.a_gid, r.b_gid, r.inter_area FROM {p}_raw r JOIN {p}_pa a ON a.gid = r.a_gid JOIN {p}_pb b ON b.gid = r.b_gid
+        WHERE r.inter_area > 1e-9 * least(a.area, b.area))"""
