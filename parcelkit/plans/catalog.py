@@ -380,3 +380,171 @@ def q_income_from_matches(spark, sf):
 @register("income_area_only", with_views(NBH + TR, INCOME_SQL.format(w="f")))
 def q_income_area_only(spark, sf):
     return _income(spark, sf, False)
+
+
+@register("combined_full_join", with_views(NBH + TR, MATCH_CTES + ",\nj AS (SELECT m.neighborhood, m.frac_of_tract AS f, "
+                                            + ", ".join(f"t.{v}" for v in RACE_SRC.values()) + """, t.avg_income, CAST(t.Households AS DOUBLE) AS hh
+  FROM mt m LEFT JOIN fx_tract t ON m.tract_id = CAST(t.GEOID AS VARCHAR)),
+g AS (SELECT neighborhood, sum(coalesce(CAST(totalE AS DOUBLE), 0) * coalesce(f, 0)) AS tot, """
+                                            + ", ".join(f"sum(coalesce(CAST({RACE_SRC[k]} AS DOUBLE), 0) * coalesce(f, 0)) AS s_{k}"
+                                                        for k in RACE_KEYS) + """
+  FROM j GROUP BY neighborhood),
+race AS (SELECT neighborhood AS name, """ + ", ".join(f"round(coalesce(s_{k} / nullif(tot, 0), 0), 6) AS pct_{k}" for k in RACE_KEYS)
+                                            + """ FROM g),
+inc AS (SELECT neighborhood AS name,
+  round(sum(coalesce(avg_income, 0) * coalesce(hh, 0) * coalesce(f, 0)) / greatest(sum(coalesce(hh, 0) * coalesce(f, 0)), 1e-9), 6) AS avg_income
+  FROM j GROUP BY neighborhood)
+SELECT coalesce(race.name, inc.name) AS name, """ + ", ".join(f"pct_{k}" for k in RACE_KEYS) + """, avg_income
+FROM race FULL OUTER JOIN inc ON race.name = inc.name"""))
+def q_combined_full_join(spark, sf):
+    race = q_race_from_matches(spark, sf)
+    inc = _income(spark, sf, True)
+    return race.join(inc, "name", "full")
+
+
+# ============================== step 4: direct overlay, fallbacks, filter
+
+TIER_CTES = """, tier AS (SELECT bool_or(CAST(GEOID AS VARCHAR) LIKE '51760%') AS ex,
+                 bool_or(CAST(GEOID AS VARCHAR) LIKE '517%' OR lower(NAME) LIKE '%richmond city%') AS lo FROM fx_tract),
+ft AS (SELECT t.* FROM fx_tract t JOIN tier ON TRUE WHERE CASE WHEN tier.ex THEN CAST(GEOID AS VARCHAR) LIKE '51760%'
+        WHEN tier.lo THEN (CAST(GEOID AS VARCHAR) LIKE '517%' OR lower(NAME) LIKE '%richmond city%') ELSE TRUE END),
+fte AS (SELECT e.* FROM fx_tract_edge e WHERE e.gid IN (SELECT gid FROM ft))"""
+
+
+def _filtered_tracts(spark, sf) -> inputs.Layer:
+    from ..operators import areal
+    tr = inputs.tracts(spark, sf)
+    kept = areal.tiered_filter(tr.attrs, S.pick_tract_id(tr.attrs), "NAME")
+    edges = tr.edges.join(kept.select("gid"), "gid", "left_semi")
+    return inputs.Layer(edges, kept)
+
+
+@register("tiered_filter", with_views(TR, TIER_CTES + "\nSELECT gid, GEOID, NAME FROM ft"))
+def q_tiered_filter(spark, sf):
+    return _filtered_tracts(spark, sf).attrs.select("gid", "GEOID", "NAME")
+
+
+@register("clip_area", with_views(NBH + TR, f""", {O.overlay_ctes('fx_nbh_edge', 'fx_tract_edge', 'ov')}
+SELECT CAST(t.GEOID AS VARCHAR) AS tract_id, round(sum(o.inter_area), 3) AS clipped_area
+FROM ov o JOIN fx_tract t ON t.gid = o.b_gid GROUP BY t.GEOID"""))
+def q_clip_area(spark, sf):
+    from ..operators import areal
+    nb, tr = inputs.neighborhoods(spark, sf), inputs.tracts(spark, sf)
+    ov = spatial.overlay_areas(nb.edges, nb.measures, tr.edges, tr.measures)
+    c = areal.clipped_tract_area(ov)
+    return (c.join(tr.attrs.select(F.col("gid").alias("b_gid"), F.col("GEOID").cast("string").alias("tract_id")), "b_gid")
+             .select("tract_id", F.round("clipped_area", 3).alias("clipped_area")))
+
+
+@register("areal_shares", with_views(NBH + TR, TIER_CTES + f""",
+{O.overlay_ctes('fx_nbh_edge', 'fte', 'ovf')},
+clip AS (SELECT b_gid, sum(inter_area) AS ca FROM ovf GROUP BY b_gid),
+j AS (SELECT o.a_gid, coalesce(o.inter_area / nullif(c.ca, 0), 0) AS w, t.* FROM ovf o JOIN clip c ON c.b_gid = o.b_gid
+      LEFT JOIN ft t ON t.gid = o.b_gid),
+g AS (SELECT a_gid, sum(coalesce(CAST(totalE AS DOUBLE), 0) * w) AS tot, """
+                                       + ", ".join(f"sum(coalesce(CAST({RACE_SRC[k]} AS DOUBLE), 0) * w) AS s_{k}" for k in RACE_KEYS)
+                                       + """ FROM j GROUP BY a_gid)
+SELECT n.name, """ + ", ".join(f"round(CASE WHEN tot > 0 THEN s_{k} / tot ELSE 0e0 END, 6) AS pct_{k}" for k in RACE_KEYS)
+                                       + " FROM g JOIN fx_nbh n ON n.gid = g.a_gid"))
+def q_areal_shares(spark, sf):
+    from ..operators import areal
+    nb = inputs.neighborhoods(spark, sf)
+    ft = _filtered_tracts(spark, sf)
+    ov = spatial.overlay_areas(nb.edges, nb.measures, ft.edges, ft.measures)
+    r = areal.areal_shares(ov, ft.attrs, S.pick_race_counts(ft.attrs))
+    return _r6(r.join(nb.attrs.select("gid", "name"), "gid").drop("gid"), "name")
+
+
+def _awm_sql(weighted: bool) -> str:
+    w = "coalesce(CAST(t.Households AS DOUBLE), 0)" if weighted else "coalesce(o.inter_area / nullif(b.area, 0), 0)"
+    return with_views(NBH + TR, f""", {O.overlay_ctes('fx_nbh_edge', 'fx_tract_edge', 'ov')},
+j AS (SELECT o.a_gid, {w} AS w, t.avg_income AS v FROM ov o LEFT JOIN fx_tract t ON t.gid = o.b_gid JOIN ov_pb b ON b.gid = o.b_gid),
+g AS (SELECT a_gid, sum(w) AS sw, sum(v * w) AS sv FROM j GROUP BY a_gid)
+SELECT n.name, round(CASE WHEN sw > 0 THEN coalesce(sv, 0) / sw ELSE 0e0 END, 6) AS avg_income
+FROM g JOIN fx_nbh n ON n.gid = g.a_gid""")
+
+
+def _awm(spark, sf, weighted: bool) -> DataFrame:
+    from ..operators import areal
+    nb, tr = inputs.neighborhoods(spark, sf), inputs.tracts(spark, sf)
+    ov = spatial.overlay_areas(nb.edges, nb.measures, tr.edges, tr.measures)
+    wcol = S.pick_weight_column(tr.attrs, by_substring=False) if weighted else None
+    r = areal.areal_weighted_mean(ov, tr.measures, tr.attrs, S.pick_income_columns(tr.attrs), wcol)
+    return _r6(r.join(nb.attrs.select("gid", "name"), "gid").drop("gid"), "name")
+
+
+@register("areal_weighted_mean", _awm_sql(True))
+def q_areal_weighted_mean(spark, sf):
+    return _awm(spark, sf, True)
+
+
+@register("areal_area_weighted_mean", _awm_sql(False))
+def q_areal_area_weighted_mean(spark, sf):
+    return _awm(spark, sf, False)
+
+
+WITHIN_CTES = f""", {O.overlay_ctes('fx_nbh_edge', 'fx_tract_edge', 'ov')},
+wi AS (SELECT n.name, round(avg(t.avg_income), 6) AS avg_income FROM ov o JOIN ov_pb b ON b.gid = o.b_gid
+       JOIN fx_tract t ON t.gid = o.b_gid JOIN fx_nbh n ON n.gid = o.a_gid
+       WHERE o.inter_area >= b.area * (1 - 1e-9) GROUP BY n.name)"""
+
+
+def _within(spark, sf) -> DataFrame:
+    from ..operators import areal
+    nb, tr = inputs.neighborhoods(spark, sf), inputs.tracts(spark, sf)
+    ov = spatial.overlay_areas(nb.edges, nb.measures, tr.edges, tr.measures)
+    r = areal.within_mean(ov, tr.measures, tr.attrs, S.pick_income_columns(tr.attrs))
+    return _r6(r.join(nb.attrs.select("gid", "name"), "gid").drop("gid"), "name")
+
+
+@register("within_fill", with_views(NBH + TR, WITHIN_CTES + "\nSELECT name, avg_income FROM wi"))
+def q_within_fill(spark, sf):
+    return _within(spark, sf)
+
+
+NEAREST_CTES = f""", {O.bbox_area_cte('fx_nbh_edge', 'nm')},
+cen AS (SELECT m.gid AS pid,
+          m.xmin + sum(((e.x1 - m.xmin) + (e.x2 - m.xmin)) * ((e.x1 - m.xmin) * (e.y2 - m.ymin) - (e.x2 - m.xmin) * (e.y1 - m.ymin))) / (6 * m.area) AS x,
+          m.ymin + sum(((e.y1 - m.ymin) + (e.y2 - m.ymin)) * ((e.x1 - m.xmin) * (e.y2 - m.ymin) - (e.x2 - m.xmin) * (e.y1 - m.ymin))) / (6 * m.area) AS y
+        FROM fx_nbh_edge e JOIN nm m ON m.gid = e.gid GROUP BY m.gid, m.xmin, m.ymin, m.area),
+ins AS ({O.pip_pairs('cen', 'fx_tract_edge', 'intersects')}),
+dd AS (SELECT p.pid, e.gid, sqrt(min({G.seg_point_dist2_sql('e', 'p.x', 'p.y')})) AS dist
+       FROM cen p JOIN fx_tract_edge e ON TRUE GROUP BY p.pid, e.gid),
+d AS (SELECT dd.pid, dd.gid, CASE WHEN ins.pid IS NOT NULL THEN 0e0 ELSE dd.dist END AS dist
+      FROM dd LEFT JOIN ins ON ins.pid = dd.pid AND ins.gid = dd.gid),
+best AS (SELECT pid, min(dist) AS m FROM d GROUP BY pid),
+nn AS (SELECT n.name, round(avg(t.avg_income), 6) AS avg_income FROM d JOIN best ON d.pid = best.pid AND d.dist = best.m
+       JOIN fx_tract t ON t.gid = d.gid JOIN fx_nbh n ON n.gid = d.pid GROUP BY n.name)"""
+
+
+def _nearest(spark, sf) -> DataFrame:
+    from ..operators import areal
+    nb, tr = inputs.neighborhoods(spark, sf), inputs.tracts(spark, sf)
+    cen = nb.measures.select(F.col("gid").alias("pid"), F.col("cx").alias("x"), F.col("cy").alias("y"))
+    nn = spatial.nearest_polygon(cen, tr.edges, measures=tr.measures)
+    r = areal.nearest_mean(nn, tr.attrs, S.pick_income_columns(tr.attrs))
+    return _r6(r.join(nb.attrs.select("gid", "name"), "gid").drop("gid"), "name")
+
+
+@register("nearest_fill", with_views(NBH + TR, NEAREST_CTES + "\nSELECT name, avg_income FROM nn"))
+def q_nearest_fill(spark, sf):
+    return _nearest(spark, sf)
+
+
+@register("missing_keys", with_views(NBH + TR, WITHIN_CTES + "\nSELECT name FROM fx_nbh WHERE name NOT IN (SELECT name FROM wi)"))
+def q_missing_keys(spark, sf):
+    from ..operators import areal
+    nb = inputs.neighborhoods(spark, sf)
+    return areal.missing_keys(nb.attrs.select("name"), _within(spark, sf), "name")
+
+
+@register("three_tier_fill", with_views(NBH + TR, WITHIN_CTES.replace("ov", "ow") + NEAREST_CTES + f""",
+{O.overlay_ctes('fx_nbh_edge', 'fx_tract_edge', 'ov')},
+aj AS (SELECT o.a_gid, coalesce(CAST(t.Households AS DOUBLE), 0) AS w, t.avg_income AS v FROM ov o LEFT JOIN fx_tract t ON t.gid = o.b_gid),
+ag AS (SELECT a_gid, sum(w) AS sw, sum(v * w) AS sv FROM aj GROUP BY a_gid),
+aw AS (SELECT n.name, round(CASE WHEN sw > 0 THEN coalesce(sv, 0) / sw ELSE 0e0 END, 6) AS avg_income FROM ag JOIN fx_nbh n ON n.gid = ag.a_gid)
+SELECT coalesce(aw.name, wi.name, nn.name) AS name, coalesce(aw.avg_income, wi.avg_income, nn.avg_income, 0e0) AS avg_income
+FROM aw FULL OUTER JOIN wi ON aw.name = wi.name FULL OUTER JOIN nn ON coalesce(aw.name, wi.name) = nn.name"""))
+def q_three_tier_fill(spark, sf):
+    from ..operators import areal
+    return areal.three_tier_fill(_awm(spark, sf, True), _within(spark, sf), _nearest(spark, sf), "name", ["avg_income"])
