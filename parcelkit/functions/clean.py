@@ -150,8 +150,11 @@ def finite_or_null(c) -> Column:
 
 
 def round_half_even(c, n: int) -> Column:
-    """pandas/NumPy rounding (half to even)."""
-    return F.bround(_c(c), n)
+    """NumPy/pandas ``round(n)``: scale, round half to even on the binary
+    value (``rint``), unscale. (``bround`` rounds the exact decimal
+    expansion instead and differs on values such as 0.15.)"""
+    k = float(10 ** n)
+    return F.rint(_c(c) * F.lit(k)) / F.lit(k)
 
 
 def null_tokens_to_null(c) -> Column:

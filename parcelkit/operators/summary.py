@@ -80,7 +80,7 @@ def imputed_summary(df: DataFrame, group_col: str, cats: dict[str, Column]) -> D
         for kind in ("lead", "non_lead"):
             n = F.col(f"{kind}_count_{side}_imputed")
             g = g.withColumn(f"{kind}_percent_{side}_imputed",
-                             X.round_half_even(n * 100.0 / F.col("total_count"), 1))
+                             X.round_half_even(n / F.col("total_count") * 100.0, 1))
     return g
 
 
@@ -91,7 +91,7 @@ def value_counts_pct(df: DataFrame, col: str, decimals: int = 1) -> DataFrame:
     nulls counted as their own value."""
     g = df.groupBy(F.col(col).alias("value")).agg(F.count(F.lit(1)).alias("count"))
     tot = F.sum("count").over(Window.partitionBy())
-    return g.withColumn("percent", X.round_half_even(F.col("count") * 100.0 / tot, decimals))
+    return g.withColumn("percent", X.round_half_even(F.col("count") / tot * 100.0, decimals))
 
 
 def grouped_min_max_mean(df: DataFrame, group_col: str, cols: list[str]) -> DataFrame:
@@ -120,18 +120,19 @@ def mean_count_by(df: DataFrame, group_col: str, value: Column, mean_name: str,
 
 def numeric_profile(df: DataFrame, cols: list[str]) -> DataFrame:
     """Long-format profile ``variable, count, mean, median, min, p10, p90,
-    max`` per numeric column; columns with no value are skipped. The columns
-    are unpivoted in one pass and aggregated together (one shuffle)."""
+    max`` per numeric column; columns with no value are skipped. Columns are
+    unpivoted in one pass; moments come from one grouped aggregate and the
+    three percentiles from exact distributed order statistics."""
+    from .quantiles import exact_quantiles
     long = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("variable"), X.to_double(c).alias("v")) for c in cols])).alias("r")
-    ).select("r.variable", "r.v")
+    ).select("r.variable", "r.v").filter(F.col("v").isNotNull())
     g = long.groupBy("variable").agg(
-        F.count("v").alias("count"), F.avg("v").alias("mean"),
-        F.percentile("v", F.array(F.lit(0.5), F.lit(0.1), F.lit(0.9))).alias("_q"),
-        F.min("v").alias("min"), F.max("v").alias("max"))
-    return g.filter(F.col("count") > 0).select(
-        "variable", "count", "mean", F.col("_q")[0].alias("median"), "min",
-        F.col("_q")[1].alias("p10"), F.col("_q")[2].alias("p90"), "max")
+        F.count("v").alias("count"), F.avg("v").alias("mean"), F.min("v").alias("min"), F.max("v").alias("max"))
+    q = exact_quantiles(long, "variable", [0.5, 0.1, 0.9])
+    return g.join(q, "variable").select(
+        "variable", "count", "mean", F.col("q_0").alias("median"), "min",
+        F.col("q_1").alias("p10"), F.col("q_2").alias("p90"), "max")
 
 
 def categorical_profile(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -192,3 +193,18 @@ def hash_sample(df: DataFrame, key: str, n: int, seed: int = 1) -> DataFrame:
     """Exactly ``min(n, rows)`` rows, without replacement, chosen by a
     seeded hash of the key (deterministic; a top-n by hash)."""
     return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), F.col(key)).limit(n)
+
+
+def value_counts_by_variable(long: DataFrame, decimals: int = 1) -> DataFrame:
+    """A13 over several columns at once: ``long`` has ``variable, value``;
+    returns ``variable, value, count, percent`` (percent of all rows)."""
+    g = long.groupBy("variable", "value").agg(F.count(F.lit(1)).alias("count"))
+    tot = F.sum("count").over(Window.partitionBy("variable"))
+    return g.withColumn("percent", X.round_half_even(F.col("count") / tot * 100.0, decimals))
+
+
+def arith_hash_sample(df: DataFrame, key: str, n: int, seed: int = 1) -> DataFrame:
+    """O4 with a portable arithmetic hash of an integer key (reproducible in
+    any SQL engine): ``(key * 7919 + seed * 104729) mod 1000003``, ties by key."""
+    h = (F.col(key) * F.lit(7919) + F.lit(seed * 104729)) % F.lit(1000003)
+    return df.orderBy(h, F.col(key)).limit(n)

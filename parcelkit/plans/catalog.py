@@ -548,3 +548,210 @@ FROM aw FULL OUTER JOIN wi ON aw.name = wi.name FULL OUTER JOIN nn ON coalesce(a
 def q_three_tier_fill(spark, sf):
     from ..operators import areal
     return areal.three_tier_fill(_awm(spark, sf, True), _within(spark, sf), _nearest(spark, sf), "name", ["avg_income"])
+
+
+# ======================================= step 5: master, summaries, sample
+
+RACE_PCT_KEEP = ["Pwhite", "Pblack"]
+
+
+def house_master_df(spark, sf) -> DataFrame:
+    """E2 stage 1: houses J1-joined to neighborhoods, race tracts and income
+    tracts; polygon attributes carry explicit prefixes, source columns are
+    never renamed."""
+    nb, tr = inputs.neighborhoods(spark, sf), inputs.tracts(spark, sf)
+    h = inputs.houses(spark, sf)
+    tid = S.pick_tract_id(tr.attrs)
+    race_cols = [c for c in S.RACE_PCT_COLUMNS if c in tr.attrs.columns][:10]
+    inc_cols = S.pick_income_columns(tr.attrs, limit=10)
+    m = spatial.pip_join(h, nb.edges, nb.attrs.select("gid", F.col("name").alias("nbh_name")),
+                         predicate="within", how="left", measures=nb.measures, gid_col="nbh_gid")
+    race = tr.attrs.select("gid", F.col(tid).cast("string").alias("race_tract_id"),
+                           *[F.col(c).alias(f"race_{c}") for c in race_cols])
+    m = spatial.pip_join(m, tr.edges, race, predicate="within", how="left", measures=tr.measures, gid_col="race_gid")
+    inc = tr.attrs.select("gid", F.col(tid).cast("string").alias("inc_tract_id"),
+                          *[F.col(c).alias(f"inc_{c}") for c in inc_cols])
+    return spatial.pip_join(m, tr.edges, inc, predicate="within", how="left", measures=tr.measures, gid_col="inc_gid")
+
+
+@register("house_master", with_views([H] + NBH + TR, f""", {PTS_CTE},
+a AS ({O.pip_pairs('pts', 'fx_nbh_edge', 'within')}),
+b AS ({O.pip_pairs('pts', 'fx_tract_edge', 'within')})
+SELECT p.pid, n.name AS nbh_name, CAST(t.GEOID AS VARCHAR) AS race_tract_id, t.Pwhite AS race_Pwhite, t.Pblack AS race_Pblack,
+       CAST(t.GEOID AS VARCHAR) AS inc_tract_id, t.avg_income AS inc_avg_income
+FROM pts p LEFT JOIN a ON a.pid = p.pid LEFT JOIN fx_nbh n ON n.gid = a.gid
+LEFT JOIN b ON b.pid = p.pid LEFT JOIN fx_tract t ON t.gid = b.gid"""))
+def q_house_master(spark, sf):
+    return house_master_df(spark, sf).select("pid", "nbh_name", "race_tract_id", "race_Pwhite", "race_Pblack",
+                                             "inc_tract_id", "inc_avg_income")
+
+
+SIDES = {"bothsides": "bothsidesstatus_imputed", "custmaterial": "custmaterial_cat_imputed",
+         "utilmaterial": "utilmaterial_cat_imputed"}
+
+
+def _imp_sql_cols() -> str:
+    parts = []
+    for side, col in SIDES.items():
+        for kind, val in (("lead", "Lead/GRR"), ("non_lead", "Non-Lead")):
+            parts.append(f"count(*) FILTER (WHERE {col} = '{val}') AS {kind}_count_{side}_imputed")
+            parts.append(f"round_even(count(*) FILTER (WHERE {col} = '{val}') / count(*) * 100e0, 1) "
+                         f"AS {kind}_percent_{side}_imputed")
+    return ", ".join(parts)
+
+
+@register("imputed_summary", _with_imp(f"""
+SELECT neighborhood_name, count(*) AS total_count, {_imp_sql_cols()}
+FROM imp WHERE neighborhood_name IS NOT NULL GROUP BY neighborhood_name"""))
+def q_imputed_summary(spark, sf):
+    h = imputed_columns(inputs.houses(spark, sf))
+    return summary.imputed_summary(h, "neighborhood_name", {k: F.col(v) for k, v in SIDES.items()})
+
+
+VC_COLS = ["custmaterial", "custmaterial_cat", "utilmaterial", "utilmaterial_cat", "bothsidesstatus",
+           "bothsidesstatus_cat", "custmaterial_cat_imputed", "utilmaterial_cat_imputed", "bothsidesstatus_imputed"]
+
+
+@register("value_counts_pct", _with_imp(",\nlong AS (" + " UNION ALL ".join(
+    f"SELECT '{c}' AS variable, {c} AS value FROM imp" for c in VC_COLS) + """)
+SELECT variable, value, count(*) AS count,
+       round_even(count(*) / sum(count(*)) OVER (PARTITION BY variable) * 100e0, 1) AS percent
+FROM long GROUP BY variable, value"""))
+def q_value_counts_pct(spark, sf):
+    h = imputed_columns(inputs.houses(spark, sf))
+    long = h.select(F.explode(F.array(*[F.struct(F.lit(c).alias("variable"), F.col(c).alias("value"))
+                                        for c in VC_COLS])).alias("r")).select("r.*")
+    return summary.value_counts_by_variable(long)
+
+
+@register("class_score_stats", with_views([H], """
+SELECT ModelClassification_Cust, min(ModelScoreForLeadClassification_Cust) AS score_min,
+       max(ModelScoreForLeadClassification_Cust) AS score_max, round(avg(ModelScoreForLeadClassification_Cust), 9) AS score_mean
+FROM fx_house WHERE ModelClassification_Cust IS NOT NULL GROUP BY ModelClassification_Cust"""))
+def q_class_score_stats(spark, sf):
+    h = inputs.houses(spark, sf)
+    g = summary.grouped_min_max_mean(h, "ModelClassification_Cust", ["ModelScoreForLeadClassification_Cust"])
+    c = "ModelScoreForLeadClassification_Cust"
+    return g.select("ModelClassification_Cust", F.col(f"{c}_min").alias("score_min"),
+                    F.col(f"{c}_max").alias("score_max"), F.round(f"{c}_mean", 9).alias("score_mean"))
+
+
+@register("material_score_stats", _with_imp("""
+SELECT custmaterial_cat, min(ModelScoreForLeadClassification_Cust) AS score_min, max(ModelScoreForLeadClassification_Cust) AS score_max,
+       round(avg(ModelScoreForLeadClassification_Cust), 9) AS score_mean, min(ModelClassification_Cust) AS class_min,
+       max(ModelClassification_Cust) AS class_max, round(avg(ModelClassification_Cust), 9) AS class_mean
+FROM imp GROUP BY custmaterial_cat"""))
+def q_material_score_stats(spark, sf):
+    h = imputed_columns(inputs.houses(spark, sf))
+    s, k = "ModelScoreForLeadClassification_Cust", "ModelClassification_Cust"
+    g = summary.grouped_min_max_mean(h, "custmaterial_cat", [s, k])
+    return g.select("custmaterial_cat", F.col(f"{s}_min").alias("score_min"), F.col(f"{s}_max").alias("score_max"),
+                    F.round(f"{s}_mean", 9).alias("score_mean"), F.col(f"{k}_min").alias("class_min"),
+                    F.col(f"{k}_max").alias("class_max"), F.round(f"{k}_mean", 9).alias("class_mean"))
+
+
+@register("latest_edits", with_views([H], """
+SELECT strftime(epoch_ms(EditDate), '%Y-%m-%d %H:%M:%S') AS edit_ts FROM fx_house
+WHERE EditDate IS NOT NULL ORDER BY EditDate DESC LIMIT 10"""))
+def q_latest_edits(spark, sf):
+    h = inputs.houses(spark, sf).select(X.epoch_ms_to_ts("EditDate").alias("ts"))
+    return summary.top_k(h, "ts", 10).select(F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("edit_ts"))
+
+
+@register("last_edit", with_views([H], """
+SELECT strftime(max(epoch_ms(EditDate)), '%Y-%m-%d %H:%M:%S') AS last_edit FROM fx_house"""))
+def q_last_edit(spark, sf):
+    h = inputs.houses(spark, sf)
+    return h.agg(F.date_format(F.max(X.epoch_ms_to_ts("EditDate")), "yyyy-MM-dd HH:mm:ss").alias("last_edit"))
+
+
+NUM_COLS = ["yearstructbuilt", "MHI", "J40_TotCatExceeded", "x", "y"]
+
+
+def eda_minimal(h: DataFrame) -> DataFrame:
+    """The EDA's minimal table: status categories (X1) and the cleaned year (F3 c)."""
+    return (h.withColumn("utilmaterial_cat", X.normalize_status("utilmaterial"))
+             .withColumn("custmaterial_cat", X.normalize_status("custmaterial"))
+             .withColumn("bothsidesstatus_cat", X.normalize_status("bothsidesstatus"))
+             .withColumn("yearstructbuilt", X.clean_year("yearstructbuilt", CUR_YEAR)))
+
+
+@register("numeric_profile", with_views([H], ",\nm AS (SELECT " + ", ".join(
+    [f"CASE WHEN {O.num('yearstructbuilt')} > 0 AND {O.num('yearstructbuilt')} <= {CUR_YEAR} THEN {O.num('yearstructbuilt')} END AS yearstructbuilt"]
+    + [f"{O.num(c)} AS {c}" for c in NUM_COLS[1:]]) + " FROM fx_house),\nlong AS (" + " UNION ALL ".join(
+    f"SELECT '{c}' AS variable, {c} AS v FROM m WHERE {c} IS NOT NULL" for c in NUM_COLS) + """)
+SELECT variable, count(v) AS count, round(avg(v), 6) AS mean, round(quantile_cont(v, 0.5), 6) AS median, min(v) AS min,
+       round(quantile_cont(v, 0.1), 6) AS p10, round(quantile_cont(v, 0.9), 6) AS p90, max(v) AS max
+FROM long GROUP BY variable"""))
+def q_numeric_profile(spark, sf):
+    m = eda_minimal(inputs.houses(spark, sf))
+    p = summary.numeric_profile(m, NUM_COLS)
+    return p.select("variable", "count", F.round("mean", 6).alias("mean"), F.round("median", 6).alias("median"),
+                    "min", F.round("p10", 6).alias("p10"), F.round("p90", 6).alias("p90"), "max")
+
+
+CAT_COLS = ["utilmaterial", "custmaterial", "bothsidesstatus", "utilmaterial_cat", "custmaterial_cat",
+            "bothsidesstatus_cat", "buildingtype", "disadvantaged", "neighborhood_name"]
+
+
+@register("categorical_profile", with_views([H], f""",
+m AS (SELECT *, {O.status('utilmaterial')} AS utilmaterial_cat, {O.status('custmaterial')} AS custmaterial_cat,
+             {O.status('bothsidesstatus')} AS bothsidesstatus_cat FROM fx_house),
+long AS (""" + " UNION ALL ".join(f"SELECT '{c}' AS variable, coalesce(CAST({c} AS VARCHAR), '<NA>') AS category FROM m"
+                                   for c in CAT_COLS) + """)
+SELECT variable, category, count(*) AS count, count(*) / sum(count(*)) OVER (PARTITION BY variable) AS percent
+FROM long GROUP BY variable, category"""))
+def q_categorical_profile(spark, sf):
+    return summary.categorical_profile(eda_minimal(inputs.houses(spark, sf)), CAT_COLS)
+
+
+@register("house_age", with_views([H], f"""
+SELECT neighborhood_name, round(avg({CUR_YEAR}e0 - y), 9) AS avg_house_age, count(*) AS n_houses
+FROM (SELECT neighborhood_name, {O.num('yearstructbuilt')} AS y FROM fx_house) t
+WHERE y > 0 AND y <= {CUR_YEAR} AND neighborhood_name IS NOT NULL GROUP BY neighborhood_name"""))
+def q_house_age(spark, sf):
+    h = inputs.houses(spark, sf)
+    y = X.to_double("yearstructbuilt")
+    h = h.filter(X.year_valid(y, CUR_YEAR, "b"))
+    g = summary.mean_count_by(h, "neighborhood_name", F.lit(float(CUR_YEAR)) - y, "avg_house_age", "n_houses")
+    return g.select("neighborhood_name", F.round("avg_house_age", 9).alias("avg_house_age"), "n_houses")
+
+
+@register("house_weighted_income", with_views([H], f"""
+SELECT neighborhood_name, round(avg(v), 6) AS MHI FROM (SELECT neighborhood_name, {O.num('MHI')} AS v FROM fx_house) t
+WHERE v IS NOT NULL AND neighborhood_name IS NOT NULL GROUP BY neighborhood_name"""))
+def q_house_weighted_income(spark, sf):
+    h = inputs.houses(spark, sf)
+    g = summary.mean_count_by(h, "neighborhood_name", X.to_double("MHI"), "MHI", "_n")
+    return g.select("neighborhood_name", F.round("MHI", 6).alias("MHI"))
+
+
+def _year_bin_sql(y: str) -> str:
+    parts = []
+    for label, hi in summary.YEAR_BINS:
+        parts.append(f"WHEN {y} <= {hi} THEN '{label}'" if hi is not None else f"ELSE '{label}'")
+    return "CASE " + " ".join(parts) + " END"
+
+
+@register("year_bins", with_views([H], f""",
+t AS (SELECT {O.status('bothsidesstatus')} AS s,
+             CASE WHEN {O.num('yearstructbuilt')} > 0 AND {O.num('yearstructbuilt')} <= {CUR_YEAR} THEN {O.num('yearstructbuilt')} END AS y
+      FROM fx_house),
+g AS (SELECT {_year_bin_sql('y')} AS year_bin, count(*) FILTER (WHERE s = 'Lead') AS l,
+             count(*) FILTER (WHERE s = 'Non-Lead') AS n, count(*) FILTER (WHERE s = 'Unknown') AS u
+      FROM t WHERE y IS NOT NULL GROUP BY 1)
+SELECT year_bin, l + n AS count, CASE WHEN l + n > 0 THEN l / (l + n) ELSE 0e0 END AS lead_rate_known,
+       CASE WHEN l + n + u > 0 THEN u / (l + n + u) ELSE 0e0 END AS unknown_rate FROM g"""))
+def q_year_bins(spark, sf):
+    h = inputs.houses(spark, sf)
+    return summary.year_bins(h, X.clean_year("yearstructbuilt", CUR_YEAR), X.normalize_status("bothsidesstatus"))
+
+
+SAMPLE_N, SAMPLE_SEED = 40000, 1
+
+
+@register("hash_sample", with_views([H], f"""
+SELECT pid, x, y FROM fx_house ORDER BY (pid * 7919 + {SAMPLE_SEED} * 104729) % 1000003, pid LIMIT {SAMPLE_N}"""))
+def q_hash_sample(spark, sf):
+    h = inputs.houses(spark, sf).select("pid", "x", "y")
+    return summary.arith_hash_sample(h, "pid", SAMPLE_N, SAMPLE_SEED)
