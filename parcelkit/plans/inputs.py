@@ -31,20 +31,38 @@ class Layer:
         return self._measures
 
 
+_REGISTERED: dict = {}
+_LAYERS: dict = {}
+
+
 def _fx(spark: SparkSession, sf_dir: str) -> None:
-    register_fixtures(spark, sf_dir, ["fx_nbh", "fx_nbh_node", "fx_tract", "fx_tract_node", "fx_house"])
+    key = (id(spark), sf_dir)
+    if _REGISTERED.get("key") != key:
+        register_fixtures(spark, sf_dir, ["fx_nbh", "fx_nbh_node", "fx_tract", "fx_tract_node", "fx_house"])
+        _REGISTERED["key"] = key
+
+
+def _layer(spark: SparkSession, sf_dir: str, node_view: str, attr_view: str) -> Layer:
+    """Polygon layers are small next to the point data and every spatial
+    operator reads them several times (size check, cell size, join), so
+    their edges and measures are persisted once per session and folder. A
+    lost cached block is recomputed from lineage."""
+    key = (id(spark), sf_dir, node_view)
+    if key not in _LAYERS:
+        _fx(spark, sf_dir)
+        edges = edges_from_vertices(vertices_from_nodes(spark.table(node_view))).persist()
+        attrs = spark.table(attr_view)
+        _LAYERS[key] = Layer(edges, attrs, polygon_measures(edges).persist())
+    _fx(spark, sf_dir)
+    return _LAYERS[key]
 
 
 def neighborhoods(spark: SparkSession, sf_dir: str) -> Layer:
-    _fx(spark, sf_dir)
-    edges = edges_from_vertices(vertices_from_nodes(spark.table("fx_nbh_node")))
-    return Layer(edges, spark.table("fx_nbh"))
+    return _layer(spark, sf_dir, "fx_nbh_node", "fx_nbh")
 
 
 def tracts(spark: SparkSession, sf_dir: str) -> Layer:
-    _fx(spark, sf_dir)
-    edges = edges_from_vertices(vertices_from_nodes(spark.table("fx_tract_node")))
-    return Layer(edges, spark.table("fx_tract"))
+    return _layer(spark, sf_dir, "fx_tract_node", "fx_tract")
 
 
 def houses(spark: SparkSession, sf_dir: str) -> DataFrame:
