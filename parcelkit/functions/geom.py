@@ -173,3 +173,16 @@ def seg_point_dist2_sql(e: str, x: str, y: str) -> str:
          f"/ nullif({dx} * {dx} + {dy} * {dy}, 0e0), 0e0)))")
     px, py = f"({e}.x1 + {t} * {dx})", f"({e}.y1 + {t} * {dy})"
     return f"(({x} - {px}) * ({x} - {px}) + ({y} - {py}) * ({y} - {py}))"
+
+
+def segment_touches_box_sql(e: str, x0: str, y0: str, x1: str, y1: str) -> str:
+    """Closed segment ``e`` meets closed box [x0,x1]x[y0,y1] (separating-axis
+    test: both bbox axes and the segment's normal)."""
+    bb = (f"greatest({e}.x1, {e}.x2) >= {x0} AND least({e}.x1, {e}.x2) <= {x1} AND "
+          f"greatest({e}.y1, {e}.y2) >= {y0} AND least({e}.y1, {e}.y2) <= {y1}")
+
+    def side(px, py):
+        return f"sign(({e}.x2 - {e}.x1) * ({py} - {e}.y1) - ({e}.y2 - {e}.y1) * ({px} - {e}.x1))"
+
+    s = [side(x0, y0), side(x1, y0), side(x1, y1), side(x0, y1)]
+    return f"(({bb}) AND NOT (least({', '.join(s)}) > 0 OR greatest({', '.join(s)}) < 0))"

@@ -21,54 +21,104 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.geom import point_in_edges_sql, seg_point_dist2_sql
+from ..functions.geom import (crossings_sql, point_in_edges_sql, seg_point_dist2_sql,
+                              segment_touches_box_sql)
 from .polygons import EDGE_COLS, polygon_measures
-from .sizing import DEFAULT_BROADCAST_LIMIT, broadcast_if_bounded, default_cell_size
+from .sizing import (DEFAULT_BROADCAST_LIMIT, EDGE_BYTES, ROW_OVERHEAD, broadcast_if_bounded,
+                     default_cell_size, pip_cell_size)
 
 
 # ----------------------------------------------------------------- J1 / J2
 
 def polygon_cells(edges: DataFrame, measures: DataFrame, cell: float) -> DataFrame:
-    """``_gid, _cx, _cy, _edges``: per polygon and grid cell, the edges a ray
-    cast to +x from any point of that cell can cross or touch."""
+    """``_gid, _cx, _cy, _edges, _full`` per polygon and grid cell.
+
+    ``_edges``: the edges a ray cast to +x from any point of the cell can
+    cross or touch (edges overlapping the cell's y-band that reach its left
+    side). A cell that no edge touches (box grown by a relative margin, so
+    near-misses stay on the exact path) lies wholly inside or outside: inside
+    cells get ``_full = true`` and an empty array (no per-point test), outside
+    cells are dropped. Only boundary cells keep their edges.
+    """
     c = F.lit(float(cell))
     e = edges.join(measures.select("gid", "xmin"), "gid")
     e = (e.withColumn("_cy", F.explode(F.sequence(F.floor(F.least("y1", "y2") / c),
                                                   F.floor(F.greatest("y1", "y2") / c))))
           .withColumn("_cx", F.explode(F.sequence(F.floor(F.col("xmin") / c),
                                                   F.floor(F.greatest("x1", "x2") / c)))))
-    return (e.groupBy(F.col("gid").alias("_gid"), "_cx", "_cy")
-             .agg(F.collect_list(F.struct(*EDGE_COLS)).alias("_edges")))
+    g = (e.groupBy(F.col("gid").alias("_gid"), "_cx", "_cy")
+          .agg(F.collect_list(F.struct(*EDGE_COLS)).alias("_edges")))
+    m = float(cell) * 1e-6
+    bx0, by0 = f"(_cx * {float(cell)!r} - {m!r})", f"(_cy * {float(cell)!r} - {m!r})"
+    bx1, by1 = f"((_cx + 1) * {float(cell)!r} + {m!r})", f"((_cy + 1) * {float(cell)!r} + {m!r})"
+    touch = F.expr(f"exists(_edges, e -> {segment_touches_box_sql('e', bx0, by0, bx1, by1)})")
+    mx, my = f"((_cx + 0.5D) * {float(cell)!r})", f"((_cy + 0.5D) * {float(cell)!r})"
+    centre_in = F.expr(f"{crossings_sql('_edges', mx, my)} % 2 = 1")
+    g = g.withColumn("_touch", touch).withColumn("_cin", centre_in)
+    return (g.filter(F.col("_touch") | F.col("_cin"))
+             .select("_gid", "_cx", "_cy",
+                     F.when(F.col("_touch"), F.col("_edges"))
+                      .otherwise(F.array().cast("array<struct<x1:double,y1:double,x2:double,y2:double>>"))
+                      .alias("_edges"),
+                     (~F.col("_touch")).alias("_full")))
+
+
+class PipIndex:
+    """A polygon layer's cell table for point-in-polygon joins, built once
+    and persisted; its size is measured once so every join against it can
+    decide on broadcasting without another pass."""
+
+    def __init__(self, edges: DataFrame, measures: DataFrame | None = None, cell: float | None = None):
+        if measures is None:
+            measures = polygon_measures(edges)
+        self.cell = float(cell) if cell else pip_cell_size(measures)
+        self.cells = polygon_cells(edges, measures, self.cell).persist()
+        r = self.cells.agg(F.count(F.lit(1)).alias("n"),
+                           F.coalesce(F.sum(F.size("_edges")), F.lit(0)).alias("e")).first()
+        self.n_rows = int(r["n"])
+        # key columns + flag per row, 40 bytes per edge entry
+        self.size_bytes = self.n_rows * (ROW_OVERHEAD + 3 * 8) + int(r["e"]) * EDGE_BYTES
+
+    def with_attrs(self, attrs: DataFrame | None, broadcast_limit: int) -> DataFrame:
+        cells = self.cells
+        size = self.size_bytes
+        if attrs is not None:
+            a = attrs.withColumnRenamed("gid", "_gid")
+            cells = cells.join(a, "_gid")
+            # attributes repeat on every cell row of their polygon: bound the
+            # row width by the longest value of each string column (measured)
+            strs = [f.name for f in a.schema.fields if f.dataType.typeName() == "string"]
+            per_row = 8 * (len(a.schema.fields) - len(strs))
+            if strs:
+                r = a.agg(*[F.coalesce(F.max(F.length(c)), F.lit(0)).alias(c) for c in strs]).first()
+                per_row += sum(2 * int(r[c]) + 16 for c in strs)
+            size += per_row * self.n_rows
+        if 0 < size <= broadcast_limit:
+            return F.broadcast(cells)
+        return cells
 
 
-def pip_join(points: DataFrame, edges: DataFrame, attrs: DataFrame | None = None, *,
+def pip_join(points: DataFrame, edges, attrs: DataFrame | None = None, *,
              x: str = "x", y: str = "y", predicate: str = "within", how: str = "left",
              cell: float | None = None, measures: DataFrame | None = None,
              broadcast_limit: int = DEFAULT_BROADCAST_LIMIT, gid_col: str = "gid") -> DataFrame:
     """J1 (``within``: boundary excluded) / J2 (``intersects``) point-in-polygon join.
 
+    ``edges`` is an edge DataFrame or a prebuilt ``PipIndex``.
     ``how='left'``: every point kept; a point in no polygon gets one row of
     nulls, a point in k polygons k rows. ``attrs`` (keyed by ``gid``) are
     attached to the cell rows before the join, so the point side is joined
-    once. Returns the point columns + ``gid_col`` + attribute columns.
+    once and never shuffled when the cell side is broadcast. Returns the
+    point columns + ``gid_col`` + attribute columns.
     """
-    if measures is None:
-        measures = polygon_measures(edges)
-    if cell is None:
-        cell = default_cell_size(measures)
-    cells = polygon_cells(edges, measures, cell)
-    str_cols = []
-    if attrs is not None:
-        a = attrs.withColumnRenamed("gid", "_gid")
-        cells = cells.join(a, "_gid")
-        str_cols = [f.name for f in a.schema.fields if f.dataType.typeName() == "string"]
-    cells = broadcast_if_bounded(cells, broadcast_limit, array_cols=("_edges",), string_cols=str_cols)
-    c = F.lit(float(cell))
+    index = edges if isinstance(edges, PipIndex) else PipIndex(edges, measures, cell)
+    cells = index.with_attrs(attrs, broadcast_limit)
+    c = F.lit(index.cell)
     p = points.withColumn("_pcx", F.floor(F.col(x) / c)).withColumn("_pcy", F.floor(F.col(y) / c))
     test = F.expr(point_in_edges_sql("_edges", f"`{x}`", f"`{y}`", predicate))
-    cond = (F.col("_pcx") == F.col("_cx")) & (F.col("_pcy") == F.col("_cy")) & test
+    cond = (F.col("_pcx") == F.col("_cx")) & (F.col("_pcy") == F.col("_cy")) & (F.col("_full") | test)
     j = p.join(cells, cond, how)
-    return j.drop("_pcx", "_pcy", "_cx", "_cy", "_edges").withColumnRenamed("_gid", gid_col)
+    return j.drop("_pcx", "_pcy", "_cx", "_cy", "_edges", "_full").withColumnRenamed("_gid", gid_col)
 
 
 # ---------------------------------------------------------------------- J3

@@ -231,8 +231,7 @@ SELECT p.pid, i.gid FROM pts p LEFT JOIN ({O.pip_pairs('pts', 'fx_nbh_edge', 'wi
 def q_pip_left_join(spark, sf):
     nb = inputs.neighborhoods(spark, sf)
     h = inputs.houses(spark, sf).select("pid", "x", "y")
-    return spatial.pip_join(h, nb.edges, None, predicate="within", how="left",
-                            measures=nb.measures).select("pid", "gid")
+    return spatial.pip_join(h, nb.index, None, predicate="within", how="left").select("pid", "gid")
 
 
 @register("pip_boundary", with_views([H] + TR, f""", {PTS_CTE}
@@ -240,15 +239,13 @@ SELECT p.pid, i.gid FROM pts p LEFT JOIN ({O.pip_pairs('pts', 'fx_tract_edge', '
 def q_pip_boundary(spark, sf):
     tr = inputs.tracts(spark, sf)
     h = inputs.houses(spark, sf).select("pid", "x", "y")
-    return spatial.pip_join(h, tr.edges, None, predicate="intersects", how="left",
-                            measures=tr.measures).select("pid", "gid")
+    return spatial.pip_join(h, tr.index, None, predicate="intersects", how="left").select("pid", "gid")
 
 
 def houses_in_neighborhoods(spark, sf, predicate="within") -> DataFrame:
     nb = inputs.neighborhoods(spark, sf)
     h = inputs.houses(spark, sf)
-    return spatial.pip_join(h, nb.edges, nb.attrs.select("gid", "name"), predicate=predicate,
-                            how="left", measures=nb.measures)
+    return spatial.pip_join(h, nb.index, nb.attrs.select("gid", "name"), predicate=predicate, how="left")
 
 
 def _lead_summary(joined: DataFrame) -> DataFrame:
@@ -564,14 +561,14 @@ def house_master_df(spark, sf) -> DataFrame:
     tid = S.pick_tract_id(tr.attrs)
     race_cols = [c for c in S.RACE_PCT_COLUMNS if c in tr.attrs.columns][:10]
     inc_cols = S.pick_income_columns(tr.attrs, limit=10)
-    m = spatial.pip_join(h, nb.edges, nb.attrs.select("gid", F.col("name").alias("nbh_name")),
-                         predicate="within", how="left", measures=nb.measures, gid_col="nbh_gid")
+    m = spatial.pip_join(h, nb.index, nb.attrs.select("gid", F.col("name").alias("nbh_name")),
+                         predicate="within", how="left", gid_col="nbh_gid")
     race = tr.attrs.select("gid", F.col(tid).cast("string").alias("race_tract_id"),
                            *[F.col(c).alias(f"race_{c}") for c in race_cols])
-    m = spatial.pip_join(m, tr.edges, race, predicate="within", how="left", measures=tr.measures, gid_col="race_gid")
+    m = spatial.pip_join(m, tr.index, race, predicate="within", how="left", gid_col="race_gid")
     inc = tr.attrs.select("gid", F.col(tid).cast("string").alias("inc_tract_id"),
                           *[F.col(c).alias(f"inc_{c}") for c in inc_cols])
-    return spatial.pip_join(m, tr.edges, inc, predicate="within", how="left", measures=tr.measures, gid_col="inc_gid")
+    return spatial.pip_join(m, tr.index, inc, predicate="within", how="left", gid_col="inc_gid")
 
 
 @register("house_master", with_views([H] + NBH + TR, f""", {PTS_CTE},

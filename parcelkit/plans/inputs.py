@@ -23,6 +23,7 @@ class Layer:
     edges: DataFrame
     attrs: DataFrame
     _measures: DataFrame | None = None
+    _index: object = None
 
     @property
     def measures(self) -> DataFrame:
@@ -30,6 +31,14 @@ class Layer:
             self._measures = polygon_measures(self.edges)
         return self._measures
 
+    @property
+    def index(self):
+        """Persisted point-in-polygon cell index (built on first use)."""
+        if self._index is None:
+            from ..operators.spatial import PipIndex
+            self._index = PipIndex(self.edges, self.measures)
+        return self._index
+
 
 _REGISTERED: dict = {}
 _LAYERS: dict = {}
