@@ -752,3 +752,130 @@ SELECT pid, x, y FROM fx_house ORDER BY (pid * 7919 + {SAMPLE_SEED} * 104729) %
 def q_hash_sample(spark, sf):
     h = inputs.houses(spark, sf).select("pid", "x", "y")
     return summary.arith_hash_sample(h, "pid", SAMPLE_N, SAMPLE_SEED)
+
+
+# ================================================= step 6: logistic models
+
+SPLIT_SEED, TEST_FRAC = 42, 0.25
+
+
+def logit_ds(spark, sf) -> DataFrame:
+    from ..operators import model
+    h = inputs.houses(spark, sf)
+    return model.logit_dataset(h, S.pick_status_col(h), S.pick_year_col(h), CUR_YEAR, key="pid")
+
+
+LOGIT_CTE = f""",
+base AS (SELECT pid, {O.status('bothsidesstatus')} AS cat,
+                CASE WHEN {O.num('yearstructbuilt')} > 0 AND {O.num('yearstructbuilt')} <= {CUR_YEAR} THEN {O.num('yearstructbuilt')} END AS yb,
+                {O.num('MHI')} / 10000e0 AS MHI_10k,
+                CAST(coalesce({O.num('J40_TotCatExceeded')}, 0) AS INTEGER) AS J40_TotCatExceeded_num,
+                {O.yes_flag('disadvantaged')} AS disadvantaged_num, neighborhood_name FROM fx_house),
+ds AS (SELECT pid, CASE WHEN cat = 'Lead' THEN 1 ELSE 0 END AS target_lead, {CUR_YEAR}e0 - yb AS age_years,
+              coalesce(CAST(yb >= 1988 AS INTEGER), 0) AS post_1988,
+              ({CUR_YEAR}e0 - yb) * coalesce(CAST(yb >= 1988 AS INTEGER), 0) AS age_x_post_1988, yb AS year_built,
+              MHI_10k, J40_TotCatExceeded_num, disadvantaged_num, neighborhood_name
+       FROM base WHERE cat IN ('Lead', 'Non-Lead') AND yb IS NOT NULL)"""
+
+
+@register("logit_dataset", with_views([H], LOGIT_CTE + "\nSELECT * FROM ds"))
+def q_logit_dataset(spark, sf):
+    return logit_ds(spark, sf)
+
+
+SPLIT_CTE = LOGIT_CTE + f""",
+sp AS (SELECT *, row_number() OVER (PARTITION BY target_lead ORDER BY (pid * 7919 + {SPLIT_SEED} * 104729) % 1000003, pid) - 1 AS r,
+              ceil(count(*) OVER (PARTITION BY target_lead) * {TEST_FRAC}e0) AS k FROM ds)"""
+
+
+@register("stratified_split", with_views([H], SPLIT_CTE + "\nSELECT pid, target_lead, r < k AS is_test FROM sp"))
+def q_stratified_split(spark, sf):
+    from ..operators import model
+    return model.stratified_split(logit_ds(spark, sf), "target_lead", "pid", TEST_FRAC, SPLIT_SEED).select(
+        "pid", "target_lead", "is_test")
+
+
+@register("logit_terms")
+def q_logit_terms(spark, sf):
+    from ..operators import model
+    mf, feats = model.model_frame(logit_ds(spark, sf))
+    rows, _ = model.logit_inference(mf.persist(), feats)
+    return spark.createDataFrame(rows, model.TERMS_SCHEMA)
+
+
+@register("logit_fit_stats")
+def q_logit_fit_stats(spark, sf):
+    from ..operators import model
+    mf, feats = model.model_frame(logit_ds(spark, sf))
+    _, st = model.logit_inference(mf.persist(), feats)
+    return spark.createDataFrame([(st["n_obs"], st["llf"], st["llnull"], st["pseudo_r2_mcfadden"], st["aic"], st["bic"])],
+                                 "n_obs long, llf double, llnull double, pseudo_r2_mcfadden double, aic double, bic double")
+
+
+def _l2_fit(spark, sf):
+    from ..operators import model
+    mf, feats = model.model_frame(logit_ds(spark, sf))
+    sp = model.stratified_split(mf, "target_lead", "pid", TEST_FRAC, SPLIT_SEED).persist()
+    m = model.fit_l2_logistic(sp.filter(~F.col("is_test")), feats)
+    return m, sp, feats
+
+
+@register("logit_l2_coefs")
+def q_logit_l2_coefs(spark, sf):
+    m, _, feats = _l2_fit(spark, sf)
+    return spark.createDataFrame(list(zip(["intercept"] + feats, [float(v) for v in m.coefficients])),
+                                 "term string, coef double")
+
+
+@register("logit_metrics")
+def q_logit_metrics(spark, sf):
+    from ..operators import model
+    m, sp, feats = _l2_fit(spark, sf)
+    return model.classifier_metrics(model.score(m, sp.filter(F.col("is_test")), feats))
+
+
+# Metrics and confusion of the data's own model score on the test split
+SCORED_CTE = SPLIT_CTE + """,
+t AS (SELECT s.target_lead AS y, h.ModelScoreForLeadClassification_Cust AS p,
+             least(greatest(h.ModelScoreForLeadClassification_Cust, 2.220446049250313e-16), 1 - 2.220446049250313e-16) AS pc
+      FROM sp s JOIN fx_house h ON h.pid = s.pid WHERE s.r < s.k)"""
+
+
+def _scored_test(spark, sf) -> DataFrame:
+    from ..operators import model
+    sp = model.stratified_split(logit_ds(spark, sf), "target_lead", "pid", TEST_FRAC, SPLIT_SEED)
+    h = inputs.houses(spark, sf).select("pid", F.col("ModelScoreForLeadClassification_Cust").alias("score"))
+    return sp.filter(F.col("is_test")).join(h, "pid").select("target_lead", "score")
+
+
+@register("classifier_metrics", with_views([H], SCORED_CTE + f""",
+g AS (SELECT p, sum(y) AS pos, count(*) - sum(y) AS neg FROM t GROUP BY p),
+c AS (SELECT pos, neg, coalesce(sum(neg) OVER (ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS nb FROM g),
+auc AS (SELECT sum(pos * (nb + 0.5e0 * neg)) / (sum(pos) * sum(neg)) AS v FROM c),
+m AS (SELECT count(*) AS n, sum(CASE WHEN p > 0.5 AND y = 1 THEN 1 ELSE 0 END) AS tp,
+             sum(CASE WHEN p > 0.5 AND y = 0 THEN 1 ELSE 0 END) AS fp, sum(CASE WHEN p <= 0.5 AND y = 1 THEN 1 ELSE 0 END) AS fn,
+             sum(CASE WHEN (p > 0.5) = (y = 1) THEN 1 ELSE 0 END) AS ok,
+             avg(-(y * ln(pc) + (1 - y) * ln(1 - pc))) AS ll,
+             avg((p - y) * (p - y)) AS brier FROM t),
+r AS (SELECT m.*, CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0e0 END AS prec,
+             CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0e0 END AS rec FROM m)
+SELECT metric, round(value, 9) AS value FROM (
+  SELECT 'auc' AS metric, (SELECT v FROM auc) AS value
+  UNION ALL SELECT 'accuracy', ok / n FROM r UNION ALL SELECT 'precision', prec FROM r
+  UNION ALL SELECT 'recall', rec FROM r
+  UNION ALL SELECT 'f1', CASE WHEN prec + rec > 0 THEN 2 * prec * rec / (prec + rec) ELSE 0e0 END FROM r
+  UNION ALL SELECT 'log_loss', ll FROM r UNION ALL SELECT 'brier', brier FROM r) u"""))
+def q_classifier_metrics(spark, sf):
+    from ..operators import model
+    m = model.classifier_metrics(_scored_test(spark, sf))
+    return m.select("metric", F.round("value", 9).alias("value"))
+
+
+@register("confusion", with_views([H], SCORED_CTE + """
+SELECT a.actual, coalesce(pred_0, 0) AS pred_0, coalesce(pred_1, 0) AS pred_1
+FROM (SELECT 'true_0' AS actual UNION ALL SELECT 'true_1') a LEFT JOIN (
+  SELECT 'true_' || CAST(y AS VARCHAR) AS actual, count(*) FILTER (WHERE NOT p > 0.5) AS pred_0,
+         count(*) FILTER (WHERE p > 0.5) AS pred_1 FROM t GROUP BY y) c ON a.actual = c.actual"""))
+def q_confusion(spark, sf):
+    from ..operators import model
+    return model.confusion(_scored_test(spark, sf))
