@@ -272,6 +272,8 @@ SELECT name, "Lead", "Non-Lead", "Unknown", "Lead" + "Non-Lead" + "Unknown" AS t
   CASE WHEN "Lead" + "Non-Lead" > 0 THEN "Non-Lead" / ("Lead" + "Non-Lead") ELSE 0e0 END AS pct_nonlead_known,
   avg_year_built, nullif(ny, 0) AS count_year_samples, {CUR_YEAR}e0 - avg_year_built AS avg_house_age
 FROM g"""
+# the same summary as a CTE named ``ls`` for queries built on it
+LEAD_CTES = LEAD_SQL.replace('\nSELECT name, "Lead"', ',\nls AS (SELECT name, "Lead"', 1) + ")"
 
 
 @register("lead_by_neighborhood", with_views([H] + NBH, LEAD_SQL))
@@ -879,3 +881,152 @@ FROM (SELECT 'true_0' AS actual UNION ALL SELECT 'true_1') a LEFT JOIN (
 def q_confusion(spark, sf):
     from ..operators import model
     return model.confusion(_scored_test(spark, sf))
+
+
+# ============================================== step 7: map-layer tables
+
+def _sub(name: str) -> str:
+    """A registered oracle query as a subquery (its own WITH clause inside)."""
+    return f"({ORACLE[name]})"
+
+
+def _domain_sql(src: str, col: str, rule: str) -> str:
+    base = (f"SELECT quantile_cont({col}, 0.05) AS lo, quantile_cont({col}, 0.95) AS hi, min({col}) AS mn, "
+            f"max({col}) AS mx FROM {src} WHERE {col} IS NOT NULL AND NOT isnan({col})")
+    if rule == "plain":
+        return (f"SELECT CASE WHEN lo = hi THEN mn ELSE lo END AS vmin, CASE WHEN lo = hi THEN mx ELSE hi END AS vmax "
+                f"FROM ({base}) b")
+    a = (f"SELECT CASE WHEN isfinite(lo) AND isfinite(hi) AND lo <> hi THEN lo ELSE coalesce(nullif(mn, 0), 0e0) END AS vmin, "
+         f"CASE WHEN isfinite(lo) AND isfinite(hi) AND lo <> hi THEN hi ELSE coalesce(nullif(mx, 0), 1e0) END AS vmax FROM ({base}) b")
+    return f"SELECT vmin, CASE WHEN vmin = vmax THEN vmin + 1 ELSE vmax END AS vmax FROM ({a}) c"
+
+
+def _house_age_raw(spark, sf) -> DataFrame:
+    h = inputs.houses(spark, sf)
+    y = X.to_double("yearstructbuilt")
+    h = h.filter(X.year_valid(y, CUR_YEAR, "b"))
+    return summary.mean_count_by(h, "neighborhood_name", F.lit(float(CUR_YEAR)) - y, "avg_house_age", "n_houses")
+
+
+HOUSE_AGE_RAW = with_views([H], f"""
+SELECT neighborhood_name, avg({CUR_YEAR}e0 - y) AS avg_house_age, count(*) AS n_houses
+FROM (SELECT neighborhood_name, {O.num('yearstructbuilt')} AS y FROM fx_house) t
+WHERE y > 0 AND y <= {CUR_YEAR} AND neighborhood_name IS NOT NULL GROUP BY neighborhood_name""")
+
+
+@register("color_domain", f"""
+SELECT 'pct_lead_known' AS metric, round(vmin, 9) AS vmin, round(vmax, 9) AS vmax
+FROM ({_domain_sql(_sub('lead_by_neighborhood'), 'pct_lead_known', 'plain')}) a
+UNION ALL
+SELECT 'avg_house_age', round(vmin, 9), round(vmax, 9) FROM ({_domain_sql('(' + HOUSE_AGE_RAW + ')', 'avg_house_age', 'age')}) b""")
+def q_color_domain(spark, sf):
+    from ..operators import layers
+    a = layers.colour_domain(q_lead_by_neighborhood(spark, sf), "pct_lead_known", "plain")
+    b = layers.colour_domain(_house_age_raw(spark, sf), "avg_house_age", "age")
+    rows = [("pct_lead_known", round(a[0], 9), round(a[1], 9)), ("avg_house_age", round(b[0], 9), round(b[1], 9))]
+    return spark.createDataFrame(rows, "metric string, vmin double, vmax double")
+
+
+def _fill_sql(value: str, stops, nodata, dom: str) -> str:
+    return O.linear_colour(value, stops, "d.vmin", "d.vmax", nodata)
+
+
+@register("color_fill", f"""
+SELECT ls.name, ls.pct_lead_known AS value, {O.linear_colour('ls.pct_lead_known', ['#fee8c8', '#fdbb84', '#e34a33'], 'd.vmin', 'd.vmax', '#bdbdbd')} AS fill
+FROM {_sub('lead_by_neighborhood')} ls CROSS JOIN ({_domain_sql(_sub('lead_by_neighborhood'), 'pct_lead_known', 'plain')}) d""")
+def q_color_fill(spark, sf):
+    from ..operators import layers
+    ls = q_lead_by_neighborhood(spark, sf)
+    lo, hi = layers.colour_domain(ls, "pct_lead_known", "plain")
+    return ls.select("name", F.col("pct_lead_known").alias("value"),
+                     layers.linear_colour(F.col("pct_lead_known"), layers.ORANGES, lo, hi).alias("fill"))
+
+
+@register("bivariate_fill", f"""
+SELECT c.name, c.avg_income, c.pct_black,
+  {O.linear_colour('c.avg_income', ['#fee8c8', '#fdbb84', '#e34a33'], 'di.vmin', 'di.vmax', '#bdbdbd')} AS fill,
+  {O.linear_colour('c.pct_black', ['#eff3ff', '#bdd7e7', '#6baed6', '#3182bd', '#08519c'], 'dr.vmin', 'dr.vmax', '#969696')} AS stroke
+FROM {_sub('combined_full_join')} c
+CROSS JOIN ({_domain_sql(_sub('combined_full_join'), 'avg_income', 'plain')}) di
+CROSS JOIN ({_domain_sql(_sub('combined_full_join'), 'pct_black', 'plain')}) dr""")
+def q_bivariate_fill(spark, sf):
+    from ..operators import layers
+    c = q_combined_full_join(spark, sf)
+    inc = S.pick_income_columns(c)[0]
+    race = "pct_black" if "pct_black" in c.columns else [k for k in c.columns if k.startswith("pct_")][0]
+    di = layers.colour_domain(c, inc, "plain")
+    dr = layers.colour_domain(c, race, "plain")
+    return c.select("name", inc, race,
+                    layers.linear_colour(F.col(inc), layers.ORANGES, *di, nodata=layers.NODATA_FILL).alias("fill"),
+                    layers.linear_colour(F.col(race), layers.BLUES5, *dr, nodata=layers.NODATA_STROKE).alias("stroke"))
+
+
+MAX_POINTS, DENSITY_CELL = 50000, 100.0
+
+
+@register("point_density", with_views([H], f""",
+n AS (SELECT count(*) AS c FROM fx_house)
+SELECT 'point' AS kind, x, y, CAST(1 AS BIGINT) AS weight,
+       'bothsidesstatus: ' || coalesce(bothsidesstatus, 'None') || '; neighborhood_name: ' || coalesce(neighborhood_name, 'None') AS label
+FROM fx_house, n WHERE n.c <= {MAX_POINTS}
+UNION ALL
+SELECT 'cell', (gx + 0.5) * {DENSITY_CELL}e0, (gy + 0.5) * {DENSITY_CELL}e0, count(*), CAST(NULL AS VARCHAR)
+FROM (SELECT floor(x / {DENSITY_CELL}e0) AS gx, floor(y / {DENSITY_CELL}e0) AS gy FROM fx_house) t, n WHERE n.c > {MAX_POINTS}
+GROUP BY gx, gy"""))
+def q_point_density(spark, sf):
+    from ..operators import layers
+    h = inputs.houses(spark, sf)
+    return layers.density_or_points(h, MAX_POINTS, DENSITY_CELL, label_cols=["bothsidesstatus", "neighborhood_name"])
+
+
+@register("quantile_classes", f"""
+SELECT a.neighborhood_name, a.avg_house_age, CASE """ + " ".join(
+    f"WHEN a.avg_house_age <= q.b[{i + 1}] THEN {i}" for i in range(5)) + f""" ELSE 4 END AS qclass
+FROM ({HOUSE_AGE_RAW}) a CROSS JOIN (SELECT quantile_cont(avg_house_age, [0.2, 0.4, 0.6, 0.8, 1.0]) AS b FROM ({HOUSE_AGE_RAW}) z) q""")
+def q_quantile_classes(spark, sf):
+    from ..operators import layers
+    a = _house_age_raw(spark, sf)
+    bins = layers.quantile_bins(a, "avg_house_age", 5)
+    return a.select("neighborhood_name", "avg_house_age", layers.quantile_class(F.col("avg_house_age"), bins).alias("qclass"))
+
+
+def _geojson_sql(node_view: str) -> str:
+    return (f"SELECT gid, '{{\"type\":\"Polygon\",\"coordinates\":[[' || string_agg(printf('[%.3f,%.3f]', x, y), ',' ORDER BY k) "
+            f"|| ',' || max(CASE WHEN k = 0 THEN printf('[%.3f,%.3f]', x, y) END) || ']]}}' AS geojson FROM {node_view} GROUP BY gid")
+
+
+@register("choropleth_layer", with_views(NBH, f""",
+geo AS ({_geojson_sql('fx_nbh_node')}),
+ls AS {_sub('lead_by_neighborhood')},
+d AS ({_domain_sql('ls', 'pct_lead_known', 'plain')}),
+sc AS (SELECT quantile_cont(pct_lead_known, 0.95) <= 1 AS s100 FROM ls WHERE pct_lead_known IS NOT NULL)
+SELECT n.name, geo.geojson, ls.pct_lead_known AS value,
+  CASE WHEN ls.pct_lead_known IS NULL THEN 'No data'
+       ELSE CAST(round_even(ls.pct_lead_known * (CASE WHEN sc.s100 THEN 100e0 ELSE 1e0 END) * 10e0, 0) / 10e0 AS VARCHAR) || '%' END AS display,
+  {O.linear_colour('ls.pct_lead_known', ['#fee8c8', '#fdbb84', '#e34a33'], 'd.vmin', 'd.vmax', '#bdbdbd')} AS fill
+FROM fx_nbh n JOIN geo ON geo.gid = n.gid LEFT JOIN ls ON ls.name = n.name CROSS JOIN d CROSS JOIN sc"""))
+def q_choropleth_layer(spark, sf):
+    from ..operators import layers
+    from .inputs import _fx
+    _fx(spark, sf)
+    nb = inputs.neighborhoods(spark, sf)
+    geo = layers.ring_geojson(spark.table("fx_nbh_node"))
+    ls = q_lead_by_neighborhood(spark, sf)
+    lo, hi = layers.colour_domain(ls, "pct_lead_known", "plain")
+    p95 = layers.quantile_bins(ls.select("pct_lead_known"), "pct_lead_known", 20)[18]
+    j = nb.attrs.select("gid", "name").join(geo, "gid").join(ls.select("name", "pct_lead_known"), "name", "left")
+    return j.select("name", "geojson", F.col("pct_lead_known").alias("value"),
+                    layers.percent_text(F.col("pct_lead_known"), p95 <= 1).alias("display"),
+                    layers.linear_colour(F.col("pct_lead_known"), layers.ORANGES, lo, hi).alias("fill"))
+
+
+@register("boundary_overlay", with_views(NBH + TR, f"""
+SELECT 'neighborhoods' AS layer, gid, geojson FROM ({_geojson_sql('fx_nbh_node')}) a
+UNION ALL SELECT 'tracts', gid, geojson FROM ({_geojson_sql('fx_tract_node')}) b"""))
+def q_boundary_overlay(spark, sf):
+    from ..operators import layers
+    from .inputs import _fx
+    _fx(spark, sf)
+    a = layers.ring_geojson(spark.table("fx_nbh_node")).select(F.lit("neighborhoods").alias("layer"), "gid", "geojson")
+    b = layers.ring_geojson(spark.table("fx_tract_node")).select(F.lit("tracts").alias("layer"), "gid", "geojson")
+    return a.unionByName(b)

@@ -135,3 +135,23 @@ def overlay_ctes(edges_a: str, edges_b: str, prefix: str = "ov") -> str:
             FROM {p}_ev GROUP BY a_gid, b_gid),
 {p} AS (SELECT r.a_gid, r.b_gid, r.inter_area FROM {p}_raw r JOIN {p}_pa a ON a.gid = r.a_gid JOIN {p}_pb b ON b.gid = r.b_gid
         WHERE r.inter_area > 1e-9 * least(a.area, b.area))"""
+
+
+def linear_colour(x: str, stops: list[str], vmin: str, vmax: str, nodata: str) -> str:
+    """SQL twin of the linear colour map (stops equally spaced on [vmin, vmax])."""
+    cols = [tuple(int(s.lstrip('#')[i:i + 2], 16) for i in (0, 2, 4)) for s in stops]
+    n = len(cols)
+    idx = [f"({vmin} + ({vmax} - {vmin}) * {i} / {n - 1})" for i in range(n)]
+
+    def chan(j):
+        parts = [f"WHEN {x} <= {idx[0]} THEN {cols[0][j]}e0 / 255e0"]
+        for i in range(1, n):
+            p = f"(({x} - {idx[i - 1]}) / ({idx[i]} - {idx[i - 1]}))"
+            p = f"(CASE WHEN {idx[i - 1]} < {idx[i]} THEN {p} ELSE 1e0 END)"
+            seg = f"((1e0 - {p}) * ({cols[i - 1][j]}e0 / 255e0) + {p} * ({cols[i][j]}e0 / 255e0))"
+            parts.append(f"WHEN {x} < {idx[i]} THEN {seg}")
+        v = f"(CASE {' '.join(parts)} ELSE {cols[-1][j]}e0 / 255e0 END)"
+        return f"lower(lpad(hex(CAST(floor({v} * 255.9999e0) AS BIGINT)), 2, '0'))"
+
+    return (f"CASE WHEN {x} IS NULL OR isnan({x}) THEN '{nodata}' "
+            f"ELSE '#' || {chan(0)} || {chan(1)} || {chan(2)} END")
