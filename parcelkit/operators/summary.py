@@ -208,3 +208,11 @@ def arith_hash_sample(df: DataFrame, key: str, n: int, seed: int = 1) -> DataFra
     any SQL engine): ``(key * 7919 + seed * 104729) mod 1000003``, ties by key."""
     h = (F.col(key) * F.lit(7919) + F.lit(seed * 104729)) % F.lit(1000003)
     return df.orderBy(h, F.col(key)).limit(n)
+
+
+def first_by_position(df: DataFrame, key: str, position: str, cols: list[str]) -> DataFrame:
+    """Per key, the row with the smallest position (keep-first dedup).
+    ``min_by`` is a partial aggregate, so a hot key costs one row per task."""
+    best = F.min_by(F.struct(*[F.col(c) for c in cols]), F.col(position))
+    return df.groupBy(key).agg(best.alias("_b"), F.min(position).alias(position)).select(
+        key, *[F.col(f"_b.{c}").alias(c) for c in cols], position)

@@ -1030,3 +1030,172 @@ def q_boundary_overlay(spark, sf):
     a = layers.ring_geojson(spark.table("fx_nbh_node")).select(F.lit("neighborhoods").alias("layer"), "gid", "geojson")
     b = layers.ring_geojson(spark.table("fx_tract_node")).select(F.lit("tracts").alias("layer"), "gid", "geojson")
     return a.unionByName(b)
+
+
+# ============================================ step 8: sources and sinks
+
+def _scratch(spark, name: str) -> str:
+    """A fresh folder under the shared checkpoint folder (never machine-local
+    on a cluster: ``spark.checkpoint.dir`` names shared storage there)."""
+    import os
+    import uuid
+    from ..session import ensure_checkpoint_dir
+    return os.path.join(ensure_checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex[:10]}")
+
+
+def _nbh_vertices(spark, sf) -> DataFrame:
+    from ..operators.polygons import vertices_from_nodes
+    from .inputs import _fx
+    _fx(spark, sf)
+    return vertices_from_nodes(spark.table("fx_nbh_node")).withColumn("ring", F.lit(0)).withColumn(
+        "gid", F.col("gid").cast("long"))
+
+
+def _tract_vertices(spark, sf) -> DataFrame:
+    from ..operators.polygons import vertices_from_nodes
+    from .inputs import _fx
+    _fx(spark, sf)
+    return vertices_from_nodes(spark.table("fx_tract_node")).withColumn("ring", F.lit(0)).withColumn(
+        "gid", F.col("gid").cast("long"))
+
+
+def _measure_round(v: DataFrame, layer: str) -> DataFrame:
+    from ..operators.polygons import edges_from_vertices, polygon_measures
+    m = polygon_measures(edges_from_vertices(v))
+    return m.select(F.lit(layer).alias("layer"), "gid", "xmin", "ymin", "xmax", "ymax",
+                    F.round("area", 3).alias("area"), F.round("cx", 6).alias("cx"), F.round("cy", 6).alias("cy"))
+
+
+@register("geoparquet_scan", ORACLE["polygon_measures"])
+def q_geoparquet_scan(spark, sf):
+    from ..sources import geo_io
+    path = _scratch(spark, "wkb")
+    nb = geo_io.to_wkb(_nbh_vertices(spark, sf)).withColumn("layer", F.lit("nbh"))
+    tr = geo_io.to_wkb(_tract_vertices(spark, sf)).withColumn("layer", F.lit("tract"))
+    nb.unionByName(tr).write.mode("overwrite").partitionBy("layer").parquet(path)
+    back = spark.read.parquet(path)
+    out = None
+    for layer in ("nbh", "tract"):
+        v = geo_io.from_wkb(back.filter(F.col("layer") == layer))
+        m = _measure_round(v, layer)
+        out = m if out is None else out.unionByName(m)
+    return out
+
+
+@register("geom_type_profile", with_views(NBH + TR + [H], """
+SELECT 'neighborhoods' AS layer, 'Polygon' AS geom_types, count(*) AS n_features, true AS polygonal FROM fx_nbh
+UNION ALL SELECT 'tracts', 'Polygon', count(*), true FROM fx_tract
+UNION ALL SELECT 'houses', 'Point', count(*), false FROM fx_house"""))
+def q_geom_type_profile(spark, sf):
+    from ..sources import geo_io
+    nb = geo_io.to_wkb(_nbh_vertices(spark, sf)).withColumn("layer", F.lit("neighborhoods"))
+    tr = geo_io.to_wkb(_tract_vertices(spark, sf)).withColumn("layer", F.lit("tracts"))
+    polys = nb.unionByName(tr).withColumn("gt", geo_io.geometry_type_from_wkb("wkb"))
+    pts = inputs.houses(spark, sf).select(F.lit("houses").alias("layer"), F.lit("Point").alias("gt"))
+    u = polys.select("layer", "gt").unionByName(pts)
+    g = u.groupBy("layer").agg(F.array_join(F.sort_array(F.collect_set("gt")), ",").alias("geom_types"),
+                               F.count(F.lit(1)).alias("n_features"),
+                               F.bool_and(F.col("gt").isin("Polygon", "MultiPolygon")).alias("polygonal"))
+    return g
+
+
+@register("geojson_scan", with_views(NBH, f"""
+SELECT m.gid, n.name, m.area, m.cx, m.cy FROM ({_measure_sql('fx_nbh_edge', 'nbh')}) m JOIN fx_nbh n ON n.gid = m.gid"""))
+def q_geojson_scan(spark, sf):
+    from ..sources import geo_io
+    v = _nbh_vertices(spark, sf)
+    path = _scratch(spark, "geojson")
+    nb = inputs.neighborhoods(spark, sf).attrs.select(F.col("gid").cast("long").alias("gid"), "name")
+    geo_io.write_geojson_seq(nb, geo_io.polygons_geojson_geometry(v), path, ["gid", "name"])
+    back = geo_io.read_geojson(spark, path, "gid BIGINT, name STRING")
+    m = _measure_round(geo_io.geojson_vertices(back), "nbh")
+    return m.join(back.select("gid", "name"), "gid").select("gid", "name", "area", "cx", "cy")
+
+
+CSV_POINT_SCHEMA = "pid STRING, lon DOUBLE, lat DOUBLE, bothsidesstatus STRING, yearstructbuilt STRING"
+NULL_LIST = ", ".join("'" + t + "'" for t in X.NULL_TOKENS)
+
+
+@register("csv_points", with_views([H], f"""
+SELECT CAST(pid AS VARCHAR) AS pid, x, y,
+       CASE WHEN bothsidesstatus IN ({NULL_LIST}) THEN NULL ELSE bothsidesstatus END AS bothsidesstatus,
+       CASE WHEN yearstructbuilt IN ({NULL_LIST}) THEN NULL ELSE yearstructbuilt END AS yearstructbuilt
+FROM fx_house"""))
+def q_csv_points(spark, sf):
+    from ..sources import geo_io
+    path = _scratch(spark, "csv")
+    h = inputs.houses(spark, sf).select("pid", F.col("x").alias("lon"), F.col("y").alias("lat"),
+                                       "bothsidesstatus", "yearstructbuilt")
+    (h.write.mode("overwrite").option("header", True).option("ignoreLeadingWhiteSpace", False)
+      .option("ignoreTrailingWhiteSpace", False).csv(path))
+    back = geo_io.read_csv_points(spark, path, CSV_POINT_SCHEMA, null_cols=["bothsidesstatus", "yearstructbuilt"])
+    return back.select("pid", "x", "y", "bothsidesstatus", "yearstructbuilt")
+
+
+PAGE_SCHEMA = "pid BIGINT, x DOUBLE, y DOUBLE, bothsidesstatus STRING, yearstructbuilt STRING"
+
+
+@register("paged_scan", with_views([H], "\nSELECT pid, x, y, bothsidesstatus, yearstructbuilt FROM fx_house"))
+def q_paged_scan(spark, sf):
+    from ..sources import paged
+    root = _scratch(spark, "pages")
+    h = inputs.houses(spark, sf).select("pid", "x", "y", "bothsidesstatus", "yearstructbuilt")
+    paged.stage_pages(h, "pid", root)
+    return paged.read_paged(spark, PAGE_SCHEMA, fetcher="parcelkit.sources.paged:FilePages", root=root)
+
+
+@register("union_pages", with_views(TR, """
+SELECT CAST(gid AS BIGINT) AS gid, GEOID, NAME, totalE, WhiteE, CAST(NULL AS DOUBLE) AS avg_income, CAST(NULL AS BIGINT) AS Households FROM fx_tract
+UNION ALL
+SELECT CAST(gid AS BIGINT), GEOID, CAST(NULL AS VARCHAR), CAST(NULL AS BIGINT), CAST(NULL AS BIGINT), avg_income, Households FROM fx_tract"""))
+def q_union_pages(spark, sf):
+    t = inputs.tracts(spark, sf).attrs
+    race = t.select(F.col("gid").cast("long").alias("gid"), "GEOID", "NAME", "totalE", "WhiteE")
+    inc = t.select(F.col("gid").cast("long").alias("gid"), "GEOID", "avg_income", "Households")
+    return race.unionByName(inc, allowMissingColumns=True)
+
+
+@register("dedup_first", with_views(TR, """
+SELECT url, arg_min(NAME, gid) AS name, min(gid) AS position
+FROM (SELECT 'layer/' || CAST(gid % 37 AS VARCHAR) AS url, NAME, gid FROM fx_tract) t GROUP BY url"""))
+def q_dedup_first(spark, sf):
+    t = inputs.tracts(spark, sf).attrs.select(
+        F.concat(F.lit("layer/"), (F.col("gid") % 37).cast("string")).alias("url"),
+        F.col("NAME").alias("name"), F.col("gid").alias("position"))
+    return summary.first_by_position(t, "url", "position", ["name"])
+
+
+def _merc_centroids(v: DataFrame) -> DataFrame:
+    from ..operators.polygons import edges_from_vertices, polygon_measures
+    lon = F.lit(CENTRE_LON) + F.col("x") * F.lit(1e-5)
+    lat = F.lit(CENTRE_LAT) + F.col("y") * F.lit(1e-5)
+    m = G.lonlat_to_mercator(lon, lat)
+    mv = v.withColumn("_m", m).withColumn("x", F.col("_m.x")).withColumn("y", F.col("_m.y")).drop("_m")
+    meas = polygon_measures(edges_from_vertices(mv))
+    ll = G.mercator_to_lonlat(F.col("cx"), F.col("cy"))
+    return meas.select("gid", F.round(ll["x"], 9).alias("centroid_lon"), F.round(ll["y"], 9).alias("centroid_lat"))
+
+
+_MX, _MY = O.mercator_forward(f"({O.dbl(CENTRE_LON)} + x * 1e-5)", f"({O.dbl(CENTRE_LAT)} + y * 1e-5)")
+
+
+@register("csv_mirror", with_views(NBH, f""",
+mv AS (SELECT e.gid, {_MX.replace('x *', 'e.x1 *').replace('y *', 'e.y1 *')} AS x1,
+              {_MY.replace('x *', 'e.x1 *').replace('y *', 'e.y1 *')} AS y1,
+              {_MX.replace('x *', 'e.x2 *').replace('y *', 'e.y2 *')} AS x2,
+              {_MY.replace('x *', 'e.x2 *').replace('y *', 'e.y2 *')} AS y2 FROM fx_nbh_edge e),
+{O.bbox_area_cte('mv', 'mm')},
+cen AS (SELECT m.gid,
+          m.xmin + sum(((e.x1 - m.xmin) + (e.x2 - m.xmin)) * ((e.x1 - m.xmin) * (e.y2 - m.ymin) - (e.x2 - m.xmin) * (e.y1 - m.ymin))) / (6 * m.area) AS cx,
+          m.ymin + sum(((e.y1 - m.ymin) + (e.y2 - m.ymin)) * ((e.x1 - m.xmin) * (e.y2 - m.ymin) - (e.x2 - m.xmin) * (e.y1 - m.ymin))) / (6 * m.area) AS cy
+        FROM mv e JOIN mm m ON m.gid = e.gid GROUP BY m.gid, m.xmin, m.ymin, m.area)
+SELECT n.gid, n.name, round(degrees(cx / {O.dbl(G.MERCATOR_R)}), 9) AS centroid_lon,
+       round(degrees(2e0 * atan(exp(cy / {O.dbl(G.MERCATOR_R)})) - {O.dbl(3.141592653589793 / 2)}), 9) AS centroid_lat
+FROM cen JOIN fx_nbh n ON n.gid = cen.gid"""))
+def q_csv_mirror(spark, sf):
+    from ..sources import geo_io
+    c = _merc_centroids(_nbh_vertices(spark, sf))
+    nb = inputs.neighborhoods(spark, sf).attrs.select(F.col("gid").cast("long").alias("gid"), "name")
+    path = _scratch(spark, "mirror")
+    geo_io.write_csv(nb.join(c, "gid"), path)
+    return geo_io.read_csv_points(spark, path, "gid INT, name STRING, centroid_lon DOUBLE, centroid_lat DOUBLE")
