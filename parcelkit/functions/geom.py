@@ -82,23 +82,27 @@ def lonlat_to_albers(lon, lat) -> Column:
                     (F.lit(A.rho0) - rho * F.cos(theta)).alias("y"))
 
 
-def albers_to_lonlat(x, y) -> Column:
-    """5070 -> 4326 (latitude by fixed-point iteration on q, unrolled 6 times)."""
+def albers_to_lonlat(x, y, iterations: int = 6) -> Column:
+    """5070 -> 4326. Latitude by fixed-point iteration on q, run as
+    ``aggregate`` over a short sequence so each step binds the previous
+    latitude once (no exponential expression growth)."""
     A = ALBERS
     x, y = _c(x), _c(y)
     dy = F.lit(A.rho0) - y
     rho = F.sqrt(x * x + dy * dy)
     theta = F.atan2(x, dy) if A.n > 0 else F.atan2(-x, -dy)
     q = (F.lit(A.C) - (rho * rho * F.lit(A.n * A.n)) / F.lit(A.a * A.a)) / F.lit(A.n)
-    phi = F.asin(q / F.lit(2.0))
     e, e2 = A.e, A.e2
-    for _ in range(6):
+
+    def step(phi, _i):
         s = F.sin(phi)
         es = F.lit(e) * s
         one_m = F.lit(1.0) - F.lit(e2) * s * s
-        phi = phi + (one_m * one_m) / (F.lit(2.0) * F.cos(phi)) * (
+        return phi + (one_m * one_m) / (F.lit(2.0) * F.cos(phi)) * (
             q / F.lit(1 - e2) - s / one_m
             + F.log((F.lit(1.0) - es) / (F.lit(1.0) + es)) / F.lit(2 * e))
+
+    phi = F.aggregate(F.sequence(F.lit(1), F.lit(iterations)), F.asin(q / F.lit(2.0)), step)
     lon = F.degrees(theta / F.lit(A.n) + F.lit(A.lon0))
     return F.struct(lon.alias("x"), F.degrees(phi).alias("y"))
 
