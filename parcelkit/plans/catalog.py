@@ -1199,3 +1199,73 @@ def q_csv_mirror(spark, sf):
     path = _scratch(spark, "mirror")
     geo_io.write_csv(nb.join(c, "gid"), path)
     return geo_io.read_csv_points(spark, path, "gid INT, name STRING, centroid_lon DOUBLE, centroid_lat DOUBLE")
+
+
+# ===================================== remaining inventory items (A19, A20, ...)
+
+@register("column_facts", with_views([H], """
+SELECT 'neighborhood_name' AS variable, bool_or(neighborhood_name IS NOT NULL) AS any_value,
+       count(DISTINCT neighborhood_name) AS n_distinct, count(*) FILTER (WHERE neighborhood_name IS NULL) AS n_null,
+       count(neighborhood_name) AS n_notnull FROM fx_house
+UNION ALL
+SELECT 'ModelClassification_Cust', bool_or(ModelClassification_Cust IS NOT NULL), count(DISTINCT ModelClassification_Cust),
+       count(*) FILTER (WHERE ModelClassification_Cust IS NULL), count(ModelClassification_Cust) FROM fx_house"""))
+def q_column_facts(spark, sf):
+    h = inputs.houses(spark, sf)
+    a = summary.column_facts(h, "neighborhood_name").withColumn("variable", F.lit("neighborhood_name"))
+    b = summary.column_facts(h, "ModelClassification_Cust").withColumn("variable", F.lit("ModelClassification_Cust"))
+    return a.unionByName(b)
+
+
+@register("lead_summary_earlier", f"""
+SELECT name, "Lead", "Non-Lead", "Unknown", total_points, known_points, pct_lead_known AS pct_known_lead,
+       pct_nonlead_known AS pct_known_nonlead, pct_unknown, pct_lead_total AS pct_known_lead_total,
+       pct_nonlead_total AS pct_known_nonlead_total FROM {_sub('lead_by_neighborhood')} ls""")
+def q_lead_summary_earlier(spark, sf):
+    return summary.rename_earlier_summary(q_lead_by_neighborhood(spark, sf))
+
+
+@register("safe_names", with_views(TR, """
+SELECT gid, NAME, regexp_replace(regexp_replace(trim(NAME), '[^A-Za-z0-9_\\-]+', '_', 'g'), '^_+|_+$', '', 'g') AS safe_name
+FROM fx_tract"""))
+def q_safe_names(spark, sf):
+    t = inputs.tracts(spark, sf).attrs
+    return t.select("gid", "NAME", X.sanitize_name("NAME").alias("safe_name"))
+
+
+@register("one_hot", with_views([H], LOGIT_CTE + """,
+lv AS (SELECT DISTINCT neighborhood_name AS lv FROM ds WHERE neighborhood_name IS NOT NULL),
+kept AS (SELECT lv FROM lv WHERE lv > (SELECT min(lv) FROM lv))
+SELECT d.pid, 'neigh_' || k.lv AS dummy, CASE WHEN d.neighborhood_name = k.lv THEN 1 ELSE 0 END AS value
+FROM ds d CROSS JOIN kept k"""))
+def q_one_hot(spark, sf):
+    """M2 in long form (pid, dummy, value): one row per house and kept level."""
+    from ..operators import model
+    ds = logit_ds(spark, sf)
+    wide, names = model.one_hot_drop_first(ds, "neighborhood_name")
+    long = wide.select("pid", F.explode(F.array(*[F.struct(F.lit(n).alias("dummy"), F.col(f"`{n}`").alias("value"))
+                                                  for n in names])).alias("r"))
+    return long.select("pid", "r.dummy", "r.value")
+
+
+@register("invalid_rings", with_views(NBH + TR, """
+SELECT CAST(NULL AS BIGINT) AS gid, CAST(NULL AS INTEGER) AS part, CAST(NULL AS VARCHAR) AS role,
+       CAST(NULL AS BIGINT) AS n_crossings WHERE false"""))
+def q_invalid_rings(spark, sf):
+    """G3 report over both fixture layers (valid lattices: no rows expected)."""
+    from ..operators.polygons import invalid_rings
+    v = _nbh_vertices(spark, sf).drop("ring").unionByName(
+        _tract_vertices(spark, sf).drop("ring").withColumn("gid", F.col("gid") + F.lit(1_000_000)))
+    return invalid_rings(v, cell=250.0).select(F.col("gid").cast("long").alias("gid"), "part", "role", "n_crossings")
+
+
+@register("flat_master_csv", ORACLE["house_master"])
+def q_flat_master_csv(spark, sf):
+    """K6: the master without geometry written as CSV and read back."""
+    from ..sources import geo_io
+    path = _scratch(spark, "master")
+    m = house_master_df(spark, sf).select("pid", "nbh_name", "race_tract_id", "race_Pwhite", "race_Pblack",
+                                          "inc_tract_id", "inc_avg_income")
+    geo_io.write_csv(m, path)
+    return geo_io.read_csv_points(spark, path, "pid BIGINT, nbh_name STRING, race_tract_id STRING, race_Pwhite DOUBLE, "
+                                               "race_Pblack DOUBLE, inc_tract_id STRING, inc_avg_income DOUBLE")
