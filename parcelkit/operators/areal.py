@@ -20,12 +20,12 @@ from .spatial import overlay_areas
 
 def match_table(nbh_edges: DataFrame, nbh_meas: DataFrame, nbh_names: DataFrame,
                 tr_edges: DataFrame, tr_meas: DataFrame, tr_ids: DataFrame,
-                cell: float | None = None) -> DataFrame:
+                cell: float | None = None, overlay: DataFrame | None = None) -> DataFrame:
     """A3: ``neighborhood, tract_id, intersection_area_m2, neighborhood_area_m2,
     tract_area_m2, frac_of_neighborhood, frac_of_tract`` (fractions 0 when the
     base area is 0). ``nbh_names``: ``gid, neighborhood``; ``tr_ids``:
     ``gid, tract_id`` (string)."""
-    ov = overlay_areas(nbh_edges, nbh_meas, tr_edges, tr_meas, cell=cell)
+    ov = overlay if overlay is not None else overlay_areas(nbh_edges, nbh_meas, tr_edges, tr_meas, cell=cell)
     na = nbh_meas.select(F.col("gid").alias("a_gid"), F.col("area").alias("neighborhood_area_m2"))
     ta = tr_meas.select(F.col("gid").alias("b_gid"), F.col("area").alias("tract_area_m2"))
     m = (ov.join(na, "a_gid").join(ta, "b_gid")

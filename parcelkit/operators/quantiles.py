@@ -72,10 +72,17 @@ def order_statistics(values: DataFrame, key: str, targets: dict[tuple, int],
                         state[t] = (mn, mx, nr)
                     break
                 acc += n
-        for t, mn, mx, nr in leaves:
-            vals = (values.filter((F.col(key) == F.lit(t[0])) & (F.col("v") >= mn) & (F.col("v") <= mx))
-                          .select("v").orderBy("v").limit(nr + 1).collect())
-            out[t] = vals[nr]["v"]
+        if leaves:
+            # all leaves in one pass: each leaf range holds at most ``leaf`` values
+            ldf = spark.createDataFrame(
+                [(i, t[0], float(mn), float(mx)) for i, (t, mn, mx, _) in enumerate(leaves)],
+                f"lid int, {key} {values.schema[key].dataType.simpleString()}, lo double, hi double")
+            got = (values.join(F.broadcast(ldf), key)
+                         .filter((F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi")))
+                         .groupBy("lid").agg(F.sort_array(F.collect_list("v")).alias("vs")).collect())
+            by = {r["lid"]: r["vs"] for r in got}
+            for i, (t, _mn, _mx, nr) in enumerate(leaves):
+                out[t] = by[i][nr]
     return out
 
 

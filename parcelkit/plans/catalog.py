@@ -288,7 +288,8 @@ def match_table_df(spark, sf) -> DataFrame:
     nb, tr = inputs.neighborhoods(spark, sf), inputs.tracts(spark, sf)
     tid = S.pick_tract_id(tr.attrs)
     return areal.match_table(nb.edges, nb.measures, nb.attrs.select("gid", F.col("name").alias("neighborhood")),
-                             tr.edges, tr.measures, tr.attrs.select("gid", F.col(tid).cast("string").alias("tract_id")))
+                             tr.edges, tr.measures, tr.attrs.select("gid", F.col(tid).cast("string").alias("tract_id")),
+                             overlay=inputs.overlay(spark, sf))
 
 
 MATCH_CTES = f""", {O.overlay_ctes('fx_nbh_edge', 'fx_tract_edge', 'ov')},
@@ -429,7 +430,7 @@ FROM ov o JOIN fx_tract t ON t.gid = o.b_gid GROUP BY t.GEOID"""))
 def q_clip_area(spark, sf):
     from ..operators import areal
     nb, tr = inputs.neighborhoods(spark, sf), inputs.tracts(spark, sf)
-    ov = spatial.overlay_areas(nb.edges, nb.measures, tr.edges, tr.measures)
+    ov = inputs.overlay(spark, sf)
     c = areal.clipped_tract_area(ov)
     return (c.join(tr.attrs.select(F.col("gid").alias("b_gid"), F.col("GEOID").cast("string").alias("tract_id")), "b_gid")
              .select("tract_id", F.round("clipped_area", 3).alias("clipped_area")))
@@ -466,7 +467,7 @@ FROM g JOIN fx_nbh n ON n.gid = g.a_gid""")
 def _awm(spark, sf, weighted: bool) -> DataFrame:
     from ..operators import areal
     nb, tr = inputs.neighborhoods(spark, sf), inputs.tracts(spark, sf)
-    ov = spatial.overlay_areas(nb.edges, nb.measures, tr.edges, tr.measures)
+    ov = inputs.overlay(spark, sf)
     wcol = S.pick_weight_column(tr.attrs, by_substring=False) if weighted else None
     r = areal.areal_weighted_mean(ov, tr.measures, tr.attrs, S.pick_income_columns(tr.attrs), wcol)
     return _r6(r.join(nb.attrs.select("gid", "name"), "gid").drop("gid"), "name")
@@ -491,7 +492,7 @@ wi AS (SELECT n.name, round(avg(t.avg_income), 6) AS avg_income FROM ov o JOIN o
 def _within(spark, sf) -> DataFrame:
     from ..operators import areal
     nb, tr = inputs.neighborhoods(spark, sf), inputs.tracts(spark, sf)
-    ov = spatial.overlay_areas(nb.edges, nb.measures, tr.edges, tr.measures)
+    ov = inputs.overlay(spark, sf)
     r = areal.within_mean(ov, tr.measures, tr.attrs, S.pick_income_columns(tr.attrs))
     return _r6(r.join(nb.attrs.select("gid", "name"), "gid").drop("gid"), "name")
 

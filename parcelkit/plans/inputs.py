@@ -66,6 +66,21 @@ def _layer(spark: SparkSession, sf_dir: str, node_view: str, attr_view: str) ->
     return _LAYERS[key]
 
 
+_OVERLAYS: dict = {}
+
+
+def overlay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Neighborhood x tract exact overlay (``a_gid, b_gid, inter_area``),
+    computed once per session and folder and persisted: it is the central
+    derived relation every areal statistic reads."""
+    from ..operators.spatial import overlay_areas
+    key = (id(spark), sf_dir)
+    if key not in _OVERLAYS:
+        nb, tr = neighborhoods(spark, sf_dir), tracts(spark, sf_dir)
+        _OVERLAYS[key] = overlay_areas(nb.edges, nb.measures, tr.edges, tr.measures).persist()
+    return _OVERLAYS[key]
+
+
 def neighborhoods(spark: SparkSession, sf_dir: str) -> Layer:
     return _layer(spark, sf_dir, "fx_nbh_node", "fx_nbh")
 
