@@ -190,3 +190,18 @@ def segment_touches_box_sql(e: str, x0: str, y0: str, x1: str, y1: str) -> str:
 
     s = [side(x0, y0), side(x1, y0), side(x1, y1), side(x0, y1)]
     return f"(({bb}) AND NOT (least({', '.join(s)}) > 0 OR greatest({', '.join(s)}) < 0))"
+
+
+def ensure_crs(df, x: str, y: str, epsg: int):
+    """G1: the SRID travels as metadata on the ``x`` column. Absent -> set to
+    ``epsg`` (no change of values); different -> reproject ``x, y`` in place."""
+    cur = df.schema[x].metadata.get("srid")
+    if cur is not None and int(cur) != epsg:
+        p = transform_xy(x, y, int(cur), epsg)
+        df = df.withColumn("_p", p).withColumn(x, F.col("_p.x")).withColumn(y, F.col("_p.y")).drop("_p")
+    return df.withColumn(x, F.col(x).alias(x, metadata={"srid": epsg}))
+
+
+def srid_of(df, x: str = "x"):
+    v = df.schema[x].metadata.get("srid")
+    return None if v is None else int(v)

@@ -77,6 +77,15 @@ def pick_race_counts(df: DataFrame) -> dict[str, str | None]:
     return {k: first_present(df, v) for k, v in RACE_COUNT_CANDIDATES.items()}
 
 
+def pick_race_columns(df: DataFrame, limit: int = 12) -> list[str]:
+    """The race percentage columns present, else numeric columns whose
+    name starts with 'P'; at most ``limit`` (10 in the house master)."""
+    cols = [c for c in RACE_PCT_COLUMNS if c in df.columns]
+    if not cols:
+        cols = [f.name for f in df.schema.fields if f.name.startswith("P") and isinstance(f.dataType, NumericType)]
+    return cols[:limit]
+
+
 def pick_income_columns(df: DataFrame, limit: int = 12) -> list[str]:
     """P5: numeric columns named like income/median, or MHI/MEDHHINC."""
     out = []

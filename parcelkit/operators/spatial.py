@@ -218,7 +218,8 @@ def _ring_offsets(r0: int, r1: int) -> F.Column:
 
 
 def nearest_polygon(points: DataFrame, edges: DataFrame, *, pid: str = "pid", x: str = "x", y: str = "y",
-                    measures: DataFrame | None = None, cell: float | None = None) -> DataFrame:
+                    measures: DataFrame | None = None, cell: float | None = None,
+                    index: "PipIndex | None" = None) -> DataFrame:
     """For each point, the polygon(s) at minimum distance, ties kept:
     ``pid, gid, dist``. Points inside or on a polygon get distance 0.
 
@@ -229,7 +230,9 @@ def nearest_polygon(points: DataFrame, edges: DataFrame, *, pid: str = "pid", x:
     away, so a point whose best distance is below that is final. Rounds are
     checkpointed to the shared checkpoint folder.
     """
+    from ..session import ensure_checkpoint_dir
     spark = points.sparkSession
+    ensure_checkpoint_dir(spark)
     if measures is None:
         measures = polygon_measures(edges)
     if cell is None:
@@ -237,8 +240,8 @@ def nearest_polygon(points: DataFrame, edges: DataFrame, *, pid: str = "pid", x:
     c = float(cell)
     cl = F.lit(c)
     pts = points.select(pid, x, y)
-    inside = (pip_join(pts, edges, None, x=x, y=y, predicate="intersects", how="inner",
-                       cell=cell, measures=measures)
+    inside = (pip_join(pts, index if index is not None else PipIndex(edges, measures), None, x=x, y=y,
+                       predicate="intersects", how="inner")
               .select(pid, "gid", F.lit(0.0).alias("dist")))
     ec = (edges.withColumn("_ex", F.explode(F.sequence(F.floor(F.least("x1", "x2") / cl),
                                                        F.floor(F.greatest("x1", "x2") / cl))))

@@ -521,7 +521,7 @@ def _nearest(spark, sf) -> DataFrame:
     from ..operators import areal
     nb, tr = inputs.neighborhoods(spark, sf), inputs.tracts(spark, sf)
     cen = nb.measures.select(F.col("gid").alias("pid"), F.col("cx").alias("x"), F.col("cy").alias("y"))
-    nn = spatial.nearest_polygon(cen, tr.edges, measures=tr.measures)
+    nn = spatial.nearest_polygon(cen, tr.edges, measures=tr.measures, index=tr.index)
     r = areal.nearest_mean(nn, tr.attrs, S.pick_income_columns(tr.attrs))
     return _r6(r.join(nb.attrs.select("gid", "name"), "gid").drop("gid"), "name")
 
@@ -562,7 +562,7 @@ def house_master_df(spark, sf) -> DataFrame:
     nb, tr = inputs.neighborhoods(spark, sf), inputs.tracts(spark, sf)
     h = inputs.houses(spark, sf)
     tid = S.pick_tract_id(tr.attrs)
-    race_cols = [c for c in S.RACE_PCT_COLUMNS if c in tr.attrs.columns][:10]
+    race_cols = S.pick_race_columns(tr.attrs, limit=10)
     inc_cols = S.pick_income_columns(tr.attrs, limit=10)
     m = spatial.pip_join(h, nb.index, nb.attrs.select("gid", F.col("name").alias("nbh_name")),
                          predicate="within", how="left", gid_col="nbh_gid")
@@ -621,7 +621,8 @@ def q_value_counts_pct(spark, sf):
     h = imputed_columns(inputs.houses(spark, sf))
     long = h.select(F.explode(F.array(*[F.struct(F.lit(c).alias("variable"), F.col(c).alias("value"))
                                         for c in VC_COLS])).alias("r")).select("r.*")
-    return summary.value_counts_by_variable(long)
+    # O3: largest first (ties by value) - the order of the printed tables
+    return summary.value_counts_by_variable(long).orderBy("variable", F.desc("count"), "value")
 
 
 @register("class_score_stats", with_views([H], """
@@ -1190,16 +1191,20 @@ cen AS (SELECT m.gid,
           m.xmin + sum(((e.x1 - m.xmin) + (e.x2 - m.xmin)) * ((e.x1 - m.xmin) * (e.y2 - m.ymin) - (e.x2 - m.xmin) * (e.y1 - m.ymin))) / (6 * m.area) AS cx,
           m.ymin + sum(((e.y1 - m.ymin) + (e.y2 - m.ymin)) * ((e.x1 - m.xmin) * (e.y2 - m.ymin) - (e.x2 - m.xmin) * (e.y1 - m.ymin))) / (6 * m.area) AS cy
         FROM mv e JOIN mm m ON m.gid = e.gid GROUP BY m.gid, m.xmin, m.ymin, m.area)
+SELECT gid, name, centroid_lon, centroid_lat, centroid_lon AS x, centroid_lat AS y FROM (
 SELECT n.gid, n.name, round(degrees(cx / {O.dbl(G.MERCATOR_R)}), 9) AS centroid_lon,
        round(degrees(2e0 * atan(exp(cy / {O.dbl(G.MERCATOR_R)})) - {O.dbl(3.141592653589793 / 2)}), 9) AS centroid_lat
-FROM cen JOIN fx_nbh n ON n.gid = cen.gid"""))
+FROM cen JOIN fx_nbh n ON n.gid = cen.gid) t"""))
 def q_csv_mirror(spark, sf):
     from ..sources import geo_io
     c = _merc_centroids(_nbh_vertices(spark, sf))
     nb = inputs.neighborhoods(spark, sf).attrs.select(F.col("gid").cast("long").alias("gid"), "name")
     path = _scratch(spark, "mirror")
     geo_io.write_csv(nb.join(c, "gid"), path)
-    return geo_io.read_csv_points(spark, path, "gid INT, name STRING, centroid_lon DOUBLE, centroid_lat DOUBLE")
+    # Read back as a point layer from centroid_lon / centroid_lat
+    back = geo_io.read_csv_points(spark, path, "gid INT, name STRING, centroid_lon DOUBLE, centroid_lat DOUBLE",
+                                  x="centroid_lon", y="centroid_lat")
+    return back.select("gid", "name", "centroid_lon", "centroid_lat", "x", "y")
 
 
 # ===================================== remaining inventory items (A19, A20, ...)

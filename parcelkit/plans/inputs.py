@@ -45,6 +45,9 @@ _LAYERS: dict = {}
 
 
 def _fx(spark: SparkSession, sf_dir: str) -> None:
+    # epoch conversions and formatted timestamps are defined in UTC
+    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
     key = (id(spark), sf_dir)
     if _REGISTERED.get("key") != key:
         register_fixtures(spark, sf_dir, ["fx_nbh", "fx_nbh_node", "fx_tract", "fx_tract_node", "fx_house"])
