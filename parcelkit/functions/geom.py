@@ -205,3 +205,24 @@ def ensure_crs(df, x: str, y: str, epsg: int):
 def srid_of(df, x: str = "x"):
     v = df.schema[x].metadata.get("srid")
     return None if v is None else int(v)
+
+
+def point_in_slots_sql(slots: list[str], x: str, y: str, predicate: str = "within") -> str:
+    """The same tests as ``point_in_edges_sql`` over a fixed number of nullable
+    edge columns (unrolled, so whole-stage codegen compiles it)."""
+    cr, ob = [], []
+    for e in slots:
+        cr.append(f"(CASE WHEN {e} IS NOT NULL AND (({e}.y1 > {y}) <> ({e}.y2 > {y})) AND "
+                  f"({x} < {e}.x1 + ({y} - {e}.y1) * ({e}.x2 - {e}.x1) / nullif({e}.y2 - {e}.y1, 0e0)) THEN 1 ELSE 0 END)")
+        ob.append(f"coalesce({e} IS NOT NULL AND ({e}.x2 - {e}.x1) * ({y} - {e}.y1) - ({e}.y2 - {e}.y1) * ({x} - {e}.x1) = 0e0 "
+                  f"AND {x} BETWEEN least({e}.x1, {e}.x2) AND greatest({e}.x1, {e}.x2) "
+                  f"AND {y} BETWEEN least({e}.y1, {e}.y2) AND greatest({e}.y1, {e}.y2), false)")
+    inside = f"(({' + '.join(cr)}) % 2 = 1)"
+    if predicate == "parity":
+        return inside
+    bnd = "(" + " OR ".join(ob) + ")"
+    if predicate == "within":
+        return f"({inside} AND NOT {bnd})"
+    if predicate == "intersects":
+        return f"({inside} OR {bnd})"
+    raise ValueError(predicate)

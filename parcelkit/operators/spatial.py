@@ -21,8 +21,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.geom import (crossings_sql, point_in_edges_sql, seg_point_dist2_sql,
+from ..functions.geom import (crossings_sql, point_in_edges_sql, point_in_slots_sql, seg_point_dist2_sql,
                               segment_touches_box_sql)
+
+EDGE_SLOTS = 4   # boundary cells with at most this many edges keep them in plain columns
 from .polygons import EDGE_COLS, polygon_measures
 from .sizing import (DEFAULT_BROADCAST_LIMIT, EDGE_BYTES, ROW_OVERHEAD, broadcast_if_bounded,
                      default_cell_size, pip_cell_size)
@@ -55,12 +57,15 @@ def polygon_cells(edges: DataFrame, measures: DataFrame, cell: float) -> DataFra
     mx, my = f"((_cx + 0.5D) * {float(cell)!r})", f"((_cy + 0.5D) * {float(cell)!r})"
     centre_in = F.expr(f"{crossings_sql('_edges', mx, my)} % 2 = 1")
     g = g.withColumn("_touch", touch).withColumn("_cin", centre_in)
+    # Boundary cells with few edges carry them in fixed slot columns (tested
+    # by codegen'd expressions); only longer lists stay arrays (lambda test).
+    few = F.col("_touch") & (F.size("_edges") <= EDGE_SLOTS)
+    empty = F.array().cast("array<struct<x1:double,y1:double,x2:double,y2:double>>")
+    slots = [F.when(few, F.try_element_at("_edges", F.lit(i + 1))).alias(f"_s{i}") for i in range(EDGE_SLOTS)]
     return (g.filter(F.col("_touch") | F.col("_cin"))
              .select("_gid", "_cx", "_cy",
-                     F.when(F.col("_touch"), F.col("_edges"))
-                      .otherwise(F.array().cast("array<struct<x1:double,y1:double,x2:double,y2:double>>"))
-                      .alias("_edges"),
-                     (~F.col("_touch")).alias("_full")))
+                     F.when(F.col("_touch") & ~few, F.col("_edges")).otherwise(empty).alias("_edges"),
+                     *slots, (~F.col("_touch")).alias("_full")))
 
 
 class PipIndex:
@@ -76,8 +81,9 @@ class PipIndex:
         r = self.cells.agg(F.count(F.lit(1)).alias("n"),
                            F.coalesce(F.sum(F.size("_edges")), F.lit(0)).alias("e")).first()
         self.n_rows = int(r["n"])
-        # key columns + flag per row, 40 bytes per edge entry
-        self.size_bytes = self.n_rows * (ROW_OVERHEAD + 3 * 8) + int(r["e"]) * EDGE_BYTES
+        # key columns + flag + edge slots per row, 40 bytes per array edge entry
+        self.size_bytes = (self.n_rows * (ROW_OVERHEAD + 3 * 8 + EDGE_SLOTS * EDGE_BYTES)
+                           + int(r["e"]) * EDGE_BYTES)
 
     def with_attrs(self, attrs: DataFrame | None, broadcast_limit: int) -> DataFrame:
         cells = self.cells
@@ -115,10 +121,14 @@ def pip_join(points: DataFrame, edges, attrs: DataFrame | None = None, *,
     cells = index.with_attrs(attrs, broadcast_limit)
     c = F.lit(index.cell)
     p = points.withColumn("_pcx", F.floor(F.col(x) / c)).withColumn("_pcy", F.floor(F.col(y) / c))
-    test = F.expr(point_in_edges_sql("_edges", f"`{x}`", f"`{y}`", predicate))
-    cond = (F.col("_pcx") == F.col("_cx")) & (F.col("_pcy") == F.col("_cy")) & (F.col("_full") | test)
+    xs, ys = f"`{x}`", f"`{y}`"
+    slot_test = F.expr(point_in_slots_sql([f"_s{i}" for i in range(EDGE_SLOTS)], xs, ys, predicate))
+    arr_test = F.expr(point_in_edges_sql("_edges", xs, ys, predicate))
+    exact = F.when(F.size("_edges") == 0, slot_test).otherwise(arr_test)
+    cond = (F.col("_pcx") == F.col("_cx")) & (F.col("_pcy") == F.col("_cy")) & (F.col("_full") | exact)
     j = p.join(cells, cond, how)
-    return j.drop("_pcx", "_pcy", "_cx", "_cy", "_edges", "_full").withColumnRenamed("_gid", gid_col)
+    return j.drop("_pcx", "_pcy", "_cx", "_cy", "_edges", "_full",
+                  *[f"_s{i}" for i in range(EDGE_SLOTS)]).withColumnRenamed("_gid", gid_col)
 
 
 # ---------------------------------------------------------------------- J3

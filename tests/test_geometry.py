@@ -113,3 +113,22 @@ def test_invalid_ring_report(spark):
                                 "gid long, part int, role string, ord int, x double, y double")
     r = P.invalid_rings(bow, cell=3.0).collect()
     assert len(r) == 1 and r[0]["gid"] == 9 and r[0]["n_crossings"] == 1
+
+
+def test_pip_slot_and_array_paths_agree(spark):
+    """A 64-gon (with a square hole) at several cell sizes: boundary cells
+    hold from one to many edges, so both the unrolled-slot test and the array
+    test run; both must equal brute force."""
+    n = 64
+    shell = [(1000 + 900 * math.cos(2 * math.pi * k / n), 1000 + 700 * math.sin(2 * math.pi * k / n)) for k in range(n)]
+    hole = [(900.0, 900.0), (900.0, 1100.0), (1100.0, 1100.0), (1100.0, 900.0)]
+    rows = [(7, 0, "shell", k, x, y) for k, (x, y) in enumerate(shell)] + \
+           [(7, 0, "hole", k, x, y) for k, (x, y) in enumerate(hole)]
+    v = spark.createDataFrame(rows, "gid long, part int, role string, ord int, x double, y double")
+    e = P.edges_from_vertices(v)
+    pts = [(i, 50.0 + (i * 7919) % 1900 + 0.125, 250.0 + (i * 104729) % 1500 + 0.375) for i in range(4000)]
+    pdf = spark.createDataFrame(pts, "pid long, x double, y double")
+    want = {pid for pid, x, y in pts if _brute_inside([shell, hole], x, y)}
+    for cell in (40.0, 150.0, 600.0):
+        got = {r["pid"] for r in spatial.pip_join(pdf, e, None, how="inner", cell=cell).collect()}
+        assert got == want
