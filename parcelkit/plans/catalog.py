@@ -763,10 +763,20 @@ def q_hash_sample(spark, sf):
 SPLIT_SEED, TEST_FRAC = 42, 0.25
 
 
+_LOGIT_DS: dict = {}
+
+
 def logit_ds(spark, sf) -> DataFrame:
+    """M1 over the houses, persisted once per session and folder: it feeds
+    iterative fits, and deriving the model frame from cached columns keeps
+    the generated code small."""
     from ..operators import model
-    h = inputs.houses(spark, sf)
-    return model.logit_dataset(h, S.pick_status_col(h), S.pick_year_col(h), CUR_YEAR, key="pid")
+    key = (id(spark), sf)
+    if key not in _LOGIT_DS:
+        h = inputs.houses(spark, sf)
+        _LOGIT_DS[key] = model.logit_dataset(h, S.pick_status_col(h), S.pick_year_col(h), CUR_YEAR,
+                                             key="pid").persist()
+    return _LOGIT_DS[key]
 
 
 LOGIT_CTE = f""",

@@ -50,6 +50,9 @@ def _fx(spark: SparkSession, sf_dir: str) -> None:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     key = (id(spark), sf_dir)
     if _REGISTERED.get("key") != key:
+        from ..session import ensure_checkpoint_dir, ship_package
+        ensure_checkpoint_dir(spark)
+        ship_package(spark)
         register_fixtures(spark, sf_dir, ["fx_nbh", "fx_nbh_node", "fx_tract", "fx_tract_node", "fx_house"])
         _REGISTERED["key"] = key
 

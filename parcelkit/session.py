@@ -36,9 +36,38 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``parcelkit`` importable in every Python worker (the WKB stages,
+    the paged data source): zip the package once per application and add it
+    with ``addPyFile``, which distributes it to the executors. The zip is a
+    code artifact written next to the checkpoint folder when that is a local
+    path (tests), else in the driver's scratch space; Spark serves it."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    import zipfile
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg)
+    ck = spark.conf.get("spark.checkpoint.dir", None)
+    base = ck if ck and "://" not in ck and os.path.isdir(ck) else tempfile.mkdtemp(prefix="parcelkit-code-")
+    zpath = os.path.join(base, f"parcelkit-{uuid.uuid4().hex[:8]}.zip")
+    with zipfile.ZipFile(zpath, "w") as z:
+        for d, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(d, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(zpath)
+    _SHIPPED.add(sc.applicationId)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
