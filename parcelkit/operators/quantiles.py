@@ -25,12 +25,14 @@ MAX_PASSES = 64
 
 
 def order_statistics(values: DataFrame, key: str, targets: dict[tuple, int],
-                     bins: int = BINS, leaf: int = LEAF) -> dict[tuple, float]:
+                     bins: int = BINS, leaf: int = LEAF, ext: dict | None = None) -> dict[tuple, float]:
     """``values``: ``key, v`` (non-null doubles). ``targets``: {(key_value, rank): rank}
-    with 0-based ranks. Returns {(key_value, rank): value}."""
+    with 0-based ranks. ``ext``: optional {key_value: (min, max)}.
+    Returns {(key_value, rank): value}."""
     spark = values.sparkSession
-    ext = {r[key]: (r["lo"], r["hi"]) for r in values.groupBy(key).agg(
-        F.min("v").alias("lo"), F.max("v").alias("hi")).collect()}
+    if ext is None:
+        ext = {r[key]: (r["lo"], r["hi"]) for r in values.groupBy(key).agg(
+            F.min("v").alias("lo"), F.max("v").alias("hi")).collect()}
     # state per target: (lo, hi, rank within [lo, hi])
     state = {t: (ext[t[0]][0], ext[t[0]][1], r) for t, r in targets.items() if t[0] in ext}
     out: dict[tuple, float] = {}
@@ -88,18 +90,21 @@ def order_statistics(values: DataFrame, key: str, targets: dict[tuple, int],
 
 def exact_quantiles(values: DataFrame, key: str, probs: list[float]) -> DataFrame:
     """``key, q_<i>`` per key for each probability in ``probs`` (pandas linear)."""
-    from ..session import ensure_checkpoint_dir
     spark = values.sparkSession
-    ensure_checkpoint_dir(spark)
-    vals = values.select(key, F.col("v").cast("double").alias("v")).filter(F.col("v").isNotNull()).checkpoint()
-    counts = {r[key]: r["n"] for r in vals.groupBy(key).agg(F.count(F.lit(1)).alias("n")).collect()}
+    # every pass reads this projection; persisted (recomputed from lineage if lost)
+    vals = values.select(key, F.col("v").cast("double").alias("v")).filter(F.col("v").isNotNull()).persist()
+    stats = vals.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"),
+                                  F.max("v").alias("hi")).collect()
+    counts = {r[key]: r["n"] for r in stats}
+    ext = {r[key]: (r["lo"], r["hi"]) for r in stats}
     targets = {}
     for k, n in counts.items():
         for q in probs:
             h = (n - 1) * q
             for rk in {math.floor(h), math.ceil(h)}:
                 targets[(k, rk)] = rk
-    got = order_statistics(vals, key, targets)
+    got = order_statistics(vals, key, targets, ext=ext)
+    vals.unpersist()
     rows = []
     for k, n in counts.items():
         row = [k]
