@@ -15,8 +15,15 @@ ROW_OVERHEAD = 64                           # bytes per row, conservative
 EDGE_BYTES = 40                             # one STRUCT<x1,y1,x2,y2> entry
 
 
-def estimate_bytes(df: DataFrame, array_cols=(), string_cols=()) -> int:
-    """Upper-bound estimate of ``df``'s in-memory size from one aggregate."""
+def estimate_bytes(df: DataFrame, array_cols=None, string_cols=None) -> int:
+    """Upper-bound estimate of ``df``'s in-memory size from one aggregate:
+    fixed-width columns by type width, strings and binaries by their summed
+    lengths, arrays by their summed sizes (all measured, not assumed)."""
+    fields = df.schema.fields
+    if string_cols is None:
+        string_cols = [f.name for f in fields if f.dataType.typeName() in ("string", "binary")]
+    if array_cols is None:
+        array_cols = [f.name for f in fields if f.dataType.typeName() == "array"]
     aggs = [F.count(F.lit(1)).alias("n")]
     for c in array_cols:
         aggs.append(F.coalesce(F.sum(F.size(c)), F.lit(0)).alias(f"a_{c}"))
@@ -34,7 +41,7 @@ def estimate_bytes(df: DataFrame, array_cols=(), string_cols=()) -> int:
 
 
 def broadcast_if_bounded(df: DataFrame, limit: int = DEFAULT_BROADCAST_LIMIT,
-                         array_cols=(), string_cols=()) -> DataFrame:
+                         array_cols=None, string_cols=None) -> DataFrame:
     """``broadcast(df)`` when its measured size is under ``limit``, else ``df``."""
     if limit <= 0:
         return df
