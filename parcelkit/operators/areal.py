@@ -113,12 +113,26 @@ def overlapping_pairs(overlay_self: DataFrame) -> DataFrame:
     return overlay_self.filter(F.col("a_gid") < F.col("b_gid"))
 
 
-def areal_shares(overlay: DataFrame, tracts: DataFrame, counts: dict[str, str | None]) -> DataFrame:
+def clip_area(overlay: DataFrame, nbh_edges: DataFrame, nbh_meas: DataFrame, tr_edges: DataFrame) -> DataFrame:
+    """J11 in general: the sum of pieces when neighborhoods do not overlap
+    (one self-overlay of the neighborhood layer decides), else the exact
+    union area per tract by a slab sweep grouped by tract."""
+    from .spatial import overlay_areas
+    from .union_area import union_clipped_area
+    over = overlapping_pairs(overlay_areas(nbh_edges, nbh_meas, nbh_edges, nbh_meas))
+    if over.isEmpty():
+        return clipped_tract_area(overlay)
+    return union_clipped_area(overlay.select("a_gid", "b_gid"), nbh_edges, tr_edges)
+
+
+def areal_shares(overlay: DataFrame, tracts: DataFrame, counts: dict[str, str | None],
+                 clip: DataFrame | None = None) -> DataFrame:
     """A1: ``w = piece area / clipped tract area`` (the piece's own tract);
     ``pct_k = sum(count_k * w) / sum(total * w)``, 0 when the total <= 0.
     ``overlay``: ``a_gid, b_gid, inter_area``; ``tracts`` keyed by ``gid``."""
     keys = ["white", "black", "hispanic", "asian", "native", "hipi"]
-    clip = clipped_tract_area(overlay)
+    if clip is None:
+        clip = clipped_tract_area(overlay)
     t = broadcast_if_bounded(tracts.select(F.col("gid").alias("b_gid"),
                                            *[F.col(c) for c in sorted({c for c in counts.values() if c})]))
     j = overlay.join(clip, "b_gid").join(t, "b_gid", "left")

@@ -2,6 +2,8 @@
 
 import math
 
+import numpy as np
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -132,3 +134,35 @@ def test_pip_slot_and_array_paths_agree(spark):
     for cell in (40.0, 150.0, 600.0):
         got = {r["pid"] for r in spatial.pip_join(pdf, e, None, how="inner", cell=cell).collect()}
         assert got == want
+
+
+def test_union_clip_area_with_overlaps(spark):
+    """J11 with overlapping neighborhoods: area(t n (n1 u n2)) by the slab
+    sweep; the plain sum of pieces would count the overlap twice."""
+    from parcelkit.operators import areal
+
+    def sq(gid, x0, y0, x1, y1):
+        return [(gid, 0, "shell", k, float(x), float(y))
+                for k, (x, y) in enumerate([(x0, y0), (x1, y0), (x1, y1), (x0, y1)])]
+
+    schema = "gid long, part int, role string, ord int, x double, y double"
+    nb = spark.createDataFrame(sq(1, 0, 0, 60, 60) + sq(2, 40, 20, 100, 80), schema)
+    tr = spark.createDataFrame(sq(10, 20, 10, 90, 70) + sq(11, 200, 200, 210, 210) +
+                               [(12, 0, "shell", k, float(x), float(y))
+                                for k, (x, y) in enumerate([(50, 0), (110, 50), (50, 100)])],
+                               schema)
+    ne, te = P.edges_from_vertices(nb), P.edges_from_vertices(tr)
+    nm, tm = P.polygon_measures(ne), P.polygon_measures(te)
+    ov = spatial.overlay_areas(ne, nm, te, tm, cell=25.0)
+    got = {r["b_gid"]: r["clipped_area"] for r in areal.clip_area(ov, ne, nm, te).collect()}
+    # tract 10 = [20,90]x[10,70]; union = [0,60]^2 u [40,100]x[20,80]
+    # n1 part [20,60]x[10,60] (2000) + n2 part [40,90]x[20,70] (2500) - their overlap [40,60]x[20,60] (800)
+    t10 = 40 * 50 + 50 * 50 - 20 * 40
+    assert got[10] == pytest.approx(t10, rel=1e-12)
+    assert 11 not in got
+    # triangle tract: compare with a fine raster
+    xs = np.arange(0.05, 120, 0.1)
+    X_, Y_ = np.meshgrid(xs, xs)
+    tri = (X_ >= 50) & (Y_ >= (X_ - 50) * 50 / 60) & (Y_ <= 100 - (X_ - 50) * 50 / 60)
+    un = ((X_ <= 60) & (Y_ <= 60)) | ((X_ >= 40) & (X_ <= 100) & (Y_ >= 20) & (Y_ <= 80))
+    assert got[12] == pytest.approx((tri & un).sum() * 0.01, rel=2e-3)
