@@ -74,3 +74,11 @@ def test_fractions_bounded(spark):
     # fractions are rounded to 6 decimals: a sum of k of them may exceed 1 by k * 5e-7
     assert (m.groupby("tract_id")["frac_of_tract"].sum() <= 1 + 1e-5).all()
     assert (m.groupby("neighborhood")["frac_of_neighborhood"].sum() <= 1 + 1e-5).all()
+
+
+def test_full_tiling_fractions_sum_to_one(spark):
+    """Tracts lying inside the neighborhood tiling are split completely:
+    their frac_of_tract sums to 1 (up to the 6-decimal rounding)."""
+    m = E.queries()["match_table"](spark, "/root/testdata/sf0.01").toPandas()
+    s = m.groupby("tract_id")["frac_of_tract"].sum()
+    assert (s > 1 - 1e-5).sum() >= 50
