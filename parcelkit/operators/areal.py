@@ -113,14 +113,21 @@ def overlapping_pairs(overlay_self: DataFrame) -> DataFrame:
     return overlay_self.filter(F.col("a_gid") < F.col("b_gid"))
 
 
-def clip_area(overlay: DataFrame, nbh_edges: DataFrame, nbh_meas: DataFrame, tr_edges: DataFrame) -> DataFrame:
-    """J11 in general: the sum of pieces when neighborhoods do not overlap
-    (one self-overlay of the neighborhood layer decides), else the exact
-    union area per tract by a slab sweep grouped by tract."""
+def layer_has_overlaps(edges: DataFrame, meas: DataFrame) -> bool:
+    """Whether any two polygons of a layer overlap with positive area (self-J3)."""
     from .spatial import overlay_areas
+    return not overlapping_pairs(overlay_areas(edges, meas, edges, meas)).isEmpty()
+
+
+def clip_area(overlay: DataFrame, nbh_edges: DataFrame, nbh_meas: DataFrame, tr_edges: DataFrame,
+              overlaps: bool | None = None) -> DataFrame:
+    """J11 in general: the sum of pieces when neighborhoods do not overlap
+    (decided by one self-overlay, or by ``overlaps`` when already known),
+    else the exact union area per tract by a slab sweep grouped by tract."""
     from .union_area import union_clipped_area
-    over = overlapping_pairs(overlay_areas(nbh_edges, nbh_meas, nbh_edges, nbh_meas))
-    if over.isEmpty():
+    if overlaps is None:
+        overlaps = layer_has_overlaps(nbh_edges, nbh_meas)
+    if not overlaps:
         return clipped_tract_area(overlay)
     return union_clipped_area(overlay.select("a_gid", "b_gid"), nbh_edges, tr_edges)
 

@@ -431,7 +431,7 @@ def q_clip_area(spark, sf):
     from ..operators import areal
     nb, tr = inputs.neighborhoods(spark, sf), inputs.tracts(spark, sf)
     ov = inputs.overlay(spark, sf)
-    c = areal.clip_area(ov, nb.edges, nb.measures, tr.edges)
+    c = areal.clip_area(ov, nb.edges, nb.measures, tr.edges, overlaps=nb.has_overlaps)
     return (c.join(tr.attrs.select(F.col("gid").alias("b_gid"), F.col("GEOID").cast("string").alias("tract_id")), "b_gid")
              .select("tract_id", F.round("clipped_area", 3).alias("clipped_area")))
 
@@ -452,7 +452,7 @@ def q_areal_shares(spark, sf):
     ft = _filtered_tracts(spark, sf)
     ov = spatial.overlay_areas(nb.edges, nb.measures, ft.edges, ft.measures)
     r = areal.areal_shares(ov, ft.attrs, S.pick_race_counts(ft.attrs),
-                           clip=areal.clip_area(ov, nb.edges, nb.measures, ft.edges))
+                           clip=areal.clip_area(ov, nb.edges, nb.measures, ft.edges, overlaps=nb.has_overlaps))
     return _r6(r.join(nb.attrs.select("gid", "name"), "gid").drop("gid"), "name")
 
 

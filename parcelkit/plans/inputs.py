@@ -31,6 +31,16 @@ class Layer:
             self._measures = polygon_measures(self.edges)
         return self._measures
 
+    _overlaps: bool | None = None
+
+    @property
+    def has_overlaps(self) -> bool:
+        """Any two polygons overlapping with positive area (computed once)."""
+        if self._overlaps is None:
+            from ..operators.areal import layer_has_overlaps
+            self._overlaps = layer_has_overlaps(self.edges, self.measures)
+        return self._overlaps
+
     @property
     def index(self):
         """Persisted point-in-polygon cell index (built on first use)."""
