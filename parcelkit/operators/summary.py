@@ -126,10 +126,14 @@ def numeric_profile(df: DataFrame, cols: list[str]) -> DataFrame:
     from .quantiles import exact_quantiles
     long = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("variable"), X.to_double(c).alias("v")) for c in cols])).alias("r")
-    ).select("r.variable", "r.v").filter(F.col("v").isNotNull())
+    ).select("r.variable", "r.v").filter(F.col("v").isNotNull()).persist()
+    # moments are tiny (one row per variable): computed now so that the
+    # persisted projection serves both them and the quantile passes
     g = long.groupBy("variable").agg(
         F.count("v").alias("count"), F.avg("v").alias("mean"), F.min("v").alias("min"), F.max("v").alias("max"))
+    g = df.sparkSession.createDataFrame(g.collect(), "variable string, count long, mean double, min double, max double")
     q = exact_quantiles(long, "variable", [0.5, 0.1, 0.9])
+    long.unpersist()
     return g.join(q, "variable").select(
         "variable", "count", "mean", F.col("q_0").alias("median"), "min",
         F.col("q_1").alias("p10"), F.col("q_2").alias("p90"), "max")

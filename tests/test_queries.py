@@ -82,3 +82,10 @@ def test_full_tiling_fractions_sum_to_one(spark):
     m = E.queries()["match_table"](spark, "/root/testdata/sf0.01").toPandas()
     s = m.groupby("tract_id")["frac_of_tract"].sum()
     assert (s > 1 - 1e-5).sum() >= 50
+
+
+def test_disjoint_group_shares_at_most_one(spark):
+    """Race groups are disjoint parts of the total: shares sum to at most 1."""
+    for r in E.queries()["race_from_matches"](spark, "/root/testdata/sf0.01").collect():
+        s = sum(r[f"pct_{k}"] for k in ("white", "black", "hispanic", "asian", "native", "hipi"))
+        assert 0 <= s <= 1 + 1e-5
