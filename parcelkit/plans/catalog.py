@@ -1157,6 +1157,20 @@ def q_paged_scan(spark, sf):
     return paged.read_paged(spark, PAGE_SCHEMA, fetcher="parcelkit.sources.paged:FilePages", root=root)
 
 
+@register("paged_scan_pushdown", with_views([H], """
+SELECT pid, x, y, bothsidesstatus, yearstructbuilt FROM fx_house
+WHERE yearstructbuilt IS NOT NULL AND pid >= 1000 AND bothsidesstatus IN ('Lead', 'yes')"""))
+def q_paged_scan_pushdown(spark, sf):
+    """S12 with source-side pushdown: the filters reach the page fetcher."""
+    from ..sources import paged
+    root = _scratch(spark, "pages")
+    h = inputs.houses(spark, sf).select("pid", "x", "y", "bothsidesstatus", "yearstructbuilt")
+    paged.stage_pages(h, "pid", root)
+    df = paged.read_paged(spark, PAGE_SCHEMA, pushdown=True, fetcher="parcelkit.sources.paged:FilePages", root=root)
+    return df.filter(F.col("yearstructbuilt").isNotNull() & (F.col("pid") >= 1000)
+                     & F.col("bothsidesstatus").isin("Lead", "yes"))
+
+
 @register("union_pages", with_views(TR, """
 SELECT CAST(gid AS BIGINT) AS gid, GEOID, NAME, totalE, WhiteE, CAST(NULL AS DOUBLE) AS avg_income, CAST(NULL AS BIGINT) AS Households FROM fx_tract
 UNION ALL

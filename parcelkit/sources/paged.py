@@ -15,6 +15,11 @@ pushdown). The fetcher is injectable (``option("fetcher", "module:Class")``):
 
 A page that comes back empty ends that partition's rows (as the sequential
 client stops on an empty page).
+
+With ``read_paged(..., pushdown=True)`` the reader also implements
+``pushFilters`` (Spark 4.1): comparisons, IN and null tests on top-level
+columns go to the fetcher (a ``where`` clause for the service, Arrow filter
+expressions for staged pages); everything else stays in Spark.
 """
 
 from __future__ import annotations
@@ -44,13 +49,15 @@ class FilePages:
             m = json.load(f)
         return int(m["count"]), int(m.get("maxRecordCount") or DEFAULT_PAGE)
 
-    def fetch(self, offset: int, limit: int, fields: list[str]):
+    def fetch(self, offset: int, limit: int, fields: list[str], pushed=()):
         import pyarrow.parquet as pq
         d = os.path.join(self.root, f"page={offset}")
         if not os.path.exists(d):
             return None
-        t = pq.read_table(d, columns=fields)
-        return t.slice(0, limit)
+        t = pq.read_table(d, columns=fields).slice(0, limit)
+        if pushed:
+            t = t.filter(_arrow_predicate(pushed))
+        return t
 
 
 class RestPages:
@@ -75,9 +82,10 @@ class RestPages:
             mrc = json.load(r).get("maxRecordCount") or DEFAULT_PAGE
         return int(n), int(mrc)
 
-    def fetch(self, offset: int, limit: int, fields: list[str]):
+    def fetch(self, offset: int, limit: int, fields: list[str], pushed=()):
         import pyarrow as pa
-        d = self._get({"where": self.where, "outFields": ",".join(fields) or "*", "outSR": 4326,
+        where = " AND ".join([f"({self.where})"] + [_sql_predicate(p) for p in pushed])
+        d = self._get({"where": where, "outFields": ",".join(fields) or "*", "outSR": 4326,
                        "resultOffset": offset, "resultRecordCount": limit})
         feats = d.get("features") or []
         if not feats:
@@ -96,6 +104,47 @@ def _load(spec: str, options: dict):
     return getattr(importlib.import_module(mod), cls)(options)
 
 
+# ------------------------------------------------------------- pushdown
+
+_OPS = {"EqualTo": "=", "GreaterThan": ">", "GreaterThanOrEqual": ">=", "LessThan": "<",
+        "LessThanOrEqual": "<=", "In": "IN", "IsNull": "IS NULL", "IsNotNull": "IS NOT NULL"}
+
+
+def _as_pushed(f):
+    """(column, op, value) for a supported filter on a top-level column, else None."""
+    op = _OPS.get(type(f).__name__)
+    if op is None or len(f.attribute) != 1:
+        return None
+    return (f.attribute[0], op, getattr(f, "value", None))
+
+
+def _arrow_predicate(pushed):
+    import pyarrow.compute as pc
+    expr = None
+    for col, op, v in pushed:
+        c = pc.field(col)
+        e = {"=": lambda: c == v, ">": lambda: c > v, ">=": lambda: c >= v, "<": lambda: c < v,
+             "<=": lambda: c <= v, "IN": lambda: c.isin(list(v)), "IS NULL": lambda: c.is_null(),
+             "IS NOT NULL": lambda: c.is_valid()}[op]()
+        expr = e if expr is None else (expr & e)
+    return expr
+
+
+def _sql_literal(v) -> str:
+    if isinstance(v, str):
+        return "'" + v.replace("'", "''") + "'"
+    return repr(v)
+
+
+def _sql_predicate(p) -> str:
+    col, op, v = p
+    if op in ("IS NULL", "IS NOT NULL"):
+        return f"{col} {op}"
+    if op == "IN":
+        return f"{col} IN ({', '.join(_sql_literal(x) for x in v)})"
+    return f"{col} {op} {_sql_literal(v)}"
+
+
 class PagedFeatureSource(DataSource):
     @classmethod
     def name(cls):
@@ -105,6 +154,8 @@ class PagedFeatureSource(DataSource):
         return self.options["schema"]
 
     def reader(self, schema):
+        if str(self.options.get("pushdown", "false")).lower() == "true":
+            return PagedPushdownReader(schema, self.options)
         return PagedReader(schema, self.options)
 
 
@@ -112,6 +163,7 @@ class PagedReader(DataSourceReader):
     def __init__(self, schema, options):
         self.schema = schema
         self.options = dict(options)
+        self.pushed = []
 
     def partitions(self):
         f = _load(self.options.get("fetcher", "parcelkit.sources.paged:FilePages"), self.options)
@@ -123,7 +175,7 @@ class PagedReader(DataSourceReader):
         import pyarrow as pa
         f = _load(self.options.get("fetcher", "parcelkit.sources.paged:FilePages"), self.options)
         fields = [fl.name for fl in self.schema.fields]
-        t = f.fetch(partition.offset, partition.limit, fields)
+        t = f.fetch(partition.offset, partition.limit, fields, self.pushed)
         if t is None or t.num_rows == 0:
             return
         target = pa.schema([(fl.name, _arrow_type(fl.dataType)) for fl in self.schema.fields])
@@ -132,6 +184,16 @@ class PagedReader(DataSourceReader):
             yield b
 
 
+class PagedPushdownReader(PagedReader):
+    def pushFilters(self, filters):
+        for f in filters:
+            p = _as_pushed(f)
+            if p is None:
+                yield f
+            else:
+                self.pushed.append(p)
+
+
 def _arrow_type(dt):
     import pyarrow as pa
     n = dt.typeName()
@@ -155,9 +217,11 @@ def stage_pages(df: DataFrame, position_col: str, root: str, page: int = DEFAULT
         json.dump({"count": total, "maxRecordCount": page}, f)
 
 
-def read_paged(spark: SparkSession, schema: str, **options) -> DataFrame:
+def read_paged(spark: SparkSession, schema: str, pushdown: bool = False, **options) -> DataFrame:
     register(spark)
-    r = spark.read.format("paged_features").option("schema", schema)
+    if pushdown:
+        spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    r = spark.read.format("paged_features").option("schema", schema).option("pushdown", str(pushdown).lower())
     for k, v in options.items():
         r = r.option(k, str(v))
     return r.load()

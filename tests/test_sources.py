@@ -63,3 +63,19 @@ def test_ensure_crs_sets_then_transforms(spark):
     b = G.ensure_crs(a, "x", "y", 5070)
     r = b.first()
     assert G.srid_of(b) == 5070 and r["x"] == pytest.approx(1614463.213, abs=1e-3)
+
+
+def test_paged_source_pushdown(spark):
+    root = _scratch(spark, "pages-push")
+    df = spark.range(0, 3000).select(F.col("id").alias("pid"), (F.col("id") % 7).cast("string").alias("k"))
+    paged.stage_pages(df, "pid", root, page=1000)
+    out = paged.read_paged(spark, "pid BIGINT, k STRING", pushdown=True, root=root).filter(
+        (F.col("pid") >= 1500) & F.col("k").isin("1", "3"))
+    import contextlib
+    import io
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        out.explain("formatted")
+    assert "PushedFilters" in buf.getvalue() and "GreaterThanOrEqual(pid,1500)" in buf.getvalue()
+    rows = out.collect()
+    assert sorted(r["pid"] for r in rows) == [i for i in range(1500, 3000) if i % 7 in (1, 3)]
