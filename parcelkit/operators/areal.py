@@ -17,6 +17,12 @@ from ..functions import clean as X
 from .sizing import broadcast_if_bounded
 from .spatial import overlay_areas
 
+# Fixed values of the tiered city filter (F1): exact county-equivalent id
+# prefix, looser state/independent-city prefix, and the name phrase.
+CITY_ID_PREFIX = "51760"
+LOOSE_ID_PREFIX = "517"
+CITY_NAME_PHRASE = "richmond city"
+
 
 def match_table(nbh_edges: DataFrame, nbh_meas: DataFrame, nbh_names: DataFrame,
                 tr_edges: DataFrame, tr_meas: DataFrame, tr_ids: DataFrame,
@@ -210,8 +216,8 @@ def three_tier_fill(base: DataFrame, tier2: DataFrame, tier3: DataFrame, key: st
 
 
 def tiered_filter(tracts: DataFrame, id_col: str | None, name_col: str | None,
-                  exact_prefix: str = "51760", loose_prefix: str = "517",
-                  name_phrase: str = "richmond city") -> DataFrame:
+                  exact_prefix: str = CITY_ID_PREFIX, loose_prefix: str = LOOSE_ID_PREFIX,
+                  name_phrase: str = CITY_NAME_PHRASE) -> DataFrame:
     """rows whose id starts with ``exact_prefix`` if there are any; else
     id starting with ``loose_prefix`` OR name containing ``name_phrase``
     (case-insensitive); if that is empty, all rows. The tier is chosen by one

@@ -147,6 +147,7 @@ def q_valid_year_rules(spark, sf):
 
 # Fixture metres are read as 1e-5 degree offsets around a fixed centre, so the
 # projection query runs over every house with realistic coordinates.
+# Fixed value: the maps' fallback centre (lon, lat).
 CENTRE_LON, CENTRE_LAT = -77.4360, 37.5407
 
 
@@ -404,10 +405,12 @@ def q_combined_full_join(spark, sf):
 
 # ============================== step 4: direct overlay, fallbacks, filter
 
-TIER_CTES = """, tier AS (SELECT bool_or(CAST(GEOID AS VARCHAR) LIKE '51760%') AS ex,
-                 bool_or(CAST(GEOID AS VARCHAR) LIKE '517%' OR lower(NAME) LIKE '%richmond city%') AS lo FROM fx_tract),
-ft AS (SELECT t.* FROM fx_tract t JOIN tier ON TRUE WHERE CASE WHEN tier.ex THEN CAST(GEOID AS VARCHAR) LIKE '51760%'
-        WHEN tier.lo THEN (CAST(GEOID AS VARCHAR) LIKE '517%' OR lower(NAME) LIKE '%richmond city%') ELSE TRUE END),
+from ..operators.areal import CITY_ID_PREFIX, CITY_NAME_PHRASE, LOOSE_ID_PREFIX  # noqa: E402
+
+TIER_CTES = f""", tier AS (SELECT bool_or(CAST(GEOID AS VARCHAR) LIKE '{CITY_ID_PREFIX}%') AS ex,
+                 bool_or(CAST(GEOID AS VARCHAR) LIKE '{LOOSE_ID_PREFIX}%' OR lower(NAME) LIKE '%{CITY_NAME_PHRASE}%') AS lo FROM fx_tract),
+ft AS (SELECT t.* FROM fx_tract t JOIN tier ON TRUE WHERE CASE WHEN tier.ex THEN CAST(GEOID AS VARCHAR) LIKE '{CITY_ID_PREFIX}%'
+        WHEN tier.lo THEN (CAST(GEOID AS VARCHAR) LIKE '{LOOSE_ID_PREFIX}%' OR lower(NAME) LIKE '%{CITY_NAME_PHRASE}%') ELSE TRUE END),
 fte AS (SELECT e.* FROM fx_tract_edge e WHERE e.gid IN (SELECT gid FROM ft))"""
 
 
