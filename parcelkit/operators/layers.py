@@ -67,7 +67,7 @@ def linear_colour(value: Column, stops: list[str], vmin: float, vmax: float, nod
             else:
                 p = F.lit(1.0)
             seg = (F.lit(1.0) - p) * F.lit(cols[i - 1][j]) + p * F.lit(cols[i][j])
-            expr = expr.when(x < F.lit(idx[i]), seg) if i < n - 1 else expr.when(x < F.lit(idx[i]), seg)
+            expr = expr.when(x < F.lit(idx[i]), seg)
         expr = expr.otherwise(F.lit(cols[-1][j]))
         return F.lower(F.lpad(F.hex(F.floor(expr * F.lit(BYTE_SCALE))), 2, "0"))
 

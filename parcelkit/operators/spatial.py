@@ -26,8 +26,7 @@ from ..functions.geom import (crossings_sql, point_in_edges_sql, point_in_slots_
 
 EDGE_SLOTS = 4   # boundary cells with at most this many edges keep them in plain columns
 from .polygons import EDGE_COLS, polygon_measures
-from .sizing import (DEFAULT_BROADCAST_LIMIT, EDGE_BYTES, ROW_OVERHEAD, broadcast_if_bounded,
-                     default_cell_size, pip_cell_size)
+from .sizing import DEFAULT_BROADCAST_LIMIT, EDGE_BYTES, ROW_OVERHEAD, default_cell_size, pip_cell_size
 
 
 # ----------------------------------------------------------------- J1 / J2

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import clean as X
-from ..operators import spatial, summary
+from ..operators import spatial
 
 
 def lead_count_stream(spark: SparkSession, points_dir: str, schema: str, index: "spatial.PipIndex",
