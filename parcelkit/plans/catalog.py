@@ -1116,7 +1116,7 @@ def q_geom_type_profile(spark, sf):
 
 
 @register("geojson_scan", with_views(NBH, f"""
-SELECT m.gid, n.name, m.area, m.cx, m.cy FROM ({_measure_sql('fx_nbh_edge', 'nbh')}) m JOIN fx_nbh n ON n.gid = m.gid"""))
+SELECT CAST(m.gid AS BIGINT) AS gid, n.name, m.area, m.cx, m.cy FROM ({_measure_sql('fx_nbh_edge', 'nbh')}) m JOIN fx_nbh n ON n.gid = m.gid"""))
 def q_geojson_scan(spark, sf):
     from ..sources import geo_io
     v = _nbh_vertices(spark, sf)
