@@ -414,12 +414,32 @@ ft AS (SELECT t.* FROM fx_tract t JOIN tier ON TRUE WHERE CASE WHEN tier.ex THEN
 fte AS (SELECT e.* FROM fx_tract_edge e WHERE e.gid IN (SELECT gid FROM ft))"""
 
 
+_FILTERED: dict = {}
+
+
 def _filtered_tracts(spark, sf) -> inputs.Layer:
+    """F1-filtered tract layer, persisted once per session and folder (its
+    edges, measures and overlay feed several statistics)."""
     from ..operators import areal
-    tr = inputs.tracts(spark, sf)
-    kept = areal.tiered_filter(tr.attrs, S.pick_tract_id(tr.attrs), "NAME")
-    edges = tr.edges.join(kept.select("gid"), "gid", "left_semi")
-    return inputs.Layer(edges, kept)
+    from ..operators.polygons import polygon_measures
+    key = (id(spark), sf)
+    if key not in _FILTERED:
+        tr = inputs.tracts(spark, sf)
+        kept = areal.tiered_filter(tr.attrs, S.pick_tract_id(tr.attrs), "NAME")
+        edges = tr.edges.join(kept.select("gid"), "gid", "left_semi").persist()
+        _FILTERED[key] = inputs.Layer(edges, kept, polygon_measures(edges).persist())
+    return _FILTERED[key]
+
+
+_FILTERED_OV: dict = {}
+
+
+def _filtered_overlay(spark, sf) -> DataFrame:
+    key = (id(spark), sf)
+    if key not in _FILTERED_OV:
+        nb, ft = inputs.neighborhoods(spark, sf), _filtered_tracts(spark, sf)
+        _FILTERED_OV[key] = spatial.overlay_areas(nb.edges, nb.measures, ft.edges, ft.measures).persist()
+    return _FILTERED_OV[key]
 
 
 @register("tiered_filter", with_views(TR, TIER_CTES + "\nSELECT gid, GEOID, NAME FROM ft"))
@@ -453,7 +473,7 @@ def q_areal_shares(spark, sf):
     from ..operators import areal
     nb = inputs.neighborhoods(spark, sf)
     ft = _filtered_tracts(spark, sf)
-    ov = spatial.overlay_areas(nb.edges, nb.measures, ft.edges, ft.measures)
+    ov = _filtered_overlay(spark, sf)
     r = areal.areal_shares(ov, ft.attrs, S.pick_race_counts(ft.attrs),
                            clip=areal.clip_area(ov, nb.edges, nb.measures, ft.edges, overlaps=nb.has_overlaps))
     return _r6(r.join(nb.attrs.select("gid", "name"), "gid").drop("gid"), "name")
