@@ -7,8 +7,8 @@ pages are fetched in parallel by the executors instead of one after another.
 pushdown). The fetcher is injectable (``option("fetcher", "module:Class")``):
 
 * ``FilePages`` reads pages stored as parquet folders ``page=<offset>`` under
-  ``root`` plus a ``meta.json`` with ``count`` and ``maxRecordCount`` (tests
-  and staged downloads);
+  ``root`` plus a one-row JSON ``_meta`` with ``count`` and ``maxRecordCount``
+  (tests and staged downloads), through ``pyarrow.fs`` (local or shared);
 * ``RestPages`` speaks the feature-service query protocol over HTTP
   (``resultOffset``/``resultRecordCount``, ``f=json``); it needs network
   access and is not exercised by the tests.
@@ -26,7 +26,6 @@ from __future__ import annotations
 
 import importlib
 import json
-import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -40,21 +39,40 @@ class PageRange(InputPartition):
         self.limit = limit
 
 
+def _fs(root: str):
+    """(filesystem, path) for a local path or a URI (hdfs://, s3://, file://)."""
+    import pyarrow.fs as pafs
+    if "://" in root:
+        return pafs.FileSystem.from_uri(root)
+    return pafs.LocalFileSystem(), root
+
+
 class FilePages:
+    """Pages staged as parquet folders ``page=<offset>`` plus a one-row JSON
+    ``_meta`` (count, maxRecordCount), read through ``pyarrow.fs`` so the
+    root may be any shared filesystem."""
+
     def __init__(self, options: dict):
-        self.root = options["root"]
+        self.root = options["root"].rstrip("/")
 
     def meta(self) -> tuple[int, int]:
-        with open(os.path.join(self.root, "meta.json")) as f:
-            m = json.load(f)
-        return int(m["count"]), int(m.get("maxRecordCount") or DEFAULT_PAGE)
+        import pyarrow.fs as pafs
+        fs, path = _fs(self.root)
+        for info in fs.get_file_info(pafs.FileSelector(f"{path}/_meta")):
+            if info.base_name.startswith("part-") and info.size:
+                with fs.open_input_stream(info.path) as f:
+                    m = json.loads(f.read().decode().splitlines()[0])
+                return int(m["count"]), int(m.get("maxRecordCount") or DEFAULT_PAGE)
+        return 0, DEFAULT_PAGE
 
     def fetch(self, offset: int, limit: int, fields: list[str], pushed=()):
+        import pyarrow.fs as pafs
         import pyarrow.parquet as pq
-        d = os.path.join(self.root, f"page={offset}")
-        if not os.path.exists(d):
+        fs, path = _fs(self.root)
+        d = f"{path}/page={offset}"
+        if fs.get_file_info(d).type == pafs.FileType.NotFound:
             return None
-        t = pq.read_table(d, columns=fields).slice(0, limit)
+        t = pq.read_table(d, columns=fields, filesystem=fs).slice(0, limit)
         if pushed:
             t = t.filter(_arrow_predicate(pushed))
         return t
@@ -213,8 +231,9 @@ def stage_pages(df: DataFrame, position_col: str, root: str, page: int = DEFAULT
       .write.mode("overwrite").partitionBy("page").parquet(root)
     n = df.agg(F.max(position_col)).first()[0]
     total = 0 if n is None else int(n) + 1
-    with open(os.path.join(root, "meta.json"), "w") as f:
-        json.dump({"count": total, "maxRecordCount": page}, f)
+    # one-row metadata written by Spark, so ``root`` may be shared storage
+    (df.sparkSession.createDataFrame([(total, page)], "count long, maxRecordCount long")
+       .coalesce(1).write.mode("overwrite").json(root.rstrip("/") + "/_meta"))
 
 
 def read_paged(spark: SparkSession, schema: str, pushdown: bool = False, **options) -> DataFrame:
