@@ -1323,3 +1323,26 @@ def q_flat_master_csv(spark, sf):
     geo_io.write_csv(m, path)
     return geo_io.read_csv_points(spark, path, "pid BIGINT, nbh_name STRING, race_tract_id STRING, race_Pwhite DOUBLE, "
                                                "race_Pblack DOUBLE, inc_tract_id STRING, inc_avg_income DOUBLE")
+
+
+# ========================================= streaming form of the flagship
+
+@register("lead_stream", ORACLE["lead_by_neighborhood"])
+def q_lead_stream(spark, sf):
+    """The lead summary computed by Structured Streaming: the houses land as
+    two batches of files, the stream (stream-static PIP join + stateful
+    counts) drains them with ``availableNow``; equals the batch result."""
+    import os
+    import uuid
+    from ..streaming import lead_stream
+    root = _scratch(spark, "stream")
+    h = inputs.houses(spark, sf).select("pid", "x", "y", "bothsidesstatus", "yearstructbuilt")
+    h.filter(F.col("pid") % 2 == 0).write.parquet(os.path.join(root, "in", "a"))
+    h.filter(F.col("pid") % 2 == 1).write.parquet(os.path.join(root, "in", "b"))
+    nb = inputs.neighborhoods(spark, sf)
+    schema = "pid BIGINT, x DOUBLE, y DOUBLE, bothsidesstatus STRING, yearstructbuilt STRING"
+    s = lead_stream.lead_count_stream(spark, os.path.join(root, "in", "*"), schema, nb.index,
+                                      nb.attrs.select("gid", "name"), max_files_per_trigger=1)
+    name = f"lead_counts_{uuid.uuid4().hex[:8]}"
+    lead_stream.run_available(s, name, os.path.join(root, "ckpt"))
+    return lead_stream.summary_from_counts(spark.table(name), CUR_YEAR)
