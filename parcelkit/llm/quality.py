@@ -7,7 +7,7 @@ gives each rule its own chance of a bad vote in each class; votes are taken
 as independent given the class. The vote pattern of a document (R rules,
 three states) is all the model needs, so the corpus is reduced to counts per
 pattern, at most 3**R rows whatever its size, and EM runs over that table.
-The posterior of a pattern is then evaluated as a column expression.
+The posterior then follows from a document's own votes.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
@@ -77,8 +77,7 @@ def measure(text: str | None) -> tuple:
             text.count("!") + text.count("?"))
 
 
-@pandas_udf(FEATURE_TYPE)
-def text_features(text: pd.Series) -> pd.DataFrame:
+def features(text: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([measure(t) for t in text], columns=FEATURES, dtype="int64")
 
 
@@ -93,12 +92,12 @@ class Rule:
     good: float
     sign: int = 1
 
-    def vote(self, f: Column) -> Column:
+    def vote(self, f: pd.DataFrame) -> np.ndarray:
         """1 good, 0 bad, -1 abstains."""
-        den = F.lit(1) if self.den == "1" else f[self.den]
-        x = self.sign * f[self.num] / den
-        return (F.when(den == 0, F.lit(-1)).when(x > self.sign * self.bad, F.lit(0))
-                .when(x <= self.sign * self.good, F.lit(1)).otherwise(F.lit(-1)))
+        den = np.ones(len(f)) if self.den == "1" else f[self.den].to_numpy(dtype=float)
+        x = self.sign * f[self.num].to_numpy(dtype=float) / np.maximum(den, 1)
+        vote = np.where(x > self.sign * self.bad, 0, np.where(x <= self.sign * self.good, 1, -1))
+        return np.where(den == 0, -1, vote).astype(np.int32)
 
 
 RULES = (
@@ -121,16 +120,13 @@ class Model:
     share: np.ndarray  # (R + 1,)
     bad: np.ndarray    # (R + 1, R)
 
-    def posterior(self, votes: list[Column]) -> Column:
-        """Probability that a document is good, given its votes."""
-        likelihood = []
-        for share, rates in zip(self.share, self.bad):
-            x = F.lit(math.log(share))
-            for v, p in zip(votes, rates):
-                x = x + F.when(v == 0, F.lit(math.log(p))).when(v == 1, F.lit(math.log(1 - p))).otherwise(F.lit(0.0))
-            likelihood.append(x)
-        odds = sum((F.exp(x - likelihood[0]) for x in likelihood[1:]), F.lit(0.0))
-        return 1 / (1 + odds)
+    def posterior(self, votes: np.ndarray) -> np.ndarray:
+        """Probability that a document is good, for rows of votes."""
+        return np.exp(self._joint(votes)[:, 0] - np.logaddexp.reduce(self._joint(votes), axis=1))
+
+    def _joint(self, votes: np.ndarray) -> np.ndarray:
+        bad, good = (votes == 0).astype(float), (votes == 1).astype(float)
+        return np.log(self.share) + bad @ np.log(self.bad).T + good @ np.log(1 - self.bad).T
 
 
 def fit(patterns: np.ndarray, counts: np.ndarray, tol: float = 1e-10, rounds: int = 5000,
@@ -151,7 +147,7 @@ def fit(patterns: np.ndarray, counts: np.ndarray, tol: float = 1e-10, rounds: in
     share, rate = np.r_[0.9, np.full(r, 0.1 / r)], first
     last = -math.inf
     for _ in range(rounds):
-        x = np.log(share) + bad @ np.log(rate).T + good @ np.log(1 - rate).T
+        x = Model(share, rate)._joint(patterns)
         total = np.logaddexp.reduce(x, axis=1)
         now = float(counts @ total)
         w = counts[:, None] * np.exp(x - total[:, None])
@@ -166,14 +162,19 @@ def fit(patterns: np.ndarray, counts: np.ndarray, tol: float = 1e-10, rounds: in
     return Model(share, rate)
 
 
-def learn(votes: DataFrame, names: list[str]) -> Model:
-    """Fit on the vote columns ``names`` of every row."""
-    rows = votes.groupBy(*names).count().collect()  # at most 3 ** len(names) rows
-    if not rows:
-        return fit(np.zeros((0, len(names))), np.zeros(0))
-    rows = sorted(tuple(r) for r in rows)
-    a = np.array(rows, dtype=float)
-    return fit(a[:, :-1], a[:, -1])
+def learn(docs: DataFrame, text: str = "text", rules=RULES) -> Model:
+    """Fit on the vote patterns of every row."""
+    base = 3 ** np.arange(len(rules))
+
+    @pandas_udf("long")
+    def pattern(t: pd.Series) -> pd.Series:
+        f = features(t)
+        return pd.Series(np.stack([r.vote(f) + 1 for r in rules], axis=1).astype(np.int64) @ base)
+
+    counted = docs.select(pattern(F.col(f"`{text}`")).alias("p")).groupBy("p").count()
+    rows = sorted(map(tuple, counted.collect()))  # at most 3 ** len(rules) rows
+    codes, counts = (np.array([r[i] for r in rows], dtype=np.int64) for i in (0, 1))
+    return fit(codes[:, None] // base % 3 - 1, counts.astype(float))
 
 
 def score(docs: DataFrame, text: str = "text", rules=RULES, min_posterior: float = 0.5) -> DataFrame:
@@ -187,17 +188,20 @@ def score(docs: DataFrame, text: str = "text", rules=RULES, min_posterior: float
     column of that name is replaced.
     """
     prepare(docs.sparkSession)
-    f, *names = tmp_names(docs, "features", *(f"v_{r.name}" for r in rules))
-    measured = docs.withColumn(f, text_features(F.col(f"`{text}`")))
-    voted = [r.vote(F.col(f)).alias(n) for r, n in zip(rules, names)]
-    model = learn(measured.select(*voted), names)
-    failed = (F.col(f)["n_words"] < 20) | (100 * F.col(f)["n_repeat_words"] > 30 * F.col(f)["n_words"])
-    posterior = model.posterior([r.vote(F.col(f)) for r in rules])
-    quality = F.struct(*(F.col(f)[x].alias(x) for x in FEATURES),
-                       F.struct(*(r.vote(F.col(f)).alias(r.name) for r in rules)).alias("votes"),
-                       posterior.alias("posterior"), failed.alias("base_failed"),
-                       (~failed & (posterior >= min_posterior)).alias("kept"))
-    return measured.withColumn("quality", quality).drop(f)
+    model = learn(docs, text, rules)
+    kind = T.StructType([*FEATURE_TYPE.fields, T.StructField("votes", T.ArrayType(T.IntegerType())),
+                         T.StructField("posterior", T.DoubleType()), T.StructField("base_failed", T.BooleanType()),
+                         T.StructField("kept", T.BooleanType())])
+
+    @pandas_udf(kind)
+    def judge(t: pd.Series) -> pd.DataFrame:
+        f = features(t)
+        votes = np.stack([r.vote(f) for r in rules], axis=1)
+        p = model.posterior(votes)
+        failed = (f["n_words"] < 20) | (100 * f["n_repeat_words"] > 30 * f["n_words"])
+        return f.assign(votes=list(votes), posterior=p, base_failed=failed, kept=~failed & (p >= min_posterior))
+
+    return docs.withColumn("quality", judge(F.col(f"`{text}`")))
 
 
 def keep_good(docs: DataFrame, text: str = "text", **options) -> DataFrame:
