@@ -2,13 +2,32 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelkit.llm import lines, mixing, packing, quality, simhash
+from parcelkit.llm import chat, licenses, lines, lm, mixing, packing, quality, simhash, topk, urls
 from parcelkit.llm.common import documents
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base, found = F.col("licenses.base"), F.col("licenses.found")
+    starts = F.transform(base, lambda s: s["start"].cast("long"))
+    weights = F.transform(F.concat(base, found), lambda s: s["weight"])
+    return licenses.scan(documents(spark, sf_dir)).select(
+        "doc_id", F.col("licenses.n_words").alias("n_words"), F.size(base).cast("long").alias("n_base"),
+        F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"),
+        licenses.labels(base).alias("base_labels"), licenses.labels(base, found).alias("labels"),
+        F.coalesce(F.array_max(weights), F.lit(0.0)).alias("score"), found.alias("detections"))
+
+
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    f = F.col("filter")
+    return urls.judge(documents(spark, sf_dir, "pages")).select(
+        "page_id", *(f[c].alias(c) for c in ("host", "path", "rule", "verdict", "trust", "distrust")))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     q = F.col("quality")
     return quality.score(documents(spark, sf_dir)).select(
@@ -27,6 +46,11 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_lines", F.size("dropped").cast("long").alias("n_dropped"), "dropped")
 
 
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 7 == 2
+    return lm.score(documents(spark, sf_dir), held_out)
+
+
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = F.col("mix")
     return mixing.place(documents(spark, sf_dir)).select(
@@ -34,9 +58,55 @@ def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
         (m["size"] * F.size(m["shards"])).cast("long").alias("taken"), m["shards"].alias("shards"))
 
 
+def op8_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(documents(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
+def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)],
+                                  "conv_id long, turn long, role string, text string")
+    rows = documents(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(extra)
+    return chat.read_back(chat.format_conversations(rows))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), with_ids=False)
 
 
-QUERIES = {f.__name__: f for f in (op3_quality_rules, op4_simhash_near_dedup, op5_line_dedup, op7_mix_sources, op10_packing)}
-ORACLE: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (
+    op1_license_scan, op2_url_filter, op3_quality_rules, op4_simhash_near_dedup, op5_line_dedup, op6_lm_scoring,
+    op7_mix_sources, op8_exact_top_k, op9_chat_formatting, op10_packing)}
+
+# Escaped lengths in SQL: a backslash is doubled, and each control string has
+# one inserted.
+_ESCAPED = "regexp_replace(replace({0}, chr(92), chr(92) || chr(92)), '(" + "|".join(
+    re.escape(c) for c in chat.CONTROL) + ")', chr(92) || chr(92) || '\\1', 'g')"
+
+ORACLE: dict[str, str] = {
+    "op8_exact_top_k": """
+        WITH v AS (
+            SELECT row_number() OVER () AS r, vec_id,
+                   list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS e
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (
+            SELECT q.r, q.vec_id AS query_id, c.vec_id,
+                   list_sum(list_transform(range(1, len(q.e) + 1), lambda i: q.e[i] * c.e[i]))::BIGINT AS score
+            FROM v q JOIN v c ON q.r <> c.r AND len(q.e) = len(c.e) WHERE q.vec_id % 100 = 0),
+        t AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
+        SELECT query_id, rank, vec_id, score FROM t WHERE rank <= 10""",
+    "op9_chat_formatting": f"""
+        WITH t AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]'))
+        SELECT conv_id, count(*) AS n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+               sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END)::BIGINT AS loss_chars,
+               sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY turn, role, text))
+                   AS loss_sha256,
+               sum({len(chat.OPEN + chat.MIDDLE + chat.CLOSE)} + length({_ESCAPED.format("role")})
+                   + length({_ESCAPED.format("text")}))::BIGINT AS formatted_chars
+        FROM t GROUP BY conv_id""",
+}
