@@ -108,38 +108,38 @@ def _output(p: dict, h: np.ndarray, target: np.ndarray, grads: dict | None = Non
     their negative mean and returns the gradient of h too."""
     cls, within = target // CLASS, target % CLASS
     n = len(target)
-    logits = h @ p["Wc"] + p["bc"]
-    logits -= logits.max(axis=1, keepdims=True)
-    e = np.exp(logits)
-    total = e.sum(axis=1)
-    at = np.arange(n)
-    logp = logits[at, cls] - np.log(total)
+
+    def softmax(w, bias, x, at):
+        """Log probabilities of ``at`` per row of x, and the gradient of the
+        logits; laid out by class, so that sums run along the rows."""
+        logits = w.T @ x.T + bias[:, None]
+        logits -= logits.max(axis=0)
+        e = np.exp(logits)
+        total = e.sum(axis=0)
+        i = np.arange(len(at))
+        found = logits[at, i] - np.log(total)
+        if grads is not None:
+            e /= total
+            e[at, i] -= 1
+            e /= n
+        return found, e
+
+    logp, d = softmax(p["Wc"], p["bc"], h, cls)
     dh = None
     if grads is not None:
-        d = e / total[:, None]
-        d[at, cls] -= 1
-        d /= n
-        grads["Wc"] += h.T @ d
-        grads["bc"] += d.sum(axis=0)
-        dh = d @ p["Wc"].T
+        grads["Wc"] += (d @ h).T
+        grads["bc"] += d.sum(axis=1)
+        dh = d.T @ p["Wc"].T
     order = np.argsort(cls, kind="stable")
     edges = np.searchsorted(cls[order], np.arange(len(p["bc"]) + 1))
     for c in np.flatnonzero(np.diff(edges)):
         rows = order[edges[c]:edges[c + 1]]
-        hc, w = h[rows], within[rows]
-        x = hc @ p["Ww"][c] + p["bw"][c]
-        x -= x.max(axis=1, keepdims=True)
-        e = np.exp(x)
-        total = e.sum(axis=1)
-        i = np.arange(len(rows))
-        logp[rows] += x[i, w] - np.log(total)
+        found, d = softmax(p["Ww"][c], p["bw"][c], h[rows], within[rows])
+        logp[rows] += found
         if grads is not None:
-            d = e / total[:, None]
-            d[i, w] -= 1
-            d /= n
-            grads["Ww"][c] += hc.T @ d
-            grads["bw"][c] += d.sum(axis=0)
-            dh[rows] += d @ p["Ww"][c].T
+            grads["Ww"][c] += (d @ h[rows]).T
+            grads["bw"][c] += d.sum(axis=1)
+            dh[rows] += d.T @ p["Ww"][c].T
     return logp, dh
 
 

@@ -44,7 +44,7 @@ HASH_BITS = 63
 # Words of one output shard.
 SHARD_WORDS = 4_000_000
 # Rounds that add single documents to close what a threshold leaves.
-EXTRA_ROUNDS = 3
+EXTRA_ROUNDS = 5
 # Sources are categories of a corpus; their table is handled whole.
 MAX_SOURCES = 100_000
 
@@ -81,10 +81,16 @@ class Plan:
     extras: list         # single hashes that are drawn once more
     shards: int
 
-    def partial(self, i: int) -> np.ndarray:
-        """Blocks of the last pass, in order."""
-        blocks = range((int(self.limit[i]) - 1 >> HASH_BITS - BLOCK_BITS) + 1) if self.limit[i] else ()
-        return np.array(sorted({*blocks, *(u >> HASH_BITS - BLOCK_BITS for u in self.extras[i])}), dtype=np.int64)
+    def partial(self, i: int) -> tuple[np.ndarray, np.ndarray]:
+        """(block, turn) of the draws after the whole passes, in order: the
+        leading blocks and those of single documents once more, and a turn
+        later those of single documents that lie below the limit already."""
+        limit, shift = int(self.limit[i]), HASH_BITS - BLOCK_BITS
+        once = {*range((limit - 1 >> shift) + 1 if limit else 0), *(u >> shift for u in self.extras[i] if u >= limit)}
+        twice = {u >> shift for u in self.extras[i] if u < limit}
+        pairs = sorted([(0, b) for b in once] + [(1, b) for b in twice])
+        turn, block = np.array(pairs, dtype=np.int64).reshape(-1, 2).T
+        return block, turn + int(self.full[i])
 
 
 def _units(docs: DataFrame, doc_id: str, text: str, source: str, seed: int) -> DataFrame:
@@ -145,13 +151,15 @@ def make_plan(units: DataFrame, weights=WEIGHTS, cap: float = CAP, shard_words:
     short = [max(0.0, float(rest[i]) - base.get(s, 0)) if rest[i] else 0.0 for i, s in enumerate(names)]
 
     extras: list = [[] for _ in names]
-    for _ in range(EXTRA_ROUNDS):
+    for last in [False] * (EXTRA_ROUNDS - 1) + [True]:
         if not any(x >= 1 for x in short):
             break
-        state = table(limit=[int(x) for x in limit], short=[float(x) for x in short])
+        # Below the limit a document has full + 1 copies already.
+        state = table(limit=[int(x) if f + 1 >= cap else 0 for x, f in zip(limit, full)], short=[float(x) for x in short])
         gone = [u for e in extras for u in e]
-        free = once.join(state, same(once, state)).where(
-            (F.col("u") >= F.col("limit")) & (F.abs(F.col("size") - F.col("short")) < F.col("short")))
+        # The largest one that fits; at the end the nearest, above or below.
+        fits = F.abs(F.col("size") - F.col("short")) < F.col("short") if last else F.col("size") <= F.col("short")
+        free = once.join(state, same(once, state)).where((F.col("u") >= F.col("limit")) & (F.col("size") > 0) & fits)
         if gone:  # at most EXTRA_ROUNDS a source
             free = free.where(~F.col("u").isin(gone)) if len(gone) < 1000 else free.join(
                 F.broadcast(spark.createDataFrame([(u,) for u in gone], "u long")), "u", "left_anti")
@@ -184,7 +192,7 @@ def leaf(shard: int, shards: int, quotas: np.ndarray, seed: int) -> tuple[np.nda
 
 def assign(spark, plan: Plan, seed: int) -> DataFrame:
     """(source_at, block, shards): the shard of each pass over a block."""
-    quotas = np.array([int(plan.full[i]) * BLOCKS + len(plan.partial(i)) for i in range(len(plan.names))], dtype=np.int64)
+    quotas = np.array([int(plan.full[i]) * BLOCKS + len(plan.partial(i)[0]) for i in range(len(plan.names))], dtype=np.int64)
 
     def walk(batches):
         for pdf in batches:
@@ -192,17 +200,15 @@ def assign(spark, plan: Plan, seed: int) -> DataFrame:
                 first, count = leaf(int(shard), plan.shards, quotas, seed)
                 for i in np.flatnonzero(count):
                     d = np.arange(first[i], first[i] + count[i])
-                    whole = int(plan.full[i]) * BLOCKS
-                    part = plan.partial(i)
-                    block = d % BLOCKS
-                    if len(part):
-                        block = np.where(d < whole, block, part[np.clip(d - whole, 0, len(part) - 1)])
-                    yield pd.DataFrame({"source_at": np.int32(i), "block": block, "turn": d // BLOCKS * (d < whole)
-                                        + plan.full[i] * (d >= whole), "shard": np.int64(shard)})
+                    block, turn = d % BLOCKS, d // BLOCKS
+                    after = d - int(plan.full[i]) * BLOCKS
+                    last = after >= 0
+                    block[last], turn[last] = (x[after[last]] for x in plan.partial(i))
+                    yield pd.DataFrame({"source_at": np.int32(i), "block": block, "turn": turn, "shard": np.int64(shard)})
 
     draws = spark.range(plan.shards).mapInPandas(walk, "source_at int, block long, turn long, shard long")
     out = draws.groupBy("source_at", "block").agg(F.array_sort(F.collect_list(F.struct("turn", "shard"))).alias("t"))
-    return out.select("source_at", "block", F.col("t.shard").alias("shards"))  # at most cap + 1 turns a block
+    return out.select("source_at", "block", F.col("t.shard").alias("shards"))  # at most cap turns a block
 
 
 def place(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source",
@@ -234,8 +240,8 @@ def place(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: s
     key = F.struct(F.col(about)["source_at"].alias("source_at"),
                    F.shiftright(u, HASH_BITS - BLOCK_BITS).alias("block"))
     rows = rows.join(tab.withColumnRenamed(block, block + "_t"), key == F.col(block + "_t"), "left")
-    copies = F.col(about)["full"] + ((F.col(u) < F.col(about)["lim"])
-                                     | F.array_contains(F.col(about)["extras"], F.col(u))).cast("int")
+    copies = (F.col(about)["full"] + (F.col(u) < F.col(about)["lim"]).cast("int")
+              + F.array_contains(F.col(about)["extras"], F.col(u)).cast("int"))
     mix = F.struct(word_count(F.col(f"`{text}`")).alias("size"), F.col(about)["source_size"].alias("source_size"),
                    F.col(about)["target"].alias("target"),
                    F.coalesce(F.slice(F.col(shards), F.lit(1), copies), F.array().cast("array<long>")).alias("shards"),

@@ -53,7 +53,7 @@ def test_documents(docs):
     rows, taken, target = check(docs, shard_words=5000)
     assert sum(taken.values()) == pytest.approx(sum(target.values()), rel=0.01)
     for s, t in target.items():
-        assert taken[s] == pytest.approx(t, rel=0.1)
+        assert taken[s] == pytest.approx(t, rel=0.1)  # some ten documents a source
     again = check(docs.repartition(5), shard_words=5000)[0]
     key = lambda rs: sorted((r.doc_id, tuple(r.mix.shards)) for r in rs)
     assert key(rows) == key(again)
@@ -69,7 +69,7 @@ def test_hot_source_comes_close(spark):
     rows = [(i, " ".join(["w"] * int(rng.integers(1, 300))), "hot" if i % 3 == 0 else f"s{i % 17}") for i in range(6000)]
     _, taken, target = check(spark.createDataFrame(rows, "doc_id long, text string, source string"))
     for s, t in target.items():
-        assert abs(taken[s] - t) <= 3
+        assert abs(taken[s] - t) <= 10
 
 
 def test_edge_rows(edge, empty):
