@@ -30,8 +30,9 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-# Whitespace stripped around values: space, tab, newline, vertical tab, form feed, carriage return.
-WHITESPACE = " \t\n\x0b\x0c\r"
+# Fixed: the characters that a text strip removes (all Unicode blanks).
+WHITESPACE = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007"
+              "\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
 
 
 def strip_lower(c) -> Column:
@@ -98,14 +99,18 @@ def combine_sides(a, b) -> Column:
 
 
 def to_double(c) -> Column:
-    """Numeric coercion, bad text and NaN -> null."""
-    d = _c(c).cast("string").try_cast("double")
-    return F.when(F.isnan(d), F.lit(None).cast("double")).otherwise(d)
+    """Numeric coercion, bad text and NaN -> null. The cast alone would
+    take a number with a type letter at its end ('1900d')."""
+    s = F.lower(F.btrim(_c(c).cast("string")))
+    d = s.try_cast("double")
+    lettered = F.substring(s, -1, 1).isin("d", "f") & ~s.endswith("inf")
+    return F.when(F.isnan(d) | lettered | s.contains("x"), F.lit(None).cast("double")).otherwise(d)
 
 
 def epoch_ms_to_ts(c) -> Column:
-    """Epoch milliseconds -> timestamp; bad -> null."""
-    return F.timestamp_millis(_c(c).cast("string").try_cast("bigint"))
+    """Epoch milliseconds -> timestamp; bad -> null. Whole numbers of any
+    type: a column with gaps is often read as double."""
+    return F.timestamp_millis(F.coalesce(_c(c).cast("string").try_cast("bigint"), to_double(c).try_cast("bigint")))
 
 
 def year_valid(y, cur_year: int, rule: str) -> Column:

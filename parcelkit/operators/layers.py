@@ -98,22 +98,21 @@ def quantile_class(value: Column, bins: list[float]) -> Column:
     return expr.otherwise(F.lit(len(bins) - 1))
 
 
-def density_or_points(points: DataFrame, max_points: int, cell: float, x: str = "x", y: str = "y",
-                      label_cols: list[str] = ()) -> DataFrame:
-    """More than ``max_points`` points -> a density grid (count per
-    cell, partial aggregation map-side); else the points with their labels.
-    One schema for both: ``kind, x, y, weight, label``."""
-    n = points.count()
-    if n > max_points:
-        c = F.lit(float(cell))
-        g = points.groupBy(F.floor(F.col(x) / c).alias("_gx"), F.floor(F.col(y) / c).alias("_gy")).agg(
-            F.count(F.lit(1)).alias("weight"))
-        return g.select(F.lit("cell").alias("kind"), ((F.col("_gx") + 0.5) * c).alias("x"),
-                        ((F.col("_gy") + 0.5) * c).alias("y"), "weight", F.lit(None).cast("string").alias("label"))
+def point_density(points: DataFrame, cell: float, x: str = "x", y: str = "y") -> DataFrame:
+    """V4: ``x, y, weight``: points counted per square cell (partial
+    aggregation map-side), at the cell's centre."""
+    c = F.lit(float(cell))
+    g = points.groupBy(F.floor(F.col(x) / c).alias("_gx"), F.floor(F.col(y) / c).alias("_gy")).agg(
+        F.count(F.lit(1)).alias("weight"))
+    return g.select(((F.col("_gx") + 0.5) * c).alias("x"), ((F.col("_gy") + 0.5) * c).alias("y"), "weight")
+
+
+def point_layer(points: DataFrame, x: str = "x", y: str = "y", label_cols: list[str] = ()) -> DataFrame:
+    """V4: ``x, y, label``: every point with its display text. Whether a map
+    shows points or their density is the caller's choice (O5)."""
     lab = F.concat_ws("; ", *[F.concat(F.lit(f"{c}: "), F.coalesce(F.col(c).cast("string"), F.lit("None")))
                               for c in label_cols]) if label_cols else F.lit(None).cast("string")
-    return points.select(F.lit("point").alias("kind"), F.col(x).alias("x"), F.col(y).alias("y"),
-                         F.lit(1).cast("long").alias("weight"), lab.alias("label"))
+    return points.select(F.col(x).alias("x"), F.col(y).alias("y"), lab.alias("label"))
 
 
 def ring_geojson(vertices: DataFrame, gid: str = "gid", ord_col: str = "k", decimals: int = 3) -> DataFrame:

@@ -20,6 +20,7 @@ from ..functions import clean as X
 
 Z_975 = 1.959963984540054      # two-sided 95% normal quantile
 LOGLOSS_EPS = 2.220446049250313e-16
+# Fixed: the features and their order.
 BASE_FEATURES = ["age_years", "post_1988", "age_x_post_1988", "MHI_10k", "Pblack",
                  "J40_TotCatExceeded_num", "disadvantaged_num"]
 
@@ -77,6 +78,15 @@ def _assemble(ds: DataFrame, feats: list[str], out: str = "features") -> DataFra
     return VectorAssembler(inputCols=feats, outputCol=out).transform(ds)
 
 
+def odds(x: float) -> float:
+    """Exp, infinite where a double ends (separated classes)."""
+    return math.exp(x) if x < 709.78 else math.inf
+
+
+class NotConverged(RuntimeError):
+    """A fit stopped at its iteration limit."""
+
+
 def logit_inference(ds: DataFrame, feats: list[str]):
     """M3 + M4: maximum-likelihood logit with intercept (GLM binomial/logit).
     Returns (terms rows, stats dict)."""
@@ -84,6 +94,8 @@ def logit_inference(ds: DataFrame, feats: list[str]):
     glr = GeneralizedLinearRegression(family="binomial", link="logit", maxIter=100, regParam=0.0)
     m = glr.fit(v)
     s = m.summary
+    if s.numIterations >= glr.getMaxIter():
+        raise NotConverged(f"logit: no convergence in {glr.getMaxIter()} iterations")
     coefs = [m.intercept] + list(m.coefficients)
     se = list(s.coefficientStandardErrors)
     zs = list(s.tValues)
@@ -94,7 +106,7 @@ def logit_inference(ds: DataFrame, feats: list[str]):
     for term, b, e, z, p in zip(["const"] + feats, coefs, se, zs, ps):
         b, e, z, p = float(b), float(e), float(z), float(p)
         lo, hi = b - Z_975 * e, b + Z_975 * e
-        rows.append((term, b, e, z, p, lo, hi, math.exp(b), math.exp(lo), math.exp(hi)))
+        rows.append((term, b, e, z, p, lo, hi, odds(b), odds(lo), odds(hi)))
     n = int(s.numInstances)
     k = len(coefs)
     llf = -s.deviance / 2.0
@@ -148,7 +160,11 @@ def fit_l2_logistic(train: DataFrame, feats: list[str], C: float = 1.0, max_iter
     n = v.count()
     lr = LogisticRegression(regParam=1.0 / (C * n), elasticNetParam=0.0, standardization=False,
                             fitIntercept=False, maxIter=max_iter)
-    return lr.fit(v)
+    m = lr.fit(v)
+    v.unpersist()
+    if m.hasSummary and m.summary.totalIterations >= max_iter:
+        raise NotConverged(f"L2 logistic: no convergence in {max_iter} iterations")
+    return m
 
 
 def score(model, df: DataFrame, feats: list[str]) -> DataFrame:

@@ -146,8 +146,9 @@ def categorical_profile(df: DataFrame, cols: list[str]) -> DataFrame:
         F.struct(F.lit(c).alias("variable"), F.coalesce(F.col(c).cast("string"), F.lit("<NA>")).alias("category"))
         for c in cols])).alias("r")).select("r.variable", "r.category")
     g = long.groupBy("variable", "category").agg(F.count(F.lit(1)).alias("count"))
-    n = F.sum("count").over(Window.partitionBy("variable"))
-    return g.withColumn("percent", F.col("count") / n)
+    # every variable has one value per row: the denominator is the row count
+    return g.crossJoin(F.broadcast(df.agg(F.count(F.lit(1)).alias("_n")))).withColumn(
+        "percent", F.col("count") / F.col("_n")).drop("_n")
 
 
 # ------------------------------------------------------------------ A18
@@ -203,8 +204,11 @@ def value_counts_by_variable(long: DataFrame, decimals: int = 1) -> DataFrame:
     """A13 over several columns at once: ``long`` has ``variable, value``;
     returns ``variable, value, count, percent`` (percent of all rows)."""
     g = long.groupBy("variable", "value").agg(F.count(F.lit(1)).alias("count"))
-    tot = F.sum("count").over(Window.partitionBy("variable"))
-    return g.withColumn("percent", X.round_half_even(F.col("count") / tot * 100.0, decimals))
+    # one row per variable (a column name), joined back; no window gathers
+    # the distinct values of a variable
+    tot = long.groupBy("variable").agg(F.count(F.lit(1)).alias("_n"))
+    return g.join(F.broadcast(tot), "variable").withColumn(
+        "percent", X.round_half_even(F.col("count") / F.col("_n") * 100.0, decimals)).drop("_n")
 
 
 def arith_hash_sample(df: DataFrame, key: str, n: int, seed: int = 1) -> DataFrame:

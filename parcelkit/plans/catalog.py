@@ -42,11 +42,11 @@ TR = ["fx_tract", "fx_tract_node", "fx_tract_edge"]
 # ======================================================= step 1: cleaning
 
 HARMONISE_MAP = {
-    "tract_id": (S.TRACT_ID_CANDIDATES, "string"),
+    "tract_id": (list(S.ROLES["tract_id"].names), "string"),
     "name": (["NAME", "Name", "name"], "string"),
-    "total": (S.RACE_COUNT_CANDIDATES["total"], "double"),
-    "hipi": (S.RACE_COUNT_CANDIDATES["hipi"], "double"),
-    "weight": (S.WEIGHT_CANDIDATES, "double"),
+    "total": (list(S.ROLES["race_total"].names), "double"),
+    "hipi": (list(S.ROLES["race_hipi"].names), "double"),
+    "weight": (list(S.ROLES["weight"].names), "double"),
     "pct_asian": (["Pasian"], "double"),
 }
 
@@ -250,9 +250,9 @@ def houses_in_neighborhoods(spark, sf, predicate="within") -> DataFrame:
 
 
 def _lead_summary(joined: DataFrame) -> DataFrame:
-    src = S.pick_status_col(joined)
+    src = S.column(joined, "status")
     status = X.normalize_status(src) if src else F.lit(X.UNKNOWN)
-    ycol = S.pick_year_col(joined)
+    ycol = S.column(joined, "year")
     year = X.to_double(ycol) if ycol else None
     return summary.lead_by_group(joined, "name", status, year, CUR_YEAR)
 
@@ -287,7 +287,7 @@ def q_lead_by_neighborhood(spark, sf):
 def match_table_df(spark, sf) -> DataFrame:
     from ..operators import areal
     nb, tr = inputs.neighborhoods(spark, sf), inputs.tracts(spark, sf)
-    tid = S.pick_tract_id(tr.attrs)
+    tid = S.column(tr.attrs, "tract_id")
     return areal.match_table(nb.edges, nb.measures, nb.attrs.select("gid", F.col("name").alias("neighborhood")),
                              tr.edges, tr.measures, tr.attrs.select("gid", F.col(tid).cast("string").alias("tract_id")),
                              overlay=inputs.overlay(spark, sf))
@@ -336,8 +336,8 @@ SELECT neighborhood AS name, """ + ", ".join(f"round(coalesce(s_{k} / nullif(tot
 def q_race_from_matches(spark, sf):
     from ..operators import areal
     tr = inputs.tracts(spark, sf).attrs
-    counts = S.pick_race_counts(tr)
-    r = areal.race_shares_from_matches(match_table_df(spark, sf), tr, S.pick_tract_id(tr), counts, "name")
+    counts = S.race_counts(tr)
+    r = areal.race_shares_from_matches(match_table_df(spark, sf), tr, S.column(tr, "tract_id"), counts, "name")
     return _r6(r, "name")
 
 
@@ -351,8 +351,8 @@ FROM j GROUP BY neighborhood"""))
 def q_race_pct_fallback(spark, sf):
     from ..operators import areal
     tr = inputs.tracts(spark, sf).attrs
-    pcols = [c for c in S.RACE_PCT_COLUMNS if c in tr.columns]
-    r = areal.pct_fallback_from_matches(match_table_df(spark, sf), tr, S.pick_tract_id(tr), pcols, "name")
+    pcols = S.columns(tr, "race_pct")
+    r = areal.pct_fallback_from_matches(match_table_df(spark, sf), tr, S.column(tr, "tract_id"), pcols, "name")
     return _r6(r, "name")
 
 
@@ -367,9 +367,9 @@ FROM j GROUP BY neighborhood"""
 def _income(spark, sf, weighted: bool) -> DataFrame:
     from ..operators import areal
     tr = inputs.tracts(spark, sf).attrs
-    inc = S.pick_income_columns(tr)
-    w = S.pick_weight_column(tr) if weighted else None
-    r = areal.weighted_mean_from_matches(match_table_df(spark, sf), tr, S.pick_tract_id(tr), inc, w, "name")
+    inc = S.columns(tr, "income")
+    w = S.column(tr, "weight") if weighted else None
+    r = areal.weighted_mean_from_matches(match_table_df(spark, sf), tr, S.column(tr, "tract_id"), inc, w, "name")
     return _r6(r, "name")
 
 
@@ -425,7 +425,7 @@ def _filtered_tracts(spark, sf) -> inputs.Layer:
     key = (id(spark), sf)
     if key not in _FILTERED:
         tr = inputs.tracts(spark, sf)
-        kept = areal.tiered_filter(tr.attrs, S.pick_tract_id(tr.attrs), "NAME")
+        kept = areal.tiered_filter(tr.attrs, S.column(tr.attrs, "tract_id"), "NAME")
         edges = tr.edges.join(kept.select("gid"), "gid", "left_semi").persist()
         _FILTERED[key] = inputs.Layer(edges, kept, polygon_measures(edges).persist())
     return _FILTERED[key]
@@ -474,7 +474,7 @@ def q_areal_shares(spark, sf):
     nb = inputs.neighborhoods(spark, sf)
     ft = _filtered_tracts(spark, sf)
     ov = _filtered_overlay(spark, sf)
-    r = areal.areal_shares(ov, ft.attrs, S.pick_race_counts(ft.attrs),
+    r = areal.areal_shares(ov, ft.attrs, S.race_counts(ft.attrs),
                            clip=areal.clip_area(ov, nb.edges, nb.measures, ft.edges, overlaps=nb.has_overlaps))
     return _r6(r.join(nb.attrs.select("gid", "name"), "gid").drop("gid"), "name")
 
@@ -492,8 +492,8 @@ def _awm(spark, sf, weighted: bool) -> DataFrame:
     from ..operators import areal
     nb, tr = inputs.neighborhoods(spark, sf), inputs.tracts(spark, sf)
     ov = inputs.overlay(spark, sf)
-    wcol = S.pick_weight_column(tr.attrs, by_substring=False) if weighted else None
-    r = areal.areal_weighted_mean(ov, tr.measures, tr.attrs, S.pick_income_columns(tr.attrs), wcol)
+    wcol = S.column(tr.attrs, "weight_listed") if weighted else None
+    r = areal.areal_weighted_mean(ov, tr.measures, tr.attrs, S.columns(tr.attrs, "income"), wcol)
     return _r6(r.join(nb.attrs.select("gid", "name"), "gid").drop("gid"), "name")
 
 
@@ -517,7 +517,7 @@ def _within(spark, sf) -> DataFrame:
     from ..operators import areal
     nb, tr = inputs.neighborhoods(spark, sf), inputs.tracts(spark, sf)
     ov = inputs.overlay(spark, sf)
-    r = areal.within_mean(ov, tr.measures, tr.attrs, S.pick_income_columns(tr.attrs))
+    r = areal.within_mean(ov, tr.measures, tr.attrs, S.columns(tr.attrs, "income"))
     return _r6(r.join(nb.attrs.select("gid", "name"), "gid").drop("gid"), "name")
 
 
@@ -546,7 +546,7 @@ def _nearest(spark, sf) -> DataFrame:
     nb, tr = inputs.neighborhoods(spark, sf), inputs.tracts(spark, sf)
     cen = nb.measures.select(F.col("gid").alias("pid"), F.col("cx").alias("x"), F.col("cy").alias("y"))
     nn = spatial.nearest_polygon(cen, tr.edges, measures=tr.measures, index=tr.index)
-    r = areal.nearest_mean(nn, tr.attrs, S.pick_income_columns(tr.attrs))
+    r = areal.nearest_mean(nn, tr.attrs, S.columns(tr.attrs, "income"))
     return _r6(r.join(nb.attrs.select("gid", "name"), "gid").drop("gid"), "name")
 
 
@@ -585,9 +585,9 @@ def house_master_df(spark, sf) -> DataFrame:
     never renamed."""
     nb, tr = inputs.neighborhoods(spark, sf), inputs.tracts(spark, sf)
     h = inputs.houses(spark, sf)
-    tid = S.pick_tract_id(tr.attrs)
-    race_cols = S.pick_race_columns(tr.attrs, limit=10)
-    inc_cols = S.pick_income_columns(tr.attrs, limit=10)
+    tid = S.column(tr.attrs, "tract_id")
+    race_cols = S.columns(tr.attrs, "race_pct")
+    inc_cols = S.columns(tr.attrs, "income")
     m = spatial.pip_join(h, nb.index, nb.attrs.select("gid", F.col("name").alias("nbh_name")),
                          predicate="within", how="left", gid_col="nbh_gid")
     race = tr.attrs.select("gid", F.col(tid).cast("string").alias("race_tract_id"),
@@ -602,9 +602,10 @@ def house_master_df(spark, sf) -> DataFrame:
 a AS ({O.pip_pairs('pts', 'fx_nbh_edge', 'within')}),
 b AS ({O.pip_pairs('pts', 'fx_tract_edge', 'within')})
 SELECT p.pid, n.name AS nbh_name, CAST(t.GEOID AS VARCHAR) AS race_tract_id, t.Pwhite AS race_Pwhite, t.Pblack AS race_Pblack,
-       CAST(t.GEOID AS VARCHAR) AS inc_tract_id, t.avg_income AS inc_avg_income
+       CAST(u.GEOID AS VARCHAR) AS inc_tract_id, u.avg_income AS inc_avg_income
 FROM pts p LEFT JOIN a ON a.pid = p.pid LEFT JOIN fx_nbh n ON n.gid = a.gid
-LEFT JOIN b ON b.pid = p.pid LEFT JOIN fx_tract t ON t.gid = b.gid"""))
+LEFT JOIN b ON b.pid = p.pid LEFT JOIN fx_tract t ON t.gid = b.gid
+LEFT JOIN b AS c ON c.pid = p.pid LEFT JOIN fx_tract u ON u.gid = c.gid"""))
 def q_house_master(spark, sf):
     return house_master_df(spark, sf).select("pid", "nbh_name", "race_tract_id", "race_Pwhite", "race_Pblack",
                                              "inc_tract_id", "inc_avg_income")
@@ -798,7 +799,7 @@ def logit_ds(spark, sf) -> DataFrame:
     key = (id(spark), sf)
     if key not in _LOGIT_DS:
         h = inputs.houses(spark, sf)
-        _LOGIT_DS[key] = model.logit_dataset(h, S.pick_status_col(h), S.pick_year_col(h), CUR_YEAR,
+        _LOGIT_DS[key] = model.logit_dataset(h, S.column(h, "status"), S.column(h, "year"), CUR_YEAR,
                                              key="pid").persist()
     return _LOGIT_DS[key]
 
@@ -988,7 +989,7 @@ CROSS JOIN ({_domain_sql(_sub('combined_full_join'), 'pct_black', 'plain')}) dr"
 def q_bivariate_fill(spark, sf):
     from ..operators import layers
     c = q_combined_full_join(spark, sf)
-    inc = S.pick_income_columns(c)[0]
+    inc = S.columns(c, "income")[0]
     race = "pct_black" if "pct_black" in c.columns else [k for k in c.columns if k.startswith("pct_")][0]
     di = layers.colour_domain(c, inc, "plain")
     dr = layers.colour_domain(c, race, "plain")
@@ -997,22 +998,23 @@ def q_bivariate_fill(spark, sf):
                     layers.linear_colour(F.col(race), layers.BLUES5, *dr, nodata=layers.NODATA_STROKE).alias("stroke"))
 
 
-MAX_POINTS, DENSITY_CELL = 50000, 100.0
+DENSITY_CELL = 100.0
 
 
-@register("point_density", with_views([H], f""",
-n AS (SELECT count(*) AS c FROM fx_house)
-SELECT 'point' AS kind, x, y, CAST(1 AS BIGINT) AS weight,
-       'bothsidesstatus: ' || coalesce(bothsidesstatus, 'None') || '; neighborhood_name: ' || coalesce(neighborhood_name, 'None') AS label
-FROM fx_house, n WHERE n.c <= {MAX_POINTS}
-UNION ALL
-SELECT 'cell', (gx + 0.5) * {DENSITY_CELL}e0, (gy + 0.5) * {DENSITY_CELL}e0, count(*), CAST(NULL AS VARCHAR)
-FROM (SELECT floor(x / {DENSITY_CELL}e0) AS gx, floor(y / {DENSITY_CELL}e0) AS gy FROM fx_house) t, n WHERE n.c > {MAX_POINTS}
-GROUP BY gx, gy"""))
+@register("point_density", with_views([H], f"""
+SELECT (gx + 0.5) * {DENSITY_CELL}e0 AS x, (gy + 0.5) * {DENSITY_CELL}e0 AS y, count(*) AS weight
+FROM (SELECT floor(x / {DENSITY_CELL}e0) AS gx, floor(y / {DENSITY_CELL}e0) AS gy FROM fx_house) t GROUP BY gx, gy"""))
 def q_point_density(spark, sf):
     from ..operators import layers
-    h = inputs.houses(spark, sf)
-    return layers.density_or_points(h, MAX_POINTS, DENSITY_CELL, label_cols=["bothsidesstatus", "neighborhood_name"])
+    return layers.point_density(inputs.houses(spark, sf), DENSITY_CELL)
+
+
+@register("point_layer", with_views([H], """
+SELECT x, y, 'bothsidesstatus: ' || coalesce(bothsidesstatus, 'None') || '; neighborhood_name: '
+       || coalesce(neighborhood_name, 'None') AS label FROM fx_house"""))
+def q_point_layer(spark, sf):
+    from ..operators import layers
+    return layers.point_layer(inputs.houses(spark, sf), label_cols=["bothsidesstatus", "neighborhood_name"])
 
 
 @register("quantile_classes", f"""

@@ -8,11 +8,12 @@ from __future__ import annotations
 
 from ..functions.geom import ALBERS, MERCATOR_R
 
-WS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+# Unicode's own classes instead of a list: separators, and the control blanks.
+BLANK = r"[\t-\r\x1c-\x1f\x{85}\p{Z}]+"
 
 
 def strip_lower(c: str) -> str:
-    return f"lower(trim(CAST({c} AS VARCHAR), {WS}))"
+    return f"lower(regexp_replace(CAST({c} AS VARCHAR), '^{BLANK}|{BLANK}$', '', 'g'))"
 
 
 def status(c: str) -> str:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -72,10 +73,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     A cluster names a shared (HDFS/S3/...) folder there; it is used as is.
-    Only when it is unset (local tests) is a private scratch folder set.
+    Only when it is unset on a local master (tests) is a private scratch
+    folder set; elsewhere the executors would not see each other's files.
     """
     cur = spark.conf.get("spark.checkpoint.dir", None)
     if not cur:
+        if not re.match(r"local(\[[^\]]*\])?$", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         cur = tempfile.mkdtemp(prefix="parcelkit-ckpt-")
         spark.conf.set("spark.checkpoint.dir", cur)
     spark.sparkContext.setCheckpointDir(cur)

@@ -8,13 +8,15 @@ pushdown). The fetcher is injectable (``option("fetcher", "module:Class")``):
 
 * ``FilePages`` reads pages stored as parquet folders ``page=<offset>`` under
   ``root`` plus a one-row JSON ``_meta`` with ``count`` and ``maxRecordCount``
-  (tests and staged downloads), through ``pyarrow.fs`` (local or shared);
+  and a ``_manifest`` with each page's rows (tests and staged downloads),
+  through ``pyarrow.fs`` (local or shared);
 * ``RestPages`` speaks the feature-service query protocol over HTTP
   (``resultOffset``/``resultRecordCount``, ``f=json``); it needs network
   access and is not exercised by the tests.
 
-A page that comes back empty ends that partition's rows (as the sequential
-client stops on an empty page).
+Nothing is lost unseen: a page with other than its rows of the manifest, a
+page longer than the page size and an error in a service's answer raise
+``PageError``. Staged positions may have gaps; their pages are shorter.
 
 With ``read_paged(..., pushdown=True)`` the reader also implements
 ``pushFilters`` (Spark 4.1): comparisons, IN and null tests on top-level
@@ -65,19 +67,50 @@ class FilePages:
                 return int(m["count"]), int(m.get("maxRecordCount") or DEFAULT_PAGE)
         return 0, DEFAULT_PAGE
 
+    @staticmethod
+    def _rows(fs, path: str) -> dict[int, int]:
+        """The manifest: rows of each page that has any."""
+        import pyarrow.fs as pafs
+        out = {}
+        for info in fs.get_file_info(pafs.FileSelector(f"{path}/_manifest")):
+            if info.base_name.startswith("part-") and info.size:
+                with fs.open_input_stream(info.path) as f:
+                    for line in f.read().decode().splitlines():
+                        m = json.loads(line)
+                        out[int(m["page"])] = int(m["count"])
+        return out
+
     def fetch(self, offset: int, limit: int, fields: list[str], pushed=()):
         import pyarrow.fs as pafs
         import pyarrow.parquet as pq
         fs, path = _fs(self.root)
         d = f"{path}/page={offset}"
-        if fs.get_file_info(d).type == pafs.FileType.NotFound:
+        want = self._rows(fs, path).get(offset, 0)
+        found = fs.get_file_info(d).type != pafs.FileType.NotFound
+        t = pq.read_table(d, columns=fields, filesystem=fs) if found else None
+        have = t.num_rows if found else 0
+        if have != want:
+            raise PageError(f"page {offset} has {have} rows, the manifest says {want}")
+        if have > limit:
+            raise PageError(f"page {offset} has {have} rows, more than the page size {limit}")
+        if not found:
             return None
-        t = pq.read_table(d, columns=fields, filesystem=fs).slice(0, limit)
         if pushed:
             t = t.filter(_arrow_predicate(pushed))
         return t
 
 
+class PageError(RuntimeError):
+    """A page or a service answer that does not hold what it must."""
+
+
+def _answer(d: dict) -> dict:
+    """A service's answer; services report errors in a normal answer's body."""
+    if "error" in d:
+        raise PageError(f"service error: {d['error']}")
+    return d
+
+
 class RestPages:
     """Feature-service query endpoint (``<layer_url>/query``)."""
 
@@ -91,22 +124,37 @@ class RestPages:
         import urllib.request
         q = urllib.parse.urlencode({**params, "f": "json"})
         with urllib.request.urlopen(f"{self.url}/query?{q}", timeout=self.timeout) as r:
-            return json.load(r)
+            return _answer(json.load(r))
 
     def meta(self) -> tuple[int, int]:
-        n = self._get({"where": self.where, "returnCountOnly": "true"}).get("count", 0)
+        n = self._get({"where": self.where, "returnCountOnly": "true"})["count"]
+        return int(n), int(self._layer().get("maxRecordCount") or DEFAULT_PAGE)
+
+    def _layer(self) -> dict:
         import urllib.request
         with urllib.request.urlopen(f"{self.url}?f=json", timeout=30) as r:
-            mrc = json.load(r).get("maxRecordCount") or DEFAULT_PAGE
-        return int(n), int(mrc)
+            return _answer(json.load(r))
+
+    def _order(self) -> str:
+        """The object id, by which pages are cut: without an order a service
+        may repeat or skip rows between offsets."""
+        layer = self._layer()
+        return layer.get("objectIdField") or next(
+            f["name"] for f in layer["fields"] if f["type"] == "esriFieldTypeOID")
 
     def fetch(self, offset: int, limit: int, fields: list[str], pushed=()):
         import pyarrow as pa
         where = " AND ".join([f"({self.where})"] + [_sql_predicate(p) for p in pushed])
         d = self._get({"where": where, "outFields": ",".join(fields) or "*", "outSR": 4326,
-                       "resultOffset": offset, "resultRecordCount": limit})
-        feats = d.get("features") or []
+                       "orderByFields": self._order(), "resultOffset": offset, "resultRecordCount": limit})
+        if "features" not in d:
+            raise PageError(f"page {offset}: answer without features")
+        feats = d["features"]
+        if len(feats) > limit:
+            raise PageError(f"page {offset} has {len(feats)} rows, more than the page size {limit}")
         if not feats:
+            if not pushed:
+                raise PageError(f"page {offset} is empty, though within the service's count")
             return None
         rows = [dict(f.get("attributes") or {}) for f in feats]
         for r, f in zip(rows, feats):
@@ -228,9 +276,15 @@ def stage_pages(df: DataFrame, position_col: str, root: str, page: int = DEFAULT
     ``page=<offset>`` keyed by the record position, plus ``meta.json``."""
     from pyspark.sql import functions as F
     df.withColumn("page", (F.floor(F.col(position_col) / page) * page).cast("long")) \
-      .write.mode("overwrite").partitionBy("page").parquet(root)
+      .repartition("page").write.mode("overwrite").partitionBy("page").parquet(root)
+    pages = df.groupBy((F.floor(F.col(position_col) / page) * page).cast("long").alias("page")).count()
+    worst = pages.agg(F.max("count"), F.min("page"), F.max("page")).first()
+    if worst[0] and (worst[0] > page or worst[1] is None or worst[1] < 0):
+        raise PageError(f"positions repeat or lie below 0: a page of {worst[0]} rows at page size {page}")
     n = df.agg(F.max(position_col)).first()[0]
     total = 0 if n is None else int(n) + 1
+    # what each page must hold when it is read again
+    pages.write.mode("overwrite").json(root.rstrip("/") + "/_manifest")
     # one-row metadata written by Spark, so ``root`` may be shared storage
     (df.sparkSession.createDataFrame([(total, page)], "count long, maxRecordCount long")
        .coalesce(1).write.mode("overwrite").json(root.rstrip("/") + "/_meta"))
