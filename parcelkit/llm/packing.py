@@ -14,6 +14,7 @@ which need no padding.
 from __future__ import annotations
 
 import zlib
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -26,11 +27,13 @@ from parcelkit.llm.common import prepare
 WINDOW = 4096
 END = 2
 TOKENIZER = "word_bpe_49k.json"
-SHARD_TOKENS = 4_000_000
+SHARD_TOKENS = 1_000_000
 # BM25 parameters, and the rarest terms of a seed that make up its query.
 K1, B, QUERY_TERMS = 1.2, 0.75, 24
-# Distinct words whose ids a worker keeps.
-KNOWN_WORDS = 1_000_000
+# Distinct words whose ids a worker keeps; others are tokenised as they come.
+KNOWN_WORDS = 800_000
+# Texts that are tokenised at once.
+TEXTS = 500
 
 
 class Tokens:
@@ -54,16 +57,11 @@ class Tokens:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self._clear()
-
-    def _clear(self):
         self.known, self.ids = self._Known(), np.zeros(0, dtype=np.uint16)
         self.start = np.zeros(1, dtype=np.int64)
 
     def __call__(self, texts: list) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, each followed by END; number of ids per text)"""
-        if len(self.known) > KNOWN_WORDS:
-            self._clear()
         words, count = [], []
         for t in texts:
             t = t or ""
@@ -75,21 +73,28 @@ class Tokens:
         before = len(self.known)
         at = np.fromiter(map(self.known.__getitem__, words), dtype=np.int64, count=len(words))
         if len(self.known) > before:
-            new = list(self.known)[before:] if before == 0 else self._last(len(self.known) - before)
-            got = [e.ids for e in self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)]
-            size = np.fromiter(map(len, got), dtype=np.int64, count=len(got))
-            self.start = np.concatenate([self.start, self.start[-1] + np.cumsum(size)])
-            self.ids = np.concatenate([self.ids, np.fromiter((i for g in got for i in g), dtype=np.uint16, count=int(size.sum()))])
+            new = self._last(len(self.known) - before)
+            # The library's results are large objects: few at a time.
+            sizes, ids = [np.diff(self.start)], [self.ids]
+            for lo in range(0, len(new), 20_000):
+                part = [w.decode() for w in new[lo:lo + 20_000]]
+                got = [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
+                sizes.append(np.fromiter(map(len, got), dtype=np.int64, count=len(got)))
+                ids.append(np.fromiter(chain.from_iterable(got), dtype=np.uint16, count=int(sizes[-1].sum())))
+            self.start, self.ids = np.r_[0, np.cumsum(np.concatenate(sizes))], np.concatenate(ids)
         size = self.start[at + 1] - self.start[at]
         ends = np.cumsum(size)
         ids = self.ids[np.repeat(self.start[at] - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)]
         upto = np.r_[0, ends][np.cumsum(count)]  # ids before the end of each text
         ids = np.insert(ids, upto, END).astype(np.uint16)
+        if len(self.known) > max(before, KNOWN_WORDS):  # full: the words of this call go again
+            for w in self._last(len(self.known) - max(before, KNOWN_WORDS)):
+                del self.known[w]
+            self.start = self.start[:len(self.known) + 1]
+            self.ids = self.ids[:self.start[-1]]
         return ids, np.diff(np.r_[0, upto]) + 1
 
     def _last(self, n: int) -> list:
-        from itertools import islice
-
         return list(islice(reversed(self.known), n))[::-1]
 
 
@@ -229,20 +234,21 @@ def _pack(path: str, shard_tokens: int, window: int, with_ids: bool):
             yield from out.combine_chunks().to_batches(max_chunksize=10_000)
 
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            # A batch is cut where the shard is full, so a shard stays bounded.
-            ids, size = encode(texts)
-            upto = np.cumsum(size)
-            lo = 0
-            while lo < len(size):
-                before = int(upto[lo - 1]) if lo else 0
-                hi = max(lo + 1, int(np.searchsorted(upto, before + shard_tokens - total, side="right")))
-                held.append((batch.column("doc_id").slice(lo, hi - lo), ids[before:int(upto[hi - 1])], size[lo:hi]))
-                total += int(upto[hi - 1]) - before
-                lo = hi
-                if total >= shard_tokens or lo < len(size):
-                    yield from flush()
-                    held, total = [], 0
+            for at in range(0, batch.num_rows, TEXTS):
+                part = batch.slice(at, TEXTS)
+                ids, size = encode(part.column("text").to_pylist())
+                # Cut where the shard is full, so that a shard stays bounded.
+                upto = np.cumsum(size)
+                lo = 0
+                while lo < len(size):
+                    before = int(upto[lo - 1]) if lo else 0
+                    hi = max(lo + 1, int(np.searchsorted(upto, before + shard_tokens - total, side="right")))
+                    held.append((part.column("doc_id").slice(lo, hi - lo), ids[before:int(upto[hi - 1])], size[lo:hi]))
+                    total += int(upto[hi - 1]) - before
+                    lo = hi
+                    if total >= shard_tokens or lo < len(size):
+                        yield from flush()
+                        held, total = [], 0
         if held:
             yield from flush()
     return run

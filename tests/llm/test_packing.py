@@ -53,6 +53,17 @@ def test_ids_are_the_tokenizers(tokenizer, rows):
     assert size.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
 
 
+def test_a_full_table_changes_nothing(monkeypatch, rows):
+    texts = [r.text for r in rows[:60]]
+    want = packing.Tokens(packing.tokenizer_path())(texts)
+    monkeypatch.setattr(packing, "KNOWN_WORDS", 500)
+    small = packing.Tokens(packing.tokenizer_path())
+    parts = [small(texts[i:i + 7]) for i in range(0, 60, 7)]
+    assert len(small.known) == 500
+    assert np.array_equal(np.concatenate([p[0] for p in parts]), want[0])
+    assert np.array_equal(np.concatenate([p[1] for p in parts]), want[1])
+
+
 def test_pieces(spark, docs, edge, tokenizer):
     for df, options in ((docs, {}), (edge, {}), (docs.limit(60).repartition(3), {"shard_tokens": 5000, "window": 256})):
         rows = df.select("doc_id", "text").collect()
@@ -87,7 +98,8 @@ def test_neighbours_are_ranked_by_bm25():
 
 def test_topics_share_sequences(spark):
     """Documents of one topic are packed together."""
-    text = lambda t, i: " ".join(f"topic{t}word{(i * 7 + j) % 40}" for j in range(150))
+    topics = [[f"{a}{b}{c}" for b in "aeiou" for c in "bdfgklmn"] for a in ("str", "fl", "qu", "gr")]
+    text = lambda t, i: " ".join(topics[t][(i * 7 + j) % 40] for j in range(150))
     rows = [(i, text(i % 4, i)) for i in range(200)]
     df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
     seqs = {}
