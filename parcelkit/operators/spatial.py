@@ -95,8 +95,8 @@ class PipIndex:
             strs = [f.name for f in a.schema.fields if f.dataType.typeName() == "string"]
             per_row = 8 * (len(a.schema.fields) - len(strs))
             if strs:
-                r = a.agg(*[F.coalesce(F.max(F.length(c)), F.lit(0)).alias(c) for c in strs]).first()
-                per_row += sum(2 * int(r[c]) + 16 for c in strs)
+                r = a.agg(*[F.coalesce(F.max(F.octet_length(c)), F.lit(0)).alias(c) for c in strs]).first()
+                per_row += sum(int(r[c]) + 16 for c in strs)
             size += per_row * self.n_rows
         if 0 < size <= broadcast_limit:
             return F.broadcast(cells)
@@ -175,36 +175,55 @@ def _trapezoid_pair_area(dx0, dx1) -> F.Column:
     return sa * sb * w * (mean_part - corr)
 
 
-def overlay_areas(edges_a: DataFrame, meas_a: DataFrame, edges_b: DataFrame, meas_b: DataFrame,
-                  cell: float | None = None, rel_tol: float = 1e-9) -> DataFrame:
-    """Exact intersection areas ``a_gid, b_gid, inter_area`` of every
-    polygon pair of two layers that overlap with positive area. Pieces below
-    ``rel_tol`` times the smaller polygon's area (touching pairs) are dropped.
-    """
+def slab_width(edges_a: DataFrame, edges_b: DataFrame) -> float:
+    """Mean x-extent of the edges of both layers. With slabs of that width an
+    edge lies in two slabs on average whatever the lengths: the edge-slab rows
+    of a layer are at most its edges plus all extents over the mean."""
+    both = edges_a.select("x1", "x2").unionByName(edges_b.select("x1", "x2")).filter(F.col("x1") != F.col("x2"))
+    w = both.agg(F.avg(F.abs(F.col("x2") - F.col("x1"))).alias("w")).first()["w"]
+    return float(w) if w else 1.0
+
+
+def edge_pairs(edges_a: DataFrame, meas_a: DataFrame, edges_b: DataFrame, meas_b: DataFrame,
+               cell: float | None = None) -> DataFrame:
+    """The edge pairs that share x inside the box overlap of their polygons:
+    ``a_gid, b_gid, ox, oy, ea_*, eb_*, x0, x1``, each once. An equi-join on
+    (polygon pair, x-slab); slabs are as narrow as edges, so edges meet only
+    those above or below them and the pairs grow with the vertices."""
     if cell is None:
         cell = default_cell_size(meas_a.unionByName(meas_b))
     pairs = candidate_pairs(meas_a, meas_b, cell)
     # pair-local origin: lower-left corner of the bbox overlap
-    pairs = pairs.select("a_gid", "b_gid",
-                         F.greatest("a_xmin", "b_xmin").alias("ox"), F.greatest("a_ymin", "b_ymin").alias("oy"))
-    c = F.lit(float(cell))
+    pairs = pairs.select("a_gid", "b_gid", F.greatest("a_xmin", "b_xmin").alias("ox"),
+                         F.greatest("a_ymin", "b_ymin").alias("oy"), F.least("a_xmax", "b_xmax").alias("ux"))
+    w = F.lit(slab_width(edges_a, edges_b))
 
-    def slabbed(edges, pref):
+    def sided(edges, pref):
         e = edges.filter(F.col("x1") != F.col("x2"))   # vertical edges bound no area
         e = e.select(F.col("gid").alias(pref + "gid"), *[F.col(k).alias(f"e{pref[0]}_{k}") for k in EDGE_COLS])
-        lo = F.least(f"e{pref[0]}_x1", f"e{pref[0]}_x2")
-        hi = F.greatest(f"e{pref[0]}_x1", f"e{pref[0]}_x2")
-        return (e.withColumn(pref + "lo", lo).withColumn(pref + "hi", hi)
-                 .withColumn(pref + "sx", F.explode(F.sequence(F.floor(lo / c), F.floor(hi / c)))))
-
-    ea = slabbed(edges_a, "a_")
-    eb = slabbed(edges_b, "b_")
-    pa = pairs.join(ea, "a_gid")
-    eb = eb.withColumnRenamed("b_gid", "_bg")
+        return e.withColumn(pref + "lo", F.least(f"e{pref[0]}_x1", f"e{pref[0]}_x2")).withColumn(
+            pref + "hi", F.greatest(f"e{pref[0]}_x1", f"e{pref[0]}_x2"))
+
+    # No edge of either polygon lies at an x outside the boxes' overlap and
+    # meets the other polygon, so an edge needs only its slabs inside it.
+    lo, hi = F.greatest("a_lo", "ox"), F.least("a_hi", "ux")
+    pa = (pairs.join(sided(edges_a, "a_"), "a_gid").filter(lo < hi)
+          .withColumn("a_sx", F.explode(F.sequence(F.floor(lo / w), F.floor(hi / w)))))
+    eb = sided(edges_b, "b_").withColumnRenamed("b_gid", "_bg")
+    eb = eb.withColumn("b_sx", F.explode(F.sequence(F.floor(F.col("b_lo") / w), F.floor(F.col("b_hi") / w))))
     j = pa.join(eb, (F.col("b_gid") == F.col("_bg")) & (F.col("a_sx") == F.col("b_sx"))).drop("_bg")
-    x0 = F.greatest("a_lo", "b_lo")
-    x1 = F.least("a_hi", "b_hi")
-    j = j.filter((x0 < x1) & (F.col("a_sx") == F.floor(x0 / c)))
+    x0, x1 = F.greatest("a_lo", "b_lo"), F.least("a_hi", "b_hi")
+    return j.filter((x0 < x1) & (F.col("a_sx") == F.floor(x0 / w))).withColumn("x0", x0).withColumn("x1", x1)
+
+
+def overlay_areas(edges_a: DataFrame, meas_a: DataFrame, edges_b: DataFrame, meas_b: DataFrame,
+                  cell: float | None = None, rel_tol: float = 1e-9) -> DataFrame:
+    """Exact intersection areas ``a_gid, b_gid, inter_area`` of every
+    polygon pair of two layers that overlap with positive area. Pieces below
+    ``rel_tol`` times the smaller polygon's area (touching pairs) are dropped.
+    """
+    j = edge_pairs(edges_a, meas_a, edges_b, meas_b, cell)
+    x0, x1 = F.col("x0"), F.col("x1")
     # shift to the pair-local origin before integrating
     for p in ("ea_", "eb_"):
         j = (j.withColumn(p + "x1", F.col(p + "x1") - F.col("ox")).withColumn(p + "x2", F.col(p + "x2") - F.col("ox"))
@@ -219,25 +238,20 @@ def overlay_areas(edges_a: DataFrame, meas_a: DataFrame, edges_b: DataFrame, mea
 
 # ---------------------------------------------------------------------- J5
 
-def _ring_offsets(r0: int, r1: int) -> F.Column:
-    """Cell offsets (dx, dy) with r0 < max(|dx|, |dy|) <= r1 (r0 = -1: all)."""
-    d = F.sequence(F.lit(-r1), F.lit(r1))
-    grid = F.flatten(F.transform(d, lambda a: F.transform(d, lambda b: F.struct(a.alias("dx"), b.alias("dy")))))
-    return F.filter(grid, lambda o: F.greatest(F.abs(o["dx"]), F.abs(o["dy"])) > F.lit(r0))
-
-
 def nearest_polygon(points: DataFrame, edges: DataFrame, *, pid: str = "pid", x: str = "x", y: str = "y",
                     measures: DataFrame | None = None, cell: float | None = None,
                     index: "PipIndex | None" = None) -> DataFrame:
     """For each point, the polygon(s) at minimum distance, ties kept:
     ``pid, gid, dist``. Points inside or on a polygon get distance 0.
 
-    Exact search over grid cells with doubling radius R = 0, 1, 2, 4, ...:
-    each round joins the unresolved points to the edges of the cells in the
-    next square annulus (an equi-join on cell keys) and merges them with the
-    best candidates so far. Edges in unvisited cells are at least R * cell
-    away, so a point whose best distance is below that is final. Rounds are
-    checkpointed to the shared checkpoint folder.
+    Exact search over grids of doubling cell size: in each round an open point
+    looks into the nine cells around its own (an equi-join on cell keys).
+    What lies outside them is at least one cell away, so a point whose best
+    distance is below the cell size is final; the others go on with cells
+    twice as large. A point costs nine probe rows a round and the rounds grow
+    with the logarithm of its distance. Rounds are checkpointed to the shared
+    checkpoint folder. A point with a missing coordinate gets one row of
+    nulls, as in a left join; with no polygons every point does.
     """
     from ..session import ensure_checkpoint_dir
     spark = points.sparkSession
@@ -247,51 +261,45 @@ def nearest_polygon(points: DataFrame, edges: DataFrame, *, pid: str = "pid", x:
     if cell is None:
         cell = default_cell_size(measures)
     c = float(cell)
-    cl = F.lit(c)
-    pts = points.select(pid, x, y)
+    known = F.col(x).isNotNull() & F.col(y).isNotNull() & ~F.isnan(x) & ~F.isnan(y)
+    pts = points.select(pid, x, y).filter(known)
+    lost = points.filter(~known).select(pid, F.lit(None).cast("long").alias("gid"), F.lit(None).cast("double").alias("dist"))
     inside = (pip_join(pts, index if index is not None else PipIndex(edges, measures), None, x=x, y=y,
                        predicate="intersects", how="inner")
               .select(pid, "gid", F.lit(0.0).alias("dist")))
-    ec = (edges.withColumn("_ex", F.explode(F.sequence(F.floor(F.least("x1", "x2") / cl),
-                                                       F.floor(F.greatest("x1", "x2") / cl))))
-               .withColumn("_ey", F.explode(F.sequence(F.floor(F.least("y1", "y2") / cl),
-                                                       F.floor(F.greatest("y1", "y2") / cl))))
-               .select("gid", "x1", "y1", "x2", "y2", "_ex", "_ey"))
     ext = measures.agg(F.min("xmin").alias("a"), F.min("ymin").alias("b"),
                        F.max("xmax").alias("c"), F.max("ymax").alias("d")).first()
     if ext["a"] is None:
-        return spark.createDataFrame([], f"{pid} long, gid long, dist double")
-    todo = (pts.join(inside.select(pid), pid, "left_anti")
-               .withColumn("_px", F.floor(F.col(x) / cl)).withColumn("_py", F.floor(F.col(y) / cl))
-               .checkpoint())
+        return points.select(pid, F.lit(None).cast("long").alias("gid"), F.lit(None).cast("double").alias("dist"))
+    todo = pts.join(inside.select(pid), pid, "left_anti").checkpoint()
     pext = todo.agg(F.min(x).alias("a"), F.min(y).alias("b"), F.max(x).alias("c"), F.max(y).alias("d")).first()
-    if pext["a"] is None:
-        return inside
-    span = max(ext["c"], pext["c"]) - min(ext["a"], pext["a"]) + max(ext["d"], pext["d"]) - min(ext["b"], pext["b"])
-    r_max = int(span / c) + 2
-    cand = spark.createDataFrame([], f"{pid} long, gid long, dist double")
-    results = [inside]
-    d2 = F.expr(seg_point_dist2_sql("struct(x1, y1, x2, y2)", f"`{x}`", f"`{y}`"))
-    r0, r1 = -1, 0
-    while True:
-        probe = (todo.withColumn("_o", F.explode(_ring_offsets(r0, r1)))
-                     .withColumn("_qx", F.col("_px") + F.col("_o.dx"))
-                     .withColumn("_qy", F.col("_py") + F.col("_o.dy")))
-        hit = probe.join(ec, (F.col("_qx") == F.col("_ex")) & (F.col("_qy") == F.col("_ey")))
-        new = hit.groupBy(pid, "gid").agg(F.sqrt(F.min(d2)).alias("dist"))
-        allc = cand.unionByName(new).groupBy(pid, "gid").agg(F.min("dist").alias("dist"))
-        m = allc.groupBy(pid).agg(F.min("dist").alias("_m"))
-        best = allc.join(m, pid).filter(F.col("dist") == F.col("_m")).checkpoint()
-        final = r1 >= r_max
-        done = best if final else best.filter(F.col("_m") < F.lit(r1 * c))
-        results.append(done.drop("_m"))
-        if final:
-            break
-        cand = best.filter(F.col("_m") >= F.lit(r1 * c)).drop("_m")
-        todo = todo.join(done.select(pid).distinct(), pid, "left_anti").checkpoint()
-        if todo.isEmpty():
-            break
-        r0, r1 = r1, max(1, 2 * r1)
+    results = [lost, inside]
+    if pext["a"] is not None:
+        span = max(max(ext["c"], pext["c"]) - min(ext["a"], pext["a"]), max(ext["d"], pext["d"]) - min(ext["b"], pext["b"]))
+        d2 = F.expr(seg_point_dist2_sql("struct(x1, y1, x2, y2)", f"`{x}`", f"`{y}`"))
+        around = F.array(*[F.struct(F.lit(i).alias("dx"), F.lit(j).alias("dy")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
+        while True:
+            cl = F.lit(c)
+            ec = (edges.withColumn("_ex", F.explode(F.sequence(F.floor(F.least("x1", "x2") / cl),
+                                                               F.floor(F.greatest("x1", "x2") / cl))))
+                       .withColumn("_ey", F.explode(F.sequence(F.floor(F.least("y1", "y2") / cl),
+                                                               F.floor(F.greatest("y1", "y2") / cl)))))
+            probe = (todo.withColumn("_o", F.explode(around))
+                         .withColumn("_qx", F.floor(F.col(x) / cl) + F.col("_o.dx"))
+                         .withColumn("_qy", F.floor(F.col(y) / cl) + F.col("_o.dy")))
+            hit = probe.join(ec, (F.col("_qx") == F.col("_ex")) & (F.col("_qy") == F.col("_ey")))
+            near = hit.groupBy(pid, "gid").agg(F.sqrt(F.min(d2)).alias("dist"))
+            least = near.groupBy(pid).agg(F.min("dist").alias("_m"))
+            final = c > span   # all edges lie in the nine cells of every point
+            done = near.join(least, pid).filter(F.col("dist") == F.col("_m"))
+            done = (done if final else done.filter(F.col("_m") < cl)).drop("_m").checkpoint()
+            results.append(done)
+            if final:
+                break
+            todo = todo.join(done.select(pid).distinct(), pid, "left_anti").checkpoint()
+            if todo.isEmpty():
+                break
+            c *= 2
     out = results[0]
     for d in results[1:]:
         out = out.unionByName(d)

@@ -574,6 +574,83 @@ def q_three_tier_fill(spark, sf):
     return areal.three_tier_fill(_awm(spark, sf, True), _within(spark, sf), _nearest(spark, sf), "name", ["avg_income"])
 
 
+# ============================== hard shapes: holes, parts, concave, clockwise
+
+def _plots(spark, sf):
+    from ..operators.polygons import edges_from_vertices, polygon_measures
+    from ..sources.fixtures import register_fixtures
+    inputs._fx(spark, sf)
+    register_fixtures(spark, sf, ["fx_plot_ring", "fx_plot_point"])
+    edges = edges_from_vertices(spark.table("fx_plot_ring"))
+    return edges, polygon_measures(edges)
+
+
+@register("plot_points", with_views(["fx_plot_edge", "fx_plot_point"], f"""
+SELECT 'within' AS predicate, pid, gid FROM ({O.pip_pairs('fx_plot_point', 'fx_plot_edge', 'within')}) a
+UNION ALL SELECT 'intersects', pid, gid FROM ({O.pip_pairs('fx_plot_point', 'fx_plot_edge', 'intersects')}) b"""))
+def q_plot_points(spark, sf):
+    """J1 and J2 on hard shapes, with points on corners and edges."""
+    edges, measures = _plots(spark, sf)
+    index, pts = spatial.PipIndex(edges, measures), spark.table("fx_plot_point")
+    each = [spatial.pip_join(pts, index, predicate=k, how="inner").select(F.lit(k).alias("predicate"), "pid", "gid")
+            for k in ("within", "intersects")]
+    return each[0].unionByName(each[1])
+
+
+@register("plot_overlay", with_views(["fx_plot_edge", "fx_nbh_node", "fx_nbh_edge"],
+                                     f""", {O.overlay_ctes('fx_plot_edge', 'fx_nbh_edge', 'pv')}
+SELECT a_gid, b_gid, round(inter_area, 4) AS inter_area FROM pv"""))
+def q_plot_overlay(spark, sf):
+    """J3 on hard shapes."""
+    edges, measures = _plots(spark, sf)
+    nb = inputs.neighborhoods(spark, sf)
+    return spatial.overlay_areas(edges, measures, nb.edges, nb.measures).select(
+        "a_gid", "b_gid", F.round("inter_area", 4).alias("inter_area"))
+
+
+FAR_POINTS = """SELECT c_custkey AS pid, 3000e0 + ((c_custkey * 7919) % 100003) * 0.3e0 AS x,
+       CASE WHEN c_custkey % 50 = 0 THEN NULL ELSE 4000e0 - ((c_custkey * 104729) % 99991) * 0.4e0 END AS y FROM customer"""
+
+
+@register("nearest_far", with_views(["fx_plot_edge"], f""", pt AS ({FAR_POINTS}),
+hit AS ({O.pip_pairs('pt', 'fx_plot_edge', 'intersects')}),
+proj AS (SELECT p.pid, e.gid, p.x, p.y, e.x1, e.y1, e.x2 - e.x1 AS ex, e.y2 - e.y1 AS ey FROM pt p JOIN fx_plot_edge e ON p.y IS NOT NULL),
+foot AS (SELECT *, greatest(0e0, least(1e0, ((x - x1) * ex + (y - y1) * ey) / (ex * ex + ey * ey))) AS t FROM proj),
+d AS (SELECT f.pid, f.gid, CASE WHEN max(h.gid) IS NOT NULL THEN 0e0
+             ELSE min(sqrt((x - x1 - t * ex) * (x - x1 - t * ex) + (y - y1 - t * ey) * (y - y1 - t * ey))) END AS dist
+      FROM foot f LEFT JOIN hit h ON h.pid = f.pid AND h.gid = f.gid GROUP BY f.pid, f.gid),
+m AS (SELECT pid, min(dist) AS m FROM d GROUP BY pid)
+SELECT pt.pid, round(m.m, 6) AS dist FROM pt LEFT JOIN m ON m.pid = pt.pid"""))
+def q_nearest_far(spark, sf):
+    """J5 with points far outside all polygons and points without a coordinate."""
+    edges, measures = _plots(spark, sf)
+    pts = spark.sql(FAR_POINTS)
+    near = spatial.nearest_polygon(pts, edges, measures=measures)
+    return near.groupBy("pid").agg(F.round(F.min("dist"), 6).alias("dist"))  # ties: several polygons
+
+
+HARD_VALUES = """SELECT c_custkey AS k, CASE c_custkey % 14 WHEN 0 THEN concat('yes', chr(160)) WHEN 1 THEN concat(chr(8195), 'Lead', chr(12288))
+       WHEN 2 THEN '1900d' WHEN 3 THEN '1900f' WHEN 4 THEN '1577836800000.0' WHEN 5 THEN '1.5e3' WHEN 6 THEN ' 12 ' WHEN 7 THEN 'inf'
+       WHEN 8 THEN '-1.5' WHEN 9 THEN '1900D' WHEN 10 THEN '' WHEN 11 THEN concat(chr(28), 'non-lead', chr(133)) WHEN 12 THEN NULL
+       ELSE 'n/a' END AS v, CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE 1577836800000e0 + c_custkey * 86400000e0 END AS ms FROM customer"""
+
+
+@register("hard_values", f"""
+WITH h AS ({HARD_VALUES})
+SELECT k, {O.status('v')} AS status, {O.num('v')} AS num, strftime(epoch_ms(CAST(ms AS BIGINT)), '%Y-%m-%d') AS day FROM h""")
+def q_hard_values(spark, sf):
+    """X1/X16, X6 and X7 on values that a plain strip or cast gets wrong."""
+    inputs._fx(spark, sf)
+    # Spark's chr() ends at 255; the three wide blanks are written out.
+    wide = {8195: "\u2003", 12288: "\u3000"}
+    sql = HARD_VALUES
+    for code, char in wide.items():
+        sql = sql.replace(f"chr({code})", f"'{char}'")
+    h = spark.sql(sql)
+    return h.select("k", X.normalize_status("v").alias("status"), X.to_double("v").alias("num"),
+                    F.date_format(X.epoch_ms_to_ts("ms"), "yyyy-MM-dd").alias("day"))
+
+
 # ======================================= step 5: master, summaries, sample
 
 RACE_PCT_KEEP = ["Pwhite", "Pblack"]
@@ -783,6 +860,14 @@ def q_hash_sample(spark, sf):
     return summary.arith_hash_sample(h, "pid", SAMPLE_N, SAMPLE_SEED)
 
 
+@register("hash_sample_small", with_views([H], f"""
+SELECT pid, x, y FROM fx_house ORDER BY (pid * 7919 + {SAMPLE_SEED} * 104729) % 1000003, pid LIMIT 500"""))
+def q_hash_sample_small(spark, sf):
+    """O4 with fewer rows than the table has."""
+    h = inputs.houses(spark, sf).select("pid", "x", "y")
+    return summary.arith_hash_sample(h, "pid", 500, SAMPLE_SEED)
+
+
 # ================================================= step 6: logistic models
 
 SPLIT_SEED, TEST_FRAC = 42, 0.25

@@ -85,6 +85,34 @@ SELECT * FROM (VALUES
 ) AS t(gid, part, role, ord, x, y)
 """
 
+# The hard shapes of fx_zone_ring (concave, clockwise with a hole, several
+# parts, touching) at a fifth of their size, one per supplier, on top of each
+# other here and there.
+VIEWS["fx_plot_ring"] = """
+SELECT s_suppkey AS gid, z.part, z.role, z.ord,
+       z.x * 0.2e0 + ((s_suppkey * 37) % 47) * 97e0 AS x, z.y * 0.2e0 + ((s_suppkey * 53) % 43) * 103e0 AS y
+FROM supplier JOIN fx_zone_ring z ON z.gid = s_suppkey % 4 + 1
+"""
+# Oriented edges of the plots, for the oracle.
+VIEWS["fx_plot_edge"] = """
+SELECT gid, CASE WHEN flip THEN x2 ELSE x1 END AS x1, CASE WHEN flip THEN y2 ELSE y1 END AS y1,
+       CASE WHEN flip THEN x1 ELSE x2 END AS x2, CASE WHEN flip THEN y1 ELSE y2 END AS y2
+FROM (SELECT *, (role = 'shell') = (sum(x1 * y2 - x2 * y1) OVER (PARTITION BY gid, part, role) < 0) AS flip
+      FROM (SELECT gid, part, role, x AS x1, y AS y1,
+                   coalesce(lead(x) OVER (PARTITION BY gid, part, role ORDER BY ord),
+                            first_value(x) OVER (PARTITION BY gid, part, role ORDER BY ord)) AS x2,
+                   coalesce(lead(y) OVER (PARTITION BY gid, part, role ORDER BY ord),
+                            first_value(y) OVER (PARTITION BY gid, part, role ORDER BY ord)) AS y2
+            FROM fx_plot_ring) r) q
+"""
+# Points on the plots' corners and edge middles, and houses.
+VIEWS["fx_plot_point"] = """
+SELECT o_orderkey AS pid, 5400e0*((o_orderkey*7919) % 100003)/100003e0 - 200e0 AS x,
+       5400e0*((o_orderkey*104729) % 99991)/99991e0 - 200e0 AS y FROM orders
+UNION ALL SELECT -(gid * 1000 + part * 100 + ord * 2 + CASE WHEN role = 'hole' THEN 50 ELSE 0 END), x, y FROM fx_plot_ring
+UNION ALL SELECT -(gid * 1000 + part * 100 + ord * 2 + CASE WHEN role = 'hole' THEN 50 ELSE 0 END + 1), x + 100e0, y FROM fx_plot_ring
+"""
+
 # view -> views it reads (base tables are always registered)
 DEPS = {
     "fx_nbh": [],
@@ -95,6 +123,9 @@ DEPS = {
     "fx_tract_edge": ["fx_tract_node"],
     "fx_house": [],
     "fx_zone_ring": [],
+    "fx_plot_ring": ["fx_zone_ring"],
+    "fx_plot_edge": ["fx_plot_ring"],
+    "fx_plot_point": ["fx_plot_ring"],
 }
 
 

@@ -166,3 +166,31 @@ def test_union_clip_area_with_overlaps(spark):
     tri = (X_ >= 50) & (Y_ >= (X_ - 50) * 50 / 60) & (Y_ <= 100 - (X_ - 50) * 50 / 60)
     un = ((X_ <= 60) & (Y_ <= 60)) | ((X_ >= 40) & (X_ <= 100) & (Y_ >= 20) & (Y_ <= 80))
     assert got[12] == pytest.approx((tri & un).sum() * 0.01, rel=2e-3)
+
+
+def test_overlay_edge_pairs_grow_with_the_vertices(spark):
+    """Two overlapping n-gons: four times the vertices, about four times the
+    joined edge pairs, and the exact area throughout."""
+    import math
+
+    def ring(gid, cx, n):
+        return [(gid, 0, "shell", k, cx + math.cos(2 * math.pi * k / n), math.sin(2 * math.pi * k / n)) for k in range(n)]
+    schema = "gid long, part int, role string, ord int, x double, y double"
+    counts = {}
+    for n in (500, 2000):
+        a, b = (P.edges_from_vertices(spark.createDataFrame(ring(g, c, n), schema)) for g, c in ((1, 0.0), (2, 0.7)))
+        ma, mb = P.polygon_measures(a), P.polygon_measures(b)
+        counts[n] = spatial.edge_pairs(a, ma, b, mb).count()
+        got = spatial.overlay_areas(a, ma, b, mb).first()["inter_area"]
+        lens = 2 * math.acos(0.35) - 0.35 * math.sqrt(4 - 0.49)
+        assert abs(got - lens) < 30 / n ** 2
+    assert counts[2000] < 5 * counts[500]
+
+
+def test_nearest_keeps_points_without_a_coordinate(spark):
+    schema = "gid long, part int, role string, ord int, x double, y double"
+    sq = [(1, 0, "shell", k, x, y) for k, (x, y) in enumerate(((0.0, 0.0), (1.0, 0.0), (1.0, 1.0), (0.0, 1.0)))]
+    e = P.edges_from_vertices(spark.createDataFrame(sq, schema))
+    pts = spark.createDataFrame([(1, 5000.5, 0.5), (2, None, 1.0), (3, 0.5, 0.5)], "pid long, x double, y double")
+    got = {r["pid"]: r["dist"] for r in spatial.nearest_polygon(pts, e).collect()}
+    assert got == {1: 4999.5, 2: None, 3: 0.0}

@@ -45,14 +45,14 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_oracle_or_is_model(spark):
-    missing = set(E.queries()) - set(E.oracle_sql())
+    missing = set(E.QUERIES) - set(E.ORACLE)
     assert missing <= {"logit_terms", "logit_fit_stats", "logit_l2_coefs", "logit_metrics"}
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(E.ORACLE))
 def test_query_matches_oracle(spark, con, name):
     sp = E.queries()[name](spark, SF001).toPandas()
-    dd = con.execute(E.oracle_sql()[name]).df()
+    dd = con.execute(E.ORACLE[name]).df()
     c1, r1 = _rows(sp)
     c2, r2 = _rows(dd)
     assert c1 == c2

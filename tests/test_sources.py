@@ -79,3 +79,32 @@ def test_paged_source_pushdown(spark):
     assert "PushedFilters" in buf.getvalue() and "GreaterThanOrEqual(pid,1500)" in buf.getvalue()
     rows = out.collect()
     assert sorted(r["pid"] for r in rows) == [i for i in range(1500, 3000) if i % 7 in (1, 3)]
+
+
+def test_paged_source_loses_nothing_unseen(spark):
+    root = _scratch(spark, "pages-bad")
+    df = spark.range(0, 300).select(F.col("id").alias("pid"))
+    paged.stage_pages(df.filter("pid % 7 <> 3"), "pid", root, page=100)  # gaps are no loss
+    out = paged.read_paged(spark, "pid BIGINT", root=root)
+    assert out.count() == df.filter("pid % 7 <> 3").count()
+    # a page that is too long, and one that is gone
+    part = os.path.join(root, "page=100")
+    spark.range(100, 250).select(F.col("id").alias("pid")).coalesce(1).write.mode("append").parquet(part)
+    with pytest.raises(Exception, match="manifest"):
+        out.count()
+    os.rename(part, os.path.join(root, "_lost"))
+    with pytest.raises(Exception, match="manifest"):
+        paged.read_paged(spark, "pid BIGINT", root=root).count()
+    with pytest.raises(paged.PageError, match="service error"):
+        paged._answer({"error": {"code": 500}})
+    with pytest.raises(paged.PageError, match="repeat"):
+        paged.stage_pages(df.union(df), "pid", _scratch(spark, "pages-dup"), page=100)
+
+
+def test_checkpoint_folder_must_be_shared_off_a_local_master():
+    from types import SimpleNamespace
+
+    from parcelkit import session
+    fake = SimpleNamespace(conf=SimpleNamespace(get=lambda *a: None), sparkContext=SimpleNamespace(master="spark://host:7077"))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.ensure_checkpoint_dir(fake)
