@@ -1235,6 +1235,23 @@ def q_geojson_scan(spark, sf):
     return m.join(back.select("gid", "name"), "gid").select("gid", "name", "area", "cx", "cy")
 
 
+@register("point_layer_io", with_views([H], """
+SELECT f AS format, pid, x, y, t AS geom_type FROM fx_house, (VALUES ('geojson', 'Point'), ('wkb', 'Point')) AS v(f, t)"""))
+def q_point_layer_io(spark, sf):
+    """S6/S7, K2/K3 on a point layer: written and read in both formats."""
+    from ..sources import geo_io
+    pts = inputs.houses(spark, sf).select(F.col("pid").cast("long").alias("gid"), "x", "y")
+    path = _scratch(spark, "points")
+    geo_io.write_geojson_seq(pts.select("gid"), geo_io.points_geojson_geometry(pts), path + "/geojson", ["gid"])
+    geo_io.points_to_wkb(pts).write.parquet(path + "/wkb")
+    gj = geo_io.read_geojson(spark, path + "/geojson", "gid BIGINT")
+    wkb = spark.read.parquet(path + "/wkb")
+    one = geo_io.geojson_vertices(gj).join(gj.select("gid", F.col("gtype").alias("t")), "gid")
+    two = geo_io.from_wkb(wkb).join(wkb.select("gid", geo_io.geometry_type_from_wkb("wkb").alias("t")), "gid")
+    return one.select(F.lit("geojson").alias("format"), F.col("gid").alias("pid"), "x", "y", F.col("t").alias("geom_type")).unionByName(
+        two.select(F.lit("wkb").alias("format"), F.col("gid").alias("pid"), "x", "y", F.col("t").alias("geom_type")))
+
+
 CSV_POINT_SCHEMA = "pid STRING, lon DOUBLE, lat DOUBLE, bothsidesstatus STRING, yearstructbuilt STRING"
 NULL_LIST = ", ".join("'" + t + "'" for t in X.NULL_TOKENS)
 

@@ -108,3 +108,42 @@ def test_checkpoint_folder_must_be_shared_off_a_local_master():
     fake = SimpleNamespace(conf=SimpleNamespace(get=lambda *a: None), sparkContext=SimpleNamespace(master="spark://host:7077"))
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.ensure_checkpoint_dir(fake)
+
+
+def test_wkb_dimensions_flags_and_types(spark):
+    import struct
+    sq = [(0.0, 0.0), (4.0, 0.0), (4.0, 4.0), (0.0, 4.0), (0.0, 0.0)]
+
+    def poly(code, extra=(), srid=None, order="<"):
+        head = struct.pack(order + "BI", order == "<", code) + (struct.pack(order + "I", srid) if srid else b"")
+        return head + struct.pack(order + "II", 1, 5) + b"".join(struct.pack(f"{order}{2 + len(extra)}d", *p, *extra) for p in sq)
+
+    def point(x, y, code=1):
+        return struct.pack("<BIdd", 1, code, x, y)
+    rows = [(1, poly(3)), (2, poly(1003, (7.0,))), (3, poly(3003, (7.0, 8.0))), (4, poly(0x80000003, (7.0,))),
+            (5, poly(0x20000003, srid=4326)), (6, poly(0xE0000003, (7.0, 8.0), srid=4326)), (7, poly(3, order=">")),
+            (8, struct.pack("<BII", 1, 4, 2) + point(1.0, 2.0) + point(3.0, 4.0)), (9, point(5.0, 6.0)),
+            (10, point(float("nan"), float("nan"))), (11, None)]
+    df = spark.createDataFrame([(g, bytearray(b) if b else None) for g, b in rows], "gid long, wkb binary")
+    got = {}
+    for r in geo_io.from_wkb(df).orderBy("gid", "part", "ord").collect():
+        got.setdefault(r["gid"], []).append((r["x"], r["y"]))
+    assert got == {**{i: sq[:4] for i in range(1, 8)}, 8: [(1.0, 2.0), (3.0, 4.0)], 9: [(5.0, 6.0)]}
+    types = {r["gid"]: r["t"] for r in df.select("gid", geo_io.geometry_type_from_wkb("wkb").alias("t")).collect()}
+    assert types == {**{i: "Polygon" for i in range(1, 8)}, 8: "MultiPoint", 9: "Point", 10: "Point", 11: None}
+    line = spark.createDataFrame([(1, bytearray(struct.pack("<BIIdddd", 1, 2, 2, 0, 0, 1, 1)))], "gid long, wkb binary")
+    with pytest.raises(Exception, match="not handled"):
+        geo_io.from_wkb(line).collect()
+
+
+def test_geojson_points_and_missing_geometry(spark):
+    pts = spark.createDataFrame([(1, 1.5, 2.5), (2, None, 3.0)], "gid long, x double, y double")
+    path = _scratch(spark, "gj-points")
+    geo_io.write_geojson_seq(pts, geo_io.points_geojson_geometry(pts), path, ["gid"])
+    back = geo_io.read_geojson(spark, path, "gid BIGINT")
+    assert back.count() == 2
+    assert [(r["gid"], r["role"], r["x"], r["y"]) for r in geo_io.geojson_vertices(back).collect()] == [(1, "point", 1.5, 2.5)]
+    multi = spark.createDataFrame([(3, "MultiPoint", "[[1,2,9],[3,4,9]]")], "gid long, gtype string, coordinates string")
+    assert [(r["part"], r["x"], r["y"]) for r in geo_io.geojson_vertices(multi).collect()] == [(0, 1.0, 2.0), (1, 3.0, 4.0)]
+    with pytest.raises(Exception, match="not handled"):
+        geo_io.geojson_vertices(spark.createDataFrame([(1, "LineString", "[]")], "gid long, gtype string, coordinates string")).collect()
