@@ -11,6 +11,7 @@ import math
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.linalg import Vectors
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GeneralizedLinearRegression
 from pyspark.sql import DataFrame, Window
@@ -91,7 +92,7 @@ def logit_inference(ds: DataFrame, feats: list[str]):
     """M3 + M4: maximum-likelihood logit with intercept (GLM binomial/logit).
     Returns (terms rows, stats dict)."""
     v = _assemble(ds, feats).select("features", F.col("target_lead").cast("double").alias("label"))
-    glr = GeneralizedLinearRegression(family="binomial", link="logit", maxIter=100, regParam=0.0)
+    glr = GeneralizedLinearRegression(family="binomial", link="logit", maxIter=100, regParam=0.0, tol=1e-12)
     m = glr.fit(v)
     s = m.summary
     if s.numIterations >= glr.getMaxIter():
@@ -154,13 +155,19 @@ def stratified_split(df: DataFrame, label: str, key: str, test_frac: float = 0.2
 
 def fit_l2_logistic(train: DataFrame, feats: list[str], C: float = 1.0, max_iter: int = 1000):
     """M6: liblinear-style L2 logistic regression (the intercept is penalised
-    too): a constant-1 feature, no separate intercept, regParam = 1 / (C n)."""
+    too): a constant-1 feature and no separate intercept.
+
+    The library leaves constant features out of a fit. One more row, all
+    zeros and of the weight of all others, makes the constant vary; its loss
+    does not depend on the coefficients, so only the total weight changes,
+    which the penalty 1 / (C * 2n) takes into account."""
     v = _assemble(train.withColumn("_one", F.lit(1.0)), ["_one"] + feats).select(
-        "features", F.col("target_lead").cast("double").alias("label")).persist()
+        "features", F.col("target_lead").cast("double").alias("label"), F.lit(1.0).alias("weight")).persist()
     n = v.count()
-    lr = LogisticRegression(regParam=1.0 / (C * n), elasticNetParam=0.0, standardization=False,
-                            fitIntercept=False, maxIter=max_iter)
-    m = lr.fit(v)
+    zero = train.sparkSession.createDataFrame([(Vectors.sparse(len(feats) + 1, {}), 0.0, float(n))], v.schema)
+    lr = LogisticRegression(regParam=1.0 / (C * 2 * n), elasticNetParam=0.0, standardization=False, weightCol="weight",
+                            fitIntercept=False, maxIter=max_iter, tol=1e-9)
+    m = lr.fit(v.union(zero))
     v.unpersist()
     if m.hasSummary and m.summary.totalIterations >= max_iter:
         raise NotConverged(f"L2 logistic: no convergence in {max_iter} iterations")

@@ -17,6 +17,7 @@ from ..functions import clean as X
 from ..functions import geom as G
 from ..functions import schema as S
 from ..operators import spatial, summary
+from ..session import materialize, session_key
 from ..sources.fixtures import with_views
 from . import inputs
 from . import oracle_sql as O
@@ -422,7 +423,7 @@ def _filtered_tracts(spark, sf) -> inputs.Layer:
     edges, measures and overlay feed several statistics)."""
     from ..operators import areal
     from ..operators.polygons import polygon_measures
-    key = (id(spark), sf)
+    key = session_key(spark, sf)
     if key not in _FILTERED:
         tr = inputs.tracts(spark, sf)
         kept = areal.tiered_filter(tr.attrs, S.column(tr.attrs, "tract_id"), "NAME")
@@ -435,7 +436,7 @@ _FILTERED_OV: dict = {}
 
 
 def _filtered_overlay(spark, sf) -> DataFrame:
-    key = (id(spark), sf)
+    key = session_key(spark, sf)
     if key not in _FILTERED_OV:
         nb, ft = inputs.neighborhoods(spark, sf), _filtered_tracts(spark, sf)
         _FILTERED_OV[key] = spatial.overlay_areas(nb.edges, nb.measures, ft.edges, ft.measures).persist()
@@ -877,15 +878,15 @@ _LOGIT_DS: dict = {}
 
 
 def logit_ds(spark, sf) -> DataFrame:
-    """M1 over the houses, persisted once per session and folder: it feeds
-    iterative fits, and deriving the model frame from cached columns keeps
+    """M1 over the houses, written once per application and folder: it feeds
+    iterative fits, and deriving the model frame from stored columns keeps
     the generated code small."""
     from ..operators import model
-    key = (id(spark), sf)
+    key = session_key(spark, sf)
     if key not in _LOGIT_DS:
         h = inputs.houses(spark, sf)
-        _LOGIT_DS[key] = model.logit_dataset(h, S.column(h, "status"), S.column(h, "year"), CUR_YEAR,
-                                             key="pid").persist()
+        _LOGIT_DS[key] = materialize(model.logit_dataset(h, S.column(h, "status"), S.column(h, "year"), CUR_YEAR,
+                                                         key="pid"), "logit-dataset")
     return _LOGIT_DS[key]
 
 
@@ -919,29 +920,82 @@ def q_stratified_split(spark, sf):
         "pid", "target_lead", "is_test")
 
 
+_FITS: dict = {}
+
+
+def _inference(spark, sf):
+    """Terms and statistics of one maximum-likelihood fit, made once per
+    application and folder."""
+    from ..operators import model
+    key = session_key(spark, sf, "ml")
+    if key not in _FITS:
+        mf, feats = model.model_frame(logit_ds(spark, sf))
+        _FITS[key] = model.logit_inference(materialize(mf, "logit-frame"), feats)
+    return _FITS[key]
+
+
+def _stats_frame(spark, st) -> DataFrame:
+    return spark.createDataFrame([(st["n_obs"], st["llf"], st["llnull"], st["pseudo_r2_mcfadden"], st["aic"], st["bic"])],
+                                 "n_obs long, llf double, llnull double, pseudo_r2_mcfadden double, aic double, bic double")
+
+
 @register("logit_terms")
 def q_logit_terms(spark, sf):
     from ..operators import model
-    mf, feats = model.model_frame(logit_ds(spark, sf))
-    rows, _ = model.logit_inference(mf.persist(), feats)
-    return spark.createDataFrame(rows, model.TERMS_SCHEMA)
+    return spark.createDataFrame(_inference(spark, sf)[0], model.TERMS_SCHEMA)
 
 
 @register("logit_fit_stats")
 def q_logit_fit_stats(spark, sf):
+    return _stats_frame(spark, _inference(spark, sf)[1])
+
+
+# M3/M4 on one 0/1 feature, where the fit has a closed form in the four counts.
+BINARY_CTE = LOGIT_CTE + """,
+n AS (SELECT CAST(count(*) FILTER (WHERE target_lead = 1 AND post_1988 = 0) AS DOUBLE) AS a,
+             CAST(count(*) FILTER (WHERE target_lead = 0 AND post_1988 = 0) AS DOUBLE) AS b,
+             CAST(count(*) FILTER (WHERE target_lead = 1 AND post_1988 = 1) AS DOUBLE) AS c,
+             CAST(count(*) FILTER (WHERE target_lead = 0 AND post_1988 = 1) AS DOUBLE) AS d FROM ds)"""
+
+
+def _binary(spark, sf):
     from ..operators import model
-    mf, feats = model.model_frame(logit_ds(spark, sf))
-    _, st = model.logit_inference(mf.persist(), feats)
-    return spark.createDataFrame([(st["n_obs"], st["llf"], st["llnull"], st["pseudo_r2_mcfadden"], st["aic"], st["bic"])],
-                                 "n_obs long, llf double, llnull double, pseudo_r2_mcfadden double, aic double, bic double")
+    key = session_key(spark, sf, "binary")
+    if key not in _FITS:
+        _FITS[key] = model.logit_inference(logit_ds(spark, sf).select("target_lead", F.col("post_1988").cast("double")), ["post_1988"])
+    return _FITS[key]
+
+
+@register("logit_binary_terms", with_views([H], BINARY_CTE + """,
+t AS (SELECT 'const' AS term, ln(a / b) AS coef, sqrt(1 / a + 1 / b) AS se FROM n
+      UNION ALL SELECT 'post_1988', ln(c / d) - ln(a / b), sqrt(1 / a + 1 / b + 1 / c + 1 / d) FROM n)
+SELECT term, round(coef, 5) AS coef, round(se, 5) AS std_err, round(coef / se, 4) AS z_value,
+       round(exp(coef), 5) AS odds_ratio FROM t"""))
+def q_logit_binary_terms(spark, sf):
+    from ..operators import model
+    t = spark.createDataFrame(_binary(spark, sf)[0], model.TERMS_SCHEMA)
+    return t.select("term", F.round("coef", 5).alias("coef"), F.round("std_err", 5).alias("std_err"),
+                    F.round("z_value", 4).alias("z_value"), F.round("odds_ratio", 5).alias("odds_ratio"))
+
+
+@register("logit_binary_stats", with_views([H], BINARY_CTE + """,
+l AS (SELECT a + b + c + d AS m, a * ln(a / (a + b)) + b * ln(b / (a + b)) + c * ln(c / (c + d)) + d * ln(d / (c + d)) AS llf,
+             (a + c) * ln((a + c) / (a + b + c + d)) + (b + d) * ln((b + d) / (a + b + c + d)) AS llnull FROM n)
+SELECT CAST(m AS BIGINT) AS n_obs, round(llf, 4) AS llf, round(llnull, 4) AS llnull, round(1 - llf / llnull, 6) AS pseudo_r2_mcfadden,
+       round(-2 * llf + 4, 4) AS aic, round(-2 * llf + 2 * ln(m), 4) AS bic FROM l"""))
+def q_logit_binary_stats(spark, sf):
+    st = _stats_frame(spark, _binary(spark, sf)[1])
+    return st.select("n_obs", *(F.round(c, 6 if c.startswith("pseudo") else 4).alias(c) for c in st.columns[1:]))
 
 
 def _l2_fit(spark, sf):
     from ..operators import model
-    mf, feats = model.model_frame(logit_ds(spark, sf))
-    sp = model.stratified_split(mf, "target_lead", "pid", TEST_FRAC, SPLIT_SEED).persist()
-    m = model.fit_l2_logistic(sp.filter(~F.col("is_test")), feats)
-    return m, sp, feats
+    key = session_key(spark, sf, "l2")
+    if key not in _FITS:
+        mf, feats = model.model_frame(logit_ds(spark, sf))
+        sp = materialize(model.stratified_split(mf, "target_lead", "pid", TEST_FRAC, SPLIT_SEED), "logit-split")
+        _FITS[key] = model.fit_l2_logistic(sp.filter(~F.col("is_test")), feats), sp, feats
+    return _FITS[key]
 
 
 @register("logit_l2_coefs")
@@ -951,6 +1005,26 @@ def q_logit_l2_coefs(spark, sf):
                                  "term string, coef double")
 
 
+@register("logit_l2_score", with_views([H], LOGIT_CTE + """,
+terms AS (SELECT unnest(['intercept', 'age_years', 'post_1988', 'age_x_post_1988', 'MHI_10k', 'J40_TotCatExceeded_num',
+                         'disadvantaged_num']) AS term
+          UNION ALL SELECT DISTINCT 'neigh_' || neighborhood_name FROM ds
+          WHERE neighborhood_name > (SELECT min(neighborhood_name) FROM ds))
+SELECT term, 0e0 AS score FROM terms"""))
+def q_logit_l2_score(spark, sf):
+    """M6 by its defining equations: at the fit, the gradient of the penalised
+    likelihood vanishes in every term (mean per row, 5 decimals)."""
+    from ..operators import model
+    m, sp, feats = _l2_fit(spark, sf)
+    scored = model.score(m, sp.filter(~F.col("is_test")), feats)
+    off = F.col("score") - F.col("target_lead")
+    sums = scored.agg(F.count(F.lit(1)).alias("n"), F.sum(off).alias("g0"),
+                      *[F.sum(off * F.col(f"`{f}`")).alias(f"g{i + 1}") for i, f in enumerate(feats)]).first()
+    rows = [(t, abs(round((sums[f"g{i}"] + float(m.coefficients[i])) / sums["n"], 5)))
+            for i, t in enumerate(["intercept"] + feats)]
+    return spark.createDataFrame(rows, "term string, score double")
+
+
 @register("logit_metrics")
 def q_logit_metrics(spark, sf):
     from ..operators import model

@@ -11,6 +11,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import session_key
 from ..operators.polygons import edges_from_vertices, polygon_measures, vertices_from_nodes
 from ..sources.fixtures import register_fixtures
 
@@ -58,7 +59,7 @@ def _fx(spark: SparkSession, sf_dir: str) -> None:
     # epoch conversions and formatted timestamps are defined in UTC
     if spark.conf.get("spark.sql.session.timeZone") != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
-    key = (id(spark), sf_dir)
+    key = session_key(spark, sf_dir)
     if _REGISTERED.get("key") != key:
         from ..session import ensure_checkpoint_dir, ship_package
         ensure_checkpoint_dir(spark)
@@ -72,7 +73,7 @@ def _layer(spark: SparkSession, sf_dir: str, node_view: str, attr_view: str) ->
     operator reads them several times (size check, cell size, join), so
     their edges and measures are persisted once per session and folder. A
     lost cached block is recomputed from lineage."""
-    key = (id(spark), sf_dir, node_view)
+    key = session_key(spark, sf_dir, node_view)
     if key not in _LAYERS:
         _fx(spark, sf_dir)
         edges = edges_from_vertices(vertices_from_nodes(spark.table(node_view))).persist()
@@ -90,7 +91,7 @@ def overlay(spark: SparkSession, sf_dir: str) -> DataFrame:
     computed once per session and folder and persisted: it is the central
     derived relation every areal statistic reads."""
     from ..operators.spatial import overlay_areas
-    key = (id(spark), sf_dir)
+    key = session_key(spark, sf_dir)
     if key not in _OVERLAYS:
         nb, tr = neighborhoods(spark, sf_dir), tracts(spark, sf_dir)
         _OVERLAYS[key] = overlay_areas(nb.edges, nb.measures, tr.edges, tr.measures).persist()

@@ -86,6 +86,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return cur
 
 
+def session_key(spark: SparkSession, *parts) -> tuple:
+    """Key of things kept for one application: unlike an object's id, it is
+    never another session's."""
+    return (spark.sparkContext.applicationId, *parts)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Cut lineage by writing ``df`` as parquet under the shared checkpoint
     folder and reading it back. Survives executor loss (the data lives in

@@ -1,5 +1,7 @@
 """Exact distributed quantiles, stratified split, AUC and the logit fit."""
 
+import math
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -72,3 +74,24 @@ def test_logit_matches_newton(spark):
     assert [r[1] for r in rows] == pytest.approx(list(w), rel=1e-6)
     assert [r[2] for r in rows] == pytest.approx(list(se), rel=1e-4)
     assert st["n_obs"] == n
+
+
+def test_l2_logistic_matches_newton(spark):
+    """The penalised intercept is part of the fit."""
+    rng = np.random.default_rng(3)
+    n = 2000
+    X = np.column_stack([rng.normal(size=n), rng.integers(0, 2, size=n)])
+    y = (rng.random(n) < 1 / (1 + np.exp(-(1.2 + 0.7 * X[:, 0] - 0.4 * X[:, 1])))).astype(int)
+    df = spark.createDataFrame([(int(a), float(b), float(c)) for a, b, c in zip(y, *X.T)],
+                               "target_lead int, f1 double, f2 double")
+    m = model.fit_l2_logistic(df, ["f1", "f2"], C=0.05)
+    A = np.column_stack([np.ones(n), X])
+    w = np.zeros(3)
+    for _ in range(50):
+        mu = 1 / (1 + np.exp(-A @ w))
+        w = w - np.linalg.solve((A.T * (mu * (1 - mu))) @ A + np.eye(3) / 0.05, A.T @ (mu - y) + w / 0.05)
+    assert list(m.coefficients) == pytest.approx(list(w), abs=1e-5)
+
+
+def test_separated_classes_have_infinite_odds():
+    assert model.odds(800.0) == math.inf and model.odds(0.0) == 1.0
