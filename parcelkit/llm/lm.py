@@ -22,6 +22,7 @@ sent to all tasks; the others are joined by word.
 from __future__ import annotations
 
 import math
+import uuid
 from collections import Counter
 
 import numpy as np
@@ -286,6 +287,7 @@ class Vocabulary:
     def __init__(self, words: list, counts: list, end_count: int, total: int, distinct: int):
         self.blob, self.counts = b" ".join(words), np.array(counts, dtype=np.int64)
         self.total, self.distinct = total, distinct
+        self.key = uuid.uuid4().hex  # workers outlive a vocabulary
         own = self.counts[:MODEL_WORDS]
         other = max(0, total - end_count - int(own.sum()))
         tokens = np.zeros(MODEL_WORDS + 2, dtype=np.int64)
@@ -306,12 +308,12 @@ class Vocabulary:
 _RANKS: dict = {}
 
 
-def _ranks(key: str, vocabulary: Vocabulary) -> dict:
+def _ranks(vocabulary: Vocabulary) -> dict:
     """The word numbers, built once in a worker process."""
-    if key not in _RANKS:
+    if vocabulary.key not in _RANKS:
         _RANKS.clear()
-        _RANKS[key] = vocabulary.ranks()
-    return _RANKS[key]
+        _RANKS[vocabulary.key] = vocabulary.ranks()
+    return _RANKS[vocabulary.key]
 
 
 def _numbered(texts: list, ranks: dict) -> tuple[list, np.ndarray, np.ndarray]:
@@ -347,10 +349,10 @@ def _gathered(batches):
         yield pa.Table.from_batches(held)
 
 
-def _train(shared, key: str):
+def _train(shared):
     def run(batches):
         v, flat = shared.value
-        ranks, trainer, seen = _ranks(key, v), Trainer(unpack(flat)), 0
+        ranks, trainer, seen = _ranks(v), Trainer(unpack(flat)), 0
         for table in _gathered(batches):
             _, rank, size = _numbered(table.column("text").to_pylist(), ranks)
             trainer.texts(_tokens(rank, v), size, v.end)
@@ -363,7 +365,7 @@ def _train(shared, key: str):
     return run
 
 
-def _score(shared, key: str):
+def _score(shared):
     """Rows of two kinds: a text's own sums, and its words without a known
     count (word not null)."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("word", pa.binary()), ("n_tokens", pa.int64()),
@@ -372,7 +374,7 @@ def _score(shared, key: str):
 
     def run(batches):
         v, flat = shared.value
-        ranks, p = _ranks(key, v), unpack(flat)
+        ranks, p = _ranks(v), unpack(flat)
         logs = np.log10(np.r_[v.counts, v.end_count, 0] + 1.0)  # by rank; -2: the end, -1: not known here
         known = np.r_[v.counts, v.end_count, 0] > 0
         for table in _gathered(batches):
@@ -416,7 +418,7 @@ def train(texts: DataFrame, rounds: int = ROUNDS) -> tuple[Vocabulary, np.ndarra
     turn = F.pmod(F.xxhash64(F.lit(SEED), "text"), F.lit(rounds))
     for r in range(rounds):
         shared = sc.broadcast((v, flat))  # a bounded vocabulary and a fixed number of weights
-        trained = texts.where(turn == r).mapInArrow(_train(shared, f"{sc.applicationId}-{id(v)}"), "i long, x double, n long")
+        trained = texts.where(turn == r).mapInArrow(_train(shared), "i long, x double, n long")
         mean = trained.groupBy("i").agg((F.sum("x") / F.sum("n")).alias("x")).collect()
         for row in mean:
             flat[row["i"]] = row["x"]
@@ -442,7 +444,7 @@ def score(docs: DataFrame, held_out, doc_id: str = "doc_id", text: str = "text",
     v, flat, counts = train(base.where(~F.col("held_out")).select("text"), rounds)
     shared = spark.sparkContext.broadcast((v, flat))
     rows = materialize(base.select(F.col("k.a").alias("a"), F.col("k.b").alias("b"), "text").mapInArrow(
-        _score(shared, f"{spark.sparkContext.applicationId}-{id(v)}"),
+        _score(shared),
         "a long, b long, word binary, n_tokens long, n_known long, log_counts double, log_network double, "
         "log_other double, n_other long"), "lm-rows")
     ids = base.select("doc_id", "held_out", F.col("k.a").alias("a"), F.col("k.b").alias("b"))

@@ -120,3 +120,8 @@ def test_training_learns_an_order():
     for _ in range(60):
         trainer.texts(ids, size, 5)
     assert lm.score_texts(trainer.p, ids, size, 5).sum() > 0.2 * before
+
+
+def test_workers_do_not_mix_vocabularies():
+    a, b = (lm.Vocabulary(w, [2] * len(w), 1, 9, 4) for w in ([b"a", b"b"], [b"b", b"c", b"a"]))
+    assert [lm._ranks(v)[b"b"] for v in (a, b, a)] == [1, 0, 1]
