@@ -12,8 +12,6 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .quantiles import exact_quantiles
-
 # Fixed colour stops and no-data colours of the reference maps.
 ORANGES = ["#fee8c8", "#fdbb84", "#e34a33"]
 BLUES5 = ["#eff3ff", "#bdd7e7", "#6baed6", "#3182bd", "#08519c"]
@@ -27,14 +25,11 @@ def colour_domain(df: DataFrame, value_col: str, rule: str = "plain") -> tuple[f
     """V1: (vmin, vmax) = 5th / 95th percentile (linear); if equal, min / max.
     ``rule='age'`` also falls back on non-finite bounds and widens an empty
     range to (v, v + 1). One small aggregate; returns driver-side floats."""
-    v = df.select(F.lit(0).alias("_k"), F.col(value_col).cast("double").alias("v")).filter(
-        F.col("v").isNotNull() & ~F.isnan("v"))
-    q = exact_quantiles(v, "_k", [0.05, 0.95]).first()
-    mm = v.agg(F.min("v").alias("mn"), F.max("v").alias("mx")).first()
-    if q is None:
-        lo = hi = float("nan")
-    else:
-        lo, hi = q["q_0"], q["q_1"]
+    v = df.select(F.col(value_col).cast("double").alias("v")).filter(F.col("v").isNotNull() & ~F.isnan("v"))
+    # one row per polygon: a single aggregate holds them
+    mm = v.agg(F.percentile("v", F.array(F.lit(0.05), F.lit(0.95))).alias("q"), F.min("v").alias("mn"),
+               F.max("v").alias("mx")).first()
+    lo, hi = mm["q"] or (float("nan"), float("nan"))
     if rule == "age":
         if not (math.isfinite(lo) and math.isfinite(hi)) or lo == hi:
             lo = mm["mn"] if mm["mn"] else 0.0
@@ -85,9 +80,13 @@ def percent_text(value: Column, scale_100: bool, missing: str = "No data") -> Co
 
 def quantile_bins(df: DataFrame, value_col: str, k: int = 5) -> list[float]:
     """V5 bin edges: the i/k quantiles (linear), i = 1..k."""
-    v = df.select(F.lit(0).alias("_k"), F.col(value_col).cast("double").alias("v")).filter(F.col("v").isNotNull())
-    q = exact_quantiles(v, "_k", [i / k for i in range(1, k + 1)]).first()
-    return [q[f"q_{i}"] for i in range(k)]
+    return quantiles(df, value_col, [i / k for i in range(1, k + 1)])
+
+
+def quantiles(df: DataFrame, value_col: str, probs: list[float]) -> list[float]:
+    """Quantiles (linear) of a table with one row per polygon, in one job."""
+    v = df.select(F.col(value_col).cast("double").alias("v")).filter(F.col("v").isNotNull())
+    return list(v.agg(F.percentile("v", F.array(*[F.lit(p) for p in probs])).alias("q")).first()["q"])
 
 
 def quantile_class(value: Column, bins: list[float]) -> Column:

@@ -118,25 +118,24 @@ def mean_count_by(df: DataFrame, group_col: str, value: Column, mean_name: str,
 
 # ------------------------------------------------------------ A16, A17
 
-def numeric_profile(df: DataFrame, cols: list[str]) -> DataFrame:
+def numeric_profile(df: DataFrame, cols: list[str], approximate: bool = False) -> DataFrame:
     """Long-format profile ``variable, count, mean, median, min, p10, p90,
-    max`` per numeric column; columns with no value are skipped. Columns are
-    unpivoted in one pass; moments come from one grouped aggregate and the
-    three percentiles from exact distributed order statistics."""
-    from .quantiles import exact_quantiles
-    long = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("variable"), X.to_double(c).alias("v")) for c in cols])).alias("r")
-    ).select("r.variable", "r.v").filter(F.col("v").isNotNull()).persist()
-    # moments are tiny (one row per variable): computed now so that the
-    # persisted projection serves both them and the quantile passes
-    g = long.groupBy("variable").agg(
-        F.count("v").alias("count"), F.avg("v").alias("mean"), F.min("v").alias("min"), F.max("v").alias("max"))
-    g = df.sparkSession.createDataFrame(g.collect(), "variable string, count long, mean double, min double, max double")
-    q = exact_quantiles(long, "variable", [0.5, 0.1, 0.9])
-    long.unpersist()
-    return g.join(q, "variable").select(
-        "variable", "count", "mean", F.col("q_0").alias("median"), "min",
-        F.col("q_1").alias("p10"), F.col("q_2").alias("p90"), "max")
+    max`` per numeric column; columns with no value are skipped. One scan for
+    the moments and a few for exact order statistics; ``approximate`` takes
+    all from one scan with a quantile sketch."""
+    from .quantiles import column_quantiles
+    probs = [0.5, 0.1, 0.9]
+    values = {c: X.to_double(c) for c in cols}
+    if approximate:
+        r = df.select(*[v.alias(c) for c, v in values.items()]).agg(*[F.struct(
+            F.count(f"`{c}`"), F.avg(f"`{c}`"), F.min(f"`{c}`"), F.max(f"`{c}`"),
+            F.percentile_approx(f"`{c}`", probs, 10_000)).alias(c) for c in cols]).first()
+        found = {c: tuple(r[c]) for c in cols if r[c][0]}
+    else:
+        found = column_quantiles(df, values, probs)
+    rows = [(c, n, mean, q[0], lo, q[1], q[2], hi) for c, (n, mean, lo, hi, q) in found.items()]
+    return df.sparkSession.createDataFrame(
+        rows, "variable string, count long, mean double, median double, min double, p10 double, p90 double, max double")
 
 
 def categorical_profile(df: DataFrame, cols: list[str]) -> DataFrame:

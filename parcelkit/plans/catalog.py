@@ -1132,7 +1132,7 @@ SELECT ls.name, ls.pct_lead_known AS value, {O.linear_colour('ls.pct_lead_known'
 FROM {_sub('lead_by_neighborhood')} ls CROSS JOIN ({_domain_sql(_sub('lead_by_neighborhood'), 'pct_lead_known', 'plain')}) d""")
 def q_color_fill(spark, sf):
     from ..operators import layers
-    ls = q_lead_by_neighborhood(spark, sf)
+    ls = materialize(q_lead_by_neighborhood(spark, sf), "lead")
     lo, hi = layers.colour_domain(ls, "pct_lead_known", "plain")
     return ls.select("name", F.col("pct_lead_known").alias("value"),
                      layers.linear_colour(F.col("pct_lead_known"), layers.ORANGES, lo, hi).alias("fill"))
@@ -1147,7 +1147,7 @@ CROSS JOIN ({_domain_sql(_sub('combined_full_join'), 'avg_income', 'plain')}) di
 CROSS JOIN ({_domain_sql(_sub('combined_full_join'), 'pct_black', 'plain')}) dr""")
 def q_bivariate_fill(spark, sf):
     from ..operators import layers
-    c = q_combined_full_join(spark, sf)
+    c = materialize(q_combined_full_join(spark, sf), "combined")
     inc = S.columns(c, "income")[0]
     race = "pct_black" if "pct_black" in c.columns else [k for k in c.columns if k.startswith("pct_")][0]
     di = layers.colour_domain(c, inc, "plain")
@@ -1182,7 +1182,7 @@ SELECT a.neighborhood_name, a.avg_house_age, CASE """ + " ".join(
 FROM ({HOUSE_AGE_RAW}) a CROSS JOIN (SELECT quantile_cont(avg_house_age, [0.2, 0.4, 0.6, 0.8, 1.0]) AS b FROM ({HOUSE_AGE_RAW}) z) q""")
 def q_quantile_classes(spark, sf):
     from ..operators import layers
-    a = _house_age_raw(spark, sf)
+    a = materialize(_house_age_raw(spark, sf), "house-age")
     bins = layers.quantile_bins(a, "avg_house_age", 5)
     return a.select("neighborhood_name", "avg_house_age", layers.quantile_class(F.col("avg_house_age"), bins).alias("qclass"))
 
@@ -1208,9 +1208,9 @@ def q_choropleth_layer(spark, sf):
     _fx(spark, sf)
     nb = inputs.neighborhoods(spark, sf)
     geo = layers.ring_geojson(spark.table("fx_nbh_node"))
-    ls = q_lead_by_neighborhood(spark, sf)
+    ls = materialize(q_lead_by_neighborhood(spark, sf).select("name", "pct_lead_known"), "lead")
     lo, hi = layers.colour_domain(ls, "pct_lead_known", "plain")
-    p95 = layers.quantile_bins(ls.select("pct_lead_known"), "pct_lead_known", 20)[18]
+    (p95,) = layers.quantiles(ls, "pct_lead_known", [0.95])
     j = nb.attrs.select("gid", "name").join(geo, "gid").join(ls.select("name", "pct_lead_known"), "name", "left")
     return j.select("name", "geojson", F.col("pct_lead_known").alias("value"),
                     layers.percent_text(F.col("pct_lead_known"), p95 <= 1).alias("display"),

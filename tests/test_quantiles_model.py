@@ -95,3 +95,16 @@ def test_l2_logistic_matches_newton(spark):
 
 def test_separated_classes_have_infinite_odds():
     assert model.odds(800.0) == math.inf and model.odds(0.0) == 1.0
+
+
+def test_column_quantiles_match_numpy(spark):
+    from parcelkit.operators.quantiles import column_quantiles
+    rng = np.random.default_rng(5)
+    a, b = rng.normal(size=4000), rng.integers(0, 7, size=4000).astype(float)
+    df = spark.createDataFrame([(float(x), float(y), None) for x, y in zip(a, b)], "a double, b double, c double")
+    got = column_quantiles(df, {c: F.col(c) for c in "abc"}, [0.0, 0.1, 0.5, 0.93, 1.0], bins=16, leaf=50)
+    assert set(got) == {"a", "b"}
+    for c, v in (("a", a), ("b", b)):
+        n, mean, lo, hi, q = got[c]
+        assert (n, lo, hi) == (4000, v.min(), v.max()) and mean == pytest.approx(v.mean())
+        assert q == pytest.approx(np.quantile(v, [0.0, 0.1, 0.5, 0.93, 1.0]), abs=1e-12)
