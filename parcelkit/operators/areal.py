@@ -191,6 +191,16 @@ def within_mean(overlay: DataFrame, tr_meas: DataFrame, tracts: DataFrame, value
     return j.groupBy(F.col("a_gid").alias("gid")).agg(*[F.avg(X.to_double(c)).alias(c) for c in value_cols])
 
 
+def centroid_mean(nbh_index, tr_meas: DataFrame, tracts: DataFrame, value_cols: list[str]) -> DataFrame:
+    """J4, centroid form: tracts whose centroid lies within a neighborhood, and
+    the plain mean of their values per neighborhood."""
+    from .spatial import pip_join
+    c = tr_meas.select(F.col("gid").alias("_t"), F.col("cx").alias("x"), F.col("cy").alias("y"))
+    j = pip_join(c, nbh_index, predicate="within", how="inner").join(
+        tracts.select(F.col("gid").alias("_t"), *value_cols), "_t")
+    return j.groupBy("gid").agg(*[F.avg(X.to_double(v)).alias(v) for v in value_cols])
+
+
 def nearest_mean(nearest: DataFrame, tracts: DataFrame, value_cols: list[str], pid: str = "pid") -> DataFrame:
     """J5 consumer: mean of the nearest tract(s)' values per query polygon (ties averaged)."""
     t = tracts.select(F.col("gid").alias("_t"), *value_cols)

@@ -527,6 +527,26 @@ def q_within_fill(spark, sf):
     return _within(spark, sf)
 
 
+def _centroid_cte(edges: str, name: str) -> str:
+    """``name(pid, x, y)``: the centroids of an oriented edge view."""
+    return f"""{O.bbox_area_cte(edges, name + '_m')},
+{name} AS (SELECT m.gid AS pid,
+  m.xmin + sum(((e.x1 - m.xmin) + (e.x2 - m.xmin)) * ((e.x1 - m.xmin) * (e.y2 - m.ymin) - (e.x2 - m.xmin) * (e.y1 - m.ymin))) / (6 * m.area) AS x,
+  m.ymin + sum(((e.y1 - m.ymin) + (e.y2 - m.ymin)) * ((e.x1 - m.xmin) * (e.y2 - m.ymin) - (e.x2 - m.xmin) * (e.y1 - m.ymin))) / (6 * m.area) AS y
+  FROM {edges} e JOIN {name}_m m ON m.gid = e.gid GROUP BY m.gid, m.xmin, m.ymin, m.area)"""
+
+
+@register("within_fill_centroid", with_views(NBH + TR, f""", {_centroid_cte('fx_tract_edge', 'tc')},
+hit AS ({O.pip_pairs('tc', 'fx_nbh_edge', 'within')})
+SELECT n.name, round(avg(t.avg_income), 6) AS avg_income FROM hit h JOIN fx_tract t ON t.gid = h.pid
+JOIN fx_nbh n ON n.gid = h.gid GROUP BY n.name"""))
+def q_within_fill_centroid(spark, sf):
+    from ..operators import areal
+    nb, tr = inputs.neighborhoods(spark, sf), inputs.tracts(spark, sf)
+    r = areal.centroid_mean(nb.index, tr.measures, tr.attrs, S.columns(tr.attrs, "income"))
+    return _r6(r.join(nb.attrs.select("gid", "name"), "gid").drop("gid"), "name")
+
+
 NEAREST_CTES = f""", {O.bbox_area_cte('fx_nbh_edge', 'nm')},
 cen AS (SELECT m.gid AS pid,
           m.xmin + sum(((e.x1 - m.xmin) + (e.x2 - m.xmin)) * ((e.x1 - m.xmin) * (e.y2 - m.ymin) - (e.x2 - m.xmin) * (e.y1 - m.ymin))) / (6 * m.area) AS x,
@@ -1393,15 +1413,16 @@ def q_dedup_first(spark, sf):
     return summary.first_by_position(t, "url", "position", ["name"])
 
 
-def _merc_centroids(v: DataFrame) -> DataFrame:
-    from ..operators.polygons import edges_from_vertices, polygon_measures
-    lon = F.lit(CENTRE_LON) + F.col("x") * F.lit(1e-5)
-    lat = F.lit(CENTRE_LAT) + F.col("y") * F.lit(1e-5)
-    m = G.lonlat_to_mercator(lon, lat)
-    mv = v.withColumn("_m", m).withColumn("x", F.col("_m.x")).withColumn("y", F.col("_m.y")).drop("_m")
-    meas = polygon_measures(edges_from_vertices(mv))
-    ll = G.mercator_to_lonlat(F.col("cx"), F.col("cy"))
-    return meas.select("gid", F.round(ll["x"], 9).alias("centroid_lon"), F.round(ll["y"], 9).alias("centroid_lat"))
+def _in_degrees(v: DataFrame) -> DataFrame:
+    return v.withColumn("x", F.lit(CENTRE_LON) + F.col("x") * F.lit(1e-5)).withColumn(
+        "y", F.lit(CENTRE_LAT) + F.col("y") * F.lit(1e-5))
+
+
+def _house_vertices(spark, sf) -> DataFrame:
+    """Houses as a point layer; negative ids keep apart from polygons."""
+    return inputs.houses(spark, sf).select(
+        (-F.col("pid")).cast("long").alias("gid"), F.lit(0).alias("part"), F.lit("point").alias("role"),
+        F.lit(0).alias("ord"), "x", "y", F.lit(0).alias("ring"))
 
 
 _MX, _MY = O.mercator_forward(f"({O.dbl(CENTRE_LON)} + x * 1e-5)", f"({O.dbl(CENTRE_LAT)} + y * 1e-5)")
@@ -1423,7 +1444,8 @@ SELECT n.gid, n.name, round(degrees(cx / {O.dbl(G.MERCATOR_R)}), 9) AS centroid_
 FROM cen JOIN fx_nbh n ON n.gid = cen.gid) t"""))
 def q_csv_mirror(spark, sf):
     from ..sources import geo_io
-    c = _merc_centroids(_nbh_vertices(spark, sf))
+    c = geo_io.mirror_coordinates(_in_degrees(_nbh_vertices(spark, sf))).select(
+        "gid", *[F.round(k, 9).alias(k) for k in ("centroid_lon", "centroid_lat")])
     nb = inputs.neighborhoods(spark, sf).attrs.select(F.col("gid").cast("long").alias("gid"), "name")
     path = _scratch(spark, "mirror")
     geo_io.write_csv(nb.join(c, "gid"), path)
@@ -1433,6 +1455,29 @@ def q_csv_mirror(spark, sf):
     return back.select("gid", "name", "centroid_lon", "centroid_lat", "x", "y")
 
 
+_DEGREES = f"{O.dbl(CENTRE_LON)} + x * 1e-5 AS lon, {O.dbl(CENTRE_LAT)} + y * 1e-5 AS lat"
+
+
+@register("csv_mirror_points", with_views([H], f"""
+SELECT -pid AS gid, round(lon, 9) AS lon, round(lat, 9) AS lat FROM (SELECT pid, {_DEGREES} FROM fx_house) t"""))
+def q_csv_mirror_points(spark, sf):
+    """K4 on a layer of points only."""
+    from ..sources import geo_io
+    c = geo_io.mirror_coordinates(_in_degrees(_house_vertices(spark, sf)))
+    return c.select("gid", F.round("lon", 9).alias("lon"), F.round("lat", 9).alias("lat"))
+
+
+@register("csv_mirror_mixed", with_views(NBH + [H], f"""
+SELECT gid, round(centroid_lon, 7) AS centroid_lon, round(centroid_lat, 7) AS centroid_lat FROM {_sub('csv_mirror')} a
+UNION ALL SELECT -pid, round(lon, 7), round(lat, 7) FROM (SELECT pid, {_DEGREES} FROM fx_house) t"""))
+def q_csv_mirror_mixed(spark, sf):
+    """K4 on a layer of polygons and points."""
+    from ..sources import geo_io
+    both = _nbh_vertices(spark, sf).unionByName(_house_vertices(spark, sf), allowMissingColumns=True)
+    c = geo_io.mirror_coordinates(_in_degrees(both))
+    return c.select("gid", *[F.round(k, 7).alias(k) for k in ("centroid_lon", "centroid_lat")])
+
+
 # ===================================== remaining inventory items (A19, A20, ...)
 
 @register("column_facts", with_views([H], """
