@@ -22,6 +22,7 @@ from ..sources.fixtures import with_views
 from . import inputs
 from . import oracle_sql as O
 from .inputs import CUR_YEAR
+from .workflows import house_master_join, imputed_columns
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -87,19 +88,6 @@ def q_both_norm(spark, sf):
     return h.select("pid", X.normalize_both("bothsidesstatus").alias("bothsidesstatus_cat"))
 
 
-def imputed_columns(h: DataFrame) -> DataFrame:
-    """X2-X5 over the house table: the three cleaned and imputed categories."""
-    return (h.withColumn("custmaterial_cat", X.normalize_material("custmaterial"))
-             .withColumn("utilmaterial_cat", X.normalize_material("utilmaterial"))
-             .withColumn("bothsidesstatus_cat", X.normalize_both("bothsidesstatus"))
-             .withColumn("custmaterial_cat_imputed",
-                         X.impute_from_class("custmaterial_cat", "ModelClassification_Cust"))
-             .withColumn("utilmaterial_cat_imputed",
-                         X.impute_from_class("utilmaterial_cat", "ModelClassification_City"))
-             .withColumn("bothsidesstatus_imputed",
-                         X.combine_sides("custmaterial_cat_imputed", "utilmaterial_cat_imputed")))
-
-
 IMPUTED_CTE = f"""imp0 AS (
   SELECT *, {O.material('custmaterial')} AS custmaterial_cat, {O.material('utilmaterial')} AS utilmaterial_cat,
          {O.both('bothsidesstatus')} AS bothsidesstatus_cat FROM fx_house),
@@ -674,26 +662,12 @@ def q_hard_values(spark, sf):
 
 # ======================================= step 5: master, summaries, sample
 
-RACE_PCT_KEEP = ["Pwhite", "Pblack"]
 
 
 def house_master_df(spark, sf) -> DataFrame:
-    """E2 stage 1: houses J1-joined to neighborhoods, race tracts and income
-    tracts; polygon attributes carry explicit prefixes, source columns are
-    never renamed."""
-    nb, tr = inputs.neighborhoods(spark, sf), inputs.tracts(spark, sf)
-    h = inputs.houses(spark, sf)
-    tid = S.column(tr.attrs, "tract_id")
-    race_cols = S.columns(tr.attrs, "race_pct")
-    inc_cols = S.columns(tr.attrs, "income")
-    m = spatial.pip_join(h, nb.index, nb.attrs.select("gid", F.col("name").alias("nbh_name")),
-                         predicate="within", how="left", gid_col="nbh_gid")
-    race = tr.attrs.select("gid", F.col(tid).cast("string").alias("race_tract_id"),
-                           *[F.col(c).alias(f"race_{c}") for c in race_cols])
-    m = spatial.pip_join(m, tr.index, race, predicate="within", how="left", gid_col="race_gid")
-    inc = tr.attrs.select("gid", F.col(tid).cast("string").alias("inc_tract_id"),
-                          *[F.col(c).alias(f"inc_{c}") for c in inc_cols])
-    return spatial.pip_join(m, tr.index, inc, predicate="within", how="left", gid_col="inc_gid")
+    """E2 stage 1 over the houses; one tract layer gives race and income."""
+    tr = inputs.tracts(spark, sf)
+    return house_master_join(inputs.houses(spark, sf), inputs.neighborhoods(spark, sf), tr, tr)
 
 
 @register("house_master", with_views([H] + NBH + TR, f""", {PTS_CTE},
