@@ -9,7 +9,9 @@ class. A word outside the network's vocabulary has the probability of the
 other-word token times its smoothed share among other words.
 
 Training is truncated backpropagation through time over all training texts:
-windows of 32 tokens, gradients cut at window ends, the state carried over.
+windows of 32 tokens, gradients cut at window ends, the state carried over;
+texts longer than 512 tokens are trained on in spans of that length, each
+after its preceding token, so that few long texts do not run alone.
 Every task trains a copy on its own texts and copies are averaged after each
 round; a round takes the texts of one hash class, so all rounds together read
 each text once. Scoring carries the state through all windows of a text, so
@@ -24,6 +26,7 @@ from __future__ import annotations
 import math
 import uuid
 from collections import Counter
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -38,11 +41,15 @@ CLASS = 32
 EMBED, HIDDEN = 16, 16
 WINDOW = 32
 ROUNDS = 3
-TRAIN_DOCS = 512       # texts that are trained on side by side
-GROUP_TOKENS = 1_000_000
+SPAN = 512             # a longer text is trained on in spans of that many tokens
+TRAIN_DOCS = 512       # spans that are trained on side by side
+GROUP_TOKENS = 1_500_000
+OUTPUT_TOKENS = 16_384  # tokens of a scoring window, or more
 RATE = 0.01
 CLIP = 1.0
 SEED = 11
+# Different words that a task counts before it passes their counts on.
+COUNTED = 150_000
 # Words whose counts every task holds: a dictionary of at most that size.
 KNOWN = 200_000
 END = b""
@@ -131,14 +138,15 @@ def _output(p: dict, h: np.ndarray, target: np.ndarray, grads: dict | None = Non
         grads["Wc"] += (d @ h).T
         grads["bc"] += d.sum(axis=1)
         dh = d.T @ p["Wc"].T
-    order = np.argsort(cls, kind="stable")
-    edges = np.searchsorted(cls[order], np.arange(len(p["bc"]) + 1))
+    order = np.argsort(cls.astype(np.uint8), kind="stable")  # small numbers sort by radix
+    edges = np.r_[0, np.cumsum(np.bincount(cls, minlength=len(p["bc"])))]
     for c in np.flatnonzero(np.diff(edges)):
         rows = order[edges[c]:edges[c + 1]]
-        found, d = softmax(p["Ww"][c], p["bw"][c], h[rows], within[rows])
+        hc = h[rows]
+        found, d = softmax(p["Ww"][c], p["bw"][c], hc, within[rows])
         logp[rows] += found
         if grads is not None:
-            grads["Ww"][c] += (d @ h[rows]).T
+            grads["Ww"][c] += (d @ hc).T
             grads["bw"][c] += d.sum(axis=1)
             dh[rows] += d.T @ p["Ww"][c].T
     return logp, dh
@@ -146,34 +154,53 @@ def _output(p: dict, h: np.ndarray, target: np.ndarray, grads: dict | None = Non
 
 class Texts:
     """Token numbers of several texts, longest first, walked in windows: the
-    texts still running at a step are always the first ones."""
+    texts still running at a step are always the first ones. ``before`` is
+    the token ahead of each text, the end token for a whole one."""
 
-    def __init__(self, ids: np.ndarray, size: np.ndarray, end: int):
+    def __init__(self, ids: np.ndarray, start: np.ndarray, size: np.ndarray, before: np.ndarray):
         self.order = np.argsort(-size, kind="stable")
-        self.size, starts = size[self.order], (np.cumsum(size) - size)[self.order]
-        self.ids, self.starts, self.end = ids, starts, end
-
-    def windows(self, length: int):
-        """(targets per step, inputs per step) of each window in turn."""
-        last = np.full(len(self.size), self.end)
-        for at in range(0, int(self.size[0]) if len(self.size) else 0, length):
+        self.ids, self.size = ids, size[self.order]
+        self.starts, self.before = start[self.order], before[self.order]
+
+    def windows(self, length):
+        """(targets per step, inputs per step) of each window in turn;
+        ``length`` gives a window's steps from the number of texts in it."""
+        last, at, end = self.before, 0, int(self.size[0]) if len(self.size) else 0
+        while at < end:
             targets, inputs = [], []
-            for t in range(at, min(at + length, int(self.size[0]))):
+            for t in range(at, min(end, at + length(int(np.searchsorted(-self.size, -at, side="left"))))):
                 n = int(np.searchsorted(-self.size, -t, side="left"))
                 now = self.ids[self.starts[:n] + t]
                 inputs.append(last[:n])
                 targets.append(now)
                 last = now
+            at += len(targets)
             yield targets, inputs
 
 
+def whole_texts(ids: np.ndarray, size: np.ndarray, end: int) -> Texts:
+    return Texts(ids, np.cumsum(size) - size, size, np.full(len(size), end, dtype=ids.dtype))
+
+
+def spans(ids: np.ndarray, size: np.ndarray, end: int, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, size, token before) of the pieces of at most ``length`` tokens
+    that the texts are cut into."""
+    n = -(-size // length)
+    doc = np.repeat(np.arange(len(size)), n)
+    k = np.arange(len(doc)) - np.repeat(np.cumsum(n) - n, n)
+    start = (np.cumsum(size) - size)[doc] + k * length
+    return start, np.minimum(length, size[doc] - k * length), np.where(k > 0, ids[start - 1], end).astype(ids.dtype)
+
+
 def score_texts(p: dict, ids: np.ndarray, size: np.ndarray, end: int) -> np.ndarray:
-    """Natural-log likelihood of each text under the network."""
-    texts = Texts(ids, size, end)
+    """Natural-log likelihood of each text under the network. The state goes
+    through all of a text; windows only group the output layer's work, so
+    they are longer where fewer texts run."""
+    texts = whole_texts(ids, size, end)
     ew = p["E"] @ p["Wx"] + p["b"]
     h = np.zeros((len(size), HIDDEN), dtype=np.float32)
     out = np.zeros(len(size))
-    for targets, inputs in texts.windows(WINDOW):
+    for targets, inputs in texts.windows(lambda n: max(WINDOW, OUTPUT_TOKENS // n)):
         states = []
         for x in inputs:
             h = _step(ew[x], h[:len(x)], p["U"], p["bu"])[4]
@@ -196,14 +223,13 @@ class Trainer:
         self.steps = 0
 
     def texts(self, ids: np.ndarray, size: np.ndarray, end: int) -> None:
-        order = np.argsort(-size, kind="stable")
-        starts = np.cumsum(size) - size
+        """All tokens of the texts once, in batches of spans side by side."""
+        start, length, before = spans(ids, size, end, SPAN)
+        order = np.argsort(-length, kind="stable")
         for lo in range(0, len(order), TRAIN_DOCS):
             mine = order[lo:lo + TRAIN_DOCS]
-            flat = ids[np.repeat(starts[mine] - (np.cumsum(size[mine]) - size[mine]), size[mine]) + np.arange(size[mine].sum())]
-            texts = Texts(flat, size[mine], end)
             h = np.zeros((len(mine), HIDDEN), dtype=np.float32)
-            for targets, inputs in texts.windows(WINDOW):
+            for targets, inputs in Texts(ids, start[mine], length[mine], before[mine]).windows(lambda n: WINDOW):
                 h = self.window(targets, inputs, h)
 
     def window(self, targets: list, inputs: list, h: np.ndarray) -> np.ndarray:
@@ -236,10 +262,11 @@ class Trainer:
             g["bu"] += rec.sum(axis=0)
             dh = d * z + rec @ p["U"].T
         gate, x = np.concatenate(dgates), np.concatenate(inputs)
-        order = np.argsort(x, kind="stable")
-        seen, first = np.unique(x[order], return_index=True)
+        order = np.argsort(x.astype(np.uint16), kind="stable")
+        count = np.bincount(x, minlength=len(ew))
+        seen = np.flatnonzero(count)
         dew = np.zeros_like(ew)
-        dew[seen] = np.add.reduceat(gate[order], first, axis=0)
+        dew[seen] = np.add.reduceat(gate[order], (np.cumsum(count) - count)[seen], axis=0)
         g["E"], g["Wx"], g["b"] = dew @ p["Wx"].T, p["E"].T @ dew, dew.sum(axis=0)
         self._update(g)
         return h
@@ -264,7 +291,7 @@ def _count(batches):
     for batch in batches:
         for text in batch.column("text").to_pylist():
             counts.update(tokenize(text))
-        if len(counts) > 500_000:
+        if len(counts) > COUNTED:
             yield _counted(counts)
             counts = Counter()
     if counts:
@@ -324,8 +351,7 @@ def _numbered(texts: list, ranks: dict) -> tuple[list, np.ndarray, np.ndarray]:
         words += w
         size.append(len(w))
     size = np.array(size, dtype=np.int64)
-    get = ranks.get
-    rank = np.fromiter((get(w, -1) for w in words), dtype=np.int64, count=len(words))
+    rank = np.fromiter(map(ranks.get, words, repeat(-1)), dtype=np.int32, count=len(words))
     rank[np.cumsum(size) - 1] = -2
     return words, rank, size
 
@@ -333,7 +359,7 @@ def _numbered(texts: list, ranks: dict) -> tuple[list, np.ndarray, np.ndarray]:
 def _tokens(rank: np.ndarray, v: Vocabulary) -> np.ndarray:
     """Network tokens of word ranks."""
     own = (rank >= 0) & (rank < MODEL_WORDS)
-    return np.where(own, v.number[np.where(own, rank, 0)], np.where(rank == -2, v.end, v.other))
+    return np.where(own, v.number[np.where(own, rank, 0)], np.where(rank == -2, v.end, v.other)).astype(np.int32)
 
 
 def _gathered(batches):
@@ -382,6 +408,8 @@ def _score(shared):
             if not len(size):
                 continue
             a, b = (table.column(c).to_numpy() for c in "ab")
+            cold = np.flatnonzero(rank == -1)
+            words = [words[i] for i in cold.tolist()]
             network = score_texts(p, _tokens(rank, v), size, v.end) / math.log(10)
             who = np.repeat(np.arange(len(size)), size)
             total = lambda x: np.bincount(who, x, minlength=len(size))
@@ -391,12 +419,11 @@ def _score(shared):
                 [pa.array(a), pa.array(b), pa.nulls(n, pa.binary()), pa.array(size),
                  pa.array(total(known[rank]).astype(np.int64)), pa.array(total(logs[rank])), pa.array(network),
                  pa.array(total(np.where(other, logs[rank], 0.0))), pa.array(total(other).astype(np.int64))], schema=schema)
-            cold = np.flatnonzero(rank == -1)
-            for lo in range(0, len(cold), 500_000):
-                c = cold[lo:lo + 500_000]
+            for lo in range(0, len(cold), 100_000):
+                c = cold[lo:lo + 100_000]
                 none = lambda t: pa.nulls(len(c), t)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(a[who[c]]), pa.array(b[who[c]]), pa.array([words[i] for i in c.tolist()], pa.binary()),
+                    [pa.array(a[who[c]]), pa.array(b[who[c]]), pa.array(words[lo:lo + 100_000], pa.binary()),
                      *(none(f.type) for f in list(schema)[3:])], schema=schema)
     return run
 

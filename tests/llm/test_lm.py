@@ -73,7 +73,7 @@ def test_gradients_match_differences():
     trainer = lm.Trainer(p)
     size = np.array([7, 5, 5, 2])
     ids = rng.integers(0, lm.MODEL_WORDS + 2, size=size.sum())
-    targets, inputs = next(lm.Texts(ids, size, 3).windows(32))
+    targets, inputs = next(lm.whole_texts(ids, size, 3).windows(lambda n: 32))
     seen = {}
     trainer._update = lambda g: seen.update(g)
     trainer.window(targets, inputs, np.zeros((4, lm.HIDDEN)))
@@ -125,3 +125,12 @@ def test_training_learns_an_order():
 def test_workers_do_not_mix_vocabularies():
     a, b = (lm.Vocabulary(w, [2] * len(w), 1, 9, 4) for w in ([b"a", b"b"], [b"b", b"c", b"a"]))
     assert [lm._ranks(v)[b"b"] for v in (a, b, a)] == [1, 0, 1]
+
+
+def test_spans_cover_each_token_once():
+    size = np.array([1, 512, 513, 1100])
+    ids = np.arange(size.sum())
+    start, length, before = lm.spans(ids, size, 9, 512)
+    assert sorted(i for a, n in zip(start, length) for i in range(a, a + n)) == ids.tolist()
+    firsts = {0, 1, 513, 1026}
+    assert all(b == (9 if a in firsts else a - 1) for a, b in zip(start, before)) and length.max() == 512
