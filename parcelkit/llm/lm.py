@@ -32,6 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window
 
 from parcelkit.llm.common import prepare, row_key
 from parcelkit.session import materialize
@@ -43,7 +44,7 @@ WINDOW = 32
 ROUNDS = 3
 SPAN = 512             # a longer text is trained on in spans of that many tokens
 TRAIN_DOCS = 512       # spans that are trained on side by side
-GROUP_TOKENS = 1_500_000
+GROUP_TOKENS = 1_000_000
 OUTPUT_TOKENS = 16_384  # tokens of a scoring window, or more
 RATE = 0.01
 CLIP = 1.0
@@ -428,6 +429,18 @@ def _score(shared):
     return run
 
 
+def most_frequent(counts: DataFrame, most: int) -> DataFrame:
+    """The words (word, c) of the highest counts, all of a count or none, so
+    that they are at most ``most``. A sort with a limit would send so many
+    words from every task to the driver; here one number goes there, found
+    from the words per count (n words of distinct counts have n * n / 2
+    tokens at least, so that table stays small)."""
+    per = counts.groupBy("c").agg(F.count("*").alias("n"))
+    upto = F.sum("n").over(Window.orderBy(F.desc("c")).rowsBetween(Window.unboundedPreceding, 0))
+    least = per.select("c", upto.alias("upto")).where(F.col("upto") <= most).agg(F.min("c")).first()[0]
+    return counts.where(F.col("c") >= (least if least is not None else 1 << 62))
+
+
 def train(texts: DataFrame, rounds: int = ROUNDS) -> tuple[Vocabulary, np.ndarray, DataFrame]:
     """Vocabulary, network weights and the table (word, c) of all training
     words, learned from column text of every row."""
@@ -437,8 +450,8 @@ def train(texts: DataFrame, rounds: int = ROUNDS) -> tuple[Vocabulary, np.ndarra
                          "lm-counts")
     sums = counts.agg(F.sum("c").alias("n"), F.count("*").alias("v"),
                       F.sum(F.when(F.col("word") == F.lit(END), F.col("c")).otherwise(0)).alias("e")).first()
-    top = counts.where(F.col("word") != F.lit(END)).orderBy(F.desc("c"), "word").limit(KNOWN).collect()
-    v = Vocabulary([bytes(r["word"]) for r in top], [r["c"] for r in top], sums["e"] or 0, sums["n"] or 0, sums["v"])
+    top = sorted(((-r["c"], bytes(r["word"])) for r in most_frequent(counts.where(F.col("word") != F.lit(END)), KNOWN).collect()))
+    v = Vocabulary([w for _, w in top], [-c for c, _ in top], sums["e"] or 0, sums["n"] or 0, sums["v"])
     flat = pack(initial(v.token_counts)).astype(np.float64)
     # The hash decides a text's round, so that copies of rows train together
     # and every text trains once.

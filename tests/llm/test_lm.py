@@ -134,3 +134,9 @@ def test_spans_cover_each_token_once():
     assert sorted(i for a, n in zip(start, length) for i in range(a, a + n)) == ids.tolist()
     firsts = {0, 1, 513, 1026}
     assert all(b == (9 if a in firsts else a - 1) for a, b in zip(start, before)) and length.max() == 512
+
+
+def test_most_frequent_words(spark):
+    counts = spark.createDataFrame([(bytearray(w.encode()), c) for w, c in zip("abcdefg", (9, 7, 7, 5, 5, 5, 1))], "word binary, c long")
+    words = lambda n: sorted(bytes(r["word"]).decode() for r in lm.most_frequent(counts, n).collect())
+    assert [words(n) for n in (0, 1, 2, 3, 5, 6, 99)] == [[], ["a"], ["a"], list("abc"), list("abc"), list("abcdef"), list("abcdefg")]
