@@ -145,9 +145,10 @@ def categorical_profile(df: DataFrame, cols: list[str]) -> DataFrame:
         F.struct(F.lit(c).alias("variable"), F.coalesce(F.col(c).cast("string"), F.lit("<NA>")).alias("category"))
         for c in cols])).alias("r")).select("r.variable", "r.category")
     g = long.groupBy("variable", "category").agg(F.count(F.lit(1)).alias("count"))
-    # every variable has one value per row: the denominator is the row count
-    return g.crossJoin(F.broadcast(df.agg(F.count(F.lit(1)).alias("_n")))).withColumn(
-        "percent", F.col("count") / F.col("_n")).drop("_n")
+    # one row per variable (a column name), joined back; no window gathers
+    # the distinct values of a variable
+    tot = g.groupBy("variable").agg(F.sum("count").alias("_n"))
+    return g.join(F.broadcast(tot), "variable").withColumn("percent", F.col("count") / F.col("_n")).drop("_n")
 
 
 # ------------------------------------------------------------------ A18
