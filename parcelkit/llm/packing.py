@@ -31,7 +31,7 @@ SHARD_TOKENS = 1_000_000
 # BM25 parameters, and the rarest terms of a seed that make up its query.
 K1, B, QUERY_TERMS = 1.2, 0.75, 24
 # Distinct words whose ids a worker keeps; others are tokenised as they come.
-KNOWN_WORDS = 800_000
+KNOWN_WORDS = 500_000
 # Texts that are tokenised at once.
 TEXTS = 500
 
