@@ -28,8 +28,8 @@ WINDOW = 4096
 END = 2
 TOKENIZER = "word_bpe_49k.json"
 SHARD_TOKENS = 1_000_000
-# BM25 parameters, and the rarest terms of a seed that make up its query.
-K1, B, QUERY_TERMS = 1.2, 0.75, 24
+# BM25 parameters, and the number of a seed's terms that make up its query: no bound.
+K1, B, QUERY_TERMS = 1.2, 0.75, None
 # Distinct words whose ids a worker keeps; others are tokenised as they come.
 KNOWN_WORDS = 500_000
 # Texts that are tokenised at once.
@@ -131,19 +131,16 @@ class Index:
         self.n = n
 
     def neighbours(self, seed: int, unused: np.ndarray) -> np.ndarray:
-        """Unused documents that share a query term with ``seed``, best first."""
+        """Unused documents that share a term with ``seed``, best first."""
         terms = self.doc_terms[self.doc_start[seed]:self.doc_start[seed + 1]].astype(np.int64)
         terms = terms[self.df[terms] > 1]
-        if len(terms) > QUERY_TERMS:
-            terms = terms[np.lexsort((terms, -self.idf[terms]))[:QUERY_TERMS]]
         spans = [slice(self.post_start[t], self.post_start[t + 1]) for t in terms]
         if not spans:
             return np.zeros(0, dtype=np.int64)
-        found, inverse = np.unique(np.concatenate([self.posts[s] for s in spans]), return_inverse=True)
-        score = np.bincount(inverse, np.concatenate([self.weight[s] for s in spans]))
-        left = unused[found]
-        found, score = found[left], score[left]
-        return found[np.lexsort((found, -score))]
+        score = np.bincount(np.concatenate([self.posts[s] for s in spans]),
+                            np.concatenate([self.weight[s] for s in spans]), minlength=self.n)
+        found = np.flatnonzero((score > 0) & unused)
+        return found[np.lexsort((found, -score[found]))]
 
 
 def order_pieces(ids: np.ndarray, size: np.ndarray, window: int = WINDOW) -> list[list[tuple]]:

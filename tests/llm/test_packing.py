@@ -96,6 +96,18 @@ def test_neighbours_are_ranked_by_bm25():
     assert np.allclose([score[j] for j in got], sorted(score.values(), reverse=True))
 
 
+def test_every_term_of_a_seed_is_searched():
+    """Documents that share only frequent terms of the seed are neighbours too."""
+    rare = np.arange(100, 140)
+    docs = [np.r_[rare, 1, 2, 3], rare, *([1, 2, 3, 200 + j] for j in range(20)), *([3, 300 + j] for j in range(20)), [400]]
+    size = np.array([len(d) for d in docs])
+    index = packing.Index(np.concatenate(docs).astype(np.uint16), size)
+    unused = np.ones(len(docs), dtype=bool)
+    unused[[0, 5]] = False
+    got = index.neighbours(0, unused).tolist()
+    assert got == [1, *(j for j in range(2, 22) if j != 5), *range(22, 42)]
+
+
 def test_topics_share_sequences(spark):
     """Documents of one topic are packed together."""
     topics = [[f"{a}{b}{c}" for b in "aeiou" for c in "bdfgklmn"] for a in ("str", "fl", "qu", "gr")]
