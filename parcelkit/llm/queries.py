@@ -7,7 +7,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelkit.llm import chat, licenses, lines, lm, mixing, packing, quality, simhash, topk, urls
+from parcelkit.llm import chat, editprints, licenses, lines, lm, mixing, packing, quality, simhash, topk, urls
 from parcelkit.llm.common import documents
 
 
@@ -74,9 +74,13 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), with_ids=False)
 
 
+def op11_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return editprints.fingerprint_documents(documents(spark, sf_dir))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_license_scan, op2_url_filter, op3_quality_rules, op4_simhash_near_dedup, op5_line_dedup, op6_lm_scoring,
-    op7_mix_sources, op8_exact_top_k, op9_chat_formatting, op10_packing)}
+    op7_mix_sources, op8_exact_top_k, op9_chat_formatting, op10_packing, op11_order_minhash)}
 
 # Escaped lengths in SQL: a backslash is doubled, and each control string has
 # one inserted.
