@@ -7,7 +7,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelkit.llm import chat, editprints, licenses, lines, lm, mixing, packing, quality, simhash, topk, urls
+from parcelkit.llm import chat, editprints, licenses, lines, lm, mixing, packing, quality, ranking, simhash, topk, urls
 from parcelkit.llm.common import documents
 
 
@@ -78,9 +78,14 @@ def op11_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return editprints.fingerprint_documents(documents(spark, sf_dir))
 
 
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranking.search(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"), k=50)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_license_scan, op2_url_filter, op3_quality_rules, op4_simhash_near_dedup, op5_line_dedup, op6_lm_scoring,
-    op7_mix_sources, op8_exact_top_k, op9_chat_formatting, op10_packing, op11_order_minhash)}
+    op7_mix_sources, op8_exact_top_k, op9_chat_formatting, op10_packing, op11_order_minhash,
+    op12_ranked_search)}
 
 # Escaped lengths in SQL: a backslash is doubled, and each control string has
 # one inserted.
@@ -113,4 +118,25 @@ ORACLE: dict[str, str] = {
                sum({len(chat.OPEN + chat.MIDDLE + chat.CLOSE)} + length({_ESCAPED.format("role")})
                    + length({_ESCAPED.format("text")}))::BIGINT AS formatted_chars
         FROM t GROUP BY conv_id""",
+    "op12_ranked_search": r"""
+        WITH d AS (
+            SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS words
+            FROM documents WHERE text IS NOT NULL),
+        c AS (SELECT count(*)::BIGINT AS n_docs, sum(len(words))::BIGINT AS n_terms FROM d WHERE len(words) > 0),
+        p AS (SELECT r, doc_id, t, count(*)::BIGINT AS tf, any_value(n)::BIGINT AS n
+              FROM (SELECT r, doc_id, len(words) AS n, unnest(words) AS t FROM d) GROUP BY r, doc_id, t),
+        w AS (SELECT t, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+              FROM p, c GROUP BY t, n_docs),
+        q AS (SELECT DISTINCT i, item_id, unnest(regexp_extract_all(
+                  translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t
+              FROM (SELECT row_number() OVER () AS i, * FROM benchmark)),
+        s AS (SELECT i, item_id, r, doc_id,
+                     sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * n_docs) // n_terms))))::BIGINT AS score
+              FROM q JOIN p USING (t) JOIN w USING (t), c GROUP BY i, item_id, r, doc_id)
+        SELECT item_id, rank, doc_id, score FROM (
+            SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank
+            FROM s WHERE score > 0) WHERE rank <= 50""",
 }
