@@ -7,7 +7,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelkit.llm import chat, editprints, licenses, lines, lm, mixing, packing, quality, ranking, simhash, topk, urls
+from parcelkit.llm import chat, editprints, licenses, lines, lm, mixing, packing, quality, ranking, simhash, topk, turns, urls
 from parcelkit.llm.common import documents
 
 
@@ -82,10 +82,14 @@ def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranking.search(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"), k=50)
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turns.digests(turns.damage(documents(spark, sf_dir, "conversations")), "lost")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_license_scan, op2_url_filter, op3_quality_rules, op4_simhash_near_dedup, op5_line_dedup, op6_lm_scoring,
     op7_mix_sources, op8_exact_top_k, op9_chat_formatting, op10_packing, op11_order_minhash,
-    op12_ranked_search)}
+    op12_ranked_search, op13_conversation_repair)}
 
 # Escaped lengths in SQL: a backslash is doubled, and each control string has
 # one inserted.
@@ -139,4 +143,80 @@ ORACLE: dict[str, str] = {
         SELECT item_id, rank, doc_id, score FROM (
             SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank
             FROM s WHERE score > 0) WHERE rank <= 50""",
+    # The checksum byte by byte with its table; the cheapest audit state by
+    # state of the grammar, row by row.
+    "op13_conversation_repair": r"""
+        WITH RECURSIVE tab AS (
+            SELECT list_transform(range(256), lambda i: list_reduce(
+                list_prepend(i, [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
+                lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+        c AS (SELECT row_number() OVER () AS k, conv_id FROM (SELECT DISTINCT conv_id FROM conversations)),
+        raw AS (
+            SELECT c.k, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, xor(4294967295, list_reduce(
+                list_prepend(4294967295::BIGINT, list_transform(
+                    string_split(coalesce(v.conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''),
+                    lambda x: ascii(x)::BIGINT)),
+                lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1]))) % 20 AS kind
+            FROM conversations v JOIN c ON v.conv_id IS NOT DISTINCT FROM c.conv_id, tab),
+        hurt AS (
+            SELECT k, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+                   CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+                   unnest(CASE WHEN kind = 3 THEN [1, 2] ELSE [1] END) AS copy
+            FROM raw WHERE kind <> 0),
+        numbered AS (
+            SELECT *, row_number() OVER (PARTITION BY k ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS no,
+                   rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS body
+            FROM hurt),
+        r AS (
+            SELECT *, CASE WHEN body = '' THEN 'b'
+                           WHEN row_number() OVER (PARTITION BY k, role, text ORDER BY no) > 1 THEN 'd'
+                           WHEN right(body, 1) NOT IN ('.', '!', '?') THEN 't' ELSE '-' END AS fault,
+                   left(role, 1) AS ini, lag(left(role, 1)) OVER (PARTITION BY k ORDER BY no) AS before
+            FROM numbered),
+        f AS (
+            SELECT k, 0::BIGINT AS no, {'c': 0::BIGINT, 'a': ''} AS s0, {'c': 1000000000::BIGINT, 'a': ''} AS s1,
+                   {'c': 1000000000::BIGINT, 'a': ''} AS s2, {'c': 1000000000::BIGINT, 'a': ''} AS s3 FROM c
+            UNION ALL
+            SELECT k, no, {'c': s0.c + 4, 'a': s0.a || 'D'},
+                   CASE WHEN use AND ini = 's' THEN list_min([{'c': s1.c + 4, 'a': s1.a || 'D'}, {'c': s0.c + late, 'a': s0.a || 'K'}])
+                        ELSE {'c': s1.c + 4, 'a': s1.a || 'D'} END,
+                   CASE WHEN use THEN list_min([{'c': i2.c + 4, 'a': i2.a || 'D'}, {'c': s0.c + u, 'a': s0.a || ul},
+                                                {'c': s1.c + u, 'a': s1.a || ul}, {'c': i3.c + u, 'a': i3.a || ul}])
+                        ELSE {'c': i2.c + 4, 'a': i2.a || 'D'} END,
+                   CASE WHEN use THEN list_min([{'c': i3.c + 4, 'a': i3.a || 'D'}, {'c': i2.c + a, 'a': i2.a || al}])
+                        ELSE {'c': i3.c + 4, 'a': i3.a || 'D'} END
+            FROM (
+                SELECT j.*, list_min([s3, {'c': i2.c + 3, 'a': i2.a || 'I'}]) AS i3 FROM (
+                    SELECT f.k, r.no, s0, s1, s3, ini, fault NOT IN ('b', 'd') AS use,
+                           CASE WHEN fault = 't' THEN 3 ELSE 0 END AS late,
+                           CASE WHEN fault = 't' THEN 3 ELSE 0 END + CASE WHEN ini = 'u' THEN 0 ELSE 3 END AS u,
+                           CASE WHEN fault = 't' THEN 3 ELSE 0 END + CASE WHEN ini = 'a' THEN 0 ELSE 3 END AS a,
+                           CASE WHEN ini = 'u' THEN 'K' ELSE 'R' END AS ul, CASE WHEN ini = 'a' THEN 'K' ELSE 'R' END AS al,
+                           list_min([s2, {'c': s0.c + 3, 'a': s0.a || 'I'}, {'c': s1.c + 3, 'a': s1.a || 'I'},
+                                     {'c': s3.c + 3, 'a': s3.a || 'I'}]) AS i2
+                    FROM f JOIN r ON r.k = f.k AND r.no = f.no + 1) j)),
+        done AS (
+            SELECT k, list_min([s0, s3, {'c': s2.c + 3, 'a': s2.a || 'I'}, {'c': s1.c + 6, 'a': s1.a || 'II'}]) AS best
+            FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY no DESC) AS back FROM f) WHERE back = 1),
+        e AS (
+            SELECT k, p, edit, sum((edit <> 'I')::INTEGER) OVER w AS no, sum((edit <> 'D')::INTEGER) OVER w AS place,
+                   sum((edit <> 'D')::INTEGER) OVER (PARTITION BY k) AS spelt
+            FROM (SELECT k, unnest(string_split(best.a, '')) AS edit, unnest(range(1, len(best.a) + 1)) AS p
+                  FROM done WHERE best.a <> '')
+            WINDOW w AS (PARTITION BY k ORDER BY p)),
+        said AS (
+            SELECT e.k, string_agg(CASE WHEN edit = 'K' THEN r.role WHEN (place - spelt % 2) % 2 = 1 THEN 'user'
+                                        ELSE 'assistant' END || ':' || CASE WHEN edit = 'I' THEN '' ELSE r.text END,
+                                   chr(10) ORDER BY p) AS said
+            FROM e LEFT JOIN r ON r.k = e.k AND r.no = e.no WHERE edit <> 'D' GROUP BY e.k),
+        n AS (
+            SELECT k, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps,
+                   count(*) FILTER (fault = 'b') AS blank, count(*) FILTER (fault = 'd') AS duplicate,
+                   count(*) FILTER (fault = 't') AS truncated,
+                   count(*) FILTER (before IS NOT NULL AND before || ini NOT IN ('su', 'ua', 'au')) AS illegal
+            FROM r GROUP BY k)
+        SELECT conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+               coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, best.c AS cost, best.a AS audit,
+               sha256(coalesce(said, '')) AS repaired_sha256
+        FROM c JOIN done USING (k) LEFT JOIN n USING (k) LEFT JOIN said USING (k)""",
 }
