@@ -141,34 +141,9 @@ def transform_xy(x, y, src: int, dst: int) -> Column:
     raise ValueError(f"unsupported projection {src} -> {dst}")
 
 
-# ------------------------------------------------------ edge-array expressions
-# Predicates over an ARRAY<STRUCT<x1,y1,x2,y2>> column, as SQL text so they
-# are usable in join conditions. Division guarded by nullif (ANSI mode).
-
-def crossings_sql(edges: str, x: str, y: str) -> str:
-    return (f"size(filter({edges}, e -> ((e.y1 > {y}) <> (e.y2 > {y})) AND "
-            f"({x} < e.x1 + ({y} - e.y1) * (e.x2 - e.x1) / nullif(e.y2 - e.y1, 0e0))))")
-
-
-def on_boundary_sql(edges: str, x: str, y: str) -> str:
-    return (f"exists({edges}, e -> (e.x2 - e.x1) * ({y} - e.y1) - (e.y2 - e.y1) * ({x} - e.x1) = 0e0 "
-            f"AND {x} BETWEEN least(e.x1, e.x2) AND greatest(e.x1, e.x2) "
-            f"AND {y} BETWEEN least(e.y1, e.y2) AND greatest(e.y1, e.y2))")
-
-
-def point_in_edges_sql(edges: str, x: str, y: str, predicate: str = "within") -> str:
-    """``within``: interior only; ``intersects``: interior or boundary;
-    ``parity``: crossing parity alone."""
-    inside = f"({crossings_sql(edges, x, y)} % 2 = 1)"
-    if predicate == "parity":
-        return inside
-    bnd = on_boundary_sql(edges, x, y)
-    if predicate == "within":
-        return f"({inside} AND NOT {bnd})"
-    if predicate == "intersects":
-        return f"({inside} OR {bnd})"
-    raise ValueError(predicate)
-
+# ------------------------------------------------------------ edge expressions
+# Predicates over edges STRUCT<x1,y1,x2,y2>, alone or in arrays, as SQL text
+# so they are usable in join conditions.
 
 def seg_point_dist2_sql(e: str, x: str, y: str) -> str:
     """Squared distance from point (x, y) to segment e (struct x1,y1,x2,y2)."""
@@ -179,19 +154,6 @@ def seg_point_dist2_sql(e: str, x: str, y: str) -> str:
     return f"(({x} - {px}) * ({x} - {px}) + ({y} - {py}) * ({y} - {py}))"
 
 
-def segment_touches_box_sql(e: str, x0: str, y0: str, x1: str, y1: str) -> str:
-    """Closed segment ``e`` meets closed box [x0,x1]x[y0,y1] (separating-axis
-    test: both bbox axes and the segment's normal)."""
-    bb = (f"greatest({e}.x1, {e}.x2) >= {x0} AND least({e}.x1, {e}.x2) <= {x1} AND "
-          f"greatest({e}.y1, {e}.y2) >= {y0} AND least({e}.y1, {e}.y2) <= {y1}")
-
-    def side(px, py):
-        return f"sign(({e}.x2 - {e}.x1) * ({py} - {e}.y1) - ({e}.y2 - {e}.y1) * ({px} - {e}.x1))"
-
-    s = [side(x0, y0), side(x1, y0), side(x1, y1), side(x0, y1)]
-    return f"(({bb}) AND NOT (least({', '.join(s)}) > 0 OR greatest({', '.join(s)}) < 0))"
-
-
 def ensure_crs(df, x: str, y: str, epsg: int):
     """G1: the SRID travels as metadata on the ``x`` column. Absent -> set to
     ``epsg`` (no change of values); different -> reproject ``x, y`` in place."""
@@ -207,22 +169,55 @@ def srid_of(df, x: str = "x"):
     return None if v is None else int(v)
 
 
-def point_in_slots_sql(slots: list[str], x: str, y: str, predicate: str = "within") -> str:
-    """The same tests as ``point_in_edges_sql`` over a fixed number of nullable
-    edge columns (unrolled, so whole-stage codegen compiles it)."""
-    cr, ob = [], []
-    for e in slots:
-        cr.append(f"(CASE WHEN {e} IS NOT NULL AND (({e}.y1 > {y}) <> ({e}.y2 > {y})) AND "
-                  f"({x} < {e}.x1 + ({y} - {e}.y1) * ({e}.x2 - {e}.x1) / nullif({e}.y2 - {e}.y1, 0e0)) THEN 1 ELSE 0 END)")
-        ob.append(f"coalesce({e} IS NOT NULL AND ({e}.x2 - {e}.x1) * ({y} - {e}.y1) - ({e}.y2 - {e}.y1) * ({x} - {e}.x1) = 0e0 "
-                  f"AND {x} BETWEEN least({e}.x1, {e}.x2) AND greatest({e}.x1, {e}.x2) "
-                  f"AND {y} BETWEEN least({e}.y1, {e}.y2) AND greatest({e}.y1, {e}.y2), false)")
-    inside = f"(({' + '.join(cr)}) % 2 = 1)"
-    if predicate == "parity":
-        return inside
-    bnd = "(" + " OR ".join(ob) + ")"
+# Point tests inside one grid cell. The path from the cell's lower left corner
+# goes up the cell's left side x = X0 to the point's height and then right to
+# the point; both legs stay in the cell, so only edges inside it are crossed.
+# Edges are given upward (y1 <= y2) with a lean:
+#   NaN  right of X0,
+#   -1   crosses X0 and leans right (x1 < x2),
+#   1    crosses X0 and leans left.
+# The sign makes "crosses X0 below the bend" one comparison, false for NaN.
+# Both legs' crossings are decided by one orientation, that of the path's
+# bend, so an edge near the bend is never counted by one leg and missed by the
+# other. Coordinates count as moved by an infinitesimal amount to the right
+# and, by a larger one, up: that settles edges through the bend and vertices
+# on the lines. A missing edge is all NaN: it is neither crossed nor touched.
+
+def edge_lean(x1, x2, x0):
+    """Lean of an upward edge (columns); null if it lies left of x0."""
+    return (F.when((x1 > x0) & (x2 > x0), F.lit(float("nan"))).when((x1 <= x0) & (x2 <= x0), None)
+            .when(x1 < x2, F.lit(-1.0)).otherwise(F.lit(1.0)))
+
+
+def _side_sql(p: str, x: str, y: str) -> str:
+    return f"(({p}x2 - {p}x1) * ({y} - {p}y1) - ({p}y2 - {p}y1) * ({x} - {p}x1))"
+
+
+def below_sql(p: str, x0: str, y: str) -> str:
+    """The edge with field prefix ``p`` crosses x = ``x0`` below ``y``."""
+    return f"({p}k * {_side_sql(p, x0, y)} <= 0e0)"
+
+
+def path_crossed_sql(p: str, x0: str, x: str, y: str) -> str:
+    """The path to (``x``, ``y``) crosses the edge an odd number of times."""
+    below = below_sql(p, x0, y)
+    right = f"({p}y1 <= {y} AND {y} < {p}y2 AND {_side_sql(p, x, y)} < 0e0)"
+    return f"({below} <> ({right} AND {below} = ({p}k < 0e0)))"
+
+
+def on_edge_sql(p: str, x: str, y: str) -> str:
+    return (f"({_side_sql(p, x, y)} = 0e0 AND {y} BETWEEN {p}y1 AND {p}y2 "
+            f"AND {x} BETWEEN least({p}x1, {p}x2) AND greatest({p}x1, {p}x2))")
+
+
+def point_in_cell_sql(edges: str, parity: str, x0: str, x: str, y: str, predicate: str = "within") -> str:
+    """Point test against the edges of one cell (an array); ``parity``: that
+    of the cell's corner, less the edges that cross x0 below it. ``within``:
+    interior only; ``intersects``: interior or boundary."""
+    n = f"size(filter({edges}, e -> {path_crossed_sql('e.', x0, x, y)}))"
+    inside, on = f"(({parity} + {n}) % 2 = 1)", f"exists({edges}, e -> {on_edge_sql('e.', x, y)})"
     if predicate == "within":
-        return f"({inside} AND NOT {bnd})"
+        return f"({inside} AND NOT {on})"
     if predicate == "intersects":
-        return f"({inside} OR {bnd})"
+        return f"({inside} OR {on})"
     raise ValueError(predicate)

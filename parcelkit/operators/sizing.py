@@ -63,19 +63,13 @@ def col_or_lit(c) -> Column:
 
 
 TARGET_CELLS = 1 << 18      # polygon-cell rows aimed for by the PIP grid
-MAX_CELLS_PER_SIDE = 32     # at most this many cells along a median polygon
+MAX_CELLS_PER_SIDE = 32     # at most this many boundary cells along a polygon
+MIN_CELLS_PER_SIDE = 4
 
 
-def pip_cell_size(measures: DataFrame, target_cells: int = TARGET_CELLS,
-                  max_per_side: int = MAX_CELLS_PER_SIDE) -> float:
-    """Grid for point-in-polygon joins: fine enough that most points fall in
-    cells lying wholly inside or outside a polygon (no exact test needed),
-    coarse enough that the polygon-cell table stays near ``target_cells``
-    rows (so its broadcast stays bounded) and a median polygon spans at most
-    ``max_per_side`` cells a side. One aggregate over the polygon layer."""
-    side = F.greatest(F.col("xmax") - F.col("xmin"), F.col("ymax") - F.col("ymin"))
-    r = measures.agg(F.sum((F.col("xmax") - F.col("xmin")) * (F.col("ymax") - F.col("ymin"))).alias("a"),
-                     F.percentile_approx(side, 0.5).alias("m")).first()
-    a, m = r["a"] or 0.0, r["m"] or 0.0
-    c = max((a / target_cells) ** 0.5 if a > 0 else 0.0, m / max_per_side if m > 0 else 0.0)
-    return c if c > 0 else 1.0
+def cells_per_side(n_polygons: int) -> float:
+    """Boundary cells along a polygon's longer side in point-in-polygon
+    joins: many, so that most points fall into cells wholly inside or outside
+    a polygon (no exact test needed), as far as the polygon-cell table stays
+    near ``TARGET_CELLS`` rows."""
+    return max(MIN_CELLS_PER_SIDE, min(MAX_CELLS_PER_SIDE, (TARGET_CELLS / max(1, n_polygons)) ** 0.5))

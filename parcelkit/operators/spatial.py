@@ -4,11 +4,12 @@ Catalyst only sees equi-joins on integer cell keys ``(cx, cy)`` plus a
 residual exact test, so the point side is never replicated or compared
 against the whole polygon layer:
 
-* J1/J2 point in polygon: each point has exactly one cell; each polygon
-  contributes one row per cell of its bbox, carrying only the edges that a
-  rightward ray from inside that cell can meet (edges overlapping the
-  cell's y-band that reach its left side). The crossing-parity and boundary
-  tests run over that short array as the join's residual condition.
+* J1/J2 point in polygon: nested cells, divided where polygons are small, so
+  each point lies in exactly one undivided cell. Each polygon contributes one
+  row per such cell that it fills or that its boundary touches; a boundary
+  row carries the edges inside the cell and the parity of the cell's corner.
+  The crossing-parity and boundary tests run over those few edges, along a
+  path inside the cell, as the join's residual condition.
 * J3 overlay: candidate polygon pairs from a cell equi-join of the two bbox
   cell sets (a pair is kept only in the cell holding the lower-left corner
   of the two bboxes' overlap - no ``distinct``), then edge pairs from an
@@ -18,89 +19,268 @@ against the whole polygon layer:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+import math
+from dataclasses import dataclass
 
-from ..functions.geom import (crossings_sql, point_in_edges_sql, point_in_slots_sql, seg_point_dist2_sql,
-                              segment_touches_box_sql)
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
 
-EDGE_SLOTS = 4   # boundary cells with at most this many edges keep them in plain columns
+from ..functions.geom import below_sql, edge_lean, point_in_cell_sql, seg_point_dist2_sql
+from ..session import materialize
 from .polygons import EDGE_COLS, polygon_measures
-from .sizing import DEFAULT_BROADCAST_LIMIT, EDGE_BYTES, ROW_OVERHEAD, default_cell_size, pip_cell_size
+from .sizing import DEFAULT_BROADCAST_LIMIT, EDGE_BYTES, ROW_OVERHEAD, broadcast_if_bounded, cells_per_side, default_cell_size
 
+CELL_EDGES = 4   # edges aimed for in a boundary cell of a polygon with very many
 
-# ----------------------------------------------------------------- J1 / J2
 
-def polygon_cells(edges: DataFrame, measures: DataFrame, cell: float) -> DataFrame:
-    """``_gid, _cx, _cy, _edges, _full`` per polygon and grid cell.
+# ----------------------------------------------------------------- J1 / J2
 
-    ``_edges``: the edges a ray cast to +x from any point of the cell can
-    cross or touch (edges overlapping the cell's y-band that reach its left
-    side). A cell that no edge touches (box grown by a relative margin, so
-    near-misses stay on the exact path) lies wholly inside or outside: inside
-    cells get ``_full = true`` and an empty array (no per-point test), outside
-    cells are dropped. Only boundary cells keep their edges.
-    """
-    c = F.lit(float(cell))
-    e = edges.join(measures.select("gid", "xmin"), "gid")
-    e = (e.withColumn("_cy", F.explode(F.sequence(F.floor(F.least("y1", "y2") / c),
-                                                  F.floor(F.greatest("y1", "y2") / c))))
-          .withColumn("_cx", F.explode(F.sequence(F.floor(F.col("xmin") / c),
-                                                  F.floor(F.greatest("x1", "x2") / c)))))
-    g = (e.groupBy(F.col("gid").alias("_gid"), "_cx", "_cy")
-          .agg(F.collect_list(F.struct(*EDGE_COLS)).alias("_edges")))
-    m = float(cell) * 1e-6
-    bx0, by0 = f"(_cx * {float(cell)!r} - {m!r})", f"(_cy * {float(cell)!r} - {m!r})"
-    bx1, by1 = f"((_cx + 1) * {float(cell)!r} + {m!r})", f"((_cy + 1) * {float(cell)!r} + {m!r})"
-    touch = F.expr(f"exists(_edges, e -> {segment_touches_box_sql('e', bx0, by0, bx1, by1)})")
-    mx, my = f"((_cx + 0.5D) * {float(cell)!r})", f"((_cy + 0.5D) * {float(cell)!r})"
-    centre_in = F.expr(f"{crossings_sql('_edges', mx, my)} % 2 = 1")
-    g = g.withColumn("_touch", touch).withColumn("_cin", centre_in)
-    # Boundary cells with few edges carry them in fixed slot columns (tested
-    # by codegen'd expressions); only longer lists stay arrays (lambda test).
-    few = F.col("_touch") & (F.size("_edges") <= EDGE_SLOTS)
-    empty = F.array().cast("array<struct<x1:double,y1:double,x2:double,y2:double>>")
-    slots = [F.when(few, F.try_element_at("_edges", F.lit(i + 1))).alias(f"_s{i}") for i in range(EDGE_SLOTS)]
-    return (g.filter(F.col("_touch") | F.col("_cin"))
-             .select("_gid", "_cx", "_cy",
-                     F.when(F.col("_touch") & ~few, F.col("_edges")).otherwise(empty).alias("_edges"),
-                     *slots, (~F.col("_touch")).alias("_full")))
+FAN = 4          # a cell divides into FAN x FAN cells of the next level
+MAX_LEVEL = 16
+MARGIN = 1e-6    # of a cell: edges this near count as touching it
+
+
+@dataclass(frozen=True)
+class Grid:
+    """Nested cells: level s has cells of size ``size / FAN**s``. The origin
+    lies off the data by an irrational share of a cell, so that cell sides do
+    not fall on coordinates that data share (integers, say)."""
+    ox: float
+    oy: float
+    size: float
+    levels: int     # finest level in use
+    nx: float       # extent in cells of level 0
+    ny: float
+
+    def units(self, x, y, level=0):
+        """Column expressions of x, y in cells of a level (a number or column)."""
+        k = F.pow(F.lit(float(FAN)), level) if isinstance(level, Column) else F.lit(float(FAN ** level))
+        return (x - F.lit(self.ox)) / F.lit(self.size) * k, (y - F.lit(self.oy)) / F.lit(self.size) * k
+
+
+def _level_table(edges: DataFrame, measures: DataFrame, cell: float | None) -> tuple[DataFrame, Grid]:
+    """``gid, _t`` (the level of each polygon's boundary cells) and the grid.
+
+    A polygon's boundary cells follow its own size and its number of edges,
+    not the layer's: about ``fine`` of them lie along its longer side (half
+    to twice as many, as levels go by factors of FAN). Level 0 is
+    where the largest boundary cells need one division, and no finer than a
+    sixteenth of the largest polygon, so every polygon covers a bounded number
+    of its cells. Two one-row aggregates over the polygon layer."""
+    side = F.greatest(F.col("xmax") - F.col("xmin"), F.col("ymax") - F.col("ymin"))
+    m = measures.join(edges.groupBy("gid").agg(F.count(F.lit(1)).alias("_n")), "gid").withColumn("_side", side)
+    r = m.agg(F.count(F.lit(1)).alias("n"), F.max("_side").alias("s"), F.min("xmin").alias("x0"), F.min("ymin").alias("y0"),
+              F.max("xmax").alias("x1"), F.max("ymax").alias("y1")).first()
+    if not r["n"] or not r["s"] or r["s"] <= 0:
+        return m.select("gid", F.lit(1).alias("_t")), Grid(0.0, 0.0, 1.0, 1, 0.0, 0.0)
+    if cell:
+        want, top, least = F.lit(float(cell)), float(cell), float(cell)
+    else:
+        fine = F.greatest(F.lit(float(cells_per_side(r["n"]))), F.col("_n") / F.lit(float(4 * CELL_EDGES)))
+        want = F.when(F.col("_side") > 0, F.col("_side") / fine)
+        w = m.agg(F.max(want).alias("hi"), F.min(want).alias("lo")).first()
+        top, least = w["hi"], w["lo"]
+    size = max(FAN * top, 0.0 if cell else r["s"] / 16)
+    levels = min(MAX_LEVEL, max(1, round(math.log(size / least, FAN))))
+    t = F.round(F.log(F.lit(float(size)) / want) / F.lit(math.log(FAN)))
+    lv = m.select("gid", F.least(F.lit(levels), F.greatest(F.lit(1), F.coalesce(t, F.lit(1)))).cast("int").alias("_t"))
+    ox, oy = r["x0"] - size * (3 - 5 ** 0.5) / 2, r["y0"] - size * (2 ** 0.5 - 1)
+    return lv, Grid(ox, oy, size, levels, (r["x1"] - ox) / size + 1, (r["y1"] - oy) / size + 1)
+
+
+def _span(lo, hi):
+    return F.explode(F.sequence(F.floor(lo).cast("long"), F.floor(hi).cast("long")))
+
+
+def _up(col, by):
+    """A cell number some levels up (``by`` levels: a column)."""
+    return F.floor(F.col(col) / F.pow(F.lit(float(FAN)), by)).cast("long")
+
+
+def _children(df: DataFrame, level) -> DataFrame:
+    kids = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in range(FAN) for j in range(FAN)])
+    return (df.withColumn("_k", F.explode(kids)).withColumn("_lv", (level + 1).cast("int"))
+            .withColumn("_cx", F.col("_cx") * FAN + F.col("_k.i")).withColumn("_cy", F.col("_cy") * FAN + F.col("_k.j"))
+            .drop("_k"))
+
+
+_CELL = ["_gid", "_lv", "_cx", "_cy"]
+
+
+def boundary_cells(edges: DataFrame, levels: DataFrame, grid: Grid) -> DataFrame:
+    """``_gid, _lv, _cx, _cy, _edges``: the cells of a polygon's own level
+    that its edges touch, each with just those edges. An edge goes through
+    its columns, and in each through the rows it meets there: its cells grow
+    with its length."""
+    e = edges.join(levels, "gid")
+    (a1, b1), (a2, b2) = (grid.units(F.col(f"x{i}"), F.col(f"y{i}"), F.col("_t")) for i in (1, 2))
+    e = e.withColumn("_a1", a1).withColumn("_b1", b1).withColumn("_a2", a2).withColumn("_b2", b2)
+    m = F.lit(MARGIN)
+    lo, hi = F.least("_a1", "_a2"), F.greatest("_a1", "_a2")
+    e = e.withColumn("_cx", _span(lo - m, hi + m))
+    slope = (F.col("_b2") - F.col("_b1")) / F.nullif(F.col("_a2") - F.col("_a1"), F.lit(0.0))
+
+    def at(x):
+        y = F.col("_b1") + (x - F.col("_a1")) * slope
+        return F.least(F.greatest(y, F.least("_b1", "_b2")), F.greatest("_b1", "_b2"))
+
+    p, q = at(F.greatest(lo, F.col("_cx") - m)), at(F.least(hi, F.col("_cx") + 1 + m))
+    upright = F.col("_a1") == F.col("_a2")
+    e = (e.withColumn("_p", F.when(upright, F.col("_b1")).otherwise(p)).withColumn("_q", F.when(upright, F.col("_b2")).otherwise(q))
+          .withColumn("_cy", _span(F.least("_p", "_q") - m, F.greatest("_p", "_q") + m)))
+    return e.groupBy(F.col("gid").alias("_gid"), F.col("_t").alias("_lv"), "_cx", "_cy").agg(
+        F.collect_list(F.struct(*EDGE_COLS)).alias("_edges"))
+
+
+def _corner_parity(cells: DataFrame, edges: DataFrame, levels: DataFrame, grid: Grid) -> DataFrame:
+    """``cells`` with ``_par``: whether their lower left corner lies inside
+    their polygon. Along a row's lower line the polygon's crossings are
+    counted from the left: one window per polygon, level and row."""
+    e = edges.join(levels, "gid").withColumn("_lv", F.explode(F.sequence(F.lit(0), F.col("_t"))))
+    (a1, b1), (a2, b2) = (grid.units(F.col(f"x{i}"), F.col(f"y{i}"), F.col("_lv")) for i in (1, 2))
+    e = e.withColumn("_a1", a1).withColumn("_b1", b1).withColumn("_a2", a2).withColumn("_b2", b2)
+    first, last = F.ceil(F.least("_b1", "_b2")), F.ceil(F.greatest("_b1", "_b2")) - 1
+    e = e.where(first <= last).withColumn("_cy", F.explode(F.sequence(first.cast("long"), last.cast("long"))))
+    x = F.col("_a1") + (F.col("_cy") - F.col("_b1")) * (F.col("_a2") - F.col("_a1")) / (F.col("_b2") - F.col("_b1"))
+    crossings = e.select(F.col("gid").alias("_gid"), "_lv", F.floor(x).cast("long").alias("_cx"), "_cy", F.lit(1).alias("_ev"))
+    both = cells.withColumn("_ev", F.lit(0)).unionByName(crossings, allowMissingColumns=True)
+    w = Window.partitionBy("_gid", "_lv", "_cy").orderBy("_cx").rangeBetween(Window.unboundedPreceding, -1)
+    return (both.withColumn("_par", (F.coalesce(F.sum("_ev").over(w), F.lit(0)) % 2).cast("int"))
+            .where(F.col("_ev") == 0).drop("_ev"))
+
+
+def polygon_cells(edges: DataFrame, measures: DataFrame, cell: float | None = None) -> tuple[DataFrame, DataFrame, Grid]:
+    """(cells, divided, grid) of a polygon layer.
+
+    ``cells``: one row per undivided cell, ``_lv, _cx, _cy``, with the ids of
+    the polygons that it lies wholly inside of (``_in``, no test of its
+    points) and those whose boundary touches it (``_rim``): each with its
+    edges inside the cell, its corner's x and the corner's parity.
+    ``divided``: the cells that hold boundary cells of a finer level. Cells
+    without a boundary stay as large as they are, so a polygon's entries grow
+    with its boundary."""
+    levels, grid = _level_table(edges, measures, cell)
+    rim = materialize(boundary_cells(edges, levels, grid), "pip-rim")
+    own = (rim.withColumn("_s", F.explode(F.sequence(F.lit(0), F.col("_lv") - 1)))
+           .select("_gid", F.col("_s").alias("_lv"), _up("_cx", F.col("_lv") - F.col("_s")).alias("_cx"),
+                   _up("_cy", F.col("_lv") - F.col("_s")).alias("_cy")).distinct())
+    own = materialize(own, "pip-own")
+    box = measures.select(F.col("gid").alias("_gid"), F.lit(0).alias("_lv"), *[F.col(c) for c in ("xmin", "ymin", "xmax", "ymax")])
+    (u0, v0), (u1, v1) = grid.units(F.col("xmin"), F.col("ymin")), grid.units(F.col("xmax"), F.col("ymax"))
+    base = box.withColumn("_cx", _span(u0, u1)).withColumn("_cy", _span(v0, v1)).select(*_CELL)
+    whole = base.unionByName(_children(own, F.col("_lv")).select(*_CELL))
+    whole = whole.join(own.unionByName(rim.select(*_CELL)), _CELL, "left_anti")
+    step = F.lit(grid.size) / F.pow(F.lit(float(FAN)), F.col("_lv"))
+    rim = rim.withColumn("_x0", F.lit(grid.ox) + F.col("_cx") * step).withColumn("_y0", F.lit(grid.oy) + F.col("_cy") * step)
+    rim = rim.withColumn("_edges", F.filter(F.transform("_edges", _upward), lambda e: e["k"].isNotNull()))
+    none = F.array().cast(rim.schema["_edges"].dataType)
+    rows = _corner_parity(rim.withColumn("_full", F.lit(False)).unionByName(
+        whole.withColumn("_edges", none).withColumn("_full", F.lit(True)), allowMissingColumns=True), edges, levels, grid)
+    under = F.size(F.expr(f"filter(_edges, e -> {below_sql('e.', '_x0', '_y0')})"))
+    rows = (rows.where(~F.col("_full") | (F.col("_par") == 1))
+            .withColumn("_par", F.when(F.col("_full"), 1).otherwise((F.col("_par") + under) % 2).cast("int")).drop("_y0"))
+    divided = materialize(own.select("_lv", "_cx", "_cy").distinct(), "pip-divided")
+    # Cells that another polygon divides: their rows go to the cells below.
+    own_cell = F.array(F.struct("_lv", "_cx", "_cy"))
+    below = F.array(*[F.struct((F.col("_lv") + 1).alias("_lv"), (F.col("_cx") * FAN + i).alias("_cx"),
+                               (F.col("_cy") * FAN + j).alias("_cy")) for i in range(FAN) for j in range(FAN)])
+    for s in range(grid.levels):
+        cut = divided.where(F.col("_lv") == s).withColumn("_cut", F.lit(True))
+        rows = rows.join(cut, ["_lv", "_cx", "_cy"], "left")
+        rows = (rows.withColumn("_c", F.explode(F.when(F.col("_cut"), below).otherwise(own_cell)))
+                .select("_gid", *[F.col("_c")[k].alias(k) for k in ("_lv", "_cx", "_cy")], "_edges", "_full", "_par", "_x0"))
+    entry = F.struct(F.col("_gid").alias("gid"), F.col("_par").alias("par"), F.col("_x0").alias("x0"), F.col("_edges").alias("edges"))
+    cells = rows.groupBy("_lv", "_cx", "_cy").agg(
+        F.collect_list(F.when(F.col("_full"), F.col("_gid"))).alias("_in"),
+        F.collect_list(F.when(~F.col("_full"), entry)).alias("_rim"))
+    return cells, divided, grid
+
+
+def _upward(e: Column) -> Column:
+    """An edge as the cell tests take it: upward, with its lean."""
+    turn = (e["y1"] > e["y2"]) | ((e["y1"] == e["y2"]) & (e["x1"] > e["x2"]))
+
+    def pick(a, b):
+        return F.when(turn, e[b]).otherwise(e[a])
+
+    x1, x2 = pick("x1", "x2"), pick("x2", "x1")
+    return F.struct(x1.alias("x1"), pick("y1", "y2").alias("y1"), x2.alias("x2"), pick("y2", "y1").alias("y2"),
+                    edge_lean(x1, x2, F.col("_x0")).alias("k"))
 
 
 class PipIndex:
-    """A polygon layer's cell table for point-in-polygon joins, built once
-    and persisted; its size is measured once so every join against it can
-    decide on broadcasting without another pass."""
+    """A polygon layer's cell table for point-in-polygon joins, built and
+    written once (shared checkpoint folder); its size is measured once so
+    every join against it can decide on broadcasting without another pass."""
 
     def __init__(self, edges: DataFrame, measures: DataFrame | None = None, cell: float | None = None):
         if measures is None:
             measures = polygon_measures(edges)
-        self.cell = float(cell) if cell else pip_cell_size(measures)
-        self.cells = polygon_cells(edges, measures, self.cell).persist()
-        r = self.cells.agg(F.count(F.lit(1)).alias("n"),
-                           F.coalesce(F.sum(F.size("_edges")), F.lit(0)).alias("e")).first()
-        self.n_rows = int(r["n"])
-        # key columns + flag + edge slots per row, 40 bytes per array edge entry
-        self.size_bytes = (self.n_rows * (ROW_OVERHEAD + 3 * 8 + EDGE_SLOTS * EDGE_BYTES)
-                           + int(r["e"]) * EDGE_BYTES)
-
-    def with_attrs(self, attrs: DataFrame | None, broadcast_limit: int) -> DataFrame:
-        cells = self.cells
-        size = self.size_bytes
-        if attrs is not None:
-            a = attrs.withColumnRenamed("gid", "_gid")
-            cells = cells.join(a, "_gid")
-            # attributes repeat on every cell row of their polygon: bound the
-            # row width by the longest value of each string column (measured)
-            strs = [f.name for f in a.schema.fields if f.dataType.typeName() == "string"]
-            per_row = 8 * (len(a.schema.fields) - len(strs))
-            if strs:
-                r = a.agg(*[F.coalesce(F.max(F.octet_length(c)), F.lit(0)).alias(c) for c in strs]).first()
-                per_row += sum(int(r[c]) + 16 for c in strs)
-            size += per_row * self.n_rows
-        if 0 < size <= broadcast_limit:
-            return F.broadcast(cells)
-        return cells
+        cells, self.divided, self.grid = polygon_cells(edges, measures, cell)
+        self.cells = materialize(cells, "pip-cells")
+        edges_in = F.expr("aggregate(_rim, 0, (n, r) -> n + size(r.edges))")
+        r = self.cells.agg(F.count(F.lit(1)).alias("n"), *[F.coalesce(F.sum(c), F.lit(0)).alias(a) for c, a in (
+            (F.size("_in"), "i"), (F.size("_rim"), "r"), (edges_in, "e"))]).first()
+        self.n_cells, self.n_entries, self.n_edges = int(r["n"]), int(r["i"] + r["r"]), int(r["e"])
+        self.n_divided = self.divided.count()
+        self.size_bytes = (self.n_cells * (ROW_OVERHEAD + 5 * 8) + int(r["i"]) * 8 + int(r["r"]) * 56
+                           + self.n_edges * (EDGE_BYTES + 8))
+
+    def locate(self, points: DataFrame, x: str, y: str, broadcast_limit: int, spread: bool) -> DataFrame:
+        """``points`` with the key of the undivided cell they lie in
+        (``_plv, _pcx, _pcy``): level by level, a lookup whether the cell is
+        divided. A point outside the layer or without a coordinate has no
+        cell; with ``spread`` such points get keys of their own kind, so that
+        a shuffle does not bring them all into one task."""
+        g = self.grid
+        u, v = g.units(F.col(x), F.col(y))
+        inside = (~F.isnan(x) & ~F.isnan(y) & (u >= 0) & (v >= 0) & (u < F.lit(g.nx)) & (v < F.lit(g.ny)))
+        p = points.withColumn("_u", F.when(inside, u)).withColumn("_v", F.when(inside, v))
+        p = p.withColumn("_qx", F.col(x).cast("double")).withColumn("_qy", F.col(y).cast("double"))
+        small = self.n_divided * ROW_OVERHEAD <= broadcast_limit
+        level = F.lit(g.levels)
+        for s in range(g.levels):
+            k = float(FAN ** s)
+            cut = self.divided.where(F.col("_lv") == s).select(F.col("_cx").alias("_dx"), F.col("_cy").alias("_dy"),
+                                                              F.lit(True).alias(f"_d{s}"))
+            at = (F.floor(F.col("_u") * k) == F.col("_dx")) & (F.floor(F.col("_v") * k) == F.col("_dy"))
+            p = p.join(F.broadcast(cut) if small else cut, at, "left").drop("_dx", "_dy")
+        for s in reversed(range(g.levels)):
+            level = F.when(F.col(f"_d{s}").isNull(), s).otherwise(level)
+        p = p.withColumn("_plv", level.cast("int")).drop(*[f"_d{s}" for s in range(g.levels)])
+        k = F.pow(F.lit(float(FAN)), F.col("_plv"))
+        p = p.withColumn("_pcx", F.floor(F.col("_u") * k)).withColumn("_pcy", F.floor(F.col("_v") * k))
+        if spread:
+            p = (p.withColumn("_plv", F.when(F.col("_pcx").isNull(), -1).otherwise(F.col("_plv")))
+                  .withColumn("_pcy", F.coalesce(F.col("_pcy"), F.lit(0)))
+                  .withColumn("_pcx", F.coalesce(F.col("_pcx"), F.xxhash64(*points.columns))))
+        return p.drop("_u", "_v")
+
+
+def pip_hits(points: DataFrame, index: PipIndex, hits: str, *, x: str = "x", y: str = "y", predicate: str = "within",
+             broadcast_limit: int = DEFAULT_BROADCAST_LIMIT) -> DataFrame:
+    """``points`` with column ``hits``: the ids of the polygons each lies in
+    (null or empty: none). A point meets one cell row (its join key is unique
+    there), whose entries are tested in the row. The point side is not
+    shuffled when the cells are broadcast; one row per point goes out."""
+    sent = 0 < index.size_bytes <= broadcast_limit
+    p = index.locate(points, x, y, broadcast_limit, spread=not sent)
+    key = [F.col("_plv") == F.col("_lv"), F.col("_pcx") == F.col("_cx"), F.col("_pcy") == F.col("_cy")]
+    j = p.join(F.broadcast(index.cells) if sent else index.cells, key, "left")
+    test = point_in_cell_sql("r.edges", "r.par", "r.x0", "_qx", "_qy", predicate)
+    found = F.when(F.size("_rim") > 0, F.expr(f"concat(_in, transform(filter(_rim, r -> {test}), r -> r.gid))")).otherwise(F.col("_in"))
+    return j.select(*[F.col(f"`{c}`") for c in points.columns], found.alias(hits))
+
+
+def unfold_hits(points: DataFrame, hits: str, gid_col: str, attrs: DataFrame | None = None, how: str = "left",
+                broadcast_limit: int = DEFAULT_BROADCAST_LIMIT) -> DataFrame:
+    """One row per point and id of its ``hits`` (kept), with the polygons'
+    ``attrs``; ``how='left'``: one row of nulls for a point without any."""
+    j = points.select("*", (F.explode_outer if how == "left" else F.explode)(hits).alias(gid_col))
+    if attrs is None:
+        return j
+    a = attrs.withColumnRenamed("gid", "_gid")
+    return j.join(broadcast_if_bounded(a, broadcast_limit), F.col(gid_col) == F.col("_gid"), "left").drop("_gid")
 
 
 def pip_join(points: DataFrame, edges, attrs: DataFrame | None = None, *,
@@ -112,22 +292,13 @@ def pip_join(points: DataFrame, edges, attrs: DataFrame | None = None, *,
     ``edges`` is an edge DataFrame or a prebuilt ``PipIndex``.
     ``how='left'``: every point kept; a point in no polygon gets one row of
     nulls, a point in k polygons k rows. ``attrs`` (keyed by ``gid``) are
-    attached to the cell rows before the join, so the point side is joined
-    once and never shuffled when the cell side is broadcast. Returns the
-    point columns + ``gid_col`` + attribute columns.
+    looked up last. Returns the point columns + ``gid_col`` + attribute
+    columns. Several layers over the same points: ``pip_hits`` for each
+    first, then ``unfold_hits``, so that no point is located twice.
     """
     index = edges if isinstance(edges, PipIndex) else PipIndex(edges, measures, cell)
-    cells = index.with_attrs(attrs, broadcast_limit)
-    c = F.lit(index.cell)
-    p = points.withColumn("_pcx", F.floor(F.col(x) / c)).withColumn("_pcy", F.floor(F.col(y) / c))
-    xs, ys = f"`{x}`", f"`{y}`"
-    slot_test = F.expr(point_in_slots_sql([f"_s{i}" for i in range(EDGE_SLOTS)], xs, ys, predicate))
-    arr_test = F.expr(point_in_edges_sql("_edges", xs, ys, predicate))
-    exact = F.when(F.size("_edges") == 0, slot_test).otherwise(arr_test)
-    cond = (F.col("_pcx") == F.col("_cx")) & (F.col("_pcy") == F.col("_cy")) & (F.col("_full") | exact)
-    j = p.join(cells, cond, how)
-    return j.drop("_pcx", "_pcy", "_cx", "_cy", "_edges", "_full",
-                  *[f"_s{i}" for i in range(EDGE_SLOTS)]).withColumnRenamed("_gid", gid_col)
+    p = pip_hits(points, index, "_hits", x=x, y=y, predicate=predicate, broadcast_limit=broadcast_limit)
+    return unfold_hits(p, "_hits", gid_col, attrs, how, broadcast_limit).drop("_hits")
 
 
 # ---------------------------------------------------------------------- J3

@@ -194,3 +194,94 @@ def test_nearest_keeps_points_without_a_coordinate(spark):
     pts = spark.createDataFrame([(1, 5000.5, 0.5), (2, None, 1.0), (3, 0.5, 0.5)], "pid long, x double, y double")
     got = {r["pid"]: r["dist"] for r in spatial.nearest_polygon(pts, e).collect()}
     assert got == {1: 4999.5, 2: None, 3: 0.0}
+
+
+SHAPES = "gid long, part int, role string, ord int, x double, y double"
+
+
+def _square(gid, x, y, side):
+    return [(gid, 0, "shell", k, x + dx * side, y + dy * side) for k, (dx, dy) in enumerate(((0, 0), (1, 0), (1, 1), (0, 1)))]
+
+
+def _mixed_layer(spark, n):
+    """n squares: a few large ones, and towns of ever smaller ones."""
+    rows, gid = [], 0
+    for k in range(16):
+        rows += _square(gid, 4096.0 * (k % 4), 4096.0 * (k // 4), 4096.0)
+        gid += 1
+    town = int((n - 16) ** 0.5 / 2)
+    for tx, ty, side in ((100.0, 100.0, 8.0), (9000.0, 300.0, 2.0), (500.0, 9000.0, 0.5), (12000.0, 12000.0, 0.25)):
+        for i in range(town):
+            for j in range(town):
+                rows += _square(gid, tx + i * side, ty + j * side, side)
+                gid += 1
+    return P.edges_from_vertices(spark.createDataFrame(rows, SHAPES)), gid
+
+
+def test_candidates_per_point_stay_flat(spark):
+    """Mixed sizes side by side: the entries that a point in a town is tested
+    against do not grow with the layer, nor do a polygon's entries."""
+    seen = {}
+    for n in (400, 6400):
+        edges, size = _mixed_layer(spark, n)
+        index = spatial.PipIndex(edges)
+        town = int((n - 16) ** 0.5 / 2)
+        pts = [(i, tx + side * town * ((i * 7919) % 997) / 997, ty + side * town * ((i * 104729) % 991) / 991)
+               for tx, ty, side in ((100.0, 100.0, 8.0), (9000.0, 300.0, 2.0), (500.0, 9000.0, 0.5), (12000.0, 12000.0, 0.25))
+               for i in range(250)]
+        p = index.locate(spark.createDataFrame(pts, "pid long, x double, y double"), "x", "y", 1 << 26, False)
+        r = p.join(index.cells, F.expr("_plv = _lv AND _pcx = _cx AND _pcy = _cy")).agg(
+            F.count("*").alias("n"), F.avg(F.size("_in") + F.size("_rim")).alias("c"),
+            F.max(F.expr("aggregate(_rim, 0, (s, r) -> s + size(r.edges))")).alias("e")).first()
+        seen[n] = (r["c"], index.n_entries / size)
+        assert r["n"] == 1000 and r["e"] <= 40
+    assert seen[6400][0] < 1.5 * seen[400][0] and seen[6400][0] < 6
+    assert seen[6400][1] < 1.5 * seen[400][1]
+
+
+def test_index_grows_with_the_boundary(spark):
+    """A star of 10,000 vertices beside small squares: each of its cells keeps
+    only the edges inside, and its entries grow with its boundary."""
+    counts = {}
+    for n in (2500, 10_000):
+        star = [(1, 0, "shell", k, (900 + 90 * (k % 2)) * math.cos(2 * math.pi * k / n),
+                 (900 + 90 * (k % 2)) * math.sin(2 * math.pi * k / n)) for k in range(n)]
+        e = P.edges_from_vertices(spark.createDataFrame(star + _square(2, 2000.0, 0.0, 1.0), SHAPES))
+        index = spatial.PipIndex(e)
+        counts[n] = index.n_entries
+        length = n * 90 / (990 * 2) * (n / 16)  # boundary in cells of its own level, about
+        assert index.n_edges < 3 * (length + n)
+        pts = [(i, -1000 + 2000 * ((i * 7919) % 9973) / 9973, -1000 + 2000 * ((i * 104729) % 9967) / 9967) for i in range(1500)]
+        got = {r["pid"] for r in spatial.pip_join(spark.createDataFrame(pts, "pid long, x double, y double"), index,
+                                                  None, how="inner").filter("gid = 1").collect()}
+        ring = [(x, y) for *_, x, y in star]
+        sure = {i: _brute_inside([ring], x, y) for i, x, y in pts}
+        assert got == {i for i, s in sure.items() if s}
+
+
+def test_points_on_shared_lines_and_vertices(spark):
+    """Integer shapes and points: on edges, on vertices, level with vertices,
+    outside the layer, without a coordinate."""
+    e = P.edges_from_vertices(spark.createDataFrame(
+        _square(1, 0.0, 0.0, 8.0) + [(2, 0, "shell", k, float(x), float(y)) for k, (x, y) in
+                                     enumerate([(8, 0), (16, 0), (12, 4), (16, 8), (8, 8)])]
+        + [(1, 0, "hole", k, float(x), float(y)) for k, (x, y) in enumerate([(4, 2), (6, 4), (4, 6), (2, 4)])], SHAPES))
+    pts = [(i * 100 + j, float(i), float(j)) for i in range(-2, 19) for j in range(-2, 11)]
+    pts += [(-1, None, 3.0), (-2, float("nan"), 3.0), (-3, 1e300, -1e300), (-4, float("inf"), 0.0)]
+    df = spark.createDataFrame(pts, "pid long, x double, y double")
+
+    def inside(gid, x, y):
+        if gid == 1:
+            return 0 < x < 8 and 0 < y < 8 and abs(x - 4) + abs(y - 4) > 2
+        return 0 < y < 8 and 8 < x and x < 12 + abs(y - 4)
+
+    def touches(gid, x, y):
+        if gid == 1:
+            return 0 <= x <= 8 and 0 <= y <= 8 and abs(x - 4) + abs(y - 4) >= 2
+        return 0 <= y <= 8 and 8 <= x and x <= 12 + abs(y - 4)
+
+    for cell in (None, 0.7, 3.0):
+        for predicate, rule in (("within", inside), ("intersects", touches)):
+            got = {(r["pid"], r["gid"]) for r in spatial.pip_join(df, e, None, how="inner", predicate=predicate, cell=cell).collect()}
+            assert got == {(i, g) for i, x, y in pts[:-4] for g in (1, 2) if rule(g, x, y)}
+    assert spatial.pip_join(df, e).count() >= len(pts)
