@@ -10,9 +10,10 @@ against the whole polygon layer:
   row carries the edges inside the cell and the parity of the cell's corner.
   The crossing-parity and boundary tests run over those few edges, along a
   path inside the cell, as the join's residual condition.
-* J3 overlay: candidate polygon pairs from a cell equi-join of the two bbox
-  cell sets (a pair is kept only in the cell holding the lower-left corner
-  of the two bboxes' overlap - no ``distinct``), then edge pairs from an
+* J3 overlay: candidate polygon pairs from cell equi-joins of the two box
+  layers on the grid that fits the larger box (a pair is kept only in the
+  cell holding the lower-left corner of the two boxes' overlap - no
+  ``distinct``), then edge pairs from an
   equi-join on (pair, x-slab) with the same home-slab rule, and the exact
   intersection area as a sum of signed trapezoid integrals.
 """
@@ -303,25 +304,50 @@ def pip_join(points: DataFrame, edges, attrs: DataFrame | None = None, *,
 
 # ---------------------------------------------------------------------- J3
 
-def _bbox_cells(measures: DataFrame, cell: float, prefix: str) -> DataFrame:
-    c = F.lit(float(cell))
-    m = measures.select(*[F.col(k).alias(prefix + k) for k in ("gid", "xmin", "ymin", "xmax", "ymax")])
-    return (m.withColumn(prefix + "gx", F.explode(F.sequence(F.floor(F.col(prefix + "xmin") / c),
-                                                             F.floor(F.col(prefix + "xmax") / c))))
-             .withColumn(prefix + "gy", F.explode(F.sequence(F.floor(F.col(prefix + "ymin") / c),
-                                                             F.floor(F.col(prefix + "ymax") / c)))))
+def _boxes(measures: DataFrame, prefix: str, least: float | None) -> DataFrame:
+    """Boxes with the level of the grid that fits them: cells of 2**level are
+    no smaller than the box (or than ``least``), so it touches four at most."""
+    side = F.greatest(F.col("xmax") - F.col("xmin"), F.col("ymax") - F.col("ymin"),
+                      F.lit(least or 0.0), F.lit(2.0 ** -200))
+    return measures.select(*[F.col(k).alias(prefix + k) for k in ("gid", "xmin", "ymin", "xmax", "ymax")],
+                           F.ceil(F.log2(side)).cast("int").alias(prefix + "own"))
 
 
-def candidate_pairs(meas_a: DataFrame, meas_b: DataFrame, cell: float) -> DataFrame:
+def _box_cells(boxes: DataFrame, prefix: str, level: Column) -> DataFrame:
+    """One row per box and cell of ``level`` that it touches."""
+    size = F.pow(F.lit(2.0), F.col("_l"))
+    b = boxes.withColumn("_l", level)
+    for axis in "xy":
+        b = b.withColumn("_g" + axis, _span(F.col(f"{prefix}{axis}min") / size, F.col(f"{prefix}{axis}max") / size))
+    return b
+
+
+def candidate_pairs(meas_a: DataFrame, meas_b: DataFrame, cell: float | None = None) -> DataFrame:
     """Polygon pairs whose bboxes overlap (closed boxes): ``a_gid, b_gid``
-    plus both bboxes; each pair appears once."""
-    c = F.lit(float(cell))
-    a, b = _bbox_cells(meas_a, cell, "a_"), _bbox_cells(meas_b, cell, "b_")
-    j = a.join(b, (F.col("a_gx") == F.col("b_gx")) & (F.col("a_gy") == F.col("b_gy")))
+    plus both bboxes; each pair appears once.
+
+    A pair meets on the grid that fits the larger box. So each box stands in
+    the cells of its own level, and in those of the other layer's larger
+    levels: four a level at most, however unlike the sizes. Two equi-joins:
+    larger a with b up to its size, larger b with smaller a. In each only the
+    cell holding the lower-left corner of the boxes' overlap counts."""
+    a, b = _boxes(meas_a, "a_", cell), _boxes(meas_b, "b_", cell)
+    levels = {p: [r[0] for r in d.select(p + "own").distinct().collect()] for p, d in (("a_", a), ("b_", b))}
+
+    def raised(boxes, prefix, others, strictly):
+        own = F.col(prefix + "own")
+        up = F.array(*[F.lit(int(v)) for v in sorted(others)]).cast("array<int>")
+        keep = F.filter(up, lambda v: v > own if strictly else v >= own)
+        return _box_cells(boxes.withColumn("_up", F.explode(keep)), prefix, F.col("_up")).drop("_up")
+
     lx, ly = F.greatest("a_xmin", "b_xmin"), F.greatest("a_ymin", "b_ymin")
-    keep = ((F.col("a_gx") == F.floor(lx / c)) & (F.col("a_gy") == F.floor(ly / c))
+    size = F.pow(F.lit(2.0), F.col("_l"))
+    home = ((F.col("_gx") == F.floor(lx / size)) & (F.col("_gy") == F.floor(ly / size))
             & (lx <= F.least("a_xmax", "b_xmax")) & (ly <= F.least("a_ymax", "b_ymax")))
-    return j.filter(keep).drop("a_gx", "a_gy", "b_gx", "b_gy")
+    key = ["_l", "_gx", "_gy"]
+    large_a = _box_cells(a, "a_", F.col("a_own")).join(raised(b, "b_", levels["a_"], False), key)
+    large_b = raised(a, "a_", levels["b_"], True).join(_box_cells(b, "b_", F.col("b_own")), key)
+    return large_a.unionByName(large_b).filter(home).drop(*key, "a_own", "b_own")
 
 
 def _trapezoid_pair_area(dx0, dx1) -> F.Column:
@@ -361,8 +387,6 @@ def edge_pairs(edges_a: DataFrame, meas_a: DataFrame, edges_b: DataFrame, meas_b
     ``a_gid, b_gid, ox, oy, ea_*, eb_*, x0, x1``, each once. An equi-join on
     (polygon pair, x-slab); slabs are as narrow as edges, so edges meet only
     those above or below them and the pairs grow with the vertices."""
-    if cell is None:
-        cell = default_cell_size(meas_a.unionByName(meas_b))
     pairs = candidate_pairs(meas_a, meas_b, cell)
     # pair-local origin: lower-left corner of the bbox overlap
     pairs = pairs.select("a_gid", "b_gid", F.greatest("a_xmin", "b_xmin").alias("ox"),

@@ -285,3 +285,19 @@ def test_points_on_shared_lines_and_vertices(spark):
             got = {(r["pid"], r["gid"]) for r in spatial.pip_join(df, e, None, how="inner", predicate=predicate, cell=cell).collect()}
             assert got == {(i, g) for i, x, y in pts[:-4] for g in (1, 2) if rule(g, x, y)}
     assert spatial.pip_join(df, e).count() >= len(pts)
+
+
+def test_candidate_pairs_of_unlike_boxes(spark):
+    """One huge box over many small ones: cells per box stay bounded, and the
+    pairs are those whose boxes touch, once each."""
+    schema = "gid long, xmin double, ymin double, xmax double, ymax double"
+    boxes = [(i, x, y, x + s, y + s) for i in range(300)
+             for x, y, s in [((i * 37) % 101 - 50.5, (i * 53) % 97 - 40.25, 0.25 * (1 + i % 7))]]
+    boxes += [(900, -5e5, -5e5, 5e5, 5e5), (901, 3.0, 3.0, 3.0, 3.0), (902, -60.0, -60.0, 20.0, 0.5)]
+    m = spark.createDataFrame(boxes, schema)
+    got = [(r["a_gid"], r["b_gid"]) for r in spatial.candidate_pairs(m, m).collect()]
+    want = {(a[0], b[0]) for a in boxes for b in boxes
+            if a[1] <= b[3] and b[1] <= a[3] and a[2] <= b[4] and b[2] <= a[4]}
+    assert len(got) == len(set(got)) and set(got) == want
+    cells = spatial._box_cells(spatial._boxes(m, "a_", None), "a_", F.col("a_own")).groupBy("a_gid").count()
+    assert cells.agg(F.max("count")).first()[0] <= 4
