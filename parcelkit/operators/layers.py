@@ -12,6 +12,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .quantiles import column_quantiles
+
 # Fixed colour stops and no-data colours of the reference maps.
 ORANGES = ["#fee8c8", "#fdbb84", "#e34a33"]
 BLUES5 = ["#eff3ff", "#bdd7e7", "#6baed6", "#3182bd", "#08519c"]
@@ -24,20 +26,18 @@ BYTE_SCALE = 255.9999   # float channel -> byte, truncated
 def colour_domain(df: DataFrame, value_col: str, rule: str = "plain") -> tuple[float, float]:
     """V1: (vmin, vmax) = 5th / 95th percentile (linear); if equal, min / max.
     ``rule='age'`` also falls back on non-finite bounds and widens an empty
-    range to (v, v + 1). One small aggregate; returns driver-side floats."""
-    v = df.select(F.col(value_col).cast("double").alias("v")).filter(F.col("v").isNotNull() & ~F.isnan("v"))
-    # one row per polygon: a single aggregate holds them
-    mm = v.agg(F.percentile("v", F.array(F.lit(0.05), F.lit(0.95))).alias("q"), F.min("v").alias("mn"),
-               F.max("v").alias("mx")).first()
-    lo, hi = mm["q"] or (float("nan"), float("nan"))
+    range to (v, v + 1). Two numbers reach the driver; no task holds the
+    column."""
+    v = df.select(F.nanvl(F.col(value_col).cast("double"), F.lit(None)).alias("v"))
+    _, _, mn, mx, (lo, hi) = column_quantiles(v, {"v": F.col("v")}, [0.05, 0.95]).get(
+        "v", (0, None, None, None, (float("nan"), float("nan"))))
     if rule == "age":
         if not (math.isfinite(lo) and math.isfinite(hi)) or lo == hi:
-            lo = mm["mn"] if mm["mn"] else 0.0
-            hi = mm["mx"] if mm["mx"] else 1.0
+            lo, hi = mn or 0.0, mx or 1.0
             if lo == hi:
                 hi = lo + 1
     elif lo == hi:
-        lo, hi = mm["mn"], mm["mx"]
+        lo, hi = mn, mx
     return float(lo), float(hi)
 
 
@@ -84,9 +84,8 @@ def quantile_bins(df: DataFrame, value_col: str, k: int = 5) -> list[float]:
 
 
 def quantiles(df: DataFrame, value_col: str, probs: list[float]) -> list[float]:
-    """Quantiles (linear) of a table with one row per polygon, in one job."""
-    v = df.select(F.col(value_col).cast("double").alias("v")).filter(F.col("v").isNotNull())
-    return list(v.agg(F.percentile("v", F.array(*[F.lit(p) for p in probs])).alias("q")).first()["q"])
+    """Exact quantiles (linear) of a column; no task holds the column."""
+    return list(column_quantiles(df, {"v": F.col(value_col)}, probs)["v"][4])
 
 
 def quantile_class(value: Column, bins: list[float]) -> Column:

@@ -583,6 +583,97 @@ def q_three_tier_fill(spark, sf):
     return areal.three_tier_fill(_awm(spark, sf, True), _within(spark, sf), _nearest(spark, sf), "name", ["avg_income"])
 
 
+@register("three_tier_gaps", with_views(NBH + TR, WITHIN_CTES.replace("ov", "ow") + NEAREST_CTES + f""",
+{O.overlay_ctes('fx_nbh_edge', 'fx_tract_edge', 'ov')},
+aj AS (SELECT o.a_gid, coalesce(CAST(t.Households AS DOUBLE), 0) AS w, t.avg_income AS v FROM ov o LEFT JOIN fx_tract t ON t.gid = o.b_gid),
+ag AS (SELECT a_gid, sum(w) AS sw, sum(v * w) AS sv FROM aj GROUP BY a_gid),
+aw AS (SELECT n.name, round(CASE WHEN sw > 0 THEN coalesce(sv, 0) / sw ELSE 0e0 END, 6) AS avg_income
+       FROM ag JOIN fx_nbh n ON n.gid = ag.a_gid WHERE n.gid % 3 = 0),
+w2 AS (SELECT * FROM wi WHERE name IN (SELECT name FROM fx_nbh WHERE gid % 3 <= 1)),
+n3 AS (SELECT * FROM nn WHERE name IN (SELECT name FROM fx_nbh WHERE gid % 3 >= 1))
+SELECT name, CASE WHEN name IN (SELECT name FROM aw) THEN 1 WHEN name IN (SELECT name FROM w2) THEN 2 ELSE 3 END AS tier,
+       coalesce(a.avg_income, w.avg_income, n.avg_income, 0e0) AS avg_income
+FROM (SELECT name FROM aw UNION SELECT name FROM w2 UNION SELECT name FROM n3) k
+LEFT JOIN aw a USING (name) LEFT JOIN w2 w USING (name) LEFT JOIN n3 n USING (name)"""))
+def q_three_tier_gaps(spark, sf):
+    """J7 where the overlay knows a third of the neighborhoods and the other
+    tiers supply the rest."""
+    from ..operators import areal
+    ids = inputs.neighborhoods(spark, sf).attrs.select("name", (F.col("gid") % 3).alias("g"))
+
+    def part(tier, keep):
+        return tier.join(F.broadcast(ids.filter(keep).select("name")), "name", "left_semi")
+
+    t1, t2, t3 = part(_awm(spark, sf, True), "g = 0"), part(_within(spark, sf), "g <= 1"), part(_nearest(spark, sf), "g >= 1")
+    tier = F.when(F.col("one"), 1).when(F.col("two"), 2).otherwise(3)
+    have = [t.select("name", F.lit(True).alias(n)) for t, n in ((t1, "one"), (t2, "two"))]
+    out = areal.three_tier_fill(t1, t2, t3, "name", ["avg_income"])
+    return out.join(have[0], "name", "left").join(have[1], "name", "left").select("name", tier.alias("tier"), "avg_income")
+
+
+@register("tiered_filter_loose", with_views(TR, """
+SELECT gid, GEOID, NAME FROM fx_tract WHERE CAST(GEOID AS VARCHAR) LIKE '51041%' OR lower(NAME) LIKE '%0002%'"""))
+def q_tiered_filter_loose(spark, sf):
+    """F1, second tier: no id has the exact prefix; the loose one or the name decides."""
+    from ..operators import areal
+    attrs = inputs.tracts(spark, sf).attrs.select("gid", "GEOID", "NAME")
+    return areal.tiered_filter(attrs, S.column(attrs, "tract_id"), S.column(attrs, "name"), exact_prefix="99999",
+                               loose_prefix="51041", name_phrase="0002")
+
+
+@register("tiered_filter_all", with_views(TR, "SELECT gid, GEOID, NAME FROM fx_tract"))
+def q_tiered_filter_all(spark, sf):
+    """F1, third tier: neither id nor name decides, so every row stays."""
+    from ..operators import areal
+    attrs = inputs.tracts(spark, sf).attrs.select("gid", "GEOID", "NAME")
+    return areal.tiered_filter(attrs, S.column(attrs, "tract_id"), S.column(attrs, "name"), exact_prefix="99999",
+                               loose_prefix="88888", name_phrase="no such tract")
+
+
+@register("neighborhood_points", with_views([H] + NBH, """
+SELECT n.name AS Name, count(h.pid) AS total_count, sum(CASE WHEN h.custmaterial = 'Lead' THEN 1 ELSE 0 END) AS lead_count
+FROM fx_nbh n LEFT JOIN fx_house h ON h.neighborhood_name = n.name GROUP BY n.name"""))
+def q_neighborhood_points(spark, sf):
+    """Roles in use: points by their neighborhood column (P10), joined to the
+    layer's name column (P1), kept columns only (P11), the summary columns
+    then found again by role (P9)."""
+    h, nb = inputs.houses(spark, sf), inputs.neighborhoods(spark, sf).attrs
+    by = S.column(h, "neighborhood")
+    per = h.groupBy(F.col(by).alias("Name")).agg(
+        F.count("pid").alias("total_count"), F.sum(F.when(F.col("custmaterial") == "Lead", 1).otherwise(0)).alias("n_lead"))
+    named = nb.select(F.col(S.column(nb, "name_any_case")).alias("Name"), "gid").join(per, "Name", "left")
+    kept = S.keep_present(named, ["Name", "total_count", "n_lead", "n_known"])
+    return kept.select(S.column(kept, "name"), F.coalesce(S.column(kept, "total_count"), F.lit(0)).alias("total_count"),
+                       F.coalesce(S.column(kept, "lead_count"), F.lit(0)).alias("lead_count"))
+
+
+@register("lonlat_back", with_views([H], f"""
+SELECT pid, round(lon, 7) AS lon, round(lat, 7) AS lat, 5070 AS srid, 4326 AS back
+FROM (SELECT pid, {O.dbl(CENTRE_LON)} + x * 1e-5 AS lon, {O.dbl(CENTRE_LAT)} + y * 1e-5 AS lat FROM fx_house) t"""))
+def q_lonlat_back(spark, sf):
+    """A layer without a CRS is given one, reprojected to 5070 and
+    back; the coordinates are the first ones."""
+    p = G.ensure_crs(_lonlat(inputs.houses(spark, sf)), "lon", "lat", 4326)
+    there = G.ensure_crs(p, "lon", "lat", 5070)
+    back = G.ensure_crs(there, "lon", "lat", 4326)
+    return back.select("pid", F.round("lon", 7).alias("lon"), F.round("lat", 7).alias("lat"),
+                       F.lit(G.srid_of(there, "lon")).alias("srid"), F.lit(G.srid_of(back, "lon")).alias("back"))
+
+
+@register("dataset_ids", with_views([H], """
+SELECT pid, nullif(regexp_extract(CASE WHEN pid % 3 = 0 THEN 'https://host/none/' || pid
+    ELSE 'https://host/datasets/' || md5(CAST(pid AS VARCHAR)) || '_' || (pid % 7) || '/explore' END,
+    '([0-9a-f]{32}_[0-9]+)', 1), '') AS dataset_id FROM fx_house"""))
+def q_dataset_ids(spark, sf):
+    """The dataset id inside a URL; null where there is none."""
+    h = inputs.houses(spark, sf).select("pid")
+    text = F.col("pid").cast("string")
+    url = F.when(F.col("pid") % 3 == 0, F.concat(F.lit("https://host/none/"), text)).otherwise(
+        F.concat(F.lit("https://host/datasets/"), F.md5(text.cast("binary")), F.lit("_"),
+                 (F.col("pid") % 7).cast("string"), F.lit("/explore")))
+    return h.select("pid", X.dataset_id(url).alias("dataset_id"))
+
+
 # ============================== hard shapes: holes, parts, concave, clockwise
 
 def _plots(spark, sf):
