@@ -120,54 +120,77 @@ def exact_quantiles(values: DataFrame, key: str, probs: list[float]) -> DataFram
     return spark.createDataFrame(rows, schema)
 
 
-def column_quantiles(df: DataFrame, cols: dict, probs: list[float], bins: int = BINS, leaf: int = LEAF) -> dict:
+ACCURACY = 10_000     # of the mergeable sketch: a rank is off by n / ACCURACY at most
+GRID = 1000           # sketch quantiles per scan
+READ = 100_000        # values of a bracket that are read as they are
+
+
+def column_quantiles(df: DataFrame, cols: dict, probs: list[float], grid: int = GRID, read: int = READ) -> dict:
     """{name: (count, mean, min, max, [quantiles])} of several numeric columns
     (name -> Column) at once; columns without a value are left out.
 
-    The same refinement as above without unpivoting or storing the table: one
-    scan gives the moments, and each further scan bins every column inside
-    the ranges still open, one range per column at first and a bin's width
-    after that. Ranks that fall into one range share its histogram."""
+    The first scan gives the moments and a mergeable sketch of every column;
+    two of its quantiles bracket each rank. Further scans count exactly what
+    lies below and inside each bracket and either read its values, if they
+    are few, or sketch it again, so brackets shrink by about ``grid`` a scan:
+    two scans up to some 10^8 rows, three up to 10^11. Every scan is one
+    aggregate without grouping, unpivoting or sorting of the table; a rank
+    that the counts place outside its bracket is sought beside it."""
     names = list(cols)
     d = df.select(*[cols[c].cast("double").alias(f"c{i}") for i, c in enumerate(names)])
+    points = [k / grid for k in range(grid + 1)]
+
+    def sketch(v):
+        return F.percentile_approx(v, F.array(*[F.lit(p) for p in points]), F.lit(ACCURACY))
+
     r = d.agg(*[f(f"c{i}").alias(f"{k}{i}") for i in range(len(names))
-                for k, f in (("n", F.count), ("a", F.avg), ("lo", F.min), ("hi", F.max))]).first()
-    ranks = {i: sorted({k for q in probs for k in (math.floor((r[f"n{i}"] - 1) * q), math.ceil((r[f"n{i}"] - 1) * q))})
-             for i in range(len(names)) if r[f"n{i}"]}
+                for k, f in (("n", F.count), ("a", F.avg), ("lo", F.min), ("hi", F.max), ("s", sketch))]).first()
+    slack = 2 / ACCURACY
+
+    def bracket(knots, share):
+        """Sketch values (they occur in the column) around a share."""
+        a, b = math.floor((share - slack) * grid), math.ceil((share + slack) * grid)
+        return knots[max(a, 0)], knots[min(b, grid)]
+
     got: dict[tuple, float] = {}
-    # open ranges: (column, low, high) -> ranks counted from the range's start
-    open_ = {(i, r[f"lo{i}"], r[f"hi{i}"]): {k: k for k in ks} for i, ks in ranks.items()}
-    size = {key: r[f"n{key[0]}"] for key in open_}
+    open_: dict[tuple, tuple] = {}   # (column, rank) -> (lo, hi, values expected, outer lo, outer hi)
+    for i in range(len(names)):
+        n, lo, hi = r[f"n{i}"], r[f"lo{i}"], r[f"hi{i}"]
+        for k in {f((n - 1) * q) for q in probs for f in (math.floor, math.ceil)} if n else ():
+            a, b = bracket(r[f"s{i}"], k / max(1, n - 1))
+            open_[i, k] = (a, b, n * (1 / grid + 2 * slack), lo, hi)
     while open_:
-        for key in [k for k in open_ if k[1] == k[2]]:
-            got.update({(key[0], k): key[1] for k in open_.pop(key)})
-        if not open_:
-            break
-        few = {k for k in open_ if size[k] <= leaf}  # values of a short range are read as they are
-        keys = list(open_)
-        hits = [F.when(F.col(f"c{i}").between(lo, hi), F.struct(
-            F.lit(t).alias("t"), (F.lit(None).cast("long") if keys[t] in few else F.least(
-                F.floor((F.col(f"c{i}") - lo) / (hi - lo) * bins), F.lit(bins - 1))).alias("b"), F.col(f"c{i}").alias("v")))
-            for t, (i, lo, hi) in enumerate(keys)]
-        each = d.select(F.explode(F.array_compact(F.array(*hits))).alias("h")).select("h.*")
-        rows = each.groupBy("t", "b").agg(F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"),
-                                          F.sort_array(F.collect_list(F.when(F.col("b").isNull(), F.col("v")))).alias("vs")).collect()
-        found: dict[int, list] = {}
-        for row in rows:
-            found.setdefault(row["t"], []).append(row)
-        nxt: dict = {}
-        for t, key in enumerate(keys):
-            if key in few:
-                got.update({(key[0], k): found[t][0]["vs"][at] for k, at in open_[key].items()})
-                continue
-            for k, at in open_[key].items():
-                for row in sorted(found[t], key=lambda x: x["b"]):
-                    if at < row["n"]:
-                        sub = (key[0], row["lo"], row["hi"])
-                        nxt.setdefault(sub, {})[k] = at
-                        size[sub] = row["n"]
-                        break
-                    at -= row["n"]
+        # Ranks that share a bracket share its counts.
+        spans: dict[tuple, float] = {}
+        for (i, _), (a, b, size, *_) in open_.items():
+            spans[i, a, b] = max(size, spans.get((i, a, b), 0))
+        keys = list(spans)
+        aggs = []
+        for t, (i, a, b) in enumerate(keys):
+            v = F.col(f"c{i}")
+            inside = F.when((v >= a) & (v <= b), v)
+            aggs += [F.count(F.when(v < a, v)).alias(f"b{t}"), F.count(inside).alias(f"n{t}")]
+            if a < b:
+                aggs.append((F.sort_array(F.collect_list(inside)) if spans[keys[t]] <= read else sketch(inside)).alias(f"v{t}"))
+        row = d.agg(*aggs).first()
+        nxt = {}
+        for (i, k), (a, b, _, low, high) in open_.items():
+            t = keys.index((i, a, b))
+            below, n = row[f"b{t}"], row[f"n{t}"]
+            if k < below:
+                end = math.nextafter(a, -math.inf)
+                nxt[i, k] = (low, end, below, low, end)
+            elif k >= below + n:
+                start = math.nextafter(b, math.inf)
+                nxt[i, k] = (start, high, r[f"n{i}"] - below - n, start, high)
+            elif a == b:
+                got[i, k] = a
+            elif spans[i, a, b] <= read:
+                got[i, k] = row[f"v{t}"][k - below]
+            else:
+                lo, hi = bracket(row[f"v{t}"], (k - below) / max(1, n - 1))
+                # Few distinct values: the sketch may not shrink the bracket; then its least is tried alone.
+                nxt[i, k] = (a, a, n, a, b) if (lo, hi) == (a, b) else (lo, hi, n * (1 / grid + 2 * slack), a, b)
         open_ = nxt
     out = {}
     for i, c in enumerate(names):
@@ -176,7 +199,7 @@ def column_quantiles(df: DataFrame, cols: dict, probs: list[float], bins: int =
             qs = []
             for q in probs:
                 h = (n - 1) * q
-                a, b = got[(i, math.floor(h))], got[(i, math.ceil(h))]
+                a, b = got[i, math.floor(h)], got[i, math.ceil(h)]
                 qs.append(a + (h - math.floor(h)) * (b - a))
             out[c] = (n, r[f"a{i}"], r[f"lo{i}"], r[f"hi{i}"], qs)
     return out

@@ -102,9 +102,43 @@ def test_column_quantiles_match_numpy(spark):
     rng = np.random.default_rng(5)
     a, b = rng.normal(size=4000), rng.integers(0, 7, size=4000).astype(float)
     df = spark.createDataFrame([(float(x), float(y), None) for x, y in zip(a, b)], "a double, b double, c double")
-    got = column_quantiles(df, {c: F.col(c) for c in "abc"}, [0.0, 0.1, 0.5, 0.93, 1.0], bins=16, leaf=50)
+    got = column_quantiles(df, {c: F.col(c) for c in "abc"}, [0.0, 0.1, 0.5, 0.93, 1.0], grid=16, read=50)
     assert set(got) == {"a", "b"}
     for c, v in (("a", a), ("b", b)):
         n, mean, lo, hi, q = got[c]
         assert (n, lo, hi) == (4000, v.min(), v.max()) and mean == pytest.approx(v.mean())
         assert q == pytest.approx(np.quantile(v, [0.0, 0.1, 0.5, 0.93, 1.0]), abs=1e-12)
+
+
+def test_column_quantiles_of_few_values(spark):
+    """Two and three distinct values, ranks at and around the steps, brackets
+    never read: each scan must leave a value behind."""
+    from parcelkit.operators.quantiles import column_quantiles
+    two, three = [1.0] * 700 + [5.0] * 300, [2.0] * 499 + [3.0] + [4.0] * 500
+    df = spark.createDataFrame(list(zip(two, three)), "a double, b double")
+    probs = [0.0, 0.3, 0.499, 0.4995, 0.5, 0.699, 0.7, 0.701, 1.0]
+    got = column_quantiles(df, {"a": F.col("a"), "b": F.col("b")}, probs, grid=4, read=0)
+    for c, v in (("a", two), ("b", three)):
+        assert got[c][4] == pytest.approx(np.quantile(v, probs), abs=1e-12)
+
+
+def test_column_quantiles_scan_without_exploding(spark):
+    """No generator, no grouping: each scan is one global aggregate."""
+    from parcelkit.operators import quantiles
+    seen = []
+    original = type(spark.range(1)).agg
+
+    def spy(self, *a, **k):
+        out = original(self, *a, **k)
+        seen.append(out._jdf.queryExecution().optimizedPlan().toString())
+        return out
+
+    df = spark.range(30_000).selectExpr("cast(id * 7919 % 30011 as double) AS a")
+    try:
+        type(df).agg = spy
+        got = quantiles.column_quantiles(df, {"a": F.col("a")}, [0.1, 0.5, 0.9])
+    finally:
+        type(df).agg = original
+    want = np.quantile([float(i * 7919 % 30011) for i in range(30_000)], [0.1, 0.5, 0.9])
+    assert got["a"][4] == pytest.approx(want) and len(seen) == 2
+    assert not any("Generate" in p for p in seen)
