@@ -54,7 +54,8 @@ expat ; expat ; expat licen[sc]e ; ; jclark com xml copying
 x11 ; x11 ; (?:mit )?x11 licen[sc]e ; x11 ; xfree86 org current license
 bsd-4-clause ; bsd ; (?:4 clause bsd|bsd 4 clause|original bsd)(?: licen[sc]e)? ; bsd 4 clause(?: uc)? ; directory fsf org license bsd 4clause
 bsd-3-clause ; bsd ; (?:3 clause bsd|bsd 3 clause|new bsd|modified bsd|revised bsd)(?: licen[sc]e)? ; bsd 3 clause(?: clear| lbnl)? ; opensource org licenses bsd 3 clause
-bsd-2-clause ; bsd ; (?:2 clause bsd|bsd 2 clause|simplified bsd|freebsd)(?: licen[sc]e)? ; bsd 2 clause(?: patent| views)? ; opensource org licenses bsd 2 clause
+bsd-2-clause ; bsd ; (?:2 clause bsd|bsd 2 clause|simplified bsd)(?: licen[sc]e)? ; bsd 2 clause(?: patent| views)? ; opensource org licenses bsd 2 clause
+bsd-2-clause ; freebsd ; freebsd licen[sc]e ; ; freebsd org copyright freebsd license
 0bsd ; bsd ; zero clause bsd(?: licen[sc]e)? ; 0bsd ; landley net toybox license
 bsd ; bsd ; bsd(?: style)? licen[sc]e ; ; opensource org licenses bsd license
 isc ; isc ; isc licen[sc]e ; isc ; opensource org licenses isc
