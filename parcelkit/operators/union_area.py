@@ -1,119 +1,107 @@
-"""Area of a tract inside the union of overlapping neighborhoods (J11 when
-neighborhoods overlap).
-
-Grouped by tract (``applyInPandas``): each group holds the tract's edges and
-the edges of the neighborhoods that overlap it (known from the J3 pairs), so
-a group is bounded by local geometry, never by the size of the data. The
-area of ``t n (n_1 u ... u n_k)`` is integrated over vertical slabs whose
-boundaries are all vertex x-coordinates and all x-coordinates where edges of
-different polygons cross: inside such a slab every cross-section is a union
-of intervals whose end points move linearly without changing order, so its
-length is linear in x and the midpoint rule is exact.
+"""Area of a tract inside the union of overlapping neighborhoods.
+
+A sweep over vertical slabs, as joins, windows and sums keyed by (tract,
+slab). Every edge is cut at the slab borders, so a tract with very many
+vertices is spread over as many keys as its edges fill. In a slab the x of
+all end points and of all crossings are the borders of bands. Inside a band
+no two edges cross, so every cross-section has the same order of edges and a
+length that is linear in x: the length at the middle times the width is exact.
+
+The cross-section is read from below: a shell runs counter-clockwise and a
+hole clockwise, so an edge to the right enters its polygon and one to the left
+leaves it. Two running sums tell how many neighborhoods, and whether the
+tract, cover the gap up to the next edge.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-
-def _crossing_xs(e: np.ndarray, owner: np.ndarray) -> np.ndarray:
-    """x of proper crossings between edges of different polygons (edges
-    sorted by min x; only x-overlapping candidates are compared)."""
-    lo = np.minimum(e[:, 0], e[:, 2])
-    hi = np.maximum(e[:, 0], e[:, 2])
-    order = np.argsort(lo, kind="stable")
-    e, owner, lo, hi = e[order], owner[order], lo[order], hi[order]
-    out = []
-    for i in range(len(e)):
-        j = np.arange(i + 1, np.searchsorted(lo, hi[i], side="right"))
-        if j.size == 0:
-            continue
-        j = j[(owner[j] != owner[i]) & (hi[j] > lo[i])]
-        if j.size == 0:
-            continue
-        xa = np.maximum(lo[i], lo[j])
-        xb = np.minimum(hi[i], hi[j])
-
-        def yat(k, x):
-            x1, y1, x2, y2 = e[k, 0], e[k, 1], e[k, 2], e[k, 3]
-            with np.errstate(divide="ignore", invalid="ignore"):
-                return np.where(x2 != x1, y1 + (x - x1) * (y2 - y1) / (x2 - x1), np.nan)
-
-        da = yat(i, xa) - yat(j, xa)
-        db = yat(i, xb) - yat(j, xb)
-        m = (da * db < 0) & (xb > xa)
-        if m.any():
-            out.append(xa[m] + (xb[m] - xa[m]) * da[m] / (da[m] - db[m]))
-    return np.concatenate(out) if out else np.empty(0)
-
-
-def _sections(e: np.ndarray, xm: float) -> list[tuple[float, float]]:
-    """Even-odd cross-section of one polygon's edges at x = xm."""
-    x1, y1, x2, y2 = e[:, 0], e[:, 1], e[:, 2], e[:, 3]
-    m = (np.minimum(x1, x2) < xm) & (np.maximum(x1, x2) > xm)
-    if not m.any():
-        return []
-    ys = np.sort(y1[m] + (xm - x1[m]) * (y2[m] - y1[m]) / (x2[m] - x1[m]))
-    return list(zip(ys[0::2], ys[1::2]))
-
-
-def _union(iv: list[tuple[float, float]]) -> list[tuple[float, float]]:
-    out = []
-    for a, b in sorted(iv):
-        if out and a <= out[-1][1]:
-            out[-1] = (out[-1][0], max(out[-1][1], b))
-        else:
-            out.append((a, b))
-    return out
-
-
-def _overlap_len(a: list, b: list) -> float:
-    i = j = 0
-    tot = 0.0
-    while i < len(a) and j < len(b):
-        lo, hi = max(a[i][0], b[j][0]), min(a[i][1], b[j][1])
-        if hi > lo:
-            tot += hi - lo
-        if a[i][1] < b[j][1]:
-            i += 1
-        else:
-            j += 1
-    return tot
-
-
-def tract_union_area(pdf: pd.DataFrame) -> pd.DataFrame:
-    """One group: rows ``b_gid, src ('t' | 'n'), pid, x1, y1, x2, y2``."""
-    e = pdf[["x1", "y1", "x2", "y2"]].to_numpy(dtype=float)
-    ox, oy = e[:, [0, 2]].min(), e[:, [1, 3]].min()          # local origin
-    e = e - np.array([ox, oy, ox, oy])
-    owner = np.where(pdf["src"].to_numpy() == "t", -1, pdf["pid"].to_numpy())
-    xs = np.unique(np.concatenate([e[:, 0], e[:, 2], _crossing_xs(e, owner)]))
-    t_e = e[owner == -1]
-    n_ids = [k for k in np.unique(owner) if k != -1]
-    n_e = {k: e[owner == k] for k in n_ids}
-    area = 0.0
-    for xa, xb in zip(xs[:-1], xs[1:]):
-        if xb <= xa:
-            continue
-        xm = 0.5 * (xa + xb)
-        t_iv = _sections(t_e, xm)
-        if not t_iv:
-            continue
-        u = _union([iv for k in n_ids for iv in _sections(n_e[k], xm)])
-        area += (xb - xa) * _overlap_len(t_iv, u)
-    return pd.DataFrame({"b_gid": [int(pdf["b_gid"].iloc[0])], "clipped_area": [area]})
+from ..session import materialize
+
+
+def _y_at(x: Column, e: str = "") -> Column:
+    """y of the edge (columns prefixed by ``e``) at x."""
+    x1, y1, x2, y2 = (F.col(f"{e}{c}") for c in ("x1", "y1", "x2", "y2"))
+    return y1 + (x - x1) * (y2 - y1) / (x2 - x1)
+
+
+def tract_edges_with_neighborhoods(pairs: DataFrame, nbh_edges: DataFrame, tract_edges: DataFrame) -> DataFrame:
+    """``b_gid, owner, x1, y1, x2, y2, lo, hi``: the sloped edges of each
+    tract (owner null) and of its neighborhoods (owner a_gid), from the
+    tract's lower left corner, with their x-range inside the tract's.
+    Edges above the tract are left out; those below count as entered."""
+    sloped = F.col("x1") != F.col("x2")
+    t = (tract_edges.select(F.col("gid").alias("b_gid"), "x1", "y1", "x2", "y2")
+         .join(pairs.select("b_gid").distinct(), "b_gid", "left_semi"))
+    box = t.groupBy("b_gid").agg(F.min("x1").alias("ox"), F.min("y1").alias("oy"),
+                                 F.max("x1").alias("ex"), F.max("y1").alias("ey"))
+    n = nbh_edges.select(F.col("gid").alias("a_gid"), "x1", "y1", "x2", "y2")
+    near = ((F.least("x1", "x2") < F.col("ex")) & (F.greatest("x1", "x2") > F.col("ox"))
+            & (F.least("y1", "y2") < F.col("ey")))
+    pb = pairs.select("a_gid", "b_gid").distinct().join(box, "b_gid")
+    n = pb.join(n, (pb["a_gid"] == n["a_gid"]) & near).drop(n["a_gid"])
+    cols = ["b_gid", "owner", "ox", "oy", "ex", "x1", "y1", "x2", "y2"]
+    every = (t.join(box, "b_gid").withColumn("owner", F.lit(None).cast("long")).select(*cols)
+             .unionAll(n.withColumn("owner", F.col("a_gid").cast("long")).select(*cols))).where(sloped)
+    x1, x2 = F.col("x1") - F.col("ox"), F.col("x2") - F.col("ox")
+    return every.select("b_gid", "owner", x1.alias("x1"), (F.col("y1") - F.col("oy")).alias("y1"),
+                        x2.alias("x2"), (F.col("y2") - F.col("oy")).alias("y2"),
+                        F.greatest(F.least(x1, x2), F.lit(0.0)).alias("lo"),
+                        F.least(F.greatest(x1, x2), F.col("ex") - F.col("ox")).alias("hi"))
+
+
+def slab_pieces(edges: DataFrame) -> DataFrame:
+    """Edges cut at slab borders: the columns of ``edges`` with ``slab``. A
+    slab is as wide as the mean edge of the tract's group. The tract's own
+    boundary passes each x twice at least, so a group of n edges has n / 2
+    slabs at most and its pieces are at most twice its edges, and a few."""
+    width = edges.groupBy("b_gid").agg(F.avg(F.col("hi") - F.col("lo")).alias("step"))
+    first, last = F.floor(F.col("lo") / F.col("step")), F.ceil(F.col("hi") / F.col("step")) - 1
+    cut = edges.join(width, "b_gid").withColumn("slab", F.explode(F.sequence(first, F.greatest(first, last))))
+    return cut.select("b_gid", "slab", "owner", "x1", "y1", "x2", "y2",
+                      F.greatest("lo", F.col("slab") * F.col("step")).alias("lo"),
+                      F.least("hi", (F.col("slab") + 1) * F.col("step")).alias("hi")).where("lo < hi")
+
+
+def crossings(pieces: DataFrame) -> DataFrame:
+    """``b_gid, slab, x`` where pieces of two polygons cross inside a slab and
+    not below the tract."""
+    def side(p: str) -> DataFrame:
+        top, low = F.greatest("y1", "y2"), F.least("y1", "y2")
+        return pieces.select("b_gid", "slab", *(F.col(c).alias(p + c) for c in ("x1", "y1", "x2", "y2", "lo", "hi")),
+                             F.struct(F.col("owner").isNull(), "owner").alias(p + "own"),
+                             top.alias(p + "top"), low.alias(p + "low")).where(F.col(p + "top") >= 0)
+
+    xa, xb = F.greatest("p_lo", "q_lo"), F.least("p_hi", "q_hi")
+    met = (side("p_").join(side("q_"), ["b_gid", "slab"])
+           .where((F.col("p_own") < F.col("q_own")) & (xa < xb)
+                  & (F.col("p_top") >= F.col("q_low")) & (F.col("q_top") >= F.col("p_low"))))
+    met = met.withColumns({"xa": xa, "xb": xb})
+    da = _y_at(F.col("xa"), "p_") - _y_at(F.col("xa"), "q_")
+    db = _y_at(F.col("xb"), "p_") - _y_at(F.col("xb"), "q_")
+    met = met.withColumns({"da": da, "db": db}).where(F.col("da") * F.col("db") < 0)
+    return met.select("b_gid", "slab", (F.col("xa") + (F.col("xb") - F.col("xa")) * F.col("da") / (F.col("da") - F.col("db"))).alias("x"))
 
 
 def union_clipped_area(pairs: DataFrame, nbh_edges: DataFrame, tract_edges: DataFrame) -> DataFrame:
     """``b_gid, clipped_area`` = area(tract n union of its overlapping
-    neighborhoods). ``pairs``: ``a_gid`` (neighborhood), ``b_gid`` (tract)."""
-    cols = ["x1", "y1", "x2", "y2"]
-    t = (tract_edges.join(pairs.select("b_gid").distinct().withColumnRenamed("b_gid", "gid"), "gid", "left_semi")
-         .select(F.col("gid").alias("b_gid"), F.lit("t").alias("src"), F.col("gid").cast("long").alias("pid"), *cols))
-    n = (pairs.select("a_gid", "b_gid").join(nbh_edges.withColumnRenamed("gid", "a_gid"), "a_gid")
-         .select("b_gid", F.lit("n").alias("src"), F.col("a_gid").cast("long").alias("pid"), *cols))
-    return (t.unionByName(n).groupBy("b_gid")
-             .applyInPandas(tract_union_area, "b_gid long, clipped_area double"))
+    neighborhoods). ``pairs``: ``a_gid`` (neighborhood), ``b_gid`` (tract);
+    repeated pairs count once."""
+    pieces = materialize(slab_pieces(tract_edges_with_neighborhoods(pairs, nbh_edges, tract_edges)), "union-pieces")
+    ends = pieces.select("b_gid", "slab", F.explode(F.array("lo", "hi")).alias("x"))
+    borders = ends.unionAll(crossings(pieces)).distinct()
+    bands = (borders.withColumn("xb", F.lead("x").over(Window.partitionBy("b_gid", "slab").orderBy("x")))
+             .where("xb IS NOT NULL").withColumnRenamed("x", "xa"))
+    enters = F.when(F.col("x1") < F.col("x2"), 1).otherwise(-1)
+    hits = (bands.join(pieces, ["b_gid", "slab"]).where((F.col("lo") <= F.col("xa")) & (F.col("hi") >= F.col("xb")))
+            .select("b_gid", "slab", "xa", "xb", _y_at((F.col("xa") + F.col("xb")) / 2).alias("y"),
+                    F.when(F.col("owner").isNull(), enters).otherwise(0).alias("t"),
+                    F.when(F.col("owner").isNull(), 0).otherwise(enters).alias("n")))
+    band = Window.partitionBy("b_gid", "slab", "xa").orderBy("y")
+    below = band.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    gaps = hits.select("b_gid", (F.col("xb") - F.col("xa")).alias("w"), (F.lead("y").over(band) - F.col("y")).alias("h"),
+                       F.sum("t").over(below).alias("t"), F.sum("n").over(below).alias("n"))
+    return gaps.groupBy("b_gid").agg(
+        F.sum(F.when((F.col("t") > 0) & (F.col("n") > 0), F.col("w") * F.col("h")).otherwise(0.0)).alias("clipped_area"))

@@ -448,6 +448,39 @@ def q_clip_area(spark, sf):
              .select("tract_id", F.round("clipped_area", 3).alias("clipped_area")))
 
 
+@register("clip_area_plots", with_views(["fx_plot_edge"] + TR, f""", {O.overlay_ctes('fx_plot_edge', 'fx_tract_edge', 'ov')},
+ed AS (SELECT o.b_gid, e.gid AS own, e.x1, e.y1, e.x2, e.y2 FROM ov o JOIN fx_plot_edge e ON e.gid = o.a_gid
+       UNION ALL SELECT o.b_gid, NULL, e.x1, e.y1, e.x2, e.y2 FROM (SELECT DISTINCT b_gid FROM ov) o JOIN fx_tract_edge e ON e.gid = o.b_gid),
+met AS (SELECT p.b_gid, p.x1, p.x2 - p.x1 AS px, p.y2 - p.y1 AS py, q.x2 - q.x1 AS qx, q.y2 - q.y1 AS qy, q.x1 - p.x1 AS dx, q.y1 - p.y1 AS dy
+        FROM ed p JOIN ed q ON p.b_gid = q.b_gid AND p.own IS DISTINCT FROM q.own),
+cut AS (SELECT b_gid, x1 AS x FROM ed
+        UNION SELECT b_gid, x1 + px * (dx * qy - dy * qx) / (px * qy - py * qx) FROM met
+              WHERE px * qy <> py * qx AND (dx * qy - dy * qx) / (px * qy - py * qx) BETWEEN 0 AND 1
+                AND (dx * py - dy * px) / (px * qy - py * qx) BETWEEN 0 AND 1),
+band AS (SELECT b_gid, x AS xa, lead(x) OVER (PARTITION BY b_gid ORDER BY x) AS xb FROM cut),
+hit AS (SELECT b.b_gid, b.xa, b.xb, e.own, e.y1 + ((b.xa + b.xb) / 2 - e.x1) * (e.y2 - e.y1) / (e.x2 - e.x1) AS y
+        FROM band b JOIN ed e ON e.b_gid = b.b_gid AND least(e.x1, e.x2) < (b.xa + b.xb) / 2 AND greatest(e.x1, e.x2) > (b.xa + b.xb) / 2),
+sec AS (SELECT * FROM (SELECT *, lead(y) OVER w AS top, row_number() OVER w AS k FROM hit
+                       WINDOW w AS (PARTITION BY b_gid, xa, own ORDER BY y)) s WHERE k % 2 = 1),
+isl AS (SELECT *, CASE WHEN y <= max(top) OVER (PARTITION BY b_gid, xa ORDER BY y, top ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+                       THEN 0 ELSE 1 END AS opens FROM sec WHERE own IS NOT NULL),
+num AS (SELECT *, sum(opens) OVER (PARTITION BY b_gid, xa ORDER BY y, top ROWS UNBOUNDED PRECEDING) AS i FROM isl),
+merged AS (SELECT b_gid, xa, i, min(y) AS y, max(top) AS top FROM num GROUP BY b_gid, xa, i),
+area AS (SELECT t.b_gid, sum((t.xb - t.xa) * greatest(least(t.top, m.top) - greatest(t.y, m.y), 0)) AS a
+         FROM sec t JOIN merged m ON m.b_gid = t.b_gid AND m.xa = t.xa WHERE t.own IS NULL GROUP BY t.b_gid)
+SELECT CAST(t.GEOID AS VARCHAR) AS tract_id, round(a.a, 3) AS clipped_area FROM area a JOIN fx_tract t ON t.gid = a.b_gid"""))
+def q_clip_area_plots(spark, sf):
+    """J11 where the covering polygons overlap: tracts inside the union of the
+    plots (concave, holed and of several parts)."""
+    from ..operators import areal
+    edges, measures = _plots(spark, sf)
+    tr = inputs.tracts(spark, sf)
+    ov = spatial.overlay_areas(edges, measures, tr.edges, tr.measures)
+    c = areal.clip_area(ov, edges, measures, tr.edges, overlaps=True)
+    return (c.join(tr.attrs.select(F.col("gid").alias("b_gid"), F.col("GEOID").cast("string").alias("tract_id")), "b_gid")
+             .select("tract_id", F.round("clipped_area", 3).alias("clipped_area")))
+
+
 @register("areal_shares", with_views(NBH + TR, TIER_CTES + f""",
 {O.overlay_ctes('fx_nbh_edge', 'fte', 'ovf')},
 clip AS (SELECT b_gid, sum(inter_area) AS ca FROM ovf GROUP BY b_gid),

@@ -168,6 +168,72 @@ def test_union_clip_area_with_overlaps(spark):
     assert got[12] == pytest.approx((tri & un).sum() * 0.01, rel=2e-3)
 
 
+def _band_area(tract, polygons):
+    """Area of a tract ring inside the union of rings: bands between all end
+    points and crossings of all edges, one merged section for each."""
+    def edges(r):
+        return [(*a, *b) for a, b in zip(r, r[1:] + r[:1]) if a[0] != b[0]]
+
+    every = [edges(r) for r in [tract, *polygons]]
+    flat = [e for es in every for e in es]
+    xs = {x for e in flat for x in (e[0], e[2])}
+    for i, (a, b, c, d) in enumerate(flat):
+        for p, q, r, s in flat[:i]:
+            m, n = (d - b) / (c - a), (s - q) / (r - p)
+            if m != n:
+                x = (q - n * p - b + m * a) / (m - n)
+                if max(min(a, c), min(p, r)) < x < min(max(a, c), max(p, r)):
+                    xs.add(x)
+    xs = sorted(xs)
+    total = 0.0
+    for lo, hi in zip(xs, xs[1:]):
+        x = (lo + hi) / 2
+        ys = [sorted(b + (x - a) * (d - b) / (c - a) for a, b, c, d in es if min(a, c) < x < max(a, c)) for es in every]
+        stops = sorted({y for y_ in ys for y in y_})
+        for u, v in zip(stops, stops[1:]):
+            inside = [sum(y < (u + v) / 2 for y in y_) % 2 for y_ in ys]
+            total += (hi - lo) * (v - u) * (inside[0] and any(inside[1:]))
+    return total
+
+
+def test_union_clip_area_of_many_shapes(spark):
+    """Star-shaped neighborhoods on top of each other, some of them equal or
+    far below the tract's middle; one tract with many vertices. No Python
+    stage; a tract's edges are spread over slabs."""
+    import random
+
+    from parcelkit.operators import union_area
+
+    rng = random.Random(11)
+
+    def star(cx, cy, r, n, least=0.4):
+        at = [(r * rng.uniform(least, 1), 2 * math.pi * k / n) for k in range(n)]
+        return [(cx + d * math.cos(w), cy + d * math.sin(w)) for d, w in at]
+
+    nbs = {g: star(rng.uniform(0, 100), rng.uniform(0, 100), rng.uniform(15, 45), rng.randint(5, 14)) for g in range(1, 9)}
+    nbs[9] = list(nbs[1])
+    tracts = {100: star(50, 50, 60, 400, 0.99), 101: star(20, 30, 30, 7), 102: [(0.0, 0.0), (100.0, 0.0), (100.0, 100.0), (0.0, 100.0)]}
+    schema = "gid long, part int, role string, ord int, x double, y double"
+
+    def layer(rings):
+        return P.edges_from_vertices(spark.createDataFrame(
+            [(g, 0, "shell", k, x, y) for g, r in rings.items() for k, (x, y) in enumerate(r)], schema))
+
+    ne, te = layer(nbs), layer(tracts)
+    pairs = spark.createDataFrame([(n, t) for n in nbs for t in tracts] * 2, "a_gid long, b_gid long")
+    out = union_area.union_clipped_area(pairs, ne, te)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "InPandas" not in plan
+    got = {r["b_gid"]: r["clipped_area"] for r in out.collect()}
+    for t, ring in tracts.items():
+        assert got[t] == pytest.approx(_band_area(ring, list(nbs.values())), rel=1e-9)
+    edges = union_area.tract_edges_with_neighborhoods(pairs, ne, te)
+    pieces = union_area.slab_pieces(edges)
+    per_slab = pieces.where("b_gid = 100").groupBy("slab").count().agg({"count": "max"}).first()[0]
+    assert pieces.count() <= 4 * edges.count() and per_slab <= 60
+    assert union_area.union_clipped_area(pairs.limit(0), ne, te).count() == 0
+
+
 def test_overlay_edge_pairs_grow_with_the_vertices(spark):
     """Two overlapping n-gons: four times the vertices, about four times the
     joined edge pairs, and the exact area throughout."""
