@@ -194,10 +194,44 @@ def column_facts(df: DataFrame, col: str) -> DataFrame:
 
 # ------------------------------------------------------------------ O4
 
+# Hash ranges that one pass counts, and rows of the crossing range that are ranked.
+SAMPLE_RANGES = 4096
+
+
+def _least_by_hash(df: DataFrame, h: Column, key: str, n: int, low: int, high: int) -> DataFrame:
+    """The ``n`` rows of least ``h`` (low <= h < high), ties by key. Counts
+    per hash range narrow the range that holds the n-th row (3 passes over the
+    key at 10^11 rows); lesser hashes pass by a filter, and only the rows of
+    the crossing range are ranked. Where one hash alone holds more rows than
+    that (copies of one key), n rows of each task at most are compared."""
+    rows, cols, taken = df.withColumn("_h", h), df.columns, 0
+    while True:
+        width = -(-(high - low) // SAMPLE_RANGES)
+        here = rows.where(F.col("_h").between(low, high - 1))
+        counts = here.groupBy(F.expr(f"(_h - {low}L) div {width}L").alias("r")).agg(F.count(F.lit(1)).alias("m"))
+        crossing = None
+        for r in sorted(counts.collect()):
+            if taken + r["m"] > n:
+                crossing = r
+                break
+            taken += r["m"]
+        if crossing is None:
+            return df
+        low, high = low + crossing["r"] * width, min(high, low + (crossing["r"] + 1) * width)
+        if crossing["m"] <= SAMPLE_RANGES or high - low == 1:
+            break
+    edge = rows.where(F.col("_h").between(low, high - 1))
+    if crossing["m"] <= SAMPLE_RANGES:
+        edge = edge.withColumn("_k", F.row_number().over(Window.orderBy("_h", key))).where(F.col("_k") <= n - taken)
+    else:
+        edge = edge.orderBy(key).limit(n - taken)
+    return rows.where(F.col("_h") < low).select(*cols).unionAll(edge.select(*cols))
+
+
 def hash_sample(df: DataFrame, key: str, n: int, seed: int = 1) -> DataFrame:
     """Exactly ``min(n, rows)`` rows, without replacement, chosen by a
-    seeded hash of the key (deterministic; a top-n by hash)."""
-    return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), F.col(key)).limit(n)
+    seeded hash of the key (deterministic)."""
+    return _least_by_hash(df, F.shiftrightunsigned(F.xxhash64(F.col(key), F.lit(seed)), 2), key, n, 0, 1 << 62)
 
 
 def value_counts_by_variable(long: DataFrame, decimals: int = 1) -> DataFrame:
@@ -215,7 +249,7 @@ def arith_hash_sample(df: DataFrame, key: str, n: int, seed: int = 1) -> DataFra
     """O4 with a portable arithmetic hash of an integer key (reproducible in
     any SQL engine): ``(key * 7919 + seed * 104729) mod 1000003``, ties by key."""
     h = (F.col(key) * F.lit(7919) + F.lit(seed * 104729)) % F.lit(1000003)
-    return df.orderBy(h, F.col(key)).limit(n)
+    return _least_by_hash(df, F.coalesce(h, F.lit(-1000003)), key, n, -1000003, 1000003)
 
 
 def first_by_position(df: DataFrame, key: str, position: str, cols: list[str]) -> DataFrame:

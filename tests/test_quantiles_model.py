@@ -1,6 +1,7 @@
 """Exact distributed quantiles, stratified split, AUC and the logit fit."""
 
 import math
+import re
 
 import numpy as np
 import pytest
@@ -142,3 +143,28 @@ def test_column_quantiles_scan_without_exploding(spark):
     want = np.quantile([float(i * 7919 % 30011) for i in range(30_000)], [0.1, 0.5, 0.9])
     assert got["a"][4] == pytest.approx(want) and len(seen) == 2
     assert not any("Generate" in p for p in seen)
+
+
+def test_samples_by_threshold(spark, monkeypatch):
+    """The n least hashes, ties by key, over several narrowing passes;
+    the plan ranks rows of the
+    crossing range only."""
+    from parcelkit.operators import summary
+
+    monkeypatch.setattr(summary, "SAMPLE_RANGES", 16)
+    keys = list(range(-500, 4500))
+    df = spark.createDataFrame([(k, f"v{k}") for k in keys], "k long, _v string")
+    code = sorted((math.fmod(k * 7919 + 3 * 104729, 1000003), k) for k in keys)
+    for n in (0, 1, 777, 5000, 9000):
+        out = summary.arith_hash_sample(df, "k", n, 3)
+        assert sorted(r["k"] for r in out.collect()) == sorted(k for _, k in code[:n])
+        assert out.columns == df.columns
+    plan = summary.hash_sample(df, "k", 100)._jdf.queryExecution().executedPlan().toString()
+    limits = [int(x) for x in re.findall(r"(?:Limit |limit=)(\d+)", plan)]
+    assert "Union" in plan and all(x < 16 for x in limits)
+    a, b = (sorted(r["k"] for r in summary.hash_sample(df, "k", 100, s).collect()) for s in (1, 2))
+    assert len(set(a)) == len(set(b)) == 100 and a != b
+    same = spark.createDataFrame([(7, str(i)) for i in range(300)] + [(None, "n"), (8, "x")], "k long, v string")
+    assert summary.hash_sample(same, "k", 50).count() == 50
+    assert summary.arith_hash_sample(same, "k", 302).count() == 302
+    assert summary.hash_sample(df.limit(0), "k", 5).count() == 0
