@@ -9,7 +9,9 @@ segments, the pairs left with more, and computes the exact integer score of
 the survivors; what cannot enter the query's best so far is left out.
 
 Queries are taken in blocks of a bounded number, each sent to all tasks; a
-task returns its best rows per query, and those are ranked by a window.
+task returns its best rows per query, which are written before the next block
+is sent, and those are ranked by a window. A task goes through a block in
+tiles of queries.
 """
 
 from __future__ import annotations
@@ -29,6 +31,10 @@ LEVELS = (1, 4, 16)
 QUERY_BLOCK = 8192
 # Share of pairs above which a level is computed for whole blocks.
 DENSE = 0.05
+# Queries and rows whose pairs are bounded at once: what a task holds besides
+# its queries does not grow with the block of queries.
+TILE = 512
+ROWS = 2048
 EXACT = 2.0 ** 53
 LONG = (-(1 << 63), (1 << 63) - 1)
 
@@ -83,24 +89,41 @@ class Search:
     """Best ``keep`` rows of each query among the rows seen so far."""
 
     def __init__(self, queries: np.ndarray, keep: int):
-        self.q, self.keep, n = queries, keep, len(queries)
-        self.profiles = [profile(queries, s) for s in LEVELS]
-        self.floor = np.full(n, -np.inf)  # score that a row must reach
-        self.best = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64))
+        self.tiles = [Tile(queries[i:i + TILE], keep) for i in range(0, len(queries), TILE)]
 
     def add(self, ids: np.ndarray, x: np.ndarray) -> None:
         lo, step = 0, 64  # small first blocks raise the floors
         while lo < len(x):
-            self._block(ids[lo:lo + step], x[lo:lo + step])
-            lo, step = lo + step, min(2048, step * 4)
+            rows = x[lo:lo + step]
+            profiles = [profile(rows, s) for s in LEVELS]
+            for tile in self.tiles:
+                tile.add(ids[lo:lo + step], rows, profiles)
+            lo, step = lo + step, min(ROWS, step * 4)
+
+    def results(self):
+        """(query number, score, id) arrays, tile by tile."""
+        for i, tile in enumerate(self.tiles):
+            q, score, found = tile.best
+            yield q + i * TILE, score, found
+
+
+class Tile:
+    """The search for up to TILE queries."""
+
+    def __init__(self, queries: np.ndarray, keep: int):
+        self.q, self.keep, n = queries, keep, len(queries)
+        self.profiles = [profile(queries, s) for s in LEVELS]
+        self.floor = np.full(n, -np.inf)  # score that a row must reach
+        self.best = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64))
 
-    def _block(self, ids: np.ndarray, x: np.ndarray) -> None:
+    def add(self, ids: np.ndarray, x: np.ndarray, profiles: list) -> None:
         pairs = None
         if np.isfinite(self.floor).any():
-            pairs = np.nonzero(np.ones((len(self.q), len(x)), dtype=bool))
-            for level, segments in enumerate(LEVELS):
-                p, r = self.profiles[level], profile(x, segments)
+            for p, r in zip(self.profiles, profiles):
                 slack = 1e-9 * np.linalg.norm(p, axis=1).max(initial=0) * np.linalg.norm(r, axis=1).max(initial=0) + 1e-6
+                if pairs is None:
+                    pairs = np.nonzero(p @ r.T + slack >= self.floor[:, None])
+                    continue
                 if len(pairs[0]) > DENSE * len(p) * len(x):
                     bound = (p @ r.T)[pairs]
                 else:
@@ -147,8 +170,7 @@ def _search(block, keep: int):
                 if len(mine):
                     search.add(ids[rows[mine]].astype(np.int64), np.array([vecs[i] for i in mine]).reshape(len(mine), n))
         for at, search in searches.values():
-            q, score, found = search.best
-            if len(q):
+            for q, score, found in search.results():
                 yield pa.RecordBatch.from_arrays([pa.array(at[q]), pa.array(score), pa.array(found)], schema=schema)
     return run
 
@@ -186,7 +208,9 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, vec_id: str = "vec_
             "q long, query_id long, own long")
         block = spark.sparkContext.broadcast([(part[i]["q"], v) for i, v in zip(at, vecs)])
         best = rows.mapInArrow(_search(block, k + 1), "q long, score long, vec_id long")
-        found.append(best.join(F.broadcast(queries), "q"))
+        # Written at once, so neither the driver nor a task holds two blocks.
+        found.append(materialize(best.join(F.broadcast(queries), "q"), "topk-block"))
+        block.destroy()
     out = found[0]
     for x in found[1:]:
         out = out.union(x)

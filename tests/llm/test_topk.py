@@ -74,3 +74,25 @@ def test_empty_table_and_query(spark, queries):
 def test_exact_scores(scale):
     q, x = np.array([[3.0, -5.0]]) * scale, np.array([[7.0, 2.0], [1.0, 1.0]]) * scale
     assert topk.exact(q, x).tolist() == [[min(int(11 * scale * scale), topk.LONG[1]), max(int(-2 * scale * scale), topk.LONG[0])]]
+
+
+def test_a_block_of_queries_is_small_in_memory():
+    """A full block of queries against many rows, some of them near: less than
+    190 MB besides the worker's 110, and the scores of plain products."""
+    import tracemalloc
+
+    rng = np.random.default_rng(6)
+    q = rng.integers(-1000, 1000, size=(topk.QUERY_BLOCK, 64)).astype(float)
+    x = np.concatenate([rng.integers(-1000, 1000, size=(4000, 64)).astype(float), q[:1000] + 1])
+    ids = rng.permutation(len(x))
+    tracemalloc.start()
+    search = topk.Search(q, 11)
+    search.add(ids, x)
+    got = [np.concatenate(c) for c in zip(*search.results())]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 190e6
+    for i in (0, 511, 512, 5000, len(q) - 1):
+        mine = got[0] == i
+        want = sorted((-int(s), int(j)) for s, j in zip(q[i] @ x.T, ids))[:11]
+        assert sorted(zip((-got[1][mine]).tolist(), got[2][mine].tolist())) == want
