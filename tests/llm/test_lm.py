@@ -140,3 +140,14 @@ def test_most_frequent_words(spark):
     counts = spark.createDataFrame([(bytearray(w.encode()), c) for w, c in zip("abcdefg", (9, 7, 7, 5, 5, 5, 1))], "word binary, c long")
     words = lambda n: sorted(bytes(r["word"]).decode() for r in lm.most_frequent(counts, n).collect())
     assert [words(n) for n in (0, 1, 2, 3, 5, 6, 99)] == [[], ["a"], ["a"], list("abc"), list("abc"), list("abcdef"), list("abcdefg")]
+
+
+def test_scoring_step_is_the_training_step():
+    """The lighter step gives the very numbers of the traced one."""
+    rng = np.random.default_rng(8)
+    k = lm.HIDDEN
+    ew, h, u, bu = (rng.standard_normal(s).astype(np.float32) for s in ((9, 3 * k), (9, k), (k, 3 * k), (3 * k,)))
+    light = lm._next_state(lm._halved_gates(ew), h, lm._halved_gates(u), lm._halved_gates(bu))
+    assert np.allclose(light, lm._step(ew, h, u, bu)[4], rtol=1e-6, atol=1e-7)
+    assert lm.tokenize("Zoë A\x0bb c".encode()) == ["zoë".encode(), b"a", "b c".encode(), lm.END]
+    assert lm.tokenize(None) == lm.tokenize(b"") == [lm.END]
