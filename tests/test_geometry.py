@@ -367,3 +367,14 @@ def test_candidate_pairs_of_unlike_boxes(spark):
     assert len(got) == len(set(got)) and set(got) == want
     cells = spatial._box_cells(spatial._boxes(m, "a_", None), "a_", F.col("a_own")).groupBy("a_gid").count()
     assert cells.agg(F.max("count")).first()[0] <= 4
+
+
+def test_overlapping_polygons_spread_their_points(spark):
+    """Points of one partition that lie in many polygons go out in many."""
+    many = P.edges_from_vertices(spark.createDataFrame([v for g in range(12) for v in _square(g, 0.0, 0.0, 10.0 + g)], SHAPES))
+    one = P.edges_from_vertices(spark.createDataFrame(_square(1, 0.0, 0.0, 10.0), SHAPES))
+    pts = spark.range(300).select(F.col("id").alias("pid"), (F.col("id") % 9 + 0.5).alias("x"), F.lit(5.5).alias("y")).coalesce(1)
+    out = spatial.pip_join(pts, spatial.PipIndex(many), None)
+    assert out.count() == 300 * 12
+    assert out.select(F.spark_partition_id().alias("p")).distinct().count() > 1
+    assert spatial.pip_join(pts, spatial.PipIndex(one), None).rdd.getNumPartitions() == 1   # no shuffle where a hit is one row
