@@ -451,20 +451,102 @@ def overlay_areas(edges_a: DataFrame, meas_a: DataFrame, edges_b: DataFrame, mea
 
 # ---------------------------------------------------------------------- J5
 
+NEAR_EDGES = 32     # edges a point may be compared with on average: cells are divided no further
+NEAR_FINE = 64.0    # nor below this part of the usual cell
+
+
+def _divided(edges: DataFrame, size: float, ox: float, oy: float, within: bool) -> DataFrame:
+    """``gid, x1, y1, x2, y2, _cx, _cy, u0, u1, w0, w1``: one row per edge and
+    cell of ``size`` that it goes through (``within``: of the cells below its
+    present one), with the box of the part in that cell. No edge is lost: its
+    cells are moved into the present one where rounding puts them outside."""
+    s = F.lit(size)
+    a1, a2 = (F.col("x1") - F.lit(ox)) / s, (F.col("x2") - F.lit(ox)) / s
+    b1, b2 = (F.col("y1") - F.lit(oy)) / s, (F.col("y2") - F.lit(oy)) / s
+    e = edges.withColumns({"_a1": a1, "_a2": a2, "_b1": b1, "_b2": b2})
+    if within:
+        e = e.withColumnsRenamed({"_cx": "_px", "_cy": "_py"})
+
+    def cells(lo, hi, parent):
+        first, last = F.floor(lo).cast("long"), F.floor(hi).cast("long")
+        if within:
+            least = F.col(parent) * FAN
+            first, last = (F.least(F.greatest(c, least), least + (FAN - 1)) for c in (first, last))
+        return F.explode(F.sequence(first, last))
+
+    lo, hi = F.least("_a1", "_a2"), F.greatest("_a1", "_a2")
+    e = e.withColumn("_cx", cells(lo, hi, "_px"))
+    slope = (F.col("_b2") - F.col("_b1")) / F.nullif(F.col("_a2") - F.col("_a1"), F.lit(0.0))
+
+    def at(u):
+        y = F.col("_b1") + (u - F.col("_a1")) * slope
+        return F.least(F.greatest(y, F.least("_b1", "_b2")), F.greatest("_b1", "_b2"))
+
+    upright = F.col("_a1") == F.col("_a2")
+    e = e.withColumns({"_u0": F.greatest(lo, F.col("_cx")), "_u1": F.least(hi, F.col("_cx") + 1)})
+    p = F.when(upright, F.col("_b1")).otherwise(at(F.col("_u0")))
+    q = F.when(upright, F.col("_b2")).otherwise(at(F.col("_u1")))
+    e = e.withColumns({"_p": F.least(p, q), "_q": F.greatest(p, q)}).withColumn("_cy", cells(F.col("_p"), F.col("_q"), "_py"))
+    w0, w1 = F.greatest("_p", F.col("_cy")), F.least("_q", F.col("_cy") + 1)
+    return e.select("gid", *EDGE_COLS, "_cx", "_cy",
+                    (F.lit(ox) + F.col("_u0") * s).alias("u0"), (F.lit(ox) + F.col("_u1") * s).alias("u1"),
+                    (F.lit(oy) + w0 * s).alias("w0"), (F.lit(oy) + w1 * s).alias("w1"))
+
+
+def _nearest_edges(points: DataFrame, edges: DataFrame, box: tuple, fine: float, pid: str, x: str, y: str) -> DataFrame:
+    """``pid, gid, dist`` for points outside all polygons (``pid`` not null).
+
+    From a few large cells down: of the cells left to a point, those go that
+    lie farther than the far corner of another's edges, as no edge in them can
+    be nearest; the rest are divided. Only cells left to some point are
+    divided, so the cells follow the points' near edges, and a point meets
+    the few edges that are about as near as the nearest, however far it is."""
+    x0, y0, x1, y1 = box
+    span = max(x1 - x0, y1 - y0) or 1.0
+    size, n = span / FAN, points.count()
+    slack = F.lit(1e-12 * span * span)
+    px, py = F.col(x), F.col(y)
+
+    def boxes(parts):
+        return materialize(parts.groupBy("_cx", "_cy").agg(
+            F.count(F.lit(1)).alias("_n"), *[f(c).alias(c) for f, c in ((F.min, "u0"), (F.max, "u1"), (F.min, "w0"), (F.max, "w1"))]),
+            "near-boxes")
+
+    def left(cells):
+        """The point's cells that may hold its nearest edge."""
+        dx, dy = F.greatest(F.col("u0") - px, px - F.col("u1"), F.lit(0.0)), F.greatest(F.col("w0") - py, py - F.col("w1"), F.lit(0.0))
+        fx, fy = F.greatest(F.abs(px - F.col("u0")), F.abs(px - F.col("u1"))), F.greatest(F.abs(py - F.col("w0")), F.abs(py - F.col("w1")))
+        c = cells.select(pid, x, y, "_cx", "_cy", "_n", (dx * dx + dy * dy).alias("_lo"), (fx * fx + fy * fy).alias("_hi"))
+        c = c.withColumn("_most", F.min("_hi").over(Window.partitionBy(pid)))
+        return materialize(c.where(F.col("_lo") <= F.col("_most") * F.lit(1 + 1e-9) + slack).select(pid, x, y, "_cx", "_cy", "_n"),
+                           "near-cells")
+
+    parts = materialize(_divided(edges.select("gid", *EDGE_COLS), size, x0, y0, False), "near-edges")
+    cells = left(points.crossJoin(F.broadcast(boxes(parts))))
+    while size > fine and (cells.agg(F.sum("_n")).first()[0] or 0) > NEAR_EDGES * n:
+        size /= FAN
+        live = broadcast_if_bounded(cells.select("_cx", "_cy").distinct())
+        parts = materialize(_divided(parts.join(live, ["_cx", "_cy"], "left_semi"), size, x0, y0, True), "near-edges")
+        below = broadcast_if_bounded(boxes(parts).withColumns({"_px": F.floor(F.col("_cx") / FAN), "_py": F.floor(F.col("_cy") / FAN)}))
+        cells = left(cells.select(pid, x, y, F.col("_cx").alias("_px"), F.col("_cy").alias("_py")).join(below, ["_px", "_py"]))
+    live = broadcast_if_bounded(cells.select("_cx", "_cy").distinct())
+    parts = broadcast_if_bounded(parts.join(live, ["_cx", "_cy"], "left_semi").select("gid", *EDGE_COLS, "_cx", "_cy"))
+    d2 = F.expr(seg_point_dist2_sql("struct(x1, y1, x2, y2)", f"`{x}`", f"`{y}`"))
+    near = cells.join(parts, ["_cx", "_cy"]).groupBy(pid, "gid").agg(F.sqrt(F.min(d2)).alias("dist"))
+    near = near.withColumn("_m", F.min("dist").over(Window.partitionBy(pid)))
+    return near.filter(F.col("dist") == F.col("_m")).drop("_m")
+
+
 def nearest_polygon(points: DataFrame, edges: DataFrame, *, pid: str = "pid", x: str = "x", y: str = "y",
                     measures: DataFrame | None = None, cell: float | None = None,
                     index: "PipIndex | None" = None) -> DataFrame:
     """For each point, the polygon(s) at minimum distance, ties kept:
     ``pid, gid, dist``. Points inside or on a polygon get distance 0.
 
-    Exact search over grids of doubling cell size: in each round an open point
-    looks into the nine cells around its own (an equi-join on cell keys).
-    What lies outside them is at least one cell away, so a point whose best
-    distance is below the cell size is final; the others go on with cells
-    twice as large. A point costs nine probe rows a round and the rounds grow
-    with the logarithm of its distance. Rounds are checkpointed to the shared
-    checkpoint folder. A point with a missing coordinate gets one row of
-    nulls, as in a left join; with no polygons every point does.
+    Exact search down a tree of cells that is built where the points need it
+    (``_nearest_edges``); ``cell`` is the usual size of a cell. Steps are
+    written to the shared checkpoint folder. A point with a missing coordinate
+    gets one row of nulls, as in a left join; with no polygons every point does.
     """
     from ..session import ensure_checkpoint_dir
     spark = points.sparkSession
@@ -473,7 +555,6 @@ def nearest_polygon(points: DataFrame, edges: DataFrame, *, pid: str = "pid", x:
         measures = polygon_measures(edges)
     if cell is None:
         cell = default_cell_size(measures)
-    c = float(cell)
     known = F.col(x).isNotNull() & F.col(y).isNotNull() & ~F.isnan(x) & ~F.isnan(y)
     pts = points.select(pid, x, y).filter(known)
     lost = points.filter(~known).select(pid, F.lit(None).cast("long").alias("gid"), F.lit(None).cast("double").alias("dist"))
@@ -484,36 +565,7 @@ def nearest_polygon(points: DataFrame, edges: DataFrame, *, pid: str = "pid", x:
                        F.max("xmax").alias("c"), F.max("ymax").alias("d")).first()
     if ext["a"] is None:
         return points.select(pid, F.lit(None).cast("long").alias("gid"), F.lit(None).cast("double").alias("dist"))
-    todo = pts.join(inside.select(pid), pid, "left_anti").checkpoint()
-    pext = todo.agg(F.min(x).alias("a"), F.min(y).alias("b"), F.max(x).alias("c"), F.max(y).alias("d")).first()
-    results = [lost, inside]
-    if pext["a"] is not None:
-        span = max(max(ext["c"], pext["c"]) - min(ext["a"], pext["a"]), max(ext["d"], pext["d"]) - min(ext["b"], pext["b"]))
-        d2 = F.expr(seg_point_dist2_sql("struct(x1, y1, x2, y2)", f"`{x}`", f"`{y}`"))
-        around = F.array(*[F.struct(F.lit(i).alias("dx"), F.lit(j).alias("dy")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
-        while True:
-            cl = F.lit(c)
-            ec = (edges.withColumn("_ex", F.explode(F.sequence(F.floor(F.least("x1", "x2") / cl),
-                                                               F.floor(F.greatest("x1", "x2") / cl))))
-                       .withColumn("_ey", F.explode(F.sequence(F.floor(F.least("y1", "y2") / cl),
-                                                               F.floor(F.greatest("y1", "y2") / cl)))))
-            probe = (todo.withColumn("_o", F.explode(around))
-                         .withColumn("_qx", F.floor(F.col(x) / cl) + F.col("_o.dx"))
-                         .withColumn("_qy", F.floor(F.col(y) / cl) + F.col("_o.dy")))
-            hit = probe.join(ec, (F.col("_qx") == F.col("_ex")) & (F.col("_qy") == F.col("_ey")))
-            near = hit.groupBy(pid, "gid").agg(F.sqrt(F.min(d2)).alias("dist"))
-            least = near.groupBy(pid).agg(F.min("dist").alias("_m"))
-            final = c > span   # all edges lie in the nine cells of every point
-            done = near.join(least, pid).filter(F.col("dist") == F.col("_m"))
-            done = (done if final else done.filter(F.col("_m") < cl)).drop("_m").checkpoint()
-            results.append(done)
-            if final:
-                break
-            todo = todo.join(done.select(pid).distinct(), pid, "left_anti").checkpoint()
-            if todo.isEmpty():
-                break
-            c *= 2
-    out = results[0]
-    for d in results[1:]:
-        out = out.unionByName(d)
-    return out
+    todo = pts.join(inside.select(pid), pid, "left_anti").filter(F.col(pid).isNotNull()).distinct().checkpoint()
+    if todo.isEmpty():
+        return lost.unionByName(inside)
+    return lost.unionByName(inside).unionByName(_nearest_edges(todo, edges, tuple(ext), float(cell) / NEAR_FINE, pid, x, y))

@@ -369,6 +369,32 @@ def test_candidate_pairs_of_unlike_boxes(spark):
     assert cells.agg(F.max("count")).first()[0] <= 4
 
 
+def test_far_points_meet_few_edges(spark, monkeypatch):
+    """A point far outside a layer meets the edges about as near as its
+    nearest, not all edges of the layer; distances are those of all pairs."""
+    squares = [v for i in range(20) for j in range(20) for v in _square(20 * i + j, 30.0 * i, 30.0 * j, 10.0)]
+    e = P.edges_from_vertices(spark.createDataFrame(squares, SHAPES)).persist()
+    pts = [(k, 700.0 + 97.0 * k * k, 3000.0 - 71.0 * k * k) for k in range(40)] + [(100 + k, 25.0 + 15 * k, 12.5 * k) for k in range(20)]
+    df = spark.createDataFrame(pts, "pid long, x double, y double")
+    met = []
+    inner = spatial.broadcast_if_bounded
+
+    def counted(table, *a):
+        if "x1" in table.columns:
+            met.append(table)
+        return inner(table, *a)
+
+    monkeypatch.setattr(spatial, "broadcast_if_bounded", counted)
+    got = {(r.pid, r.gid): r.dist for r in spatial.nearest_polygon(df, e).collect()}
+    rects = [(g, 30.0 * (g // 20), 30.0 * (g % 20)) for g in range(400)]
+    want = {}
+    for pid, x, y in pts:
+        d = {g: math.hypot(max(a - x, 0, x - a - 10), max(b - y, 0, y - b - 10)) for g, a, b in rects}
+        want.update({(pid, g): v for g, v in d.items() if v == min(d.values())})
+    assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k]) for k in want)
+    assert met and met[-1].count() < 1600 / 4   # edges left to compare with, of 1600
+
+
 def test_overlapping_polygons_spread_their_points(spark):
     """Points of one partition that lie in many polygons go out in many."""
     many = P.edges_from_vertices(spark.createDataFrame([v for g in range(12) for v in _square(g, 0.0, 0.0, 10.0 + g)], SHAPES))
