@@ -162,13 +162,12 @@ def fit_l2_logistic(train: DataFrame, feats: list[str], C: float = 1.0, max_iter
     does not depend on the coefficients, so only the total weight changes,
     which the penalty 1 / (C * 2n) takes into account."""
     v = _assemble(train.withColumn("_one", F.lit(1.0)), ["_one"] + feats).select(
-        "features", F.col("target_lead").cast("double").alias("label"), F.lit(1.0).alias("weight")).persist()
-    n = v.count()
+        "features", F.col("target_lead").cast("double").alias("label"), F.lit(1.0).alias("weight"))
+    n = train.count()   # the fit keeps its own blocks of rows; a second copy of them would crowd these out
     zero = train.sparkSession.createDataFrame([(Vectors.sparse(len(feats) + 1, {}), 0.0, float(n))], v.schema)
     lr = LogisticRegression(regParam=1.0 / (C * 2 * n), elasticNetParam=0.0, standardization=False, weightCol="weight",
                             fitIntercept=False, maxIter=max_iter, tol=1e-9)
     m = lr.fit(v.union(zero))
-    v.unpersist()
     if m.hasSummary and m.summary.totalIterations >= max_iter:
         raise NotConverged(f"L2 logistic: no convergence in {max_iter} iterations")
     return m

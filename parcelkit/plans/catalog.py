@@ -1111,6 +1111,7 @@ def _l2_fit(spark, sf):
     key = session_key(spark, sf, "l2")
     if key not in _FITS:
         mf, feats = model.model_frame(logit_ds(spark, sf))
+        mf = materialize(mf, "logit-frame")   # the split reads it three times
         sp = materialize(model.stratified_split(mf, "target_lead", "pid", TEST_FRAC, SPLIT_SEED), "logit-split")
         _FITS[key] = model.fit_l2_logistic(sp.filter(~F.col("is_test")), feats), sp, feats
     return _FITS[key]

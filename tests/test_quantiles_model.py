@@ -168,3 +168,17 @@ def test_samples_by_threshold(spark, monkeypatch):
     assert summary.hash_sample(same, "k", 50).count() == 50
     assert summary.arith_hash_sample(same, "k", 302).count() == 302
     assert summary.hash_sample(df.limit(0), "k", 5).count() == 0
+
+
+def test_l2_fit_keeps_no_second_copy_of_the_rows(spark, monkeypatch):
+    """The library keeps the fit's rows itself; a cached input would double them."""
+    from pyspark.sql import DataFrame
+
+    def refuse(self, *args):
+        raise AssertionError("the input of the fit is cached")
+
+    df = spark.range(200).selectExpr("cast(id % 2 as int) AS target_lead", "cast(id % 7 as double) AS f1")
+    for cls in {DataFrame, type(df)}:
+        monkeypatch.setattr(cls, "persist", refuse)
+        monkeypatch.setattr(cls, "cache", refuse)
+    assert len(model.fit_l2_logistic(df, ["f1"]).coefficients) == 2
