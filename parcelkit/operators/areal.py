@@ -129,13 +129,18 @@ def clip_area(overlay: DataFrame, nbh_edges: DataFrame, nbh_meas: DataFrame, tr_
               overlaps: bool | None = None) -> DataFrame:
     """J11 in general: the sum of pieces when neighborhoods do not overlap
     (decided by one self-overlay, or by ``overlaps`` when already known),
-    else the exact union area per tract by a slab sweep grouped by tract."""
-    from .union_area import union_clipped_area
+    else the sum of a tract's pieces with the union of the neighborhoods, made
+    once as a layer of disjoint trapezoids. ``overlay`` is of the whole layers;
+    its pairs are not read where neighborhoods overlap, as they may grow with
+    the square of the polygons."""
+    from .polygons import polygon_measures
+    from .union_area import union_layer
     if overlaps is None:
         overlaps = layer_has_overlaps(nbh_edges, nbh_meas)
     if not overlaps:
         return clipped_tract_area(overlay)
-    return union_clipped_area(overlay.select("a_gid", "b_gid"), nbh_edges, tr_edges)
+    edges, meas = union_layer(nbh_edges)
+    return clipped_tract_area(overlay_areas(edges, meas, tr_edges, polygon_measures(tr_edges)))
 
 
 def areal_shares(overlay: DataFrame, tracts: DataFrame, counts: dict[str, str | None],

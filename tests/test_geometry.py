@@ -234,6 +234,58 @@ def test_union_clip_area_of_many_shapes(spark):
     assert union_area.union_clipped_area(pairs.limit(0), ne, te).count() == 0
 
 
+def test_union_clip_area_grows_with_the_polygons(spark, monkeypatch):
+    """Polygons and tracts on one extent, then four times as many: the rows
+    written grow no faster (the pairs that overlap are sixteen times as many),
+    and the areas are those of the bands."""
+    import random
+
+    from parcelkit.operators import areal, union_area
+
+    rng = random.Random(5)
+
+    def star(cx, cy, r, n):
+        at = [(r * rng.uniform(0.5, 1), 2 * math.pi * k / n) for k in range(n)]
+        return [(cx + d * math.cos(w), cy + d * math.sin(w)) for d, w in at]
+
+    def some(n, least, most):
+        return [star(rng.uniform(0, 100), rng.uniform(0, 100), rng.uniform(least, most), rng.randint(3, 7)) for _ in range(n)]
+
+    def layer(rings, first):
+        schema = "gid long, part int, role string, ord int, x double, y double"
+        return P.edges_from_vertices(spark.createDataFrame(
+            [(g, 0, "shell", k, x, y) for g, r in enumerate(rings, first) for k, (x, y) in enumerate(r)], schema))
+
+    written = []
+    real = union_area.materialize
+
+    def counted(df, name):
+        out = real(df, name)
+        written.append(out.count())
+        return out
+
+    monkeypatch.setattr(union_area, "materialize", counted)
+
+    def areas(nbs, tracts):
+        written.clear()
+        ne, te = layer(nbs, 1), layer(tracts, 1000)
+        nm, tm = P.polygon_measures(ne), P.polygon_measures(te)
+        ov = spatial.overlay_areas(ne, nm, te, tm)
+        out = {r["b_gid"]: r["clipped_area"] for r in areal.clip_area(ov, ne, nm, te, overlaps=True).collect()}
+        return out, sum(written)
+
+    # A square on top, one that is equal to another, one far outside.
+    square = [(20.0, 20.0), (60.0, 20.0), (60.0, 60.0), (20.0, 60.0)]
+    nbs, tracts = [square, square, *some(10, 10, 30)], [*some(3, 20, 40), square, [(900.0, 0.0), (901.0, 0.0), (900.0, 1.0)]]
+    got, _ = areas(nbs, tracts)
+    for g, ring in enumerate(tracts[:4], 1000):
+        assert got[g] == pytest.approx(_band_area(ring, nbs), rel=1e-9)
+    assert 1004 not in got
+    assert areas(nbs[:1], tracts[4:])[0] == {}
+    few, many = (areas(some(n, 15, 25), some(n, 15, 25))[1] for n in (40, 160))
+    assert many < 5 * few
+
+
 def test_overlay_edge_pairs_grow_with_the_vertices(spark):
     """Two overlapping n-gons: four times the vertices, about four times the
     joined edge pairs, and the exact area throughout."""
