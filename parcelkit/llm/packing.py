@@ -13,6 +13,7 @@ which need no padding.
 
 from __future__ import annotations
 
+import re
 import zlib
 from itertools import chain, islice
 
@@ -34,6 +35,13 @@ K1, B, QUERY_TERMS = 1.2, 0.75, None
 KNOWN_WORDS = 500_000
 # Texts that are tokenised at once.
 TEXTS = 500
+# Words of Latin letters, which the tokenizer leaves in one piece, and ASCII
+# symbols after them, which are another, are tokenised so many words at a time
+# as one text.
+LETTERS = re.compile("[a-zA-Z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+([!-/:-@\\[-`{-~]+)?")
+JOINED = 200
+# Marks that compose with a small letter where they do not with a capital.
+MARKS = re.compile("[\u0300-\u036F]")
 
 
 class Tokens:
@@ -41,8 +49,13 @@ class Tokens:
 
     The tokenizer never joins characters across ASCII blanks, so the ids of a
     text are those of its blank-separated pieces in order, and each distinct
-    piece is tokenised once. Pure ASCII texts are lower-cased first, as the
-    tokenizer does itself; others are left to its own rules.
+    piece is tokenised once. A-Z are lower-cased first, as the tokenizer does
+    itself; texts with marks or special tokens are left to its own rules.
+
+    New words of letters and symbols after them are joined to one text: an id
+    whose token ends a piece (``</w>``) ends each of the pieces. Where the ends
+    are not as many as the pieces, as with a tokenizer that marks none, each
+    word is a text of its own.
     """
 
     class _Known(dict):
@@ -59,15 +72,43 @@ class Tokens:
         self.tokenizer = Tokenizer.from_file(path)
         self.known, self.ids = self._Known(), np.zeros(0, dtype=np.uint16)
         self.start = np.zeros(1, dtype=np.int64)
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends_word = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=bool)
+        self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+
+    def _encoded(self, texts: list) -> tuple[np.ndarray, np.ndarray]:
+        """(number of ids of each text, all ids)"""
+        got = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        sizes = np.fromiter(map(len, got), dtype=np.int64, count=len(got))
+        return sizes, np.fromiter(chain.from_iterable(got), dtype=np.uint16, count=int(sizes.sum()))
+
+    def _words(self, words: list) -> tuple[np.ndarray, np.ndarray]:
+        """(number of ids of each word, all ids)"""
+        found = map(LETTERS.fullmatch, words)
+        pieces = np.fromiter((0 if m is None else 1 if m[1] is None else 2 for m in found), dtype=np.int64, count=len(words))
+        plain = pieces > 0
+        at, other = np.flatnonzero(plain), np.flatnonzero(~plain)
+        mine = [words[i] for i in at.tolist()]
+        _, ids = self._encoded([" ".join(mine[lo:lo + JOINED]) for lo in range(0, len(mine), JOINED)])
+        ends = np.flatnonzero(self.ends_word[ids]) + 1
+        if len(ends) != pieces.sum() or (len(ids) and ends[-1:] != len(ids)):
+            return self._encoded(words)
+        more, rest = self._encoded([words[i] for i in other.tolist()])
+        sizes = np.empty(len(words), dtype=np.int64)
+        sizes[at], sizes[other] = np.diff(ends[np.cumsum(pieces[at]) - 1], prepend=0), more
+        out, own = np.empty(len(ids) + len(rest), dtype=np.uint16), np.repeat(plain, sizes)
+        out[own], out[~own] = ids, rest
+        return sizes, out
 
     def __call__(self, texts: list) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, each followed by END; number of ids per text)"""
         words, count = [], []
         for t in texts:
             t = t or ""
-            if t.isascii() and "<|" not in t:
-                t = t.lower()
-            w = t.encode("utf-8", "replace").split()
+            w = t.encode("utf-8", "replace")
+            if "<|" not in t and (t.isascii() or not MARKS.search(t)):
+                w = w.lower()
+            w = w.split()
             words += w
             count.append(len(w))
         before = len(self.known)
@@ -77,10 +118,9 @@ class Tokens:
             # The library's results are large objects: few at a time.
             sizes, ids = [np.diff(self.start)], [self.ids]
             for lo in range(0, len(new), 20_000):
-                part = [w.decode() for w in new[lo:lo + 20_000]]
-                got = [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
-                sizes.append(np.fromiter(map(len, got), dtype=np.int64, count=len(got)))
-                ids.append(np.fromiter(chain.from_iterable(got), dtype=np.uint16, count=int(sizes[-1].sum())))
+                size, got = self._words([w.decode() for w in new[lo:lo + 20_000]])
+                sizes.append(size)
+                ids.append(got)
             self.start, self.ids = np.r_[0, np.cumsum(np.concatenate(sizes))], np.concatenate(ids)
         size = self.start[at + 1] - self.start[at]
         ends = np.cumsum(size)

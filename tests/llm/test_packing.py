@@ -132,3 +132,25 @@ def test_empty_table_and_query(spark, empty, queries, tokenizer):
         full[p.sequence_id] = full.get(p.sequence_id, 0) + p.length
     padding = sum(0 if n & (n - 1) == 0 else packing.WINDOW - n for n in full.values())
     assert padding == 0
+
+
+def test_new_words_are_tokenised_many_at_a_time(tokenizer):
+    """Words of letters and symbols after them are few texts to the tokenizer,
+    with the same ids; also by a tokenizer that marks no ends of words."""
+    class Counting:
+        texts = 0
+
+        def encode_batch_fast(self, texts, **options):
+            self.texts += len(texts)
+            return tokenizer.encode_batch_fast(texts, **options)
+
+    words = [f"w{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}{end}" for i in range(700) for end in ("", ",", "é&&&")]
+    texts = [" ".join(words), "Über ÉTÉ. don't x's, a…. J̌ <|endoftext|>, l'été 12.5 ªº×÷ İx ÿ!", "a <| b |>"]
+    want = [tokenizer.encode(t, add_special_tokens=False).ids + [packing.END] for t in texts]
+    for ends in (True, False):
+        table = packing.Tokens(packing.tokenizer_path())
+        table.tokenizer = Counting()
+        table.ends_word &= ends
+        ids, size = table(texts)
+        assert size.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
+        assert table.tokenizer.texts < 60 if ends else table.tokenizer.texts > 2000
