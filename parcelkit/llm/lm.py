@@ -45,6 +45,8 @@ ROUNDS = 3
 SPAN = 512             # a longer text is trained on in spans of that many tokens
 TRAIN_DOCS = 512       # spans that are trained on side by side
 GROUP_TOKENS = 1_000_000
+SCORED_TOKENS = 4_000_000  # tokens of the texts that are gathered to be scored, about
+SCORED_TEXTS = 1024        # texts of like lengths that are scored side by side
 OUTPUT_TOKENS = 16_384  # tokens of a scoring window, or more
 RATE = 0.01
 CLIP = 1.0
@@ -152,12 +154,14 @@ def _output(p: dict, h: np.ndarray, target: np.ndarray, grads: dict | None = Non
     def softmax(w, bias, x, at):
         """Log probabilities of ``at`` per row of x, and the gradient of the
         logits; laid out by class, so that sums run along the rows."""
-        logits = w.T @ x.T + bias[:, None]
+        logits = w.T @ x.T
+        logits += bias[:, None]
         logits -= logits.max(axis=0)
-        e = np.exp(logits)
-        total = e.sum(axis=0)
         i = np.arange(len(at))
-        found = logits[at, i] - np.log(total)
+        found = logits[at, i]
+        e = np.exp(logits, out=logits)
+        total = e.sum(axis=0)
+        found -= np.log(total)
         if grads is not None:
             e /= total
             e[at, i] -= 1
@@ -170,17 +174,22 @@ def _output(p: dict, h: np.ndarray, target: np.ndarray, grads: dict | None = Non
         grads["Wc"] += (d @ h).T
         grads["bc"] += d.sum(axis=1)
         dh = d.T @ p["Wc"].T
+    # Rows by class, so that a class is a slice of them.
     order = np.argsort(cls.astype(np.uint8), kind="stable")  # small numbers sort by radix
     edges = np.r_[0, np.cumsum(np.bincount(cls, minlength=len(p["bc"])))]
+    h, within, logp_in = h[order], within[order], logp[order]
+    dh_in = dh[order] if grads is not None else None
     for c in np.flatnonzero(np.diff(edges)):
-        rows = order[edges[c]:edges[c + 1]]
-        hc = h[rows]
-        found, d = softmax(p["Ww"][c], p["bw"][c], hc, within[rows])
-        logp[rows] += found
+        rows = slice(edges[c], edges[c + 1])
+        found, d = softmax(p["Ww"][c], p["bw"][c], h[rows], within[rows])
+        logp_in[rows] += found
         if grads is not None:
-            grads["Ww"][c] += (d @ hc).T
+            grads["Ww"][c] += (d @ h[rows]).T
             grads["bw"][c] += d.sum(axis=1)
-            dh[rows] += d.T @ p["Ww"][c].T
+            dh_in[rows] += d.T @ p["Ww"][c].T
+    logp[order] = logp_in
+    if grads is not None:
+        dh[order] = dh_in
     return logp, dh
 
 
@@ -227,21 +236,26 @@ def spans(ids: np.ndarray, size: np.ndarray, end: int, length: int) -> tuple[np.
 def score_texts(p: dict, ids: np.ndarray, size: np.ndarray, end: int) -> np.ndarray:
     """Natural-log likelihood of each text under the network. The state goes
     through all of a text; windows only group the output layer's work, so
-    they are longer where fewer texts run."""
-    texts = whole_texts(ids, size, end)
+    they are longer where fewer texts run. Texts of like lengths run side by
+    side, so that the steps of the longest are made for these alone."""
     ew, u, bu = (_halved_gates(w) for w in (p["E"] @ p["Wx"] + p["b"], p["U"], p["bu"]))
-    h = np.zeros((len(size), HIDDEN), dtype=np.float32)
-    out = np.zeros(len(size))
-    for targets, inputs in texts.windows(lambda n: max(WINDOW, OUTPUT_TOKENS // n)):
-        states = []
-        for x in inputs:
-            h = _next_state(ew[x], h[:len(x)], u, bu)
-            states.append(h)
-        logp, _ = _output(p, np.concatenate(states), np.concatenate(targets))
-        who = np.concatenate([np.arange(len(x)) for x in inputs])
-        out[:len(inputs[0])] += np.bincount(who, logp, minlength=len(inputs[0]))
-    back = np.empty_like(out)
-    back[texts.order] = out
+    starts, before = np.cumsum(size) - size, np.full(len(size), end, dtype=ids.dtype)
+    order = np.argsort(-size, kind="stable")
+    back = np.empty(len(size))
+    for lo in range(0, len(order), SCORED_TEXTS):
+        mine = order[lo:lo + SCORED_TEXTS]
+        texts = Texts(ids, starts[mine], size[mine], before[mine])
+        h = np.zeros((len(mine), HIDDEN), dtype=np.float32)
+        out = np.zeros(len(mine))
+        for targets, inputs in texts.windows(lambda n: max(WINDOW, OUTPUT_TOKENS // n)):
+            states = []
+            for x in inputs:
+                h = _next_state(ew[x], h[:len(x)], u, bu)
+                states.append(h)
+            logp, _ = _output(p, np.concatenate(states), np.concatenate(targets))
+            who = np.concatenate([np.arange(len(x)) for x in inputs])
+            out[:len(inputs[0])] += np.bincount(who, logp, minlength=len(inputs[0]))
+        back[mine[texts.order]] = out
     return back
 
 
@@ -279,21 +293,29 @@ class Trainer:
         _, dout = _output(p, np.concatenate(states), np.concatenate(targets), g)
         at = np.cumsum([0, *map(len, inputs)])
         dh = np.zeros((0, k), dtype=np.float32)
-        dgates = [None] * len(inputs)
+        old, z, r, c, hu = (np.concatenate(a) for a in zip(*trace))
+        dc_c, dz_c, not_z, not_r = 1 - c * c, old - c, 1 - z, 1 - r
+        gate = np.empty((len(z), 3 * k), dtype=np.float32)
         for t in range(len(inputs) - 1, -1, -1):
-            old, z, r, c, hu = trace[t]
-            d = dout[at[t]:at[t + 1]]
+            s = slice(at[t], at[t + 1])
+            d = dout[s]
             d[:len(dh)] += dh
-            dc = d * (1 - z) * (1 - c * c)
-            dz = d * (old - c) * z * (1 - z)
-            dr = dc * hu * r * (1 - r)
-            gate = np.concatenate([dz, dr, dc], axis=1)
-            dgates[t] = gate
-            rec = np.concatenate([dz, dr, dc * r], axis=1)
-            g["U"] += old.T @ rec
+            dc = d * not_z[s]
+            dc *= dc_c[s]
+            dz = d * dz_c[s]
+            dz *= z[s]
+            dz *= not_z[s]
+            dr = dc * hu[s]
+            dr *= r[s]
+            dr *= not_r[s]
+            gate[s, :k], gate[s, k:2 * k], gate[s, 2 * k:] = dz, dr, dc
+            rec = gate[s].copy()
+            rec[:, 2 * k:] *= r[s]
+            g["U"] += old[s].T @ rec
             g["bu"] += rec.sum(axis=0)
-            dh = d * z + rec @ p["U"].T
-        gate, x = np.concatenate(dgates), np.concatenate(inputs)
+            dh = d * z[s]
+            dh += rec @ p["U"].T
+        x = np.concatenate(inputs)
         order = np.argsort(x.astype(np.uint16), kind="stable")
         count = np.bincount(x, minlength=len(ew))
         seen = np.flatnonzero(count)
@@ -423,6 +445,30 @@ def _train(shared):
     return run
 
 
+def _side_by_side(batches, ranks: dict):
+    """(a, b, words without a rank, ranks, tokens per text) of the texts of
+    about SCORED_TOKENS tokens each: a step of the network costs about as much
+    for one text as for some tens, so many texts are sorted by length. Of the
+    texts only numbers and the words without one are held."""
+    held, tokens = [], 0
+
+    def joined():
+        a, b, words, rank, size = zip(*held)
+        return np.concatenate(a), np.concatenate(b), [w for ws in words for w in ws], np.concatenate(rank), np.concatenate(size)
+
+    for batch in batches:
+        words, rank, size = _numbered(_texts(batch.column("text")), ranks)
+        if not len(size):
+            continue
+        held.append((*(batch.column(c).to_numpy() for c in "ab"), [words[i] for i in np.flatnonzero(rank == -1).tolist()], rank, size))
+        tokens += len(rank)
+        if tokens >= SCORED_TOKENS:
+            yield joined()
+            held, tokens = [], 0
+    if held:
+        yield joined()
+
+
 def _score(shared):
     """Rows of two kinds: a text's own sums, and its words without a known
     count (word not null)."""
@@ -435,13 +481,8 @@ def _score(shared):
         ranks, p = _ranks(v), unpack(flat)
         logs = np.log10(np.r_[v.counts, v.end_count, 0] + 1.0)  # by rank; -2: the end, -1: not known here
         known = np.r_[v.counts, v.end_count, 0] > 0
-        for table in _gathered(batches):
-            words, rank, size = _numbered(_texts(table.column("text")), ranks)
-            if not len(size):
-                continue
-            a, b = (table.column(c).to_numpy() for c in "ab")
+        for a, b, words, rank, size in _side_by_side(batches, ranks):
             cold = np.flatnonzero(rank == -1)
-            words = [words[i] for i in cold.tolist()]
             network = score_texts(p, _tokens(rank, v), size, v.end) / math.log(10)
             who = np.repeat(np.arange(len(size)), size)
             total = lambda x: np.bincount(who, x, minlength=len(size))

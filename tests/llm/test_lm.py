@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -151,3 +152,37 @@ def test_scoring_step_is_the_training_step():
     assert np.allclose(light, lm._step(ew, h, u, bu)[4], rtol=1e-6, atol=1e-7)
     assert lm.tokenize("Zoë A\x0bb c".encode()) == ["zoë".encode(), b"a", "b c".encode(), lm.END]
     assert lm.tokenize(None) == lm.tokenize(b"") == [lm.END]
+
+
+def test_scores_do_not_depend_on_the_texts_beside(monkeypatch):
+    """Texts are scored with others of like lengths, those of many batches
+    together; each gets the same number as alone, and the steps of the longest
+    text are made for few others."""
+    rng = np.random.default_rng(3)
+    p = lm.initial(rng.integers(1, 100, lm.MODEL_WORDS + 2))
+    size = np.r_[rng.integers(1, 30, 200), 700, rng.integers(1, 30, 200), 650]
+    ids = rng.integers(0, lm.MODEL_WORDS + 2, size.sum()).astype(np.int32)
+    start = np.cumsum(size) - size
+    alone = [lm.score_texts(p, ids[a:a + n], size[i:i + 1], 3)[0] for i, (a, n) in enumerate(zip(start, size))]
+    steps = []
+    real = lm._next_state
+    monkeypatch.setattr(lm, "_next_state", lambda ew, h, u, bu: steps.append(len(h)) or real(ew, h, u, bu))
+    for beside in (8, 64, 1024):
+        monkeypatch.setattr(lm, "SCORED_TEXTS", beside)
+        steps.clear()
+        np.testing.assert_allclose(lm.score_texts(p, ids, size, 3), alone, rtol=1e-6)
+        assert sum(steps) == size.sum() and max(steps) <= beside
+
+
+def test_batches_are_gathered_before_they_are_scored(monkeypatch):
+    texts = [b"a b", b"", None, b"c a a", b"b"]
+    batches = [pa.RecordBatch.from_arrays([pa.array([i]), pa.array([-i]), pa.array([t], pa.binary())], names=["a", "b", "text"])
+               for i, t in enumerate(texts)]
+    for most, groups in ((10 ** 6, 1), (1, 5), (4, 3)):
+        monkeypatch.setattr(lm, "SCORED_TOKENS", most)
+        got = list(lm._side_by_side(iter(batches), {b"a": 0, b"b": 1}))
+        assert len(got) == groups
+        a, b, size, rank = (np.concatenate([g[i] for g in got]).tolist() for i in (0, 1, 4, 3))
+        assert a == [0, 1, 2, 3, 4] and b == [0, -1, -2, -3, -4] and size == [3, 1, 1, 4, 2]
+        assert rank == [0, 1, -2, -2, -2, -1, 0, 0, -2, 1, -2] and [w for g in got for w in g[2]] == [b"c"]
+    assert list(lm._side_by_side(iter([]), {})) == []
