@@ -147,3 +147,19 @@ def test_geojson_points_and_missing_geometry(spark):
     assert [(r["part"], r["x"], r["y"]) for r in geo_io.geojson_vertices(multi).collect()] == [(0, 1.0, 2.0), (1, 3.0, 4.0)]
     with pytest.raises(Exception, match="not handled"):
         geo_io.geojson_vertices(spark.createDataFrame([(1, "LineString", "[]")], "gid long, gtype string, coordinates string")).collect()
+
+
+def test_packed_csv(spark, tmp_path, monkeypatch):
+    """Packed files hold the same rows in less space and a bounded number of rows each."""
+    monkeypatch.setattr(geo_io, "CSV_ROWS", 4000)
+    df = spark.range(10000).selectExpr("id div 1000 AS pid", "concat('tract ', id % 100) AS name",
+                                       "CASE WHEN id % 7 > 0 THEN id % 100 / 8 END AS v").coalesce(1)
+    sizes = {}
+    for packed in (False, True):
+        path = str(tmp_path / str(packed))
+        geo_io.write_csv(df, path, packed=packed)
+        files = list((tmp_path / str(packed)).glob("part-*"))
+        sizes[packed] = sum(f.stat().st_size for f in files)
+        back = geo_io.read_csv_points(spark, path, "pid BIGINT, name STRING, v DOUBLE")
+        assert sorted(map(str, back.collect())) == sorted(map(str, df.collect()))
+    assert len(files) == 3 and sizes[True] < sizes[False] / 5
